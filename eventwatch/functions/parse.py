@@ -67,15 +67,21 @@ def bind(df: DataFrame, *cols: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(*cols))))
 
 
-def extract_fields(df: DataFrame, v: str, fields: list[str]) -> tuple[DataFrame, dict[str, dict[str, Column]]]:
-    """Read each field of the Variant once: type name, string form, decimal form."""
+def extract_fields(df: DataFrame, v: str, fields: dict[str, str]) -> tuple[DataFrame, dict[str, dict[str, Column]]]:
+    """Read each field of the Variant once.  ``fields``: name → kind ('string', 'int' or 'number').
+
+    First the JSON type of every field; then only the forms that type needs (text for strings,
+    decimal for numbers), so a row pays one typed lookup per field.
+    """
+    typed = bind(df, *[json_type(F.col(v), f).alias(f"__t_{f}") for f in fields])
     cols, refs = [], {}
-    for f in fields:
-        cols += [json_type(F.col(v), f).alias(f"__t_{f}"),
-                 F.try_variant_get(F.col(v), f"$.{f}", "string").alias(f"__s_{f}"),
-                 F.try_variant_get(F.col(v), f"$.{f}", "decimal(38,6)").alias(f"__n_{f}")]
-        refs[f] = {"t": F.col(f"__t_{f}"), "s": F.col(f"__s_{f}"), "n": F.col(f"__n_{f}")}
-    return bind(df, *cols), refs
+    for f, kind in fields.items():
+        t = F.col(f"__t_{f}")
+        cols.append(F.when(t == "STRING", F.try_variant_get(F.col(v), f"$.{f}", "string")).alias(f"__s_{f}"))
+        if kind in ("int", "number"):
+            cols.append(F.when(_is_number(t), F.try_variant_get(F.col(v), f"$.{f}", "decimal(38,6)")).alias(f"__n_{f}"))
+        refs[f] = {"t": t, "s": F.col(f"__s_{f}"), "n": F.col(f"__n_{f}") if kind != "string" else F.lit(None)}
+    return bind(typed, *cols), refs
 
 
 def lenient_int(r: dict[str, Column], field: str) -> tuple[Column, Column]:
@@ -118,8 +124,8 @@ def epoch_millis(r: dict[str, Column], field: str) -> tuple[Column, Column]:
     return value, error
 
 
-PROXY_FIELDS = ["process", "destination_ip", "source_ip", "bytes_sent", "bytes_received", "destination_port",
-                "user", "request_timestamp"]
+PROXY_FIELDS = {"process": "string", "destination_ip": "string", "source_ip": "string", "bytes_sent": "int",
+                "bytes_received": "int", "destination_port": "int", "user": "string", "request_timestamp": "number"}
 
 
 def proxy_request(df: DataFrame, v: str, out: str = "__") -> DataFrame:

@@ -7,8 +7,11 @@ sort of one user's (or one user-host pair's) whole history in one task: state is
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +22,9 @@ from eventwatch.operators.sessions import assign_sessions, interval_ms
 
 EVENT_KEY = ["user_id", "dst_ip", "publish_ts", "message_id"]
 
+# Executors get the Arrow-batch functions of this module by value: no package install needed on workers.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def user_events(events: DataFrame) -> DataFrame:
     """Events that have a user; filtered before any shuffle by user."""
@@ -84,20 +90,49 @@ def critical_route(findings: DataFrame) -> tuple[DataFrame, DataFrame]:
     return findings.filter(critical), findings.filter(~critical)
 
 
-def _greedy_bags(hold_ms: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["__t", "message_id", "rule_id"], kind="mergesort")
-        t = pdf["__t"].to_numpy(dtype=np.int64)
-        starts = [t[0]]
-        i = 0
+def _bag_opens(keys_change: np.ndarray, t: np.ndarray, hold_ms: int) -> np.ndarray:
+    """Open time of each row's bag; rows sorted by (group, t), ``keys_change`` marks group starts."""
+    opened = np.empty(len(t), dtype=np.int64)
+    bounds = np.flatnonzero(keys_change).tolist() + [len(t)]
+    for a, b in zip(bounds[:-1], bounds[1:]):
+        g = t[a:b]
+        starts = [g[0]]
         while True:
-            i = int(np.searchsorted(t, starts[-1] + hold_ms, side="left"))
-            if i >= len(t):
+            i = int(np.searchsorted(g, starts[-1] + hold_ms, side="left"))
+            if i >= len(g):
                 break
-            starts.append(t[i])
-        starts = np.asarray(starts, dtype=np.int64)
-        opened = starts[np.searchsorted(starts, t, side="right") - 1]
+            starts.append(g[i])
+        st = np.asarray(starts, dtype=np.int64)
+        opened[a:b] = st[np.searchsorted(st, g, side="right") - 1]
+    return opened
+
+
+def _greedy_bags(hold_ms: int):
+    """mapInPandas body over a partition sorted by (user_id, island, __t, message_id, rule_id).
+
+    Whole groups are handled per Arrow batch; a group cut by the batch boundary waits for the next one.
+    """
+    def process(pdf: pd.DataFrame) -> pd.DataFrame:
+        u, isl = pdf["user_id"].to_numpy(), pdf["island"].to_numpy()
+        change = np.ones(len(pdf), dtype=bool)
+        change[1:] = (u[1:] != u[:-1]) | (isl[1:] != isl[:-1])
+        opened = _bag_opens(change, pdf["__t"].to_numpy(dtype=np.int64), hold_ms)
         return pdf.assign(__open=opened).drop(columns=["__t", "island"])
+
+    def run(batches):
+        carry = None
+        for pdf in batches:
+            if carry is not None and len(carry):
+                pdf = pd.concat([carry, pdf], ignore_index=True)
+            if not len(pdf):
+                continue
+            last = (pdf["user_id"] == pdf["user_id"].iloc[-1]) & (pdf["island"] == pdf["island"].iloc[-1])
+            carry = pdf[last]
+            done = pdf[~last]
+            if len(done):
+                yield process(done)
+        if carry is not None and len(carry):
+            yield process(carry)
     return run
 
 
@@ -107,13 +142,16 @@ def held_findings(findings: DataFrame, hold: str = FINDING_HOLD) -> DataFrame:
     A bag opens at the first held finding (publish time) and is emitted ``hold`` later with all
     findings that arrived before then; the next finding opens a new bag.  Findings more than
     ``hold`` apart can never share a bag, so users are split into islands at such gaps (skew-safe
-    bucketed gaps-and-islands) and only each island is scanned in order, in Arrow batches.
+    bucketed gaps-and-islands); islands are hash-partitioned, sorted within partitions and scanned in
+    Arrow batches by ``mapInPandas`` (one Python call per batch, not per group).
     """
     hold_ms = interval_ms(hold)
     critical, rest = critical_route(findings)
     islands = assign_sessions(rest, ["user_id"], "publish_ts", hold_ms, out="island")
     schema = T.StructType([f for f in islands.schema.fields if f.name not in ("__t", "island")]
                           + [T.StructField("__open", T.LongType())])
-    bagged = (islands.groupBy("user_id", "island").applyInPandas(_greedy_bags(hold_ms), schema)
+    ordered = (islands.repartition("user_id", "island")
+               .sortWithinPartitions("user_id", "island", "__t", "message_id", "rule_id"))
+    bagged = (ordered.mapInPandas(_greedy_bags(hold_ms), schema)
               .withColumn("emit_ts", F.timestamp_millis(F.col("__open") + F.lit(hold_ms))).drop("__open"))
     return bagged.unionByName(critical.withColumn("emit_ts", F.col("publish_ts")))
