@@ -6,7 +6,7 @@ import os
 import tempfile
 from dataclasses import dataclass, field
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # ---------------------------------------------------------------------------------------------
 # These must equal the monitored system's behaviour for results to agree.
@@ -85,6 +85,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the reliable checkpoint folder and continue from the written copy.
+
+    Used where one parsed input feeds several branches: the JSON is parsed once, lineage is cut, and a
+    lost executor re-reads the written files instead of recomputing the parse.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def get_spark(app: str = "eventwatch", cores: str | int = "*", shuffle_partitions: int | None = None,
               extra: dict | None = None) -> SparkSession:
     """Session with the settings this engine relies on (UTC, AQE, skew join, no UI)."""
@@ -98,6 +108,7 @@ def get_spark(app: str = "eventwatch", cores: str | int = "*", shuffle_partition
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.sql.streaming.stateStore.providerClass",
                  "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
          .config("spark.driver.memory", os.environ.get("EVENTWATCH_DRIVER_MEMORY", "8g")))

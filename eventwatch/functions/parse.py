@@ -67,21 +67,23 @@ def bind(df: DataFrame, *cols: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(*cols))))
 
 
-def extract_fields(df: DataFrame, v: str, fields: dict[str, str]) -> tuple[DataFrame, dict[str, dict[str, Column]]]:
-    """Read each field of the Variant once.  ``fields``: name → kind ('string', 'int' or 'number').
+def extract_fields(df: DataFrame, text: str, fields: dict[str, str]) -> tuple[DataFrame, dict[str, dict[str, Column]]]:
+    """Read the top-level ``fields`` of a JSON text once.  ``fields``: name → 'string', 'int' or 'number'.
 
-    First the JSON type of every field; then only the forms that type needs (text for strings,
-    decimal for numbers), so a row pays one typed lookup per field.
+    One streaming JSON pass (``from_json``) yields a small Variant per field; then each field's JSON
+    type, and only the form that type needs (text for strings, decimal for numbers).
     """
-    typed = bind(df, *[json_type(F.col(v), f).alias(f"__t_{f}") for f in fields])
+    schema = "struct<" + ", ".join(f"`{f}`: variant" for f in fields) + ">"
+    doc = bind(df, F.from_json(F.col(text), schema).alias("__doc"))
+    typed = bind(doc, *[F.schema_of_variant(F.col("__doc").getField(f)).alias(f"__t_{f}") for f in fields])
     cols, refs = [], {}
     for f, kind in fields.items():
-        t = F.col(f"__t_{f}")
-        cols.append(F.when(t == "STRING", F.try_variant_get(F.col(v), f"$.{f}", "string")).alias(f"__s_{f}"))
+        t, fv = F.col(f"__t_{f}"), F.col("__doc").getField(f)
+        cols.append(F.when(t == "STRING", F.variant_get(fv, "$", "string")).alias(f"__s_{f}"))
         if kind in ("int", "number"):
-            cols.append(F.when(_is_number(t), F.try_variant_get(F.col(v), f"$.{f}", "decimal(38,6)")).alias(f"__n_{f}"))
+            cols.append(F.when(_is_number(t), F.try_variant_get(fv, "$", "decimal(38,6)")).alias(f"__n_{f}"))
         refs[f] = {"t": t, "s": F.col(f"__s_{f}"), "n": F.col(f"__n_{f}") if kind != "string" else F.lit(None)}
-    return bind(typed, *cols), refs
+    return bind(typed, *cols).drop("__doc"), refs
 
 
 def lenient_int(r: dict[str, Column], field: str) -> tuple[Column, Column]:
@@ -128,9 +130,9 @@ PROXY_FIELDS = {"process": "string", "destination_ip": "string", "source_ip": "s
                 "bytes_received": "int", "destination_port": "int", "user": "string", "request_timestamp": "number"}
 
 
-def proxy_request(df: DataFrame, v: str, out: str = "__") -> DataFrame:
-    """The proxy-request converter: adds ``__ev_*`` event columns and ``__err`` (first error)."""
-    staged, r = extract_fields(df, v, PROXY_FIELDS)
+def proxy_request(df: DataFrame, text: str, out: str = "__") -> DataFrame:
+    """The proxy-request converter: adds ``{out}ev_*`` event columns and ``{out}err`` (first error)."""
+    staged, r = extract_fields(df, text, PROXY_FIELDS)
     process, e_process = optional_string(r["process"], "process")
     dst, e_dst = required_string(r["destination_ip"], "destination_ip")
     src, e_src = required_string(r["source_ip"], "source_ip")
@@ -173,10 +175,16 @@ def parse_messages(messages: DataFrame, converters: dict | None = None,
     lookup computed once per row.  Works on static and streaming frames; no shuffle, no Python.
     """
     conv = CONVERTERS if converters is None else converters
-    v = "__v"
-    staged = bind(messages, F.try_parse_json(payload_text(F.col("payload"))).alias(v),
-                  payload_type(F.col("attributes")).alias("__ptype"))
-    staged = staged.select("*", F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False)).alias("__obj"))
+    v = "__text"
+    keys = F.json_object_keys(F.col(v))
+    staged = bind(messages, payload_text(F.col("payload")).alias(v), payload_type(F.col("attributes")).alias("__ptype"))
+    # Object with distinct keys → ok.  Otherwise (rare) a full parse tells junk from valid non-objects.
+    staged = bind(staged, keys.alias("__keys"))
+    distinct = F.size("__keys") == F.size(F.array_distinct("__keys"))
+    staged = staged.select(
+        "*", F.when(F.col("__keys").isNotNull(), distinct)
+              .otherwise(F.try_parse_json(F.col(v)).isNotNull()).alias("__json"),
+        (F.col("__keys").isNotNull() & distinct).alias("__obj")).drop("__keys")
     converted = (default or proxy_request)(staged, v, "__")
     err = F.col("__err")
     ev = {c: F.col(f"__ev_{c}") for c in EVENT_FIELDS}
@@ -188,10 +196,10 @@ def parse_messages(messages: DataFrame, converters: dict | None = None,
         for c in EVENT_FIELDS:
             other = F.col(f"{out}ev_{c}") if f"{out}ev_{c}" in converted.columns else F.lit(None)
             ev[c] = F.when(hit, other).otherwise(ev[c])
-    reason = (F.when(F.col(v).isNull(), F.lit(PARSE_PREFIX + PARSE_MESSAGE))
+    reason = (F.when(~F.col("__json"), F.lit(PARSE_PREFIX + PARSE_MESSAGE))
               .when(~F.col("__obj"), F.lit(INVALID_PREFIX + NOT_OBJECT))
               .when(err.isNotNull(), F.concat(F.lit(INVALID_PREFIX), err)))
-    with_reason = converted.select("*", reason.alias("failure_reason"))
+    with_reason = converted.select("*", reason.alias("failure_reason")).drop(v)
     ok = F.col("failure_reason").isNull()
     extra = [c for c in messages.columns if c not in ("message_id", "publish_ts") and c not in keep]
     types = {f.name: f.dataType for f in event_struct_type().fields}

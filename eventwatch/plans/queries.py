@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventwatch.config import (REPLAY_BANNED, REPLAY_HOLD, REPLAY_RETENTION, REPLAY_SESSION_GAP,
-                               SOURCE_FINDING_TYPE, USER_FINDING_TYPE, ensure_utc)
+                               SOURCE_FINDING_TYPE, USER_FINDING_TYPE, ensure_utc, materialize)
 from eventwatch.functions import formats
 from eventwatch.functions.parse import dead_letters, parse_messages, payload_text, payload_type, valid_events
 from eventwatch.operators import lookup, metrics, side_input, threshold
@@ -42,6 +42,11 @@ def _events(spark: SparkSession, sf: str) -> DataFrame:
     return valid_events(_parsed(spark, sf))
 
 
+def _events_once(spark: SparkSession, sf: str) -> DataFrame:
+    """Parsed valid events, written once: for plans where the events feed more than one branch."""
+    return materialize(_events(spark, sf))
+
+
 def _finding_cols(df: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     return df.select(ntz("request_ts"), "user_id", "source_ip", "level", "rule_id", "description",
                      "message_id", *extra)
@@ -121,11 +126,11 @@ def q_union_sources(spark, sf):
 # --- per-user branch -----------------------------------------------------------------------------
 
 def q_new_host_flags(spark, sf):
-    return new_host_flags(_events(spark, sf)).select("message_id", "user_id", "dst_ip", "newly_accessed_host")
+    return new_host_flags(_events_once(spark, sf)).select("message_id", "user_id", "dst_ip", "newly_accessed_host")
 
 
 def q_new_host_expiry(spark, sf):
-    return new_host_flags(_events(spark, sf), REPLAY_RETENTION).select(
+    return new_host_flags(_events_once(spark, sf), REPLAY_RETENTION).select(
         "message_id", "user_id", "dst_ip", "newly_accessed_host")
 
 
@@ -138,22 +143,22 @@ def q_rule_process_name(spark, sf):
 
 
 def q_rule_new_host(spark, sf):
-    return _finding_cols(user_findings(_events(spark, sf), [new_destination_host_rule()], REPLAY_RETENTION))
+    return _finding_cols(user_findings(_events_once(spark, sf), [new_destination_host_rule()], REPLAY_RETENTION))
 
 
 def q_user_findings(spark, sf):
-    return _finding_cols(user_findings(_events(spark, sf), default_user_rules(), REPLAY_RETENTION))
+    return _finding_cols(user_findings(_events_once(spark, sf), default_user_rules(), REPLAY_RETENTION))
 
 
 def q_user_profile(spark, sf):
-    ev = _events(spark, sf)
+    ev = _events_once(spark, sf)
     profiles = lookup.derive_user_profiles(ev)
     return (with_profile(user_events(ev), profiles).groupBy("user_id")
             .agg(F.first("profile_status").alias("profile_status"), F.count(F.lit(1)).alias("n_events")))
 
 
 def q_held_findings(spark, sf):
-    f = user_findings(_events(spark, sf), default_user_rules(), REPLAY_RETENTION)
+    f = user_findings(_events_once(spark, sf), default_user_rules(), REPLAY_RETENTION)
     h = held_findings(f, REPLAY_HOLD)
     return h.select(ntz("request_ts"), "user_id", "source_ip", "level", "rule_id", "description", "message_id",
                     ntz("emit_ts"))
@@ -164,14 +169,15 @@ def critical_rules():
 
 
 def q_critical_route(spark, sf):
-    f = user_findings(_events(spark, sf), critical_rules(), REPLAY_RETENTION)
+    f = user_findings(_events_once(spark, sf), critical_rules(), REPLAY_RETENTION)
     h = held_findings(f, REPLAY_HOLD)
     return h.select(ntz("request_ts"), "user_id", "level", "rule_id", "message_id", ntz("emit_ts"),
                     F.when(F.col("level") == "critical", "immediate").otherwise("held").alias("route"))
 
 
-def _user_findings_replay(spark, sf):
-    return user_findings(_events(spark, sf), default_user_rules(), REPLAY_RETENTION)
+def _user_findings_replay(spark, sf, events=None):
+    ev = events if events is not None else _events_once(spark, sf)
+    return user_findings(ev, default_user_rules(), REPLAY_RETENTION)
 
 
 def q_user_finding_json(spark, sf):
@@ -185,8 +191,9 @@ def q_user_finding_rows(spark, sf):
 
 # --- per-source-address branch -------------------------------------------------------------------
 
-def _sessions(spark, sf):
-    return sessions(_events(spark, sf), REPLAY_SESSION_GAP, [banned_process_rule(REPLAY_BANNED)])
+def _sessions(spark, sf, events=None):
+    ev = events if events is not None else _events(spark, sf)
+    return sessions(ev, REPLAY_SESSION_GAP, [banned_process_rule(REPLAY_BANNED)])
 
 
 def q_sessions(spark, sf):
@@ -200,8 +207,8 @@ def q_session_banned(spark, sf):
                     F.array_join(F.transform("banned_hits", lambda x: x["process_name"]), ", ").alias("banned_list"))
 
 
-def _source_findings(spark, sf):
-    return session_findings(_sessions(spark, sf), [banned_process_rule(REPLAY_BANNED)])
+def _source_findings(spark, sf, events=None):
+    return session_findings(_sessions(spark, sf, events), [banned_process_rule(REPLAY_BANNED)])
 
 
 def q_source_ip_findings(spark, sf):
@@ -215,15 +222,17 @@ def q_source_finding_json(spark, sf):
 # --- whole pipeline ------------------------------------------------------------------------------
 
 def q_all_findings(spark, sf):
-    u = formats.user_finding_rows(_user_findings_replay(spark, sf))
-    s = formats.source_finding_rows(_source_findings(spark, sf))
+    ev = _events_once(spark, sf)
+    u = formats.user_finding_rows(_user_findings_replay(spark, sf, ev))
+    s = formats.source_finding_rows(_source_findings(spark, sf, ev))
     return u.unionByName(s).select(ntz("request_ts"), "type", "source_ip", "user_id", "level", "description")
 
 
 def q_findings_ingest(spark, sf):
     """Findings topic → table: JSON messages of both kinds parsed back into table rows."""
-    topic = (formats.user_finding_json(_user_findings_replay(spark, sf))
-             .unionByName(formats.source_finding_json(_source_findings(spark, sf))))
+    ev = _events_once(spark, sf)
+    topic = (formats.user_finding_json(_user_findings_replay(spark, sf, ev))
+             .unionByName(formats.source_finding_json(_source_findings(spark, sf, ev))))
     row = F.from_json("value", FINDING_JSON)
     return (topic.select(row.alias("r")).select("r.*")
             .select(ntz(F.to_timestamp("request_ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"), "request_ts"),
@@ -260,7 +269,7 @@ def q_window_sum(spark, sf):
 
 
 def q_latest_side_input(spark, sf):
-    ev = _events(spark, sf)
+    ev = _events_once(spark, sf)
     sums = side_input.window_sum(ev, "publish_ts", "bytes_sent")
     side = ev.filter(F.col("process_name") == "another-virus")
     latest = side_input.with_latest(sums, side, F.date_format("publish_ts", "HH:mm:ss"), "publish_ts", "key_a")
@@ -268,9 +277,9 @@ def q_latest_side_input(spark, sf):
 
 
 def q_pipeline_counters(spark, sf):
-    p = _parsed(spark, sf)
+    p = materialize(_parsed(spark, sf))
     counts = p.agg(*metrics.message_counters(p))
-    suspicious = _source_findings(spark, sf).agg(F.count(F.lit(1)).alias("suspicious_activity"))
+    suspicious = _source_findings(spark, sf, valid_events(p)).agg(F.count(F.lit(1)).alias("suspicious_activity"))
     return counts.select("*", suspicious.select("suspicious_activity").scalar().alias("suspicious_activity"))
 
 
