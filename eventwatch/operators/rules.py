@@ -30,18 +30,20 @@ class UserRule:
     level: str
     predicate: Callable[[], Column]
     description: Callable[[], Column]
+    kind: str | None = None       # 'new_host' | 'process_contains': lets the stream processor run the rule
+    pattern: str | None = None
 
 
 def new_destination_host_rule(level: str = "warning") -> UserRule:
     return UserRule(NEW_HOST_RULE_ID, level, lambda: F.col("newly_accessed_host"),
-                    lambda: F.concat(F.lit(NEW_HOST_DESCRIPTION), F.col("dst_ip")))
+                    lambda: F.concat(F.lit(NEW_HOST_DESCRIPTION), F.col("dst_ip")), "new_host")
 
 
 def process_name_rule(pattern: str = PROCESS_RULE_PATTERN, level: str = "severe",
                       rule_id: str = PROCESS_RULE_ID) -> UserRule:
     # A null process name gives no finding.
     return UserRule(rule_id, level, lambda: F.coalesce(F.col("process_name").contains(pattern), F.lit(False)),
-                    lambda: F.concat(F.lit(PROCESS_DESCRIPTION), F.col("process_name")))
+                    lambda: F.concat(F.lit(PROCESS_DESCRIPTION), F.col("process_name")), "process_contains", pattern)
 
 
 def default_user_rules() -> list[UserRule]:
@@ -51,7 +53,7 @@ def default_user_rules() -> list[UserRule]:
 RULE_KINDS: dict[str, Callable[[str, str, str | None], UserRule]] = {
     "new_host": lambda rid, level, pattern: UserRule(
         rid, level, lambda: F.col("newly_accessed_host"),
-        lambda: F.concat(F.lit(NEW_HOST_DESCRIPTION), F.col("dst_ip"))),
+        lambda: F.concat(F.lit(NEW_HOST_DESCRIPTION), F.col("dst_ip")), "new_host"),
     "process_contains": lambda rid, level, pattern: process_name_rule(pattern or PROCESS_RULE_PATTERN, level, rid),
 }
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from eventwatch.config import Options
 from eventwatch.functions.parse import dead_letters, parse_messages, valid_events
@@ -52,3 +53,64 @@ def main_processing(inputs: Inputs, options: Options) -> Outputs:
     sf = source_ip_findings(events, options.banned_processes, options.session_gap,
                             [banned_process_rule(options.banned_processes)])
     return Outputs(inputs.messages, events, dead, uf, sf)
+
+
+def start_queries(outputs: Outputs, options: Options, first_messages: DataFrame | None = None) -> list:
+    """Persist all outputs of a streaming ``main_processing``; one query per branch (G2).
+
+    Events and dead letters share one ``foreachBatch`` (the batch is parsed once and persisted); user
+    findings go to the findings table and topic; source-address findings go to the topic; the raw
+    export (first source only) is optional.  Checkpoints live under ``options.checkpoint_dir``.
+    """
+    from eventwatch.config import checkpoint_dir
+    from eventwatch.functions import formats
+    from eventwatch.sinks import tables
+
+    spark = outputs.events.sparkSession
+    base = options.checkpoint_dir or checkpoint_dir(spark)
+    out = options.output_dir
+    queries = []
+
+    def write_events(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        tables.write_events(batch, f"{out}/{options.events_table}", batch_id)
+        batch.unpersist()
+
+    def write_dead(batch: DataFrame, batch_id: int) -> None:
+        tables.write_dead_letters(batch, f"{out}/{options.invalid_messages_table}", batch_id)
+
+    def write_user(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        tables.write_user_findings(batch, f"{out}/{options.findings_table}", batch_id)
+        if options.findings_topic:
+            tables.write_topic(formats.user_finding_json(batch), f"{options.findings_topic}/user", batch_id=batch_id)
+        batch.unpersist()
+
+    def write_source(batch: DataFrame, batch_id: int) -> None:
+        if options.findings_topic:
+            tables.write_topic(formats.source_finding_json(batch), f"{options.findings_topic}/source",
+                               batch_id=batch_id)
+
+    for name, df, fn in (("events", outputs.events, write_events), ("dead_letters", outputs.dead_letters, write_dead),
+                         ("user_findings", outputs.user_findings, write_user),
+                         ("source_findings", outputs.source_ip_findings, write_source)):
+        queries.append(df.writeStream.foreachBatch(fn).option("checkpointLocation", f"{base}/{name}")
+                       .queryName(name).start())
+    if options.export_dir and first_messages is not None:
+        queries.append(formats.normalised_json(first_messages)
+                       .select(*formats.export_partitions(F.col("publish_ts")), "value")
+                       .writeStream.format("text").partitionBy("eventDate", "eventHour", "eventMinute")
+                       .option("path", f"{options.export_dir}/data")
+                       .option("checkpointLocation", f"{base}/export").start())
+    return queries
+
+
+def streaming_processing(inputs: Inputs, options: Options) -> Outputs:
+    """Stream form of ``main_processing``: the user branch through ``transformWithStateInPandas``."""
+    from eventwatch.streaming.sessions import session_findings_stream
+    from eventwatch.streaming.user_state import user_findings_stream
+
+    events, dead = canonical_events(inputs, options)
+    uf = user_findings_stream(events, inputs.rules, options.hold, options.retention, options.clock)
+    sf = session_findings_stream(events, options.banned_processes, options.session_gap, options.allowed_lateness)
+    return Outputs(inputs.messages, events, dead, uf, sf)
