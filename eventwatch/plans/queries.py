@@ -192,7 +192,8 @@ def q_user_finding_rows(spark, sf):
 # --- per-source-address branch -------------------------------------------------------------------
 
 def _sessions(spark, sf, events=None):
-    ev = events if events is not None else _events(spark, sf)
+    # The bucketed session plan reads its input twice (window output → summaries and join-back).
+    ev = events if events is not None else _events_once(spark, sf)
     return sessions(ev, REPLAY_SESSION_GAP, [banned_process_rule(REPLAY_BANNED)])
 
 
