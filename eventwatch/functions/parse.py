@@ -54,7 +54,7 @@ def _wrap32(t: Column) -> Column:
     return (F.pmod(t + F.lit(_INT31), F.lit(_INT32)) - F.lit(_INT31)).cast("int")
 
 
-FieldRef = dict  # field name → {"t": type column, "s": string column, "n": decimal column}
+FieldRef = dict  # field name → {"t": JSON type, "s": text form, "b": 64-bit integer form, "v": field Variant}
 
 
 def bind(df: DataFrame, *cols: Column) -> DataFrame:
@@ -71,7 +71,8 @@ def extract_fields(df: DataFrame, text: str, fields: dict[str, str]) -> tuple[Da
     """Read the top-level ``fields`` of a JSON text once.  ``fields``: name → 'string', 'int' or 'number'.
 
     One streaming JSON pass (``from_json``) yields a small Variant per field; then each field's JSON
-    type, and only the form that type needs (text for strings, decimal for numbers).
+    type, and only the form that type needs: text for strings, a 64-bit integer (truncated toward zero)
+    for numbers.  The per-field Variants stay in ``__doc`` for the rare wider-than-64-bit number.
     """
     schema = "struct<" + ", ".join(f"`{f}`: variant" for f in fields) + ">"
     doc = bind(df, F.from_json(F.col(text), schema).alias("__doc"))
@@ -81,20 +82,29 @@ def extract_fields(df: DataFrame, text: str, fields: dict[str, str]) -> tuple[Da
         t, fv = F.col(f"__t_{f}"), F.col("__doc").getField(f)
         cols.append(F.when(t == "STRING", F.variant_get(fv, "$", "string")).alias(f"__s_{f}"))
         if kind in ("int", "number"):
-            cols.append(F.when(_is_number(t), F.try_variant_get(fv, "$", "decimal(38,6)")).alias(f"__n_{f}"))
-        refs[f] = {"t": t, "s": F.col(f"__s_{f}"), "n": F.col(f"__n_{f}") if kind != "string" else F.lit(None)}
-    return bind(typed, *cols).drop("__doc"), refs
+            cols.append(F.when(_is_number(t), F.try_variant_get(fv, "$", "bigint")).alias(f"__b_{f}"))
+        refs[f] = {"t": t, "s": F.col(f"__s_{f}"), "v": fv,
+                   "b": F.col(f"__b_{f}") if kind != "string" else F.lit(None)}
+    return bind(typed, *cols), refs
+
+
+def _low32(b: Column) -> Column:
+    """Low 32 bits of a 64-bit integer as a signed int (bit mask: no overflow)."""
+    low = b.bitwiseAND(F.lit(0xFFFFFFFF))
+    return F.when(low >= F.lit(_INT31), low - F.lit(_INT32)).otherwise(low).cast("int")
 
 
 def lenient_int(r: dict[str, Column], field: str) -> tuple[Column, Column]:
     """(value INT, error text) of a field that may be a number, a digit string or absent."""
-    t, s, num = r["t"], r["s"], r["n"]
+    t, s, b = r["t"], r["s"], r["b"]
+    wide = F.try_variant_get(r["v"], "$", "decimal(38,6)")   # only read for numbers beyond 64 bits
     parsed = F.when(s.rlike(r"^[+-]?[0-9]+$"), s.try_cast("int"))
     value = (F.when(t == "STRING", parsed)
-             .when(_is_number(t) & num.isNotNull(), _wrap32(_truncate(num))))
+             .when(_is_number(t) & b.isNotNull(), _low32(b))
+             .when(_is_number(t) & wide.isNotNull(), _wrap32(_truncate(wide))))
     error = (F.when(~_present(t), F.lit(f"Null {INT_FIELDS[field]}"))
              .when((t == "STRING") & parsed.isNull(), F.concat(F.lit('For input string: "'), s, F.lit('"')))
-             .when(_is_number(t) & num.isNull(), F.lit(f"{field} out of range"))
+             .when(_is_number(t) & b.isNull() & wide.isNull(), F.lit(f"{field} out of range"))
              .when((t != "STRING") & ~_is_number(t),
                    F.concat(F.lit("Unable to convert "), F.regexp_extract(t, r"^[A-Z]+", 0), F.lit(" to Integer"))))
     return value, error
@@ -116,8 +126,7 @@ def required_string(r: dict[str, Column], field: str) -> tuple[Column, Column]:
 
 
 def epoch_millis(r: dict[str, Column], field: str) -> tuple[Column, Column]:
-    t, num = r["t"], r["n"]
-    ms = _truncate(num).try_cast("bigint")
+    t, ms = r["t"], r["b"]
     in_range = F.coalesce(ms.between(-62135596800000, 253402300799999), F.lit(False))
     value = F.when(_is_number(t) & in_range, F.timestamp_millis(ms))
     error = (F.when(~_present(t), F.lit(NULL_TIMESTAMP))
@@ -144,7 +153,7 @@ def proxy_request(df: DataFrame, text: str, out: str = "__") -> DataFrame:
     values = {"request_ts": ts, "src_ip": src, "dst_ip": dst, "dst_port": port, "process_name": process,
               "user_id": user, "bytes_sent": sent, "bytes_received": received}
     error = F.coalesce(e_process, e_dst, e_src, e_sent, e_received, e_port, e_user, e_ts)
-    drop = [c for c in staged.columns if c.startswith(("__t_", "__s_", "__n_"))]
+    drop = [c for c in staged.columns if c.startswith(("__t_", "__s_", "__b_"))] + ["__doc"]
     return staged.select("*", *[c.alias(f"{out}ev_{k}") for k, c in values.items()],
                          error.alias(f"{out}err")).drop(*drop)
 
