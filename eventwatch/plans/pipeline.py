@@ -33,6 +33,16 @@ class Outputs:
     dead_letters: DataFrame
     user_findings: DataFrame
     source_ip_findings: DataFrame
+    parsed: DataFrame | None = None      # all parsed messages, tagged ``source`` 1/2 (stream sink input)
+
+
+def parsed_sources(inputs: Inputs) -> DataFrame:
+    """Parsed messages of both sources in one frame, tagged by source number."""
+    parsed = parse_messages(inputs.messages).withColumn("source", F.lit(1))
+    if inputs.second_messages is not None:
+        parsed = parsed.unionByName(parse_messages(inputs.second_messages).withColumn("source", F.lit(2)),
+                                    allowMissingColumns=True)
+    return parsed
 
 
 def canonical_events(inputs: Inputs, options: Options) -> tuple[DataFrame, DataFrame]:
@@ -52,16 +62,21 @@ def main_processing(inputs: Inputs, options: Options) -> Outputs:
     uf = user_findings(events, inputs.rules, options.retention, inputs.profiles)
     sf = source_ip_findings(events, options.banned_processes, options.session_gap,
                             [banned_process_rule(options.banned_processes)])
-    return Outputs(inputs.messages, events, dead, uf, sf)
+    return Outputs(inputs.messages, events, dead, uf, sf, parsed_sources(inputs))
 
 
-def start_queries(outputs: Outputs, options: Options, first_messages: DataFrame | None = None) -> list:
+def start_queries(outputs: Outputs, options: Options, first_messages: DataFrame | None = None,
+                  trigger: dict | None = None) -> list:
     """Persist all outputs of a streaming ``main_processing``; one query per branch (G2).
 
-    Events and dead letters share one ``foreachBatch`` (the batch is parsed once and persisted); user
-    findings go to the findings table and topic; source-address findings go to the topic; the raw
-    export (first source only) is optional.  Checkpoints live under ``options.checkpoint_dir``.
+    Events and dead letters share one ``foreachBatch`` over the parsed messages (each batch is parsed
+    once, persisted, and split; counters are observed on it); user findings go to the findings table and
+    topic; source-address findings go to the topic; the raw export (first source only) is optional.
+    Checkpoints live under ``options.checkpoint_dir``.  Returns the queries; with counters observed the
+    first query's progress carries ``observedMetrics['pipeline_counters']``.
     """
+    from eventwatch.functions.parse import dead_letters as dead_of, valid_events
+    from eventwatch.operators.metrics import observe_messages
     from eventwatch.config import checkpoint_dir
     from eventwatch.functions import formats
     from eventwatch.sinks import tables
@@ -71,14 +86,13 @@ def start_queries(outputs: Outputs, options: Options, first_messages: DataFrame
     out = options.output_dir
     queries = []
 
-    def write_events(batch: DataFrame, batch_id: int) -> None:
+    def write_messages(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
-        tables.write_events(batch, f"{out}/{options.events_table}", batch_id)
+        tables.write_events(valid_events(batch).drop("source"), f"{out}/{options.events_table}", batch_id)
+        dead = batch if options.keep_all_dead_letters else batch.filter(F.col("source") == 1)
+        tables.write_dead_letters(dead_of(dead), f"{out}/{options.invalid_messages_table}", batch_id)
         batch.unpersist()
 
-    def write_dead(batch: DataFrame, batch_id: int) -> None:
-        tables.write_dead_letters(batch, f"{out}/{options.invalid_messages_table}", batch_id)
-
     def write_user(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         tables.write_user_findings(batch, f"{out}/{options.findings_table}", batch_id)
@@ -91,17 +105,19 @@ def start_queries(outputs: Outputs, options: Options, first_messages: DataFrame
             tables.write_topic(formats.source_finding_json(batch), f"{options.findings_topic}/source",
                                batch_id=batch_id)
 
-    for name, df, fn in (("events", outputs.events, write_events), ("dead_letters", outputs.dead_letters, write_dead),
+    parsed = outputs.parsed if outputs.parsed is not None else outputs.events
+    observed, _ = observe_messages(parsed)
+    for name, df, fn in (("messages", observed, write_messages),
                          ("user_findings", outputs.user_findings, write_user),
                          ("source_findings", outputs.source_ip_findings, write_source)):
-        queries.append(df.writeStream.foreachBatch(fn).option("checkpointLocation", f"{base}/{name}")
-                       .queryName(name).start())
+        w = df.writeStream.foreachBatch(fn).option("checkpointLocation", f"{base}/{name}").queryName(name)
+        queries.append((w.trigger(**trigger) if trigger else w).start())
     if options.export_dir and first_messages is not None:
-        queries.append(formats.normalised_json(first_messages)
-                       .select(*formats.export_partitions(F.col("publish_ts")), "value")
-                       .writeStream.format("text").partitionBy("eventDate", "eventHour", "eventMinute")
-                       .option("path", f"{options.export_dir}/data")
-                       .option("checkpointLocation", f"{base}/export").start())
+        w = (formats.normalised_json(first_messages)
+             .select(*formats.export_partitions(F.col("publish_ts")), "value")
+             .writeStream.format("text").partitionBy("eventDate", "eventHour", "eventMinute")
+             .option("path", f"{options.export_dir}/data").option("checkpointLocation", f"{base}/export"))
+        queries.append((w.trigger(**trigger) if trigger else w).start())
     return queries
 
 
@@ -113,4 +129,4 @@ def streaming_processing(inputs: Inputs, options: Options) -> Outputs:
     events, dead = canonical_events(inputs, options)
     uf = user_findings_stream(events, inputs.rules, options.hold, options.retention, options.clock)
     sf = session_findings_stream(events, options.banned_processes, options.session_gap, options.allowed_lateness)
-    return Outputs(inputs.messages, events, dead, uf, sf)
+    return Outputs(inputs.messages, events, dead, uf, sf, parsed_sources(inputs))

@@ -94,3 +94,33 @@ def test_stop_after_counts_progress():
     assert s.instruction is not None and s.instruction.how is HowToStop.drain
     s.onQueryProgress(P(10))
     assert s.total == 40
+
+
+def test_streaming_pipeline_persists_all_outputs(spark, scratch):
+    """G1 + G2 on a stream: events / dead letters / user findings tables, both topics, raw export."""
+    from eventwatch.config import Options
+    from eventwatch.plans.pipeline import Inputs, start_queries, streaming_processing
+
+    path = landing(spark, scratch, n_files=2)
+    stream = read_messages(spark, path, "parquet", streaming=True, options={"maxFilesPerTrigger": 1})
+    opts = Options(output_dir=os.path.join(scratch, "wh"), findings_topic=os.path.join(scratch, "topic"),
+                   export_dir=os.path.join(scratch, "export"), banned_processes=("virus1",), session_gap="30 minutes",
+                   retention="7 days", hold="6 hours", clock="event", checkpoint_dir=os.path.join(scratch, "ck"))
+    out = streaming_processing(Inputs(stream), opts)
+    qs = start_queries(out, opts, first_messages=stream, trigger={"availableNow": True})
+    for q in qs:
+        q.awaitTermination(300)
+        assert q.exception() is None
+    total = messages_from_events(spark, SF001).count() + 1
+    ev = spark.read.parquet(os.path.join(opts.output_dir, "events"))
+    dead = spark.read.parquet(os.path.join(opts.output_dir, "invalid_messages"))
+    assert ev.count() + dead.count() == total
+    uf = spark.read.parquet(os.path.join(opts.output_dir, "findings")).filter("user_id <> '~sentinel'")
+    want = held_findings(user_findings(valid_events(parse_messages(messages_from_events(spark, SF001))),
+                                       default_user_rules(), "7 days"), "6 hours")
+    assert uf.count() == want.count()
+    assert spark.read.json(os.path.join(opts.findings_topic, "source")).count() > 0
+    assert spark.read.text(os.path.join(opts.export_dir, "data")).count() > 0
+    seen = sum(p["observedMetrics"]["pipeline_counters"]["elements_seen"] for p in qs[0].recentProgress
+               if p.get("observedMetrics", {}).get("pipeline_counters"))
+    assert seen == total
