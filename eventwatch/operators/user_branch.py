@@ -78,7 +78,10 @@ def user_findings(events: DataFrame, rules: list[UserRule] | None = None, retent
                   profiles: DataFrame | None = None) -> DataFrame:
     """Every finding the rules raise on every user event (before holding)."""
     rules = default_user_rules() if rules is None else rules
-    context = new_host_flags(events, retention)
+    if any(r.kind != "process_contains" for r in rules):
+        context = new_host_flags(events, retention)
+    else:  # no rule reads the remembered hosts: skip that state entirely
+        context = user_events(events).withColumn("newly_accessed_host", F.lit(False))
     if profiles is not None:
         context = with_profile(context, profiles)
     return apply_user_rules(context, rules)
@@ -136,22 +139,100 @@ def _greedy_bags(hold_ms: int):
     return run
 
 
-def held_findings(findings: DataFrame, hold: str = FINDING_HOLD) -> DataFrame:
+def _next_times(times: DataFrame, hold_ms: int) -> DataFrame:
+    """For each distinct (user_id, __t): ``__j`` = the user's first time >= __t + hold (null if none).
+
+    Exact bucketed as-of: with buckets of one hold, the target lies in bucket b+1, so a window per
+    (user, bucket) finds it; otherwise it is the first time of the next non-empty bucket, found on
+    per-bucket summaries (one row per user and bucket).  No window spans a user's whole history.
+    """
+    b = F.floor(F.col("__t") / F.lit(hold_ms))
+    t = times.withColumn("__b", b)
+    queries = t.select("user_id", (F.col("__b") + 1).alias("__qb"), (F.col("__t") + F.lit(hold_ms)).alias("__k"),
+                       F.lit(0).alias("__kind"), F.col("__t").alias("__src"), F.lit(None).cast("long").alias("__d"))
+    data = t.select("user_id", F.col("__b").alias("__qb"), F.col("__t").alias("__k"), F.lit(1).alias("__kind"),
+                    F.lit(None).cast("long").alias("__src"), F.col("__t").alias("__d"))
+    w = (Window.partitionBy("user_id", "__qb").orderBy("__k", "__kind")
+         .rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    c1 = (queries.unionByName(data).withColumn("__c1", F.min("__d").over(w))
+          .filter(F.col("__kind") == 0).select("user_id", "__src", "__qb", "__c1"))
+    summary = t.groupBy("user_id", "__b").agg(F.min("__t").alias("__bmin"))
+    qb = c1.select("user_id", "__qb").distinct()
+    u = (summary.select("user_id", F.col("__b").alias("__x"), F.lit(0).alias("__kind"), "__bmin")
+         .unionByName(qb.select("user_id", F.col("__qb").alias("__x"), F.lit(1).alias("__kind"),
+                                F.lit(None).cast("long").alias("__bmin"))))
+    w2 = Window.partitionBy("user_id").orderBy("__x", "__kind").rowsBetween(1, Window.unboundedFollowing)
+    c2 = (u.withColumn("__c2", F.min("__bmin").over(w2)).filter(F.col("__kind") == 1)
+          .select("user_id", F.col("__x").alias("__qb"), "__c2"))
+    return (c1.join(c2, ["user_id", "__qb"], "left")
+            .select("user_id", F.col("__src").alias("__t"), F.coalesce("__c1", "__c2").alias("__j")))
+
+
+def bag_starts_doubling(rest: DataFrame, hold_ms: int, max_rounds: int = 64) -> DataFrame:
+    """Exact bag open times (user_id, __t) by pointer doubling over distinct finding times.
+
+    Starts are the chain head, next(head), next(next(head)), ...; round k adds next^(2^k) of every known
+    start and squares the pointer table.  Joins are keyed by (user, time), unique, so no key is hot;
+    each round is written to the checkpoint folder (lineage cut, restartable).  Rounds: log2(bags).
+    """
+    from eventwatch.config import materialize
+
+    times = rest.select("user_id", "__t").distinct()
+    jump = materialize(_next_times(times, hold_ms))
+    starts = materialize(times.groupBy("user_id").agg(F.min("__t").alias("__t")))
+    n = starts.count()
+    for _ in range(max_rounds):
+        new = (starts.join(jump, ["user_id", "__t"]).filter(F.col("__j").isNotNull())
+               .select("user_id", F.col("__j").alias("__t")))
+        grown = materialize(starts.unionByName(new).distinct())
+        m = grown.count()
+        if m == n:
+            return grown
+        starts, n = grown, m
+        nxt = jump.select("user_id", F.col("__t").alias("__j"), F.col("__j").alias("__j2"))
+        jump = materialize(jump.join(nxt, ["user_id", "__j"], "left")
+                           .select("user_id", "__t", F.col("__j2").alias("__j")))
+    raise RuntimeError("bag chain longer than 2^max_rounds")
+
+
+def assign_bags(rest: DataFrame, starts: DataFrame, hold_ms: int) -> DataFrame:
+    """Each finding's bag open time: the last start <= its time.  Starts are >= one hold apart, so each
+    (user, bucket of one hold) holds at most one start: two equi-joins on (user, bucket) suffice."""
+    b = F.floor(F.col("__t") / F.lit(hold_ms))
+    s = starts.select("user_id", b.alias("__b"), F.col("__t").alias("__s"))
+    same = s.select("user_id", "__b", F.col("__s").alias("__s0"))
+    prev = s.select("user_id", (F.col("__b") + 1).alias("__b"), F.col("__s").alias("__s1"))
+    staged = rest.withColumn("__b", b).join(same, ["user_id", "__b"], "left").join(prev, ["user_id", "__b"], "left")
+    opened = F.when(F.col("__s0") <= F.col("__t"), F.col("__s0")).otherwise(F.col("__s1"))
+    return staged.withColumn("__open", opened).drop("__b", "__s0", "__s1")
+
+
+def held_findings(findings: DataFrame, hold: str = FINDING_HOLD, max_island_rows: int = 1_000_000) -> DataFrame:
     """Add ``emit_ts``: when the finding leaves the user's hold bag (critical ones leave at once).
 
     A bag opens at the first held finding (publish time) and is emitted ``hold`` later with all
     findings that arrived before then; the next finding opens a new bag.  Findings more than
     ``hold`` apart can never share a bag, so users are split into islands at such gaps (skew-safe
-    bucketed gaps-and-islands); islands are hash-partitioned, sorted within partitions and scanned in
-    Arrow batches by ``mapInPandas`` (one Python call per batch, not per group).
+    bucketed gaps-and-islands).  Islands up to ``max_island_rows`` are hash-partitioned, sorted within
+    partitions and scanned in Arrow batches by ``mapInPandas`` (one Python call per batch, not per
+    group).  Larger islands never go to one task: their bag starts come from ``bag_starts_doubling``.
     """
     hold_ms = interval_ms(hold)
     critical, rest = critical_route(findings)
     islands = assign_sessions(rest, ["user_id"], "publish_ts", hold_ms, out="island")
+    from eventwatch.config import materialize
+    sizes = islands.groupBy("user_id", "island").agg(F.count(F.lit(1)).alias("__n"))
+    # Written once: the routing check and both paths read this copy instead of recomputing the islands.
+    sized = materialize(islands.join(sizes, ["user_id", "island"]))
+    small, big = sized.filter(F.col("__n") <= max_island_rows), sized.filter(F.col("__n") > max_island_rows)
     schema = T.StructType([f for f in islands.schema.fields if f.name not in ("__t", "island")]
                           + [T.StructField("__open", T.LongType())])
-    ordered = (islands.repartition("user_id", "island")
+    ordered = (small.drop("__n").repartition("user_id", "island")
                .sortWithinPartitions("user_id", "island", "__t", "message_id", "rule_id"))
-    bagged = (ordered.mapInPandas(_greedy_bags(hold_ms), schema)
-              .withColumn("emit_ts", F.timestamp_millis(F.col("__open") + F.lit(hold_ms))).drop("__open"))
+    scanned = ordered.mapInPandas(_greedy_bags(hold_ms), schema)
+    big_rows = big.drop("__n")
+    if max_island_rows < 0 or not big_rows.isEmpty():
+        doubled = assign_bags(big_rows, bag_starts_doubling(big_rows, hold_ms), hold_ms)
+        scanned = scanned.unionByName(doubled.drop("__t", "island"))
+    bagged = scanned.withColumn("emit_ts", F.timestamp_millis(F.col("__open") + F.lit(hold_ms))).drop("__open")
     return bagged.unionByName(critical.withColumn("emit_ts", F.col("publish_ts")))

@@ -107,3 +107,25 @@ def test_user_branch_is_skew_safe_plan(spark):
     plan = new_host_flags(events(spark, rows), "7 days")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Window [") == 1 and "Aggregate" in plan
     assert dt is not None
+
+
+def test_hold_doubling_path_equals_scan(spark):
+    """Islands over the row limit take the exact pointer-doubling path; it must equal the in-task scan."""
+    from eventwatch.plans.queries import _events
+    from conftest import SF001
+    f = user_findings(_events(spark, SF001), default_user_rules(), "7 days").cache()
+    cols = ["user_id", "rule_id", "message_id", "emit_ts"]
+    scan = held_findings(f, "6 hours").select(cols)
+    doubled = held_findings(f, "6 hours", max_island_rows=0).select(cols)
+    assert scan.count() == doubled.count() == f.count()
+    assert scan.exceptAll(doubled).count() == 0 and doubled.exceptAll(scan).count() == 0
+
+
+def test_hold_doubling_boundaries(spark):
+    hold = 120_000
+    rows = [(payload(dst=f"h{i}", request_ms=t), f"m{i}", t) for i, t in
+            enumerate([0, hold - 1, hold, hold + 5, 3 * hold, 3 * hold + 1, 4 * hold])]
+    f = held_findings(user_findings(events(spark, rows), default_user_rules()), "120 seconds", max_island_rows=0)
+    got = {r.message_id: int(r.emit_ts.timestamp() * 1000) for r in f.collect()}
+    assert got == {"m0": hold, "m1": hold, "m2": 2 * hold, "m3": 2 * hold, "m4": 4 * hold, "m5": 4 * hold,
+                   "m6": 5 * hold}
