@@ -21,3 +21,29 @@ def latest_value(side: DataFrame, value: Column, ts: str) -> Column:
 def with_latest(main: DataFrame, side: DataFrame, value: Column, ts: str, name: str = "side_value") -> DataFrame:
     """Pair every row with the latest side value (the side is reduced to one value first)."""
     return main.withColumn(name, latest_value(side, value, ts))
+
+
+def side_input_stream(spark, side_rate: str = "5 seconds", main_rows_per_second: int = 1):
+    """Streaming form of the latest-side-input pattern.
+
+    Main: ``rate`` ticks summed per 1 s window (windows without ticks give no row).  Side: ticks every
+    ``side_rate`` producing a map {Key_A: HH:mm:ss of the tick}; each micro-batch pairs its sums with
+    the newest side value (a TTL-free re-read of a small side frame inside ``foreachBatch``).
+    Returns (main streaming frame, side streaming frame); wire them with ``pair_with_latest``.
+    """
+    main = (spark.readStream.format("rate").option("rowsPerSecond", main_rows_per_second).load()
+            .withWatermark("timestamp", "0 seconds")
+            .groupBy(F.window("timestamp", "1 second").alias("w")).agg(F.sum("value").alias("sum_value"))
+            .select(F.col("w.start").alias("window_start"), "sum_value"))
+    period_s = float(side_rate.split()[0])
+    side = (spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+            .filter((F.col("value") % F.lit(int(period_s))) == 0)
+            .select("timestamp", F.create_map(F.lit("Key_A"), F.date_format("timestamp", "HH:mm:ss")).alias("side")))
+    return main, side
+
+
+def pair_with_latest(batch: DataFrame, side_snapshot: DataFrame) -> DataFrame:
+    """One micro-batch of sums paired with the newest side map, re-stamped with the wall clock."""
+    latest = side_snapshot.select(F.max_by("side", "timestamp")).scalar()
+    return batch.select(F.lit(1).alias("key"), "sum_value", latest.getItem("Key_A").alias("key_a"),
+                        F.current_timestamp().alias("out_ts"))

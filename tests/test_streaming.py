@@ -124,3 +124,43 @@ def test_streaming_pipeline_persists_all_outputs(spark, scratch):
     seen = sum(p["observedMetrics"]["pipeline_counters"]["elements_seen"] for p in qs[0].recentProgress
                if p.get("observedMetrics", {}).get("pipeline_counters"))
     assert seen == total
+
+
+def test_stop_after_n_messages_on_a_running_query(spark, scratch):
+    """ST8: a listener counts input rows from progress events; the driver stops the query on crossing."""
+    import time
+    from eventwatch.streaming.stop import StopAfter, enforce
+    path = landing(spark, scratch, n_files=3)
+    stream = read_messages(spark, path, "parquet", streaming=True, options={"maxFilesPerTrigger": 1})
+    listener = StopAfter(300, HowToStop.cancel)
+    spark.streams.addListener(listener)
+    try:
+        q = (stream.writeStream.format("noop").option("checkpointLocation", os.path.join(scratch, "ck-stop"))
+             .trigger(processingTime="200 milliseconds").start())
+        listener.watch(q)
+        deadline = time.time() + 120
+        while time.time() < deadline and not enforce(q, listener):
+            time.sleep(0.2)
+        assert listener.instruction is not None and listener.instruction.reason == "read at least 300 messages"
+        assert not q.isActive
+    finally:
+        spark.streams.removeListener(listener)
+
+
+def test_side_input_stream_pairs_sums_with_latest(spark, scratch):
+    import time
+    from eventwatch.operators.side_input import pair_with_latest, side_input_stream
+    main, side = side_input_stream(spark, "2 seconds", 5)
+    sq = side.writeStream.format("memory").queryName("side_snap").start()
+    got = []
+
+    def sink(batch, batch_id):  # every micro-batch is consumed whole (stateful upstream)
+        got.extend(r for r in pair_with_latest(batch, spark.sql("SELECT * FROM side_snap")).collect()
+                   if r.key_a is not None)
+
+    mq = main.writeStream.foreachBatch(sink).option("checkpointLocation", os.path.join(scratch, "ck-side")).start()
+    deadline = time.time() + 60
+    while time.time() < deadline and not got:
+        time.sleep(0.5)
+    mq.stop(); sq.stop()
+    assert got and got[0].key == 1 and got[0].sum_value >= 0
