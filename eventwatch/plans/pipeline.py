@@ -128,5 +128,11 @@ def streaming_processing(inputs: Inputs, options: Options) -> Outputs:
 
     events, dead = canonical_events(inputs, options)
     uf = user_findings_stream(events, inputs.rules, options.hold, options.retention, options.clock)
-    sf = session_findings_stream(events, options.banned_processes, options.session_gap, options.allowed_lateness)
+    if options.late_panes:  # exact: on-time pane, then one pane per late element (new elements only)
+        from eventwatch.streaming.late_panes import pane_findings, session_panes_stream
+        sf = pane_findings(session_panes_stream(events, options.banned_processes, options.session_gap,
+                                                options.allowed_lateness)).drop("pane")
+    else:                   # default: one complete finding per session when the watermark passes it
+        sf = session_findings_stream(events, options.banned_processes, options.session_gap,
+                                     options.allowed_lateness)
     return Outputs(inputs.messages, events, dead, uf, sf, parsed_sources(inputs))

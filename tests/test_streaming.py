@@ -189,3 +189,27 @@ def test_user_stream_processing_clock_emits_after_hold(spark, scratch):
     assert sorted(r.rule_id for r in got) == ["new-destination-host", "new-destination-host", "process-name-rule"]
     # all three held in one bag, emitted together at open + 2 s (wall clock)
     assert len({r.emit_ts for r in got}) == 1
+
+
+def test_late_panes_fire_again_with_only_new_elements(spark, scratch):
+    """W2 exact: on-time pane at the watermark, then a late pane with only the late element."""
+    from helpers import messages as mk, payload as pl
+    from eventwatch.streaming.late_panes import pane_findings, session_panes_stream
+    s, t0 = 1000, 10 ** 9                      # t0: away from the initial watermark (0)
+    landing_dir = os.path.join(scratch, "late_landing")
+    batches = [[(pl(src="A", process="virus1"), "a0", t0), (pl(src="A", process="p"), "a1", t0 + 10 * s),
+                (pl(src="B", process="p"), "b0", t0 + 200 * s)],
+               [(pl(src="A", process="virus1"), "a2", t0 + 20 * s)],
+               [(pl(src="A", process="virus1"), "a3", t0 + 30 * s - 2 * 3600 * s)]]
+    for rows in batches:                       # one file per micro-batch, in order
+        mk(spark, rows).coalesce(1).write.mode("append").parquet(landing_dir)
+    stream = read_messages(spark, landing_dir, "parquet", streaming=True, options={"maxFilesPerTrigger": 1})
+    panes = session_panes_stream(valid_events(parse_messages(stream)), ["virus1"], "60 seconds", "1 hour")
+    run_stream(panes, scratch, "panes")
+    got = sorted((r.source_ip, r.pane, r.n_elements, r.banned, r.session_start_ms - t0, r.session_end_ms - t0)
+                 for r in spark.sql("SELECT * FROM panes").collect())
+    assert ("A", "on_time", 2, "virus1", 0, 70 * s) in got
+    assert ("A", "late", 1, "virus1", 0, 80 * s) in got          # merged window grew to 20 s + 60 s
+    assert not any(r[4] < 0 for r in got)                         # beyond the lateness: dropped
+    f = pane_findings(spark.sql("SELECT * FROM panes")).filter("source_ip = 'A'").collect()
+    assert sorted(r.description for r in f) == ["Found banned processes: virus1"] * 2
