@@ -93,3 +93,17 @@ def export_raw(messages: DataFrame, path: str, one_file_per_window: bool = False
               else staged.repartitionByRange("publish_ts"))
     (staged.drop("publish_ts").write.mode("append")
      .partitionBy("eventDate", "eventHour", "eventMinute").text(path))
+
+
+def ingest_findings(topic_values: DataFrame, types: tuple[str, ...] = ("source-ip-finding",)) -> DataFrame:
+    """Findings topic → ``findings`` table rows (static or streaming).
+
+    User findings are also written directly to the table, so by default only source-address findings are
+    ingested from the topic (both ways would duplicate them).
+    """
+    from eventwatch.schema import FINDING_JSON
+    from eventwatch.config import ISO_MILLIS
+    r = F.from_json("value", FINDING_JSON)
+    rows = topic_values.select(r.alias("r")).select("r.*").filter(F.col("type").isin(list(types)))
+    return rows.select(F.to_timestamp("request_ts", ISO_MILLIS).alias("request_ts"), "type", "source_ip", "user_id",
+                       "level", "description")
