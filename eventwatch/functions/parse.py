@@ -208,7 +208,8 @@ def parse_messages(messages: DataFrame, converters: dict | None = None,
     reason = (F.when(~F.col("__json"), F.lit(PARSE_PREFIX + PARSE_MESSAGE))
               .when(~F.col("__obj"), F.lit(INVALID_PREFIX + NOT_OBJECT))
               .when(err.isNotNull(), F.concat(F.lit(INVALID_PREFIX), err)))
-    with_reason = converted.select("*", reason.alias("failure_reason")).drop(v)
+    # Bound too: filters on outputs (valid split, user_id IS NOT NULL) must not inline the reason tree.
+    with_reason = bind(converted, reason.alias("failure_reason")).drop(v)
     ok = F.col("failure_reason").isNull()
     extra = [c for c in messages.columns if c not in ("message_id", "publish_ts") and c not in keep]
     types = {f.name: f.dataType for f in event_struct_type().fields}

@@ -14,7 +14,9 @@ SF01 = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from eventwatch.config import get_spark
-    s = get_spark("eventwatch-tests", cores="*", shuffle_partitions=8)
+    # No silent fallback to interpreted execution: a stage whose generated code cannot compile fails.
+    s = get_spark("eventwatch-tests", cores="*", shuffle_partitions=8,
+                  extra={"spark.sql.codegen.fallback": "false"})
     if not s.sparkContext.getCheckpointDir() and not s.conf.get("spark.checkpoint.dir", None):
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ew-test-ckpt-"))
     yield s
