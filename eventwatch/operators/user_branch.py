@@ -219,19 +219,20 @@ def held_findings(findings: DataFrame, hold: str = FINDING_HOLD, max_island_rows
     """
     hold_ms = interval_ms(hold)
     critical, rest = critical_route(findings)
-    islands = assign_sessions(rest, ["user_id"], "publish_ts", hold_ms, out="island")
     from eventwatch.config import materialize
-    sizes = islands.groupBy("user_id", "island").agg(F.count(F.lit(1)).alias("__n"))
-    # Written once: the routing check and both paths read this copy instead of recomputing the islands.
-    sized = materialize(islands.join(sizes, ["user_id", "island"]))
-    small, big = sized.filter(F.col("__n") <= max_island_rows), sized.filter(F.col("__n") > max_island_rows)
+    # Written once: the size check and both paths read this copy instead of recomputing the islands.
+    islands = materialize(assign_sessions(rest, ["user_id"], "publish_ts", hold_ms, out="island"))
+    big_keys = (islands.groupBy("user_id", "island").agg(F.count(F.lit(1)).alias("__n"))
+                .filter(F.col("__n") > max_island_rows).select("user_id", "island"))
     schema = T.StructType([f for f in islands.schema.fields if f.name not in ("__t", "island")]
                           + [T.StructField("__open", T.LongType())])
-    ordered = (small.drop("__n").repartition("user_id", "island")
+    has_big = not big_keys.isEmpty()
+    small = islands.join(big_keys, ["user_id", "island"], "left_anti") if has_big else islands
+    ordered = (small.repartition("user_id", "island")
                .sortWithinPartitions("user_id", "island", "__t", "message_id", "rule_id"))
     scanned = ordered.mapInPandas(_greedy_bags(hold_ms), schema)
-    big_rows = big.drop("__n")
-    if max_island_rows < 0 or not big_rows.isEmpty():
+    if has_big:
+        big_rows = islands.join(big_keys, ["user_id", "island"], "left_semi")
         doubled = assign_bags(big_rows, bag_starts_doubling(big_rows, hold_ms), hold_ms)
         scanned = scanned.unionByName(doubled.drop("__t", "island"))
     bagged = scanned.withColumn("emit_ts", F.timestamp_millis(F.col("__open") + F.lit(hold_ms))).drop("__open")
