@@ -72,11 +72,12 @@ def write_topic(json_values: DataFrame, target: str, fmt: str = "json", batch_id
     if fmt == "kafka":
         json_values.write.format("kafka").option("topic", target).save()
         return
-    out = json_values if batch_id is None else json_values.withColumn("batch_id", F.lit(batch_id))
-    writer = out.write.mode("overwrite" if batch_id is not None else "append")
-    if batch_id is not None:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
-    writer.text(target) if batch_id is None else writer.json(target)
+    if batch_id is None:
+        json_values.select("value").write.mode("append").text(target)
+        return
+    # One directory per micro-batch (batch_id=N), replaced on retry: JSON lines, exactly once per batch.
+    (json_values.select("value", F.lit(batch_id).alias("batch_id")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").text(target))
 
 
 def export_raw(messages: DataFrame, path: str, one_file_per_window: bool = False) -> None:

@@ -119,7 +119,11 @@ def test_streaming_pipeline_persists_all_outputs(spark, scratch):
     want = held_findings(user_findings(valid_events(parse_messages(messages_from_events(spark, SF001))),
                                        default_user_rules(), "7 days"), "6 hours")
     assert uf.count() == want.count()
-    assert spark.read.json(os.path.join(opts.findings_topic, "source")).count() > 0
+    from eventwatch.sinks.tables import ingest_findings
+    topic_rows = ingest_findings(spark.read.text(os.path.join(opts.findings_topic, "source")).select("value"))
+    want_src = source_ip_findings(valid_events(parse_messages(messages_from_events(spark, SF001))), ["virus1"],
+                                  "30 minutes")
+    assert topic_rows.count() == want_src.count() > 0
     assert spark.read.text(os.path.join(opts.export_dir, "data")).count() > 0
     seen = sum(p["observedMetrics"]["pipeline_counters"]["elements_seen"] for p in qs[0].recentProgress
                if p.get("observedMetrics", {}).get("pipeline_counters"))
