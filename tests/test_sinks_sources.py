@@ -62,3 +62,11 @@ def test_union_keeps_identical_messages(spark):
     assert ev.count() == 2 and dead.count() == 0
     ev, dead = canonical_events(Inputs(a, b), Options(keep_all_dead_letters=True))
     assert dead.count() == 1
+
+
+def test_cli_options():
+    from eventwatch.__main__ import parse_args
+    opts, a = parse_args(["--source", "in", "--output-dir", "out", "--banned", "virus1,virus2", "--max-messages",
+                          "25", "--stop", "drain", "--late-panes"])
+    assert opts.banned_processes == ("virus1", "virus2") and opts.max_messages == 25 and opts.late_panes
+    assert a.stop == "drain" and opts.session_gap == "60 seconds" and opts.hold == "120 seconds"
