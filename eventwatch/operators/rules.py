@@ -46,6 +46,22 @@ def process_name_rule(pattern: str = PROCESS_RULE_PATTERN, level: str = "severe"
                     lambda: F.concat(F.lit(PROCESS_DESCRIPTION), F.col("process_name")), "process_contains", pattern)
 
 
+@dataclass(frozen=True)
+class PandasUserRule:
+    """Escape hatch for rules Column expressions cannot state: ``fn(batch) -> (hit, description)``.
+
+    ``batch`` is a pandas DataFrame of enriched events (request_ts, user_id, src_ip, dst_ip, dst_port,
+    process_name, bytes_sent, bytes_received, newly_accessed_host, publish_ts, message_id); ``hit`` is a
+    boolean Series and ``description`` a string Series of the same length.  Runs in Arrow batches
+    (``mapInPandas``) in batch mode and inside the per-user processor in stream mode.
+    """
+    rule_id: str
+    level: str
+    fn: Callable
+    kind: str = "pandas"
+    pattern: str | None = None
+
+
 def default_user_rules() -> list[UserRule]:
     return [new_destination_host_rule(), process_name_rule()]
 

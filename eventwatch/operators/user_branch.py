@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventwatch.config import FINDING_HOLD
-from eventwatch.operators.rules import UserRule, apply_user_rules, default_user_rules
+from eventwatch.operators.rules import PandasUserRule, UserRule, apply_user_rules, default_user_rules
 from eventwatch.operators.sessions import assign_sessions, interval_ms
 
 EVENT_KEY = ["user_id", "dst_ip", "publish_ts", "message_id"]
@@ -78,13 +78,45 @@ def user_findings(events: DataFrame, rules: list[UserRule] | None = None, retent
                   profiles: DataFrame | None = None) -> DataFrame:
     """Every finding the rules raise on every user event (before holding)."""
     rules = default_user_rules() if rules is None else rules
-    if any(r.kind != "process_contains" for r in rules):
+    pandas_rules = [r for r in rules if isinstance(r, PandasUserRule)]
+    rules = [r for r in rules if not isinstance(r, PandasUserRule)]
+    if any(r.kind != "process_contains" for r in rules) or pandas_rules:
         context = new_host_flags(events, retention)
     else:  # no rule reads the remembered hosts: skip that state entirely
         context = user_events(events).withColumn("newly_accessed_host", F.lit(False))
     if profiles is not None:
         context = with_profile(context, profiles)
-    return apply_user_rules(context, rules)
+    out = apply_user_rules(context, rules)
+    for r in pandas_rules:
+        out = out.unionByName(apply_pandas_rule(context, r))
+    return out
+
+
+FINDING_SCHEMA = T.StructType([
+    T.StructField("request_ts", T.TimestampType()), T.StructField("user_id", T.StringType()),
+    T.StructField("source_ip", T.StringType()), T.StructField("level", T.StringType()),
+    T.StructField("rule_id", T.StringType()), T.StructField("description", T.StringType()),
+    T.StructField("publish_ts", T.TimestampType()), T.StructField("message_id", T.StringType())])
+
+
+def _pandas_rule_runner(rule_id: str, level: str, fn):
+    def run(batches):
+        for pdf in batches:
+            hit, text = fn(pdf)
+            hit = hit.fillna(False).astype(bool).to_numpy()
+            sel = pdf[hit]
+            yield pd.DataFrame({"request_ts": sel["request_ts"], "user_id": sel["user_id"],
+                                "source_ip": sel["src_ip"], "level": level, "rule_id": rule_id,
+                                "description": pd.Series(text)[hit].astype(str).to_numpy(),
+                                "publish_ts": sel["publish_ts"], "message_id": sel["message_id"]})
+    return run
+
+
+def apply_pandas_rule(context: DataFrame, rule: PandasUserRule) -> DataFrame:
+    """Findings of a pandas rule: no shuffle, one Python call per Arrow batch."""
+    cols = ["request_ts", "user_id", "src_ip", "dst_ip", "dst_port", "process_name", "bytes_sent", "bytes_received",
+            "newly_accessed_host", "publish_ts", "message_id"]
+    return context.select(*cols).mapInPandas(_pandas_rule_runner(rule.rule_id, rule.level, rule.fn), FINDING_SCHEMA)
 
 
 def critical_route(findings: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -154,7 +154,7 @@ def q_user_profile(spark, sf):
     ev = _events_once(spark, sf)
     profiles = lookup.derive_user_profiles(ev)
     return (with_profile(user_events(ev), profiles).groupBy("user_id")
-            .agg(F.first("profile_status").alias("profile_status"), F.count(F.lit(1)).alias("n_events")))
+            .agg(F.max("profile_status").alias("profile_status"), F.count(F.lit(1)).alias("n_events")))
 
 
 def q_held_findings(spark, sf):

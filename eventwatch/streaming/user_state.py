@@ -33,12 +33,12 @@ COLUMNS = ["request_ms", "user_id", "source_ip", "level", "rule_id", "descriptio
            "emit_ms"]
 
 
-def stream_rules(rules: list[UserRule]) -> list[tuple[str, str, str, str | None]]:
+def stream_rules(rules: list) -> list[tuple]:
     out = []
     for r in rules:
-        if r.kind not in ("new_host", "process_contains"):
+        if r.kind not in ("new_host", "process_contains", "pandas"):
             raise ValueError(f"rule {r.rule_id} has no stream form (kind {r.kind!r})")
-        out.append((r.rule_id, r.level, r.kind, r.pattern))
+        out.append((r.rule_id, r.level, r.kind, r.fn if r.kind == "pandas" else r.pattern))
     return out
 
 
@@ -105,6 +105,12 @@ class UserEventProcessor(StatefulProcessor):
             for rule_id, level, kind, pattern in self.rules:
                 if kind == "new_host":
                     hit, text = new_host, NEW_HOST_DESCRIPTION + str(r.dst_ip)
+                elif kind == "pandas":
+                    one = pd.DataFrame([r._asdict()]).assign(
+                        newly_accessed_host=new_host, request_ts=pd.to_datetime(req, unit="ms"),
+                        publish_ts=pd.to_datetime(int(r.publish_ms), unit="ms"))
+                    h, d = pattern(one)
+                    hit, text = bool(h.fillna(False).iloc[0]), str(pd.Series(d).iloc[0])
                 else:
                     name = r.process_name if isinstance(r.process_name, str) else None
                     hit, text = (name is not None and pattern in name), PROCESS_DESCRIPTION + str(name)
@@ -145,8 +151,9 @@ def user_findings_stream(events: DataFrame, rules: list[UserRule] | None = None,
     ev = events.filter(F.col("user_id").isNotNull())
     if clock == "event":
         ev = ev.withWatermark("publish_ts", watermark)
-    inp = ev.select("user_id", F.col("src_ip"), "dst_ip", "process_name", "message_id", "publish_ts",
-                    F.unix_millis("publish_ts").alias("publish_ms"), F.unix_millis("request_ts").alias("request_ms"))
+    inp = ev.select("user_id", F.col("src_ip"), "dst_ip", "dst_port", "process_name", "bytes_sent", "bytes_received",
+                    "message_id", "publish_ts", F.unix_millis("publish_ts").alias("publish_ms"),
+                    F.unix_millis("request_ts").alias("request_ms"))
     out = inp.groupBy("user_id").transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=OUTPUT, outputMode="Append",
         timeMode="EventTime" if clock == "event" else "ProcessingTime")

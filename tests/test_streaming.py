@@ -277,3 +277,26 @@ def test_line_replay_feeds_a_landing_directory(spark, scratch):
     back = read_messages(spark, os.path.join(scratch, "replay"), "parquet", streaming=False)
     p = parse_messages(back)
     assert p.count() == 2 and valid_events(p).count() == 1
+
+
+def test_pandas_rule_stream_equals_batch(spark, scratch):
+    from helpers import messages as mk, payload as pl
+    from eventwatch.operators.rules import PandasUserRule
+
+    def big_upload(pdf):
+        return pdf["bytes_sent"] > 3 * pdf["bytes_received"], "Large upload: " + pdf["bytes_sent"].astype(str)
+
+    rules = [PandasUserRule("big-upload", "severe", big_upload)]
+    t0 = 10 ** 12
+    rows = [(pl(sent=1000, received=10), "1", t0), (pl(sent=10, received=1000), "2", t0 + 1),
+            (pl(sent=900, received=1, user="user2"), "3", t0 + 2),
+            (pl(user="~sentinel", request_ms=0), "~s", 4102444800000)]
+    path = os.path.join(scratch, "prule")
+    mk(spark, rows).write.parquet(path)
+    stream = read_messages(spark, path, "parquet", streaming=True)
+    run_stream(user_findings_stream(valid_events(parse_messages(stream)), rules, "6 hours", "7 days"),
+               scratch, "prule_out")
+    got = spark.sql("SELECT message_id, description, emit_ts FROM prule_out").filter("message_id <> '~s'")
+    want = held_findings(user_findings(valid_events(parse_messages(mk(spark, rows[:3]))), rules), "6 hours")
+    assert got.count() == 2
+    assert got.exceptAll(want.select("message_id", "description", "emit_ts")).count() == 0

@@ -129,3 +129,17 @@ def test_hold_doubling_boundaries(spark):
     got = {r.message_id: int(r.emit_ts.timestamp() * 1000) for r in f.collect()}
     assert got == {"m0": hold, "m1": hold, "m2": 2 * hold, "m3": 2 * hold, "m4": 4 * hold, "m5": 4 * hold,
                    "m6": 5 * hold}
+
+
+def test_pandas_rule_escape_hatch(spark):
+    """a rule Column expressions cannot state, run in Arrow batches; same findings as its Column twin."""
+    from eventwatch.operators.rules import PandasUserRule
+
+    def big_upload(pdf):
+        hit = pdf["bytes_sent"] > 3 * pdf["bytes_received"]
+        return hit, "Large upload: " + pdf["bytes_sent"].astype(str)
+
+    rows = [(payload(sent=1000, received=10), "1", 0), (payload(sent=10, received=1000), "2", 1)]
+    f = user_findings(events(spark, rows), [PandasUserRule("big-upload", "severe", big_upload)]).collect()
+    assert [(r.message_id, r.rule_id, r.level, r.description, r.source_ip) for r in f] == [
+        ("1", "big-upload", "severe", "Large upload: 1000", "1.1.1.1")]
