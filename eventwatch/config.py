@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -86,13 +87,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the reliable checkpoint folder and continue from the written copy.
+    """Write ``df`` once as a parquet table in the shared checkpoint folder and continue from it.
 
-    Used where one parsed input feeds several branches: the JSON is parsed once, lineage is cut, and a
-    lost executor re-reads the written files instead of recomputing the parse.
+    Used where one parsed input feeds several branches: the JSON is parsed once, lineage is cut, a lost
+    executor re-reads the written files instead of recomputing the parse, and each branch reads only the
+    columns it needs (columnar, compressed; filters push down into the scan).
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    base = checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/eventwatch-tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def get_spark(app: str = "eventwatch", cores: str | int = "*", shuffle_partitions: int | None = None,
