@@ -12,8 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventwatch.config import (REPLAY_BANNED, REPLAY_HOLD, REPLAY_RETENTION, REPLAY_SESSION_GAP,
-                               SOURCE_FINDING_TYPE, USER_FINDING_TYPE, ensure_utc, materialize)
+from eventwatch.config import (REPLAY_BANNED, REPLAY_HOLD, REPLAY_RETENTION, REPLAY_SESSION_GAP, ensure_utc,
+                               materialize)
 from eventwatch.functions import formats
 from eventwatch.functions.parse import dead_letters, parse_messages, payload_text, payload_type, valid_events
 from eventwatch.operators import lookup, metrics, side_input, threshold

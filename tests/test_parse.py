@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from eventwatch.functions.parse import dead_letters, parse_messages, valid_events
 from helpers import messages, payload
 
@@ -98,4 +96,3 @@ def test_parse_is_one_pass_without_shuffle(spark):
     p = parse_messages(messages(spark, [(payload(), "m", 0)]))
     plan = p._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "PythonUDF" not in plan and "BatchEvalPython" not in plan
-    assert F is not None
