@@ -300,3 +300,19 @@ def test_pandas_rule_stream_equals_batch(spark, scratch):
     want = held_findings(user_findings(valid_events(parse_messages(mk(spark, rows[:3]))), rules), "6 hours")
     assert got.count() == 2
     assert got.exceptAll(want.select("message_id", "description", "emit_ts")).count() == 0
+
+
+def test_late_pane_option_equals_batch_without_late_data(spark, scratch):
+    """late_panes=True through streaming_processing: in-order data gives one on-time pane per session."""
+    from eventwatch.config import Options
+    from eventwatch.plans.pipeline import Inputs, streaming_processing
+    path = landing(spark, scratch)
+    stream = read_messages(spark, path, "parquet", streaming=True, options={"maxFilesPerTrigger": 1})
+    opts = Options(banned_processes=("virus1",), session_gap="30 minutes", allowed_lateness="1 hour",
+                   late_panes=True, clock="event")
+    run_stream(streaming_processing(Inputs(stream), opts).source_ip_findings, scratch, "sf_panes")
+    got = spark.sql("SELECT * FROM sf_panes").filter(F.col("source_ip") != "s")
+    want = source_ip_findings(valid_events(parse_messages(messages_from_events(spark, SF001))), ["virus1"],
+                              "30 minutes")
+    assert got.count() == want.count() > 0
+    assert got.exceptAll(want.select(got.columns)).count() == 0
