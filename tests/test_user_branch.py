@@ -13,7 +13,7 @@ def events(spark, rows):
     return valid_events(parse_messages(messages(spark, rows)))
 
 
-def test_pubsub_flow(spark):
+def test_message_flow_end_to_end(spark):
     """1 junk + 2 valid messages of one user → 2 events, 1 dead letter, 2 new-host warnings from 1.1.1.1."""
     rows = [("junk", "j", 0),
             (payload("1.1.1.1", "2.2.2.2", 80, 20, 30, "process1", "user1", 0), "a", 1000),
