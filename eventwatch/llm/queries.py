@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventwatch.config import ensure_utc
-from eventwatch.llm import simhash
+from eventwatch.llm import decontam, langid, simhash
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -18,5 +18,23 @@ def op9_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return got.select("doc_id", simhash.hex_fingerprint("fingerprint").alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op9_simhash": op9_simhash}
+def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    """Benchmark decontamination: hit words and items of every document."""
+    got = decontam.with_hits(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark"))
+    n = decontam.n_hit()
+    return got.select("doc_id", F.col("hits.n_words").alias("n_words"), n.alias("n_hit"),
+                      F.size("hits.items").cast("bigint").alias("n_items"), decontam.digest("hits.items").alias("items_sha256"),
+                      (n > 0).alias("contaminated"))
+
+
+def op10_language(spark: SparkSession, sf: str) -> DataFrame:
+    """Language of every document, learned from the documents that are not held out."""
+    docs = table(spark, sf, "documents")
+    model = langid.fit_on_training_rows(docs)
+    got = langid.with_language(docs.select("doc_id", "text"), model)
+    return got.select("doc_id", langid.held_out().alias("held_out"), F.col("language.lang").alias("lang_pred"),
+                      F.col("language.score").alias("score"))
+
+
+QUERIES = {"op6_decontamination": op6_decontamination, "op9_simhash": op9_simhash, "op10_language": op10_language}
 ORACLES: dict[str, str] = {}
