@@ -1,10 +1,11 @@
 """The registered queries of the ten operators: thin projections of their results."""
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventwatch.config import ensure_utc
-from eventwatch.llm import decontam, langid, simhash
+from eventwatch.llm import bpe, decontam, langid, simhash
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -18,6 +19,13 @@ def op9_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return got.select("doc_id", simhash.hex_fingerprint("fingerprint").alias("fingerprint"), "component_id")
 
 
+def op1_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    """Byte-level BPE of every document, and the round trip back to bytes."""
+    got = bpe.with_token_digest(table(spark, sf, "documents").select("doc_id", "text"),
+                                public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return got.select("doc_id", "bpe.n_tokens", "bpe.ids_sha256", "bpe.decoded_sha256")
+
+
 def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     """Benchmark decontamination: hit words and items of every document."""
     got = decontam.with_hits(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark"))
@@ -36,5 +44,5 @@ def op10_language(spark: SparkSession, sf: str) -> DataFrame:
                       F.col("language.score").alias("score"))
 
 
-QUERIES = {"op6_decontamination": op6_decontamination, "op9_simhash": op9_simhash, "op10_language": op10_language}
+QUERIES = {"op1_bpe": op1_bpe, "op6_decontamination": op6_decontamination, "op9_simhash": op9_simhash, "op10_language": op10_language}
 ORACLES: dict[str, str] = {}
