@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventwatch.config import ensure_utc
-from eventwatch.llm import bpe, decontam, langid, simhash
+from eventwatch.llm import bpe, decontam, langid, licenses, simhash
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -13,6 +13,18 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
 
+def op8_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    """License detections of every document; places of the base phrases."""
+    got = licenses.with_licenses(table(spark, sf, "documents").select("doc_id", "text"))
+    c = F.col("licenses")
+    base = c["base"]["label"]
+    return got.select("doc_id", c["n_words"].alias("n_words"), F.size(c["base"]).cast("bigint").alias("n_base"),
+                      F.array_min(c["base"]["start"]).alias("first_word"), F.array_max(c["base"]["start"]).alias("last_word"),
+                      licenses.joined(base).alias("base_labels"),
+                      licenses.joined(F.concat(base, c["detections"]["label"])).alias("labels"),
+                      F.coalesce(F.array_max(c["detections"]["score"]), F.lit(0.0)).alias("score"))
+
+
 def op9_simhash(spark: SparkSession, sf: str) -> DataFrame:
     """SimHash near-duplicates: fingerprint and component of every document."""
     got = simhash.near_duplicates(table(spark, sf, "documents"), keep=["doc_id"])
@@ -44,5 +56,5 @@ def op10_language(spark: SparkSession, sf: str) -> DataFrame:
                       F.col("language.score").alias("score"))
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op6_decontamination": op6_decontamination, "op9_simhash": op9_simhash, "op10_language": op10_language}
+QUERIES = {"op1_bpe": op1_bpe, "op6_decontamination": op6_decontamination, "op8_licenses": op8_licenses, "op9_simhash": op9_simhash, "op10_language": op10_language}
 ORACLES: dict[str, str] = {}
