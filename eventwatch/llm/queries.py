@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventwatch.config import ensure_utc
-from eventwatch.llm import bpe, decontam, langid, licenses, simhash
+from eventwatch.llm import bpe, chat, decontam, langid, licenses, lines, simhash
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -38,6 +38,28 @@ def op1_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return got.select("doc_id", "bpe.n_tokens", "bpe.ids_sha256", "bpe.decoded_sha256")
 
 
+def op2_chat(spark: SparkSession, sf: str) -> DataFrame:
+    """Chat formatting of every conversation and of one with control strings in its texts; all read back."""
+    probe = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-1, 0, "user", probe), (-1, 1, "assistant", probe)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    got = chat.format_chat(turns.withColumn("parts", chat.text_part(F.col("text"))))
+    read = F.array_join(F.transform(chat.read_turns(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = chat.read_loss(F.col("formatted"), F.col("loss"))
+    sha = lambda c: F.sha2(c.cast("binary"), 256)
+    return got.select("conv_id", F.size(chat.read_turns(F.col("formatted"))).cast("bigint").alias("n_turns"), sha(read).alias("turns_sha256"),
+                      F.length(loss).cast("bigint").alias("loss_chars"), sha(loss).alias("loss_sha256"),
+                      F.length("formatted").cast("bigint").alias("formatted_chars"))
+
+
+def op4_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Line dedup: lines of every document, those cut as cross-site boilerplate, and what is left."""
+    got = lines.with_kept_lines(table(spark, sf, "documents").select("doc_id", "text", "source"))
+    c = F.col("lines")
+    return got.select("doc_id", c["n_lines"].alias("n_lines"), c["n_removed"].alias("n_removed"),
+                      F.sha2(F.coalesce(c["kept"], F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
 def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     """Benchmark decontamination: hit words and items of every document."""
     got = decontam.with_hits(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark"))
@@ -56,5 +78,6 @@ def op10_language(spark: SparkSession, sf: str) -> DataFrame:
                       F.col("language.score").alias("score"))
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op6_decontamination": op6_decontamination, "op8_licenses": op8_licenses, "op9_simhash": op9_simhash, "op10_language": op10_language}
-ORACLES: dict[str, str] = {}
+QUERIES = {"op1_bpe": op1_bpe, "op2_chat": op2_chat, "op4_lines": op4_lines,
+           "op6_decontamination": op6_decontamination, "op8_licenses": op8_licenses, "op9_simhash": op9_simhash, "op10_language": op10_language}
+ORACLES: dict[str, str] = {"op2_chat": chat.ORACLE, "op4_lines": lines.ORACLE}
