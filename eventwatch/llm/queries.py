@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventwatch.config import ensure_utc
-from eventwatch.llm import bpe, chat, decontam, langid, licenses, lines, simhash
+from eventwatch.llm import bpe, chat, decontam, langid, licenses, lines, omh, simhash
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -52,6 +52,15 @@ def op2_chat(spark: SparkSession, sf: str) -> DataFrame:
                       F.length("formatted").cast("bigint").alias("formatted_chars"))
 
 
+def op3_order_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    """Order MinHash of every document and of its edited text; likeness to the edited text and the next document."""
+    got = omh.with_neighbours(table(spark, sf, "documents"))
+    f = F.col("fingerprint")
+    return got.select(F.col("id").alias("doc_id"), F.length("text").cast("bigint").alias("n_chars"),
+                      F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), f, "edited_fingerprint",
+                      omh.likeness(f, F.col("edited_fingerprint")).alias("near_edited"), omh.likeness(f, F.col("next_fingerprint")).alias("near_next"))
+
+
 def op4_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Line dedup: lines of every document, those cut as cross-site boilerplate, and what is left."""
     got = lines.with_kept_lines(table(spark, sf, "documents").select("doc_id", "text", "source"))
@@ -78,6 +87,6 @@ def op10_language(spark: SparkSession, sf: str) -> DataFrame:
                       F.col("language.score").alias("score"))
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op2_chat": op2_chat, "op4_lines": op4_lines,
+QUERIES = {"op1_bpe": op1_bpe, "op2_chat": op2_chat, "op3_order_minhash": op3_order_minhash, "op4_lines": op4_lines,
            "op6_decontamination": op6_decontamination, "op8_licenses": op8_licenses, "op9_simhash": op9_simhash, "op10_language": op10_language}
 ORACLES: dict[str, str] = {"op2_chat": chat.ORACLE, "op4_lines": lines.ORACLE}
