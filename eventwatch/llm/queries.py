@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventwatch.config import ensure_utc
-from eventwatch.llm import bpe, chat, decontam, langid, licenses, lines, omh, simhash
+from eventwatch.llm import bpe, chat, decontam, langid, licenses, lines, omh, simhash, toxicity
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -69,6 +69,15 @@ def op4_lines(spark: SparkSession, sf: str) -> DataFrame:
                       F.sha2(F.coalesce(c["kept"], F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+def op5_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """Toxicity of every document, learned from the documents and labels that are not held out."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs.where(~toxicity.held_out()), table(spark, sf, "labels"))
+    got = toxicity.with_score(docs, model, out="score")
+    return got.select("doc_id", toxicity.held_out().alias("held_out"), "score",
+                      F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted"))
+
+
 def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     """Benchmark decontamination: hit words and items of every document."""
     got = decontam.with_hits(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark"))
@@ -88,5 +97,5 @@ def op10_language(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {"op1_bpe": op1_bpe, "op2_chat": op2_chat, "op3_order_minhash": op3_order_minhash, "op4_lines": op4_lines,
-           "op6_decontamination": op6_decontamination, "op8_licenses": op8_licenses, "op9_simhash": op9_simhash, "op10_language": op10_language}
+           "op5_toxicity": op5_toxicity, "op6_decontamination": op6_decontamination, "op8_licenses": op8_licenses, "op9_simhash": op9_simhash, "op10_language": op10_language}
 ORACLES: dict[str, str] = {"op2_chat": chat.ORACLE, "op4_lines": lines.ORACLE}
