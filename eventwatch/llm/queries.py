@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventwatch.config import ensure_utc
-from eventwatch.llm import bpe, chat, decontam, langid, licenses, lines, omh, simhash, toxicity
+from eventwatch.llm import bpe, chat, decontam, langid, licenses, lines, omh, simhash, suffix, toxicity
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -13,6 +13,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
 
+def op7_suffix_array(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact substring dedup: what goes and what stays of every document."""
+    got = suffix.without_repeats(table(spark, sf, "documents").select("doc_id", "text"), kept=False)
+    return got.select("doc_id", *(F.col("rest")[c].alias(c) for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256")))
+
+
 def op8_licenses(spark: SparkSession, sf: str) -> DataFrame:
     """License detections of every document; places of the base phrases."""
     got = licenses.with_licenses(table(spark, sf, "documents").select("doc_id", "text"))
@@ -97,5 +103,5 @@ def op10_language(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {"op1_bpe": op1_bpe, "op2_chat": op2_chat, "op3_order_minhash": op3_order_minhash, "op4_lines": op4_lines,
-           "op5_toxicity": op5_toxicity, "op6_decontamination": op6_decontamination, "op8_licenses": op8_licenses, "op9_simhash": op9_simhash, "op10_language": op10_language}
+           "op5_toxicity": op5_toxicity, "op6_decontamination": op6_decontamination, "op7_suffix_array": op7_suffix_array, "op8_licenses": op8_licenses, "op9_simhash": op9_simhash, "op10_language": op10_language}
 ORACLES: dict[str, str] = {"op2_chat": chat.ORACLE, "op4_lines": lines.ORACLE}
