@@ -130,7 +130,8 @@ class Automaton:
                             if runs and runs[-1][1] >= end - most:
                                 runs[-1] = (min(runs[-1][0], end - most), end)
                                 while len(runs) > 1 and runs[-2][1] >= runs[-1][0]:
-                                    runs[-2] = (min(runs[-2][0], runs[-1][0]), runs.pop()[1])
+                                    start, _ = runs.pop()
+                                    runs[-1] = (min(runs[-1][0], start), end)
                             else:
                                 runs.append((end - most, end))
             if ids and ids[-1] is None:
@@ -306,3 +307,24 @@ def brute_force(text: str | None, items: list[tuple[int, str | None]], window: i
 
 def items_sha256(items: list[int]) -> str:
     return hashlib.sha256(",".join(sorted(map(str, items))).encode()).hexdigest()
+
+
+_SQL_WORDS = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+              r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+#: The result of query op6 in DuckDB.
+ORACLE = f"""
+WITH i AS (SELECT item_id, {_SQL_WORDS} AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(len(w), {WINDOW}) AS n, array_to_string(w[j:j + least(len(w), {WINDOW}) - 1], ' ') AS g
+        FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), {WINDOW}) + 2)) AS j FROM i WHERE len(w) > 0)),
+d AS (SELECT row_number() OVER () AS r, doc_id, {_SQL_WORDS} AS w FROM documents),
+g AS (SELECT r, n, j, array_to_string(w[j:j + n - 1], ' ') AS g
+      FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS j FROM d JOIN (SELECT DISTINCT n FROM win) ON len(w) >= n)),
+hit AS (SELECT r, j, n, item_id FROM g JOIN win USING (n, g)),
+places AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(j, j + n)) AS p FROM (SELECT DISTINCT r, j, n FROM hit)) GROUP BY r),
+items AS (SELECT r, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+          FROM (SELECT DISTINCT r, item_id FROM hit WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN places USING (r) LEFT JOIN items USING (r)
+"""

@@ -104,4 +104,4 @@ def op10_language(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {"op1_bpe": op1_bpe, "op2_chat": op2_chat, "op3_order_minhash": op3_order_minhash, "op4_lines": op4_lines,
            "op5_toxicity": op5_toxicity, "op6_decontamination": op6_decontamination, "op7_suffix_array": op7_suffix_array, "op8_licenses": op8_licenses, "op9_simhash": op9_simhash, "op10_language": op10_language}
-ORACLES: dict[str, str] = {"op2_chat": chat.ORACLE, "op4_lines": lines.ORACLE}
+ORACLES: dict[str, str] = {"op2_chat": chat.ORACLE, "op4_lines": lines.ORACLE, "op6_decontamination": decontam.ORACLE}

@@ -14,7 +14,7 @@
    without one weigh less. Its probability is the score.
 
 Defined cases: null and empty texts score as texts without any cue; missing, null or contradictory labels (the larger
-counts) are fine; without labelled rows the hand-written lists decide alone; repeated rows keep their rows.
+counts) are fine; without labelled rows the hand-written lists decide alone, without any rows with fixed weights; repeated rows keep their rows.
 """
 
 import re
@@ -276,6 +276,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     prior = float(np.clip(n.get(1, 0) / max(sum(n.values()), 1) if n else 0.1, 0.005, 0.5))
     model = Model(list(every), [*every.values(), *(place[p] for p in PATTERNS)], names, prior)
     size = rows.count()
+    if not size:  # nothing to learn from
+        model.weight = np.array([3.0 * (names[v] in LISTS or names[v] in PATTERNS) for v in model.voter])
+        model.bias = float(np.log(prior / (1 - prior)))
+        return model
     some = _drawn(rows, "id", SAMPLE, size)
     fit_label_model(model, *_moments(some, model))
     shared = rows.sparkSession.sparkContext.broadcast(model)
