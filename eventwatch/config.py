@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 from dataclasses import dataclass, field
@@ -74,48 +76,94 @@ def ensure_utc(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the cluster; a scratch one only when unset (tests)."""
+    """The shared folder that the cluster names in ``spark.checkpoint.dir``.
+
+    Where it is unset, local mode (tests) takes a scratch folder; any other master is refused, as executors
+    would write to their own disks.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not spark.conf.get("spark.master", "local").split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="eventwatch-ckpt-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
     sc.setCheckpointDir(path)
     return path
 
 
+_TABLES: list[str] = []
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, asked of the file system that Spark writes to."""
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once as a parquet table in the shared checkpoint folder and continue from it.
 
-    Used where one parsed input feeds several branches: the JSON is parsed once, lineage is cut, a lost
-    executor re-reads the written files instead of recomputing the parse, and each branch reads only the
-    columns it needs (columnar, compressed; filters push down into the scan).
+    Used where one input feeds several branches: it is computed once, lineage is cut, a lost executor re-reads
+    the written files, and each branch reads only the columns it needs (filters push down into the scan).
+    Select what the branches read before. The tables go with ``release_tables``, at the latest when the
+    process ends.
     """
     base = checkpoint_dir(df.sparkSession).rstrip("/")
     path = f"{base}/eventwatch-tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if not _TABLES:
+        atexit.register(_release_at_exit)
+    _TABLES.append(path)
     return df.sparkSession.read.parquet(path)
 
 
-def get_spark(app: str = "eventwatch", cores: str | int = "*", shuffle_partitions: int | None = None,
+def release_tables(spark: SparkSession, keep: int = 0) -> int:
+    """Delete the materialised tables of this process but the first ``keep``; call it once their results are written."""
+    gone = 0
+    while len(_TABLES) > keep:
+        fs, p = _file_system(spark, _TABLES.pop())
+        gone += bool(fs.delete(p, True))
+    return gone
+
+
+def _release_at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.sparkContext._jsc is not None:
+        release_tables(spark)
+
+
+def get_spark(app: str = "eventwatch", cores: str | int | None = None, shuffle_partitions: int | None = None,
               extra: dict | None = None) -> SparkSession:
-    """Session with the settings this engine relies on (UTC, AQE, skew join, no UI)."""
-    parts = shuffle_partitions or int(os.environ.get("EVENTWATCH_SHUFFLE_PARTITIONS", "8"))
-    b = (SparkSession.builder.master(f"local[{cores}]").appName(app)
+    """Session with the settings this engine relies on (UTC, AQE, skew join, no UI).
+
+    Master, memory and shuffle partitions are the cluster's (spark-submit or its defaults); only ``cores``, for
+    tests and the bench, asks for local mode, and only ``shuffle_partitions`` sets their number.
+    """
+    b = (SparkSession.builder.appName(app)
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.session.timeZone", "UTC")
-         .config("spark.sql.shuffle.partitions", str(parts))
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.sql.streaming.stateStore.providerClass",
-                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-         .config("spark.driver.memory", os.environ.get("EVENTWATCH_DRIVER_MEMORY", "8g")))
+                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"))
+    if cores is not None:
+        b = b.master(f"local[{cores}]").config("spark.driver.memory", os.environ.get("EVENTWATCH_DRIVER_MEMORY", "8g"))
+        shuffle_partitions = shuffle_partitions or int(os.environ.get("EVENTWATCH_SHUFFLE_PARTITIONS", "8"))
+    if shuffle_partitions:
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()

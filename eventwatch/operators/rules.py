@@ -8,7 +8,7 @@ description over them.  Rules run inside the same projection or aggregate as the
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -113,7 +113,7 @@ class SessionRule:
     aggregates: dict[str, Column]
     predicate: Callable[[], Column]
     description: Callable[[], Column]
-    row_columns: dict[str, Column] = field(default_factory=dict)
+    rows: Callable[[], Column] | None = None   # the events that the aggregates need; all if None
 
 
 def banned_process_rule(banned: Iterable[str], level: str = "severe") -> SessionRule:
@@ -124,9 +124,10 @@ def banned_process_rule(banned: Iterable[str], level: str = "severe") -> Session
         BANNED_RULE_ID, level,
         aggregates={"banned_hits": F.array_sort(F.collect_list(
             F.when(hit, F.struct("publish_ts", "message_id", "process_name"))))},
-        predicate=lambda: F.size("banned_hits") > 0,
+        predicate=lambda: F.coalesce(F.size("banned_hits"), F.lit(0)) > 0,
         description=lambda: F.concat(F.lit(BANNED_DESCRIPTION), F.array_join(
             F.transform("banned_hits", lambda x: x["process_name"]), BANNED_SEPARATOR)),
+        rows=lambda: hit,
     )
 
 

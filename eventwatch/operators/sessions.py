@@ -1,8 +1,9 @@
 """Source-address sessions: gap sessions, the banned-process rule and session findings.
 
-Batch form: gaps-and-islands split by time bucket so that no key is ever sorted in one task.
-A hot source address (a third of all rows) is spread over its (address, bucket) groups; only
-per-bucket summaries (one row per address and bucket) cross buckets.  Stream form:
+Batch form: time is cut into buckets no longer than the gap, so all of a key's events in one bucket belong to one
+session whatever lies between them. Events are reduced to one row per key and bucket by a plain aggregate
+(combined before the shuffle: a burst from one address is one row a task), and a window over those rows puts
+buckets together. No event is ever sorted, and no (key, bucket) is a window partition. Stream form:
 ``session_window`` with a watermark (``streaming.sessions``).
 """
 
@@ -14,11 +15,6 @@ from pyspark.sql import functions as F
 from eventwatch.config import SESSION_GAP
 from eventwatch.operators.rules import SessionRule, banned_process_rule, session_finding_array
 
-# Bucket length bounds the rows one (key, bucket) window sorts: a key holding a third of 100 TB puts
-# ~770 MB per minute bucket into one task; the cross-bucket summaries stay at one row per key and minute.
-DEFAULT_BUCKET_SECONDS = 60
-
-
 def interval_ms(spec: str) -> int:
     """'30 minutes' → 1800000.  Accepts the units used by the options."""
     n, unit = spec.split()
@@ -27,59 +23,60 @@ def interval_ms(spec: str) -> int:
     return int(float(n) * mult)
 
 
-def assign_sessions(df: DataFrame, keys: list[str], ts: str, gap_ms: int,
-                    bucket_ms: int = DEFAULT_BUCKET_SECONDS * 1000, out: str = "session_start_ms") -> DataFrame:
-    """Add ``out``: epoch-ms start of the gap session of each row (new session iff gap >= ``gap_ms``).
+def bucket_of(ms, length_ms: int):
+    """Start of the bucket that a time is in, in whole numbers."""
+    return ms - F.pmod(ms, F.lit(length_ms))
+
+
+def session_buckets(df: DataFrame, keys: list[str], ts: str, gap_ms: int, out: str = "session_start_ms") -> DataFrame:
+    """One row per (keys, bucket of one gap): ``__n`` events, ``__last`` ms, and ``out``, the ms at which its session starts.
+
+    Two neighbouring buckets of a key share a session iff the later one's first event comes less than a gap
+    after the earlier one's last. One shuffle of pre-aggregated rows; the window sees one row per key and bucket.
+    """
+    t = F.unix_millis(F.col(ts))
+    rows = (df.select(*keys, t.alias("__t")).withColumn("__b", bucket_of(F.col("__t"), gap_ms))
+            .groupBy(*keys, "__b").agg(F.min("__t").alias("__first"), F.max("__t").alias("__last"), F.count(F.lit(1)).alias("__n")))
+    by_key = Window.partitionBy(*keys).orderBy("__b")
+    before = F.lag("__last").over(by_key)
+    starts = rows.withColumn("__start", F.when(before.isNull() | (F.col("__first") - before >= gap_ms), F.col("__first")))
+    start = F.max("__start").over(by_key.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return starts.withColumn(out, start).select(*keys, "__b", "__last", "__n", out)
+
+
+def assign_sessions(df: DataFrame, keys: list[str], ts: str, gap_ms: int, out: str = "session_start_ms") -> DataFrame:
+    """Add ``out``, the epoch ms at which each row's gap session starts (new session iff gap >= ``gap_ms``), and ``__t``."""
+    buckets = session_buckets(df, keys, ts, gap_ms, out).drop("__last", "__n")
+    staged = df.withColumn("__t", F.unix_millis(F.col(ts))).withColumn("__b", bucket_of(F.col("__t"), gap_ms))
+    return staged.join(buckets, on=[*keys, "__b"], how="inner").drop("__b")
+
+
+def sessions(events: DataFrame, gap: str = SESSION_GAP, rules: list[SessionRule] | None = None) -> DataFrame:
+    """One row per (src_ip, session): start, exclusive end (last + gap), event count, rule aggregates.
 
-    Plan: one shuffle by (keys, bucket) for the in-bucket lag and running start; the per-bucket
-    summary reuses that partitioning; a window over the summaries (one row per key and bucket)
-    carries the last start across buckets; the summaries join back on (keys, bucket).
+    Start, end and count come from the bucket rows. Only the rows that a rule asks for (``SessionRule.rows``) are
+    joined to their sessions; a session without such rows has a rule's aggregates over none.
     """
-    t = "__t"
-    staged = df.withColumn(t, F.unix_millis(F.col(ts))).withColumn("__b", F.floor(F.col(t) / F.lit(bucket_ms)))
-    w_in = Window.partitionBy(*keys, "__b").orderBy(t)
-    lag = F.lag(t).over(w_in)
-    staged = staged.withColumn("__inner", F.when(lag.isNotNull() & (F.col(t) - lag >= gap_ms), F.col(t)))
-    staged = staged.withColumn("__run", F.max("__inner").over(w_in.rowsBetween(Window.unboundedPreceding,
-                                                                                Window.currentRow)))
-    summary = staged.groupBy(*keys, "__b").agg(F.min(t).alias("__bmin"), F.max(t).alias("__bmax"),
-                                               F.max("__inner").alias("__blast"))
-    w_b = Window.partitionBy(*keys).orderBy("__b")
-    prev_max = F.lag("__bmax").over(w_b)
-    summary = (summary
-               .withColumn("__first_start", prev_max.isNull() | (F.col("__bmin") - prev_max >= gap_ms))
-               .withColumn("__last_start", F.coalesce("__blast", F.when(F.col("__first_start"), F.col("__bmin"))))
-               .withColumn("__carry", F.max("__last_start").over(w_b.rowsBetween(Window.unboundedPreceding, -1)))
-               .select(*keys, "__b", "__bmin", "__first_start", "__carry"))
-    joined = staged.join(summary, on=[*keys, "__b"], how="inner")
-    start = F.coalesce("__run", F.when(F.col("__first_start"), F.col("__bmin")), "__carry")
-    return joined.withColumn(out, start).drop("__b", "__inner", "__run", "__bmin", "__first_start", "__carry")
-
-
-def sessions(events: DataFrame, gap: str = SESSION_GAP, rules: list[SessionRule] | None = None,
-             bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
-    """One row per (src_ip, session): start, exclusive end (last + gap), event count, rule aggregates."""
     gap_ms = interval_ms(gap)
-    rules = rules or []
-    cols = {"src_ip", "publish_ts", "message_id", "process_name"}
-    marked = assign_sessions(events.select(*[c for c in events.columns if c in cols]), ["src_ip"], "publish_ts",
-                             gap_ms, bucket_seconds * 1000)
-    aggs = [F.count(F.lit(1)).alias("event_count"), F.max("__t").alias("__last")]
-    for r in rules:
-        aggs += [a.alias(n) for n, a in r.aggregates.items()]
-    grouped = marked.groupBy("src_ip", "session_start_ms").agg(*aggs)
-    return (grouped
+    buckets = session_buckets(events, ["src_ip"], "publish_ts", gap_ms)
+    found = buckets.groupBy("src_ip", "session_start_ms").agg(F.sum("__n").alias("event_count"), F.max("__last").alias("__last"))
+    for r in rules or []:
+        wanted = events if r.rows is None else events.filter(r.rows())
+        wanted = wanted.withColumn("__b", bucket_of(F.unix_millis("publish_ts"), gap_ms))
+        part = (wanted.join(buckets.select("src_ip", "__b", "session_start_ms"), ["src_ip", "__b"])
+                .groupBy("src_ip", "session_start_ms").agg(*[a.alias(n) for n, a in r.aggregates.items()]))
+        found = found.join(part, ["src_ip", "session_start_ms"], "left")
+    return (found
             .withColumn("session_start", F.timestamp_millis("session_start_ms"))
             .withColumn("session_end", F.timestamp_millis(F.col("__last") + F.lit(gap_ms)))
             .drop("session_start_ms", "__last"))
 
 
 def source_ip_findings(events: DataFrame, banned: tuple[str, ...] | list[str], gap: str = SESSION_GAP,
-                       rules: list[SessionRule] | None = None,
-                       bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                       rules: list[SessionRule] | None = None) -> DataFrame:
     """Findings of the session rules: request_ts = last instant of the session window (end − 1 ms)."""
     rules = rules if rules is not None else [banned_process_rule(banned)]
-    s = sessions(events, gap, rules, bucket_seconds)
+    s = sessions(events, gap, rules)
     return session_findings(s, rules)
 
 

@@ -1,26 +1,26 @@
 """Per-user branch, batch form: seen-before hosts with expiry, rule findings, held findings.
 
-Replay order is (publish_ts, message_id); the replay clock is publish time.  All forms avoid a
-sort of one user's (or one user-host pair's) whole history in one task: state is reduced per
-(user, host, day) with partial aggregation and joined back on the unique event key.
+Replay order is (publish_ts, message_id, then the other columns); the replay clock is publish time. No form sorts
+one user's (or one user-host pair's) whole history in one task: state is reduced per (user, host, day) with partial
+aggregation, and what a rule needs of a host's first event rides along in that aggregate.
 """
 
 from __future__ import annotations
 
 import sys
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventwatch.config import FINDING_HOLD
+from eventwatch.config import FINDING_HOLD, materialize
 from eventwatch.operators.rules import PandasUserRule, UserRule, apply_user_rules, default_user_rules
-from eventwatch.operators.sessions import assign_sessions, interval_ms
-
-EVENT_KEY = ["user_id", "dst_ip", "publish_ts", "message_id"]
+from eventwatch.operators.sessions import assign_sessions, bucket_of, interval_ms
 
 # Executors get the Arrow-batch functions of this module by value: no package install needed on workers.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -31,32 +31,48 @@ def user_events(events: DataFrame) -> DataFrame:
     return events.filter(F.col("user_id").isNotNull())
 
 
-def new_host_flags(events: DataFrame, retention: str | None = None) -> DataFrame:
-    """Add ``newly_accessed_host``: the (user, host) pair is not in the user's remembered hosts.
+def _first_of_day(ev: DataFrame, retention: str | None, carry: list[str]) -> DataFrame:
+    """The first event of every (user, host, day) as struct ``__first`` (publish_ts, message_id, then ``carry``), with
+    ``__new``: whether the host was not remembered.
 
-    Without ``retention`` a host is new only on its first event.  With it, a daily sweep at each
-    UTC midnight D forgets hosts whose latest request time is <= D − retention; the next event for
-    the host is new again.  Only the first event of a (user, host, day) can be new, and it is new iff
-    the latest request time over the earlier days is missing or <= its day − retention.
+    Only that event can be new: it is iff the latest request time over the earlier days is missing or, with a
+    retention, <= its day - retention (the sweep at each UTC midnight forgets such hosts).
     """
-    ev = user_events(events)
     day = F.date_trunc("DAY", F.col("publish_ts"))
+    first = F.struct("publish_ts", "message_id", *[c for c in carry if c not in ("publish_ts", "message_id")])
     daily = (ev.groupBy("user_id", "dst_ip", day.alias("__day"))
-             .agg(F.min(F.struct("publish_ts", "message_id")).alias("__first"),
-                  F.max("request_ts").alias("__day_max")))
+             .agg(F.min(first).alias("__first"), F.max("request_ts").alias("__day_max")))
     prev = F.max("__day_max").over(Window.partitionBy("user_id", "dst_ip").orderBy("__day")
                                    .rowsBetween(Window.unboundedPreceding, -1))
     daily = daily.withColumn("__prev", prev)
-    if retention is None:
-        is_new = F.col("__prev").isNull()
-    else:
+    is_new = F.col("__prev").isNull()
+    if retention is not None:
         cutoff = F.timestamp_millis(F.unix_millis("__day") - F.lit(interval_ms(retention)))
-        is_new = F.col("__prev").isNull() | (F.col("__prev") <= cutoff)
-    firsts = daily.select("user_id", "dst_ip", F.col("__first.publish_ts").alias("publish_ts"),
-                          F.col("__first.message_id").alias("message_id"), is_new.alias("__new"))
-    return (ev.join(firsts, on=EVENT_KEY, how="left")
-            .withColumn("newly_accessed_host", F.coalesce(F.col("__new"), F.lit(False)))
-            .drop("__new"))
+        is_new = is_new | (F.col("__prev") <= cutoff)
+    return daily.select("user_id", "dst_ip", "__first", is_new.alias("__new"))
+
+
+def new_host_events(events: DataFrame, retention: str | None = None) -> DataFrame:
+    """The events whose (user, host) pair is not in the user's remembered hosts, with ``newly_accessed_host`` true.
+
+    One aggregate and no join. Repeated messages and null ids count as what they are: of equal first events one is new.
+    """
+    ev = user_events(events)
+    carry = [c for c in ev.columns if c not in ("user_id", "dst_ip")]
+    firsts = _first_of_day(ev, retention, carry).filter("__new").select("user_id", "dst_ip", "__first.*")
+    return firsts.select(*ev.columns).withColumn("newly_accessed_host", F.lit(True))
+
+
+def new_host_flags(events: DataFrame, retention: str | None = None) -> DataFrame:
+    """Add ``newly_accessed_host`` to every user event: the (user, host) pair is not in the user's remembered hosts.
+
+    Without ``retention`` a host is new only on its first event. Rows are told apart by a number written with them,
+    so repeated messages and null ids do not matter: of equal events exactly one can be new.
+    """
+    ev = materialize(user_events(events).withColumn("__row", F.monotonically_increasing_id()))
+    new = _first_of_day(ev, retention, ["__row"]).filter("__new").select(F.col("__first.__row").alias("__row"), "__new")
+    return (ev.join(new, on="__row", how="left")
+            .withColumn("newly_accessed_host", F.coalesce(F.col("__new"), F.lit(False))).drop("__new", "__row"))
 
 
 def host_last_access(events: DataFrame) -> DataFrame:
@@ -78,18 +94,22 @@ def user_findings(events: DataFrame, rules: list[UserRule] | None = None, retent
                   profiles: DataFrame | None = None) -> DataFrame:
     """Every finding the rules raise on every user event (before holding)."""
     rules = default_user_rules() if rules is None else rules
-    pandas_rules = [r for r in rules if isinstance(r, PandasUserRule)]
-    rules = [r for r in rules if not isinstance(r, PandasUserRule)]
-    if any(r.kind != "process_contains" for r in rules) or pandas_rules:
-        context = new_host_flags(events, retention)
-    else:  # no rule reads the remembered hosts: skip that state entirely
-        context = user_events(events).withColumn("newly_accessed_host", F.lit(False))
-    if profiles is not None:
-        context = with_profile(context, profiles)
-    out = apply_user_rules(context, rules)
-    for r in pandas_rules:
-        out = out.unionByName(apply_pandas_rule(context, r))
-    return out
+    groups = {"new_host": [], "process_contains": [], "other": [], "pandas": []}
+    for r in rules:
+        groups[r.kind if r.kind in groups else "other"].append(r)
+    enriched = lambda df: df if profiles is None else with_profile(df, profiles)
+    parts = []
+    if groups["process_contains"] or not rules:  # needs no state
+        plain = user_events(events).withColumn("newly_accessed_host", F.lit(False))
+        parts.append(apply_user_rules(enriched(plain), groups["process_contains"]))
+    if groups["new_host"]:                       # needs the new hosts' events only
+        parts.append(apply_user_rules(enriched(new_host_events(events, retention)), groups["new_host"]))
+    if groups["other"] or groups["pandas"]:      # may read the flag of any event
+        context = enriched(new_host_flags(events, retention))
+        if groups["other"]:
+            parts.append(apply_user_rules(context, groups["other"]))
+        parts += [apply_pandas_rule(context, r) for r in groups["pandas"]]
+    return reduce(DataFrame.unionByName, parts)
 
 
 FINDING_SCHEMA = T.StructType([
@@ -125,147 +145,73 @@ def critical_route(findings: DataFrame) -> tuple[DataFrame, DataFrame]:
     return findings.filter(critical), findings.filter(~critical)
 
 
-def _bag_opens(keys_change: np.ndarray, t: np.ndarray, hold_ms: int) -> np.ndarray:
-    """Open time of each row's bag; rows sorted by (group, t), ``keys_change`` marks group starts."""
-    opened = np.empty(len(t), dtype=np.int64)
-    bounds = np.flatnonzero(keys_change).tolist() + [len(t)]
-    for a, b in zip(bounds[:-1], bounds[1:]):
-        g = t[a:b]
-        starts = [g[0]]
-        while True:
-            i = int(np.searchsorted(g, starts[-1] + hold_ms, side="left"))
-            if i >= len(g):
-                break
-            starts.append(g[i])
-        st = np.asarray(starts, dtype=np.int64)
-        opened[a:b] = st[np.searchsorted(st, g, side="right") - 1]
-    return opened
-
+def _bag_starts(hold_ms: int):
+    """mapInArrow body: batches of (user_id, island, t), sorted by them -> (user_id, t) of every bag's first finding.
 
-def _greedy_bags(hold_ms: int):
-    """mapInPandas body over a partition sorted by (user_id, island, __t, message_id, rule_id).
-
-    Whole groups are handled per Arrow batch; a group cut by the batch boundary waits for the next one.
+    What is carried from batch to batch is the open bag's user, island and time: no rows, whatever an island's length.
     """
-    def process(pdf: pd.DataFrame) -> pd.DataFrame:
-        u, isl = pdf["user_id"].to_numpy(), pdf["island"].to_numpy()
-        change = np.ones(len(pdf), dtype=bool)
-        change[1:] = (u[1:] != u[:-1]) | (isl[1:] != isl[:-1])
-        opened = _bag_opens(change, pdf["__t"].to_numpy(dtype=np.int64), hold_ms)
-        return pdf.assign(__open=opened).drop(columns=["__t", "island"])
-
     def run(batches):
-        carry = None
-        for pdf in batches:
-            if carry is not None and len(carry):
-                pdf = pd.concat([carry, pdf], ignore_index=True)
-            if not len(pdf):
+        last = None  # user, island, opening time of the bag at hand
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            last = (pdf["user_id"] == pdf["user_id"].iloc[-1]) & (pdf["island"] == pdf["island"].iloc[-1])
-            carry = pdf[last]
-            done = pdf[~last]
-            if len(done):
-                yield process(done)
-        if carry is not None and len(carry):
-            yield process(carry)
+            users = batch.column("user_id").dictionary_encode()
+            u = users.indices.to_numpy(zero_copy_only=False)
+            isl, t = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("island", "t"))
+            new = np.r_[True, (u[1:] != u[:-1]) | (isl[1:] != isl[:-1])]
+            begin = np.flatnonzero(new)
+            end = np.r_[begin[1:], len(t)]
+            goes_on = last is not None and users.dictionary[u[0]].as_py() == last[0] and int(isl[0]) == last[1]
+            opens = t[begin].copy()
+            starts = [begin[1:] if goes_on else begin]
+            if goes_on:
+                opens[0] = last[2]
+            for g in np.flatnonzero(t[end - 1] >= opens + hold_ms):  # groups of more than one bag
+                seg, a = t[begin[g]:end[g]], int(opens[g])
+                more = []
+                while (i := int(np.searchsorted(seg, a + hold_ms))) < len(seg):
+                    a = int(seg[i])
+                    more.append(begin[g] + i)
+                starts.append(np.array(more, np.int64))
+                opens[g] = a
+            last = (users.dictionary[u[-1]].as_py(), int(isl[-1]), int(opens[-1]))
+            at = np.sort(np.concatenate(starts))
+            yield pa.RecordBatch.from_arrays([batch.column("user_id").take(pa.array(at)), pa.array(t[at])], ["user_id", "t"])
     return run
 
 
-def _next_times(times: DataFrame, hold_ms: int) -> DataFrame:
-    """For each distinct (user_id, __t): ``__j`` = the user's first time >= __t + hold (null if none).
+def bag_starts(findings: DataFrame, hold_ms: int) -> DataFrame:
+    """(user_id, t): the opening time of every hold bag, in one pass over the distinct finding times.
 
-    Exact bucketed as-of: with buckets of one hold, the target lies in bucket b+1, so a window per
-    (user, bucket) finds it; otherwise it is the first time of the next non-empty bucket, found on
-    per-bucket summaries (one row per user and bucket).  No window spans a user's whole history.
-    """
-    b = F.floor(F.col("__t") / F.lit(hold_ms))
-    t = times.withColumn("__b", b)
-    queries = t.select("user_id", (F.col("__b") + 1).alias("__qb"), (F.col("__t") + F.lit(hold_ms)).alias("__k"),
-                       F.lit(0).alias("__kind"), F.col("__t").alias("__src"), F.lit(None).cast("long").alias("__d"))
-    data = t.select("user_id", F.col("__b").alias("__qb"), F.col("__t").alias("__k"), F.lit(1).alias("__kind"),
-                    F.lit(None).cast("long").alias("__src"), F.col("__t").alias("__d"))
-    w = (Window.partitionBy("user_id", "__qb").orderBy("__k", "__kind")
-         .rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    c1 = (queries.unionByName(data).withColumn("__c1", F.min("__d").over(w))
-          .filter(F.col("__kind") == 0).select("user_id", "__src", "__qb", "__c1"))
-    summary = t.groupBy("user_id", "__b").agg(F.min("__t").alias("__bmin"))
-    qb = c1.select("user_id", "__qb").distinct()
-    u = (summary.select("user_id", F.col("__b").alias("__x"), F.lit(0).alias("__kind"), "__bmin")
-         .unionByName(qb.select("user_id", F.col("__qb").alias("__x"), F.lit(1).alias("__kind"),
-                                F.lit(None).cast("long").alias("__bmin"))))
-    w2 = Window.partitionBy("user_id").orderBy("__x", "__kind").rowsBetween(1, Window.unboundedFollowing)
-    c2 = (u.withColumn("__c2", F.min("__bmin").over(w2)).filter(F.col("__kind") == 1)
-          .select("user_id", F.col("__x").alias("__qb"), "__c2"))
-    return (c1.join(c2, ["user_id", "__qb"], "left")
-            .select("user_id", F.col("__src").alias("__t"), F.coalesce("__c1", "__c2").alias("__j")))
-
-
-def bag_starts_doubling(rest: DataFrame, hold_ms: int, max_rounds: int = 64) -> DataFrame:
-    """Exact bag open times (user_id, __t) by pointer doubling over distinct finding times.
-
-    Starts are the chain head, next(head), next(next(head)), ...; round k adds next^(2^k) of every known
-    start and squares the pointer table.  Joins are keyed by (user, time), unique, so no key is hot;
-    each round is written to the checkpoint folder (lineage cut, restartable).  Rounds: log2(bags).
+    Findings at least one hold apart never share a bag, so times are cut into islands at such gaps, which spreads a busy
+    user. Only distinct (user, ms) pairs are shuffled; islands are sorted within partitions and streamed.
     """
-    from eventwatch.config import materialize
-
-    times = rest.select("user_id", "__t").distinct()
-    jump = materialize(_next_times(times, hold_ms))
-    starts = materialize(times.groupBy("user_id").agg(F.min("__t").alias("__t")))
-    n = starts.count()
-    for _ in range(max_rounds):
-        new = (starts.join(jump, ["user_id", "__t"]).filter(F.col("__j").isNotNull())
-               .select("user_id", F.col("__j").alias("__t")))
-        grown = materialize(starts.unionByName(new).distinct())
-        m = grown.count()
-        if m == n:
-            return grown
-        starts, n = grown, m
-        nxt = jump.select("user_id", F.col("__t").alias("__j"), F.col("__j").alias("__j2"))
-        jump = materialize(jump.join(nxt, ["user_id", "__j"], "left")
-                           .select("user_id", "__t", F.col("__j2").alias("__j")))
-    raise RuntimeError("bag chain longer than 2^max_rounds")
+    times = findings.select("user_id", "publish_ts").distinct()
+    islands = assign_sessions(times, ["user_id"], "publish_ts", hold_ms, out="island").select("user_id", "island", F.col("__t").alias("t"))
+    return (islands.repartition("user_id", "island").sortWithinPartitions("user_id", "island", "t")
+            .mapInArrow(_bag_starts(hold_ms), "user_id string, t bigint"))
 
 
 def assign_bags(rest: DataFrame, starts: DataFrame, hold_ms: int) -> DataFrame:
-    """Each finding's bag open time: the last start <= its time.  Starts are >= one hold apart, so each
-    (user, bucket of one hold) holds at most one start: two equi-joins on (user, bucket) suffice."""
-    b = F.floor(F.col("__t") / F.lit(hold_ms))
-    s = starts.select("user_id", b.alias("__b"), F.col("__t").alias("__s"))
-    same = s.select("user_id", "__b", F.col("__s").alias("__s0"))
-    prev = s.select("user_id", (F.col("__b") + 1).alias("__b"), F.col("__s").alias("__s1"))
-    staged = rest.withColumn("__b", b).join(same, ["user_id", "__b"], "left").join(prev, ["user_id", "__b"], "left")
-    opened = F.when(F.col("__s0") <= F.col("__t"), F.col("__s0")).otherwise(F.col("__s1"))
-    return staged.withColumn("__open", opened).drop("__b", "__s0", "__s1")
-
-
-def held_findings(findings: DataFrame, hold: str = FINDING_HOLD, max_island_rows: int = 1_000_000) -> DataFrame:
+    """Add ``__open``, the opening time of each finding's bag: the last start <= its time.  Starts are >= one hold
+    apart, so each (user, bucket of one hold) holds at most one: two equi-joins on (user, bucket) suffice."""
+    t = F.unix_millis("publish_ts")
+    s = starts.select("user_id", bucket_of(F.col("t"), hold_ms).alias("__b"), F.col("t").alias("__s"))
+    both = (s.select("user_id", "__b", F.col("__s").alias("__s0"), F.lit(None).cast("bigint").alias("__s1"))
+            .unionByName(s.select("user_id", (F.col("__b") + hold_ms).alias("__b"), F.lit(None).cast("bigint").alias("__s0"), F.col("__s").alias("__s1")))
+            .groupBy("user_id", "__b").agg(F.max("__s0").alias("__s0"), F.max("__s1").alias("__s1")))
+    staged = rest.withColumn("__b", bucket_of(t, hold_ms)).join(both, ["user_id", "__b"], "left")
+    return staged.withColumn("__open", F.when(F.col("__s0") <= t, F.col("__s0")).otherwise(F.col("__s1"))).drop("__b", "__s0", "__s1")
+
+
+def held_findings(findings: DataFrame, hold: str = FINDING_HOLD) -> DataFrame:
     """Add ``emit_ts``: when the finding leaves the user's hold bag (critical ones leave at once).
 
-    A bag opens at the first held finding (publish time) and is emitted ``hold`` later with all
-    findings that arrived before then; the next finding opens a new bag.  Findings more than
-    ``hold`` apart can never share a bag, so users are split into islands at such gaps (skew-safe
-    bucketed gaps-and-islands).  Islands up to ``max_island_rows`` are hash-partitioned, sorted within
-    partitions and scanned in Arrow batches by ``mapInPandas`` (one Python call per batch, not per
-    group).  Larger islands never go to one task: their bag starts come from ``bag_starts_doubling``.
+    A bag opens at the first held finding (publish time) and is emitted ``hold`` later with all findings that arrived
+    before then; the next finding opens a new bag.  One lazy plan for any number of findings.
     """
     hold_ms = interval_ms(hold)
     critical, rest = critical_route(findings)
-    from eventwatch.config import materialize
-    # Written once: the size check and both paths read this copy instead of recomputing the islands.
-    islands = materialize(assign_sessions(rest, ["user_id"], "publish_ts", hold_ms, out="island"))
-    big_keys = (islands.groupBy("user_id", "island").agg(F.count(F.lit(1)).alias("__n"))
-                .filter(F.col("__n") > max_island_rows).select("user_id", "island"))
-    schema = T.StructType([f for f in islands.schema.fields if f.name not in ("__t", "island")]
-                          + [T.StructField("__open", T.LongType())])
-    has_big = not big_keys.isEmpty()
-    small = islands.join(big_keys, ["user_id", "island"], "left_anti") if has_big else islands
-    ordered = (small.repartition("user_id", "island")
-               .sortWithinPartitions("user_id", "island", "__t", "message_id", "rule_id"))
-    scanned = ordered.mapInPandas(_greedy_bags(hold_ms), schema)
-    if has_big:
-        big_rows = islands.join(big_keys, ["user_id", "island"], "left_semi")
-        doubled = assign_bags(big_rows, bag_starts_doubling(big_rows, hold_ms), hold_ms)
-        scanned = scanned.unionByName(doubled.drop("__t", "island"))
-    bagged = scanned.withColumn("emit_ts", F.timestamp_millis(F.col("__open") + F.lit(hold_ms))).drop("__open")
+    bagged = assign_bags(rest, bag_starts(rest, hold_ms), hold_ms)
+    bagged = bagged.withColumn("emit_ts", F.timestamp_millis(F.col("__open") + F.lit(hold_ms))).drop("__open")
     return bagged.unionByName(critical.withColumn("emit_ts", F.col("publish_ts")))

@@ -125,12 +125,15 @@ def q_union_sources(spark, sf):
 
 # --- per-user branch -----------------------------------------------------------------------------
 
+FLAG_COLUMNS = ("message_id", "user_id", "dst_ip", "publish_ts", "request_ts")
+
+
 def q_new_host_flags(spark, sf):
-    return new_host_flags(_events_once(spark, sf)).select("message_id", "user_id", "dst_ip", "newly_accessed_host")
+    return new_host_flags(_events(spark, sf).select(*FLAG_COLUMNS)).select("message_id", "user_id", "dst_ip", "newly_accessed_host")
 
 
 def q_new_host_expiry(spark, sf):
-    return new_host_flags(_events_once(spark, sf), REPLAY_RETENTION).select(
+    return new_host_flags(_events(spark, sf).select(*FLAG_COLUMNS), REPLAY_RETENTION).select(
         "message_id", "user_id", "dst_ip", "newly_accessed_host")
 
 
@@ -143,7 +146,7 @@ def q_rule_process_name(spark, sf):
 
 
 def q_rule_new_host(spark, sf):
-    return _finding_cols(user_findings(_events_once(spark, sf), [new_destination_host_rule()], REPLAY_RETENTION))
+    return _finding_cols(user_findings(_events(spark, sf), [new_destination_host_rule()], REPLAY_RETENTION))
 
 
 def q_user_findings(spark, sf):
@@ -151,7 +154,7 @@ def q_user_findings(spark, sf):
 
 
 def q_user_profile(spark, sf):
-    ev = _events_once(spark, sf)
+    ev = materialize(_events(spark, sf).select("user_id", "process_name"))
     profiles = lookup.derive_user_profiles(ev)
     return (with_profile(user_events(ev), profiles).groupBy("user_id")
             .agg(F.max("profile_status").alias("profile_status"), F.count(F.lit(1)).alias("n_events")))
@@ -191,14 +194,17 @@ def q_user_finding_rows(spark, sf):
 
 # --- per-source-address branch -------------------------------------------------------------------
 
+SESSION_COLUMNS = ("src_ip", "publish_ts", "message_id", "process_name")
+
+
 def _sessions(spark, sf, events=None):
-    # The bucketed session plan reads its input twice (window output → summaries and join-back).
-    ev = events if events is not None else _events_once(spark, sf)
+    # Read twice: for the bucket rows, and for the few rows that the rule needs.
+    ev = events if events is not None else materialize(_events(spark, sf).select(*SESSION_COLUMNS))
     return sessions(ev, REPLAY_SESSION_GAP, [banned_process_rule(REPLAY_BANNED)])
 
 
 def q_sessions(spark, sf):
-    return _sessions(spark, sf).select("src_ip", ntz("session_start"), ntz("session_end"), "event_count")
+    return sessions(_events(spark, sf), REPLAY_SESSION_GAP).select("src_ip", ntz("session_start"), ntz("session_end"), "event_count")
 
 
 def q_session_banned(spark, sf):

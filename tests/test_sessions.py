@@ -36,7 +36,7 @@ def test_empty_banned_set_finds_nothing(spark):
 def test_bucketed_sessions_equal_native_session_window(spark):
     """The skew-safe bucketed form equals Spark's session_window with gap − 1 ms on the sf0.01 data."""
     ev = _events(spark, SF01)
-    mine = sessions(ev, "30 minutes", bucket_seconds=600).select(
+    mine = sessions(ev, "30 minutes").select(
         "src_ip", "session_start", (F.col("session_end") - F.expr("INTERVAL 1 MILLISECOND")).alias("end"),
         "event_count")
     native = (ev.groupBy("src_ip", F.session_window("publish_ts", "29 minutes 59 seconds 999 milliseconds").alias("w"))
