@@ -7,8 +7,9 @@ every shard with every other is quadratic. So strings are dealt to shards by con
    the window's bytes only: equal windows have equal anchors. Neighbouring windows with the same anchor
    form a section of at most 69 windows; on average there are 35 bytes a section. One row a section: anchor, hash of
    the section's bytes, document, place.
-2. One shuffle by anchor, sorted. Equal sections after the first are copies as a whole. Sections whose anchor no other
-   text shares are unique. What is left, sections that share an anchor but differ somewhere, is where copies begin
+2. Of equal sections in one batch of documents all but the first are copies; they are dealt out evenly, so a passage
+   in a third of all documents is one row a batch. One shuffle by anchor, sorted, finds the other copies as they
+   stream by. Sections whose anchor no other text shares are unique. What is left, sections that share an anchor but differ somewhere, is where copies begin
    and end.
 3. Those sections' bytes go to shards by anchor. Every shard builds a suffix array by Larsson-Sadakane refinement
    (8, 16, 32, 64 bytes, then 64 + 36; only groups that are not single yet are sorted again) in numpy. Neighbours in it
@@ -106,19 +107,28 @@ def _section_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         at = 0
         while at < len(texts):  # bounded portions of a batch
             end, size = at, 0
-            while end < len(texts) and (end == at or size + len(texts[end]) <= 16 << 20):
+            while end < len(texts) and (end == at or size + len(texts[end]) <= 8 << 20):
                 size += len(texts[end])
                 end += 1
             got = list(sections(texts[at:end]))
             if got:
                 key, h, doc, x, n = map(np.concatenate, zip(*got))
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(h.view(np.int64)), pa.array(ids[at + doc]),
-                                                  pa.array(x), pa.array(n.astype(np.int16))], ["key", "h", "id", "x", "n"])
+                i = ids[at + doc]
+                if (i[1:] < i[:-1]).any():
+                    order = np.lexsort((x, i))
+                    key, h, i, x, n = key[order], h[order], i[order], x[order], n[order]
+                _, first, group = np.unique(key ^ _mix(h), return_index=True, return_inverse=True)
+                first = first[group]
+                copy = (i != i[first]) | (x != x[first])
+                use = copy | (np.arange(len(x)) == first)  # of equal places of equal rows one is enough
+                key = np.where(copy, _mix(np.arange(len(x), dtype=np.uint64) ^ h), key)
+                yield pa.RecordBatch.from_arrays([pa.array(c[use]) for c in (key.view(np.int64), h.view(np.int64), i, x, n.astype(np.int16), copy)],
+                                                 ["key", "h", "id", "x", "n", "copy"])
             at = end
 
 
 def _copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sections sorted by anchor, hash, id, place -> copies, and the first of equal ones where the anchor has others.
+    """Sections sorted by anchor, hash, id, place -> copies (those known before pass through), and the first of equal ones where the anchor has others.
     Rows pass through; only the first row of the group at hand is held."""
     held = None  # key, h, id, x, n, whether its anchor had another section before
 
@@ -132,7 +142,12 @@ def _copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        key, h, i, x, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "h", "id", "x", "n"))
+        key, h, i, x, n, known = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "h", "id", "x", "n", "copy"))
+        if known.any():
+            yield out(key[known], i[known], x[known], n[known], np.zeros(int(known.sum()), bool))
+            key, h, i, x, n = (c[~known] for c in (key, h, i, x, n))
+            if not len(key):
+                continue
         new = np.r_[held is None or (key[0], h[0]) != held[:2], (key[1:] != key[:-1]) | (h[1:] != h[:-1])]
         start = np.flatnonzero(new)
         group = np.cumsum(new) - 1  # -1: goes on from the batch before
@@ -246,7 +261,7 @@ def _shards(shard_bytes: int):
 def copied_spans(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(id, text) -> (id, start, end): byte spans that are copies of earlier ones. They may overlap."""
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.mapInArrow(_section_rows, "key bigint, h bigint, id bigint, x bigint, n smallint")
+    rows = docs.mapInArrow(_section_rows, "key bigint, h bigint, id bigint, x bigint, n smallint, copy boolean")
     found = materialize(rows.repartition(n, "key").sortWithinPartitions("key", "h", "id", "x")
                         .mapInArrow(_copies, "key bigint, id bigint, x bigint, n smallint, edge boolean"))
     whole = found.where(~F.col("edge")).select("id", F.col("x").alias("start"), (F.col("x") + F.col("n") + (WINDOW - 1)).alias("end"))
