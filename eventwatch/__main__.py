@@ -11,18 +11,27 @@ import time
 
 from eventwatch.config import Options, get_spark
 from eventwatch.operators.threshold import HowToStop
-from eventwatch.plans.pipeline import Inputs, start_queries, streaming_processing
-from eventwatch.sources.messages import read_messages
-from eventwatch.streaming.stop import StopAfter, enforce
+from eventwatch.operators.rules import rules_from_table
+from eventwatch.plans.pipeline import Inputs, start_ingest, start_monitor
+from eventwatch.sources.messages import read_json_lines, read_messages
+from eventwatch.streaming.stop import StopAfter, drain, enforce
 
 
 def parse_args(argv=None) -> tuple[Options, argparse.Namespace]:
     ap = argparse.ArgumentParser(prog="eventwatch")
-    ap.add_argument("--source", required=True, help="landing directory or topic of the first source")
+    ap.add_argument("--source", help="landing directory or topic of the first source")
+    ap.add_argument("--files", nargs="+", help="raw JSON files (paths or globs) as the first source")
     ap.add_argument("--second-source")
     ap.add_argument("--format", default="parquet", choices=["parquet", "json", "kafka"])
     ap.add_argument("--output-dir", required=True)
+    ap.add_argument("--create-tables", action="store_true", help="make absent tables instead of refusing to start")
+    ap.add_argument("--process-info", help="process table (parquet), read again every two minutes")
+    ap.add_argument("--rules", help="rule table (parquet)")
+    ap.add_argument("--profiles", help="user profile table (parquet)")
+    ap.add_argument("--ingest", action="store_true", help="only move source-address findings from the topic to the table")
     ap.add_argument("--findings-topic")
+    ap.add_argument("--topic-format", default="json", choices=["json", "kafka"])
+    ap.add_argument("--kafka-servers")
     ap.add_argument("--export-dir")
     ap.add_argument("--checkpoint-dir")
     ap.add_argument("--banned", default="", help="comma-separated banned process names")
@@ -32,32 +41,47 @@ def parse_args(argv=None) -> tuple[Options, argparse.Namespace]:
     ap.add_argument("--late-panes", action="store_true")
     ap.add_argument("--keep-all-dead-letters", action="store_true")
     a = ap.parse_args(argv)
+    if not (a.source or a.files or a.ingest):
+        ap.error("--source or --files is needed")
     opts = Options(source_path=a.source, second_source_path=a.second_source, source_format=a.format,
                    output_dir=a.output_dir, findings_topic=a.findings_topic, export_dir=a.export_dir,
                    checkpoint_dir=a.checkpoint_dir, max_messages=a.max_messages,
                    banned_processes=tuple(x for x in a.banned.split(",") if x), clock=a.clock,
-                   late_panes=a.late_panes, keep_all_dead_letters=a.keep_all_dead_letters)
+                   late_panes=a.late_panes, keep_all_dead_letters=a.keep_all_dead_letters, file_list=a.files,
+                   create_tables=a.create_tables, process_info_path=a.process_info, rules_path=a.rules, profiles_path=a.profiles,
+                   topic_format=a.topic_format, topic_options={"kafka.bootstrap.servers": a.kafka_servers} if a.kafka_servers else {})
     return opts, a
 
 
+def inputs_of(spark, opts: Options) -> Inputs:
+    """The streaming inputs that the options name."""
+    first = (read_json_lines(spark, opts.file_list, streaming=True) if opts.file_list
+             else read_messages(spark, opts.source_path, opts.source_format, streaming=True, options=opts.topic_options))
+    second = (read_messages(spark, opts.second_source_path, opts.source_format, streaming=True, options=opts.topic_options)
+              if opts.second_source_path else None)
+    rules = rules_from_table(spark.read.parquet(opts.rules_path).collect()) if opts.rules_path else None
+    profiles = spark.read.parquet(opts.profiles_path) if opts.profiles_path else None
+    return Inputs(first, second, rules, profiles)
+
+
 def main(argv=None) -> None:
     opts, a = parse_args(argv)
     spark = get_spark("eventwatch")
-    first = read_messages(spark, opts.source_path, opts.source_format, streaming=True)
-    second = (read_messages(spark, opts.second_source_path, opts.source_format, streaming=True)
-              if opts.second_source_path else None)
-    outputs = streaming_processing(Inputs(first, second), opts)
-    queries = start_queries(outputs, opts, first_messages=first)
+    if a.ingest:
+        start_ingest(spark, opts.findings_topic, opts).awaitTermination()
+        return
     listener = None
     if opts.max_messages:
-        listener = StopAfter(opts.max_messages, HowToStop(a.stop))
+        listener = StopAfter(opts.max_messages, HowToStop(a.stop), "pipeline_counters", "first_source")
         spark.streams.addListener(listener)
+    queries = start_monitor(spark, inputs_of(spark, opts), opts)
+    if listener is not None:
         listener.watch(queries[0])
     while any(q.isActive for q in queries):
         if listener is not None and enforce(queries[0], listener):
             for q in queries[1:]:
                 if listener.instruction.how is HowToStop.drain:
-                    q.processAllAvailable()
+                    drain(q, 600)
                 q.stop()
         time.sleep(1)
 

@@ -19,17 +19,13 @@ ALLOWED_LATENESS = "1 hour"         # late panes for source-address sessions
 FINDING_HOLD = "120 seconds"        # non-critical user findings are held this long
 HOST_RETENTION = "30 days"          # hosts unseen this long are forgotten at the daily sweep
 PROCESS_REFRESH = "2 minutes"       # lookup table refresh period
-RULE_REFRESH = "5 minutes"          # rule table refresh period
-EXPORT_WINDOW = "1 minute"          # raw JSON export window
 FAILED_INSERT_WINDOW = "2 minutes"  # rejected-row report window
 DEFAULT_PAYLOAD_TYPE = "Other"
 UNKNOWN_CATEGORY = "UNKNOWN"
 ACCEPTED_FILE_PATTERN = r"(^.*\.(json|JSON)$)"
 ISO_MILLIS = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
-LEVELS = ("warning", "severe", "critical")
 USER_FINDING_TYPE = "user-event-finding"
 SOURCE_FINDING_TYPE = "source-ip-finding"
-PROFILE_STATUSES = ("regular", "suspicious")
 # ---------------------------------------------------------------------------------------------
 
 # Parameters widened for the 30-day driver data set (see README, "Data adapter").
@@ -43,19 +39,23 @@ REPLAY_BANNED = ("virus1",)
 class Options:
     """Pipeline options; unused threat options of the monitored system are left out."""
 
-    source_path: str | None = None            # landing directory or table of the first source
+    source_path: str | None = None            # landing directory or topic of the first source
     second_source_path: str | None = None     # optional second source
-    file_list: list[str] | None = None        # globs of raw JSON files
+    file_list: list[str] | None = None        # paths or globs of raw JSON files instead of a first source
     source_format: str = "parquet"            # parquet | json | kafka
     output_dir: str = "warehouse"
     events_table: str = "events"
     findings_table: str = "findings"
     invalid_messages_table: str = "invalid_messages"
-    process_info_path: str | None = None
-    rules_path: str | None = None
-    findings_topic: str | None = None         # directory (file sink) or Kafka topic
+    create_tables: bool = False               # else absent tables are refused
+    process_info_path: str | None = None      # process table, read again every two minutes: events get a category
+    rules_path: str | None = None             # rule table, read at start
+    profiles_path: str | None = None          # user profile table
+    findings_topic: str | None = None         # directory or Kafka topic
+    topic_format: str = "json"                # json | kafka
+    topic_options: dict = field(default_factory=dict)
     export_dir: str | None = None             # raw JSON export, first source only
-    max_messages: int | None = None           # stop after this many messages
+    max_messages: int | None = None           # stop after this many messages of the first source
     banned_processes: tuple[str, ...] = ()
     session_gap: str = SESSION_GAP
     allowed_lateness: str = ALLOWED_LATENESS
@@ -65,7 +65,6 @@ class Options:
     late_panes: bool = False
     clock: str = "processing"                 # processing | event
     checkpoint_dir: str | None = None
-    extra: dict = field(default_factory=dict)
 
 
 def ensure_utc(spark: SparkSession) -> SparkSession:

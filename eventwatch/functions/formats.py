@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventwatch.config import ISO_MILLIS, SOURCE_FINDING_TYPE, USER_FINDING_TYPE
+from eventwatch.functions.parse import bind, only_document, payload_text, wrapped
 
 
 def iso_millis(ts: Column) -> Column:
@@ -13,11 +14,11 @@ def iso_millis(ts: Column) -> Column:
     return F.date_format(ts, ISO_MILLIS)
 
 
-def event_rows(events: DataFrame) -> DataFrame:
-    """Event → ``events`` table row; ``dst_hostname`` is not resolved (null)."""
+def event_rows(events: DataFrame, *more: str) -> DataFrame:
+    """Event → ``events`` table row, with the columns ``more``; ``dst_hostname`` is not resolved (null)."""
     return events.select(
         "request_ts", "dst_ip", "dst_port", "src_ip", "bytes_sent", "bytes_received", "user_id", "process_name",
-        F.lit(None).cast("string").alias("dst_hostname"))
+        F.lit(None).cast("string").alias("dst_hostname"), *more)
 
 
 def user_finding_rows(findings: DataFrame) -> DataFrame:
@@ -53,9 +54,10 @@ def source_finding_json(findings: DataFrame) -> DataFrame:
 
 
 def normalised_json(messages: DataFrame) -> DataFrame:
-    """Parse and re-serialise each payload; unparseable ones are skipped (they are dead letters)."""
-    v = F.try_parse_json(F.make_valid_utf8(F.col("payload").cast("string")))
-    return (messages.select("publish_ts", v.alias("__v"))
+    """Parse and re-serialise each payload; unparseable ones are skipped (they are dead letters by the same check)."""
+    text = payload_text(F.col("payload"))
+    return (bind(messages.select("publish_ts", text.alias("__t")), wrapped(F.col("__t")).alias("__a"))
+            .select("publish_ts", only_document(F.col("__a"), F.col("__t")).alias("__v"))
             .filter(F.col("__v").isNotNull())
             .select("publish_ts", F.to_json("__v").alias("value")))
 

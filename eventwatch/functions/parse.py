@@ -22,6 +22,7 @@ TYPE_A_MESSAGE = "type A parser not yet implemented"
 NULL_TIMESTAMP = "null"
 
 INT_FIELDS = {"bytes_sent": "bytesSent", "bytes_received": "bytesReceived", "destination_port": "destinationPort"}
+MAX_EPOCH_MS = (2 ** 63 - 1) // 1000   # timestamps are 64-bit microseconds: about 290,000 years either way
 _INT32 = 2 ** 32
 _INT31 = 2 ** 31
 
@@ -31,9 +32,16 @@ def payload_text(payload: Column) -> Column:
     return F.make_valid_utf8(payload.cast("string"))
 
 
-def json_type(v: Column, field: str) -> Column:
-    """Type name of a top-level field: null if absent, VOID for JSON null, else STRING/BIGINT/DECIMAL(p,s)/..."""
-    return F.schema_of_variant(F.try_variant_get(v, f"$.{field}", "variant"))
+def wrapped(text: Column) -> Column:
+    """The text parsed as the one element of an array (null if malformed): text behind a document is then an error."""
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+
+
+def only_document(array: Column, text: Column) -> Column:
+    """The document that ``wrapped`` parsed, null if the text is not exactly one. Repeated keys, nested ones too, make
+    a text malformed. A text that closes the array itself does not parse as a member of an object."""
+    closes = text.contains("]") & F.try_parse_json(F.concat(F.lit('{"a":'), text, F.lit("}"))).isNull()
+    return F.when(F.try_variant_get(array, "$[1]", "variant").isNull() & ~closes, F.try_variant_get(array, "$[0]", "variant"))
 
 
 def _present(t: Column) -> Column:
@@ -97,14 +105,14 @@ def _low32(b: Column) -> Column:
 def lenient_int(r: dict[str, Column], field: str) -> tuple[Column, Column]:
     """(value INT, error text) of a field that may be a number, a digit string or absent."""
     t, s, b = r["t"], r["s"], r["b"]
-    wide = F.try_variant_get(r["v"], "$", "decimal(38,6)")   # only read for numbers beyond 64 bits
+    # Only read for numbers beyond 64 bits. Beyond 38 digits only an approximation is known; its low 32 bits are 0.
+    wide = F.coalesce(F.try_variant_get(r["v"], "$", "decimal(38,6)"), F.try_variant_get(r["v"], "$", "decimal(38,0)"), F.lit(0))
     parsed = F.when(s.rlike(r"^[+-]?[0-9]+$"), s.try_cast("int"))
     value = (F.when(t == "STRING", parsed)
              .when(_is_number(t) & b.isNotNull(), _low32(b))
-             .when(_is_number(t) & wide.isNotNull(), _wrap32(_truncate(wide))))
+             .when(_is_number(t), _wrap32(_truncate(wide))))
     error = (F.when(~_present(t), F.lit(f"Null {INT_FIELDS[field]}"))
              .when((t == "STRING") & parsed.isNull(), F.concat(F.lit('For input string: "'), s, F.lit('"')))
-             .when(_is_number(t) & b.isNull() & wide.isNull(), F.lit(f"{field} out of range"))
              .when((t != "STRING") & ~_is_number(t),
                    F.concat(F.lit("Unable to convert "), F.regexp_extract(t, r"^[A-Z]+", 0), F.lit(" to Integer"))))
     return value, error
@@ -127,7 +135,7 @@ def required_string(r: dict[str, Column], field: str) -> tuple[Column, Column]:
 
 def epoch_millis(r: dict[str, Column], field: str) -> tuple[Column, Column]:
     t, ms = r["t"], r["b"]
-    in_range = F.coalesce(ms.between(-62135596800000, 253402300799999), F.lit(False))
+    in_range = F.coalesce(ms.between(-MAX_EPOCH_MS, MAX_EPOCH_MS), F.lit(False))
     value = F.when(_is_number(t) & in_range, F.timestamp_millis(ms))
     error = (F.when(~_present(t), F.lit(NULL_TIMESTAMP))
              .when(~_is_number(t), F.lit(f"{field} is not a number"))
@@ -185,15 +193,10 @@ def parse_messages(messages: DataFrame, converters: dict | None = None,
     """
     conv = CONVERTERS if converters is None else converters
     v = "__text"
-    keys = F.json_object_keys(F.col(v))
     staged = bind(messages, payload_text(F.col("payload")).alias(v), payload_type(F.col("attributes")).alias("__ptype"))
-    # Object with distinct keys → ok.  Otherwise (rare) a full parse tells junk from valid non-objects.
-    staged = bind(staged, keys.alias("__keys"))
-    distinct = F.size("__keys") == F.size(F.array_distinct("__keys"))
-    staged = staged.select(
-        "*", F.when(F.col("__keys").isNotNull(), distinct)
-              .otherwise(F.try_parse_json(F.col(v)).isNotNull()).alias("__json"),
-        (F.col("__keys").isNotNull() & distinct).alias("__obj")).drop("__keys")
+    staged = bind(staged, wrapped(F.col(v)).alias("__array"))
+    staged = staged.select("*", only_document(F.col("__array"), F.col(v)).isNotNull().alias("__json"),
+                           F.json_object_keys(F.col(v)).isNotNull().alias("__obj")).drop("__array")
     converted = (default or proxy_request)(staged, v, "__")
     err = F.col("__err")
     ev = {c: F.col(f"__ev_{c}") for c in EVENT_FIELDS}

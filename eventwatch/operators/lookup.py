@@ -1,21 +1,16 @@
-"""Lookups: process category (J1), last-wins dimension (A7), user profiles (J7), size-checked broadcast."""
+"""Lookups: process category (J1), last-wins dimension (A7), user profiles (J7).
+
+Joins carry no broadcast hint: adaptive execution broadcasts a side whose bytes, measured as it is computed, are
+under the session's threshold, and shuffles otherwise.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventwatch.config import UNKNOWN_CATEGORY
 
-# Broadcast only below this many rows (checked at run time); larger sides take a shuffle join.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only when the side is proven small; otherwise leave it to a shuffle join."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def process_dimension(process_info: DataFrame, order_col: str | None = "loaded_seq") -> DataFrame:
     """name → category, one row per name; a later row with the same name replaces an earlier one."""
@@ -26,11 +21,9 @@ def process_dimension(process_info: DataFrame, order_col: str | None = "loaded_s
     return rows.groupBy("process_name").agg(F.max_by("category", order_col).alias("category"))
 
 
-def enrich_category(events: DataFrame, dimension: DataFrame, broadcast_checked: bool = True) -> DataFrame:
+def enrich_category(events: DataFrame, dimension: DataFrame) -> DataFrame:
     """Left lookup by process name; a miss or a null name gives 'UNKNOWN'."""
     dim = dimension.select("process_name", F.col("category").alias("__category"))
-    if broadcast_checked:
-        dim = sized_broadcast(dim)
     return (events.join(dim, on="process_name", how="left")
             .withColumn("category", F.coalesce("__category", F.lit(UNKNOWN_CATEGORY))).drop("__category"))
 
@@ -59,9 +52,3 @@ def derive_user_profiles(events: DataFrame, min_banned: int = 20) -> DataFrame:
             .agg(F.count(F.when(F.col("process_name").contains("virus"), 1)).alias("__n"))
             .filter(F.col("__n") >= min_banned)
             .select("user_id", F.lit("suspicious").alias("status")))
-
-
-def latest_row(df: DataFrame, key: str, order_col: str) -> DataFrame:
-    """Row-number form of last-wins (kept for tables where whole rows, not one column, must win)."""
-    w = Window.partitionBy(key).orderBy(F.col(order_col).desc())
-    return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")

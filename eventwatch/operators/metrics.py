@@ -15,6 +15,7 @@ def message_counters(parsed: DataFrame) -> list:
 def observe_messages(parsed: DataFrame, name: str = "pipeline_counters") -> tuple[DataFrame, Observation | str]:
     """Attach counters to a frame; batch → Observation, stream → StreamingQueryProgress.observedMetrics."""
     if parsed.isStreaming:
-        return parsed.observe(name, *message_counters(parsed)), name
+        more = [F.count(F.when(F.col("source") == 1, 1)).alias("first_source")] if "source" in parsed.columns else []
+        return parsed.observe(name, *message_counters(parsed), *more), name
     obs = Observation(name)
     return parsed.observe(obs, *message_counters(parsed)), obs

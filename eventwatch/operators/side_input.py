@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventwatch.operators.sessions import interval_ms
+
 
 def window_sum(df: DataFrame, ts: str, value: str, duration: str = "1 second") -> DataFrame:
     """Global sum per fixed window; windows without elements give no row."""
@@ -35,9 +37,9 @@ def side_input_stream(spark, side_rate: str = "5 seconds", main_rows_per_second:
             .withWatermark("timestamp", "0 seconds")
             .groupBy(F.window("timestamp", "1 second").alias("w")).agg(F.sum("value").alias("sum_value"))
             .select(F.col("w.start").alias("window_start"), "sum_value"))
-    period_s = float(side_rate.split()[0])
+    period_s = max(1, interval_ms(side_rate) // 1000)   # the rate source ticks once a second
     side = (spark.readStream.format("rate").option("rowsPerSecond", 1).load()
-            .filter((F.col("value") % F.lit(int(period_s))) == 0)
+            .filter((F.col("value") % F.lit(period_s)) == 0)
             .select("timestamp", F.create_map(F.lit("Key_A"), F.date_format("timestamp", "HH:mm:ss")).alias("side")))
     return main, side
 

@@ -239,6 +239,26 @@ pinfo AS (
     "parse_reasons": _w("", "SELECT message_id, failure_reason FROM parsed"),
     "payload_dispatch": _w("", """SELECT message_id, coalesce(payload_type, 'Other') AS payload_type,
   CASE WHEN coalesce(payload_type, 'Other') = 'type A' THEN 'type A' ELSE 'proxy-request' END AS converter FROM msgs"""),
+    "parse_edges": _w("", """SELECT message_id, CASE WHEN bad THEN 'Failed to parse: malformed JSON' ELSE failure_reason END AS failure_reason,
+  CASE WHEN NOT bad AND failure_reason IS NULL THEN CASE WHEN event_id % 41 = 0 THEN 0 ELSE v_sent END END AS bytes_sent,
+  CASE WHEN NOT bad AND failure_reason IS NULL THEN CAST(s_ts AS BIGINT)
+    * CASE WHEN event_id % 43 = 0 AND event_id % 41 <> 0 THEN 1000 ELSE 1 END END AS request_ms
+  FROM (SELECT *, event_id % 31 = 0 OR event_id % 37 = 0 AS bad FROM parsed)"""),
+    "rejected_report": _w("", """SELECT time_bucket(INTERVAL 2 MINUTE, publish_ts) AS window_start,
+  time_bucket(INTERVAL 2 MINUTE, publish_ts) + INTERVAL 2 MINUTE AS window_end, count(*) AS failed_rows
+  FROM valid WHERE event_id % 41 = 0 GROUP BY 1, 2"""),
+    "new_host_repeats": _w(""",
+rep AS (
+  SELECT user_id, dst_ip, publish_ts, request_ts, CASE WHEN event_id % 60 <> 0 THEN message_id END AS message_id,
+         unnest(range(CASE WHEN event_id % 50 = 0 THEN 2 ELSE 1 END)) AS copy
+  FROM valid WHERE user_id IS NOT NULL
+),
+seen AS (
+  SELECT *, max(request_ts) OVER w AS prev_max, lag(publish_ts) OVER o AS prev_publish FROM rep
+  WINDOW w AS (PARTITION BY user_id, dst_ip ORDER BY publish_ts, message_id NULLS FIRST, copy ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+         o AS (PARTITION BY user_id, dst_ip ORDER BY publish_ts, message_id NULLS FIRST, copy)
+)""", """SELECT message_id, publish_ts, user_id, dst_ip, prev_max IS NULL OR (prev_publish < date_trunc('day', publish_ts)
+  AND prev_max <= date_trunc('day', publish_ts) - {retention}) AS newly_accessed_host FROM seen""".replace("{retention}", RETENTION)),
     "canonical_events": _w("", """SELECT request_ts, src_ip, dst_ip, dst_port, process_name, user_id, bytes_sent,
   bytes_received, publish_ts, message_id FROM valid"""),
     "lenient_int": _w("", "SELECT message_id, bytes_sent, bytes_received, dst_port FROM valid"),

@@ -6,16 +6,23 @@ streaming frames (the stream form of the per-user branch is ``streaming.user_sta
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventwatch.config import Options
+from eventwatch.config import PROCESS_REFRESH, Options, checkpoint_dir, materialize, path_exists
+from eventwatch.functions import formats
 from eventwatch.functions.parse import dead_letters, parse_messages, valid_events
-from eventwatch.operators.rules import UserRule, banned_process_rule
+from eventwatch.operators.lookup import enrich_category, process_dimension
+from eventwatch.operators.metrics import observe_messages
+from eventwatch.operators.rules import SessionRule, UserRule, banned_process_rule
 from eventwatch.operators.sessions import source_ip_findings
 from eventwatch.operators.user_branch import user_findings
+from eventwatch.schema import FINDINGS_REQUIRED
+from eventwatch.sinks import tables
+from eventwatch.streaming.refresh import Refreshing
 
 
 @dataclass
@@ -24,6 +31,7 @@ class Inputs:
     second_messages: DataFrame | None = None
     rules: list[UserRule] | None = None
     profiles: DataFrame | None = None
+    session_rules: list[SessionRule] | None = None
 
 
 @dataclass
@@ -47,92 +55,137 @@ def parsed_sources(inputs: Inputs) -> DataFrame:
 
 def canonical_events(inputs: Inputs, options: Options) -> tuple[DataFrame, DataFrame]:
     """(valid events of all sources, dead letters).  Second-source dead letters are dropped unless asked."""
-    parsed = parse_messages(inputs.messages)
-    events, dead = valid_events(parsed), dead_letters(parsed)
-    if inputs.second_messages is not None:
-        parsed2 = parse_messages(inputs.second_messages)
-        events = events.unionByName(valid_events(parsed2), allowMissingColumns=True)
-        if options.keep_all_dead_letters:
-            dead = dead.unionByName(dead_letters(parsed2))
-    return events, dead
+    parsed = parsed_sources(inputs)
+    refused = parsed if options.keep_all_dead_letters else parsed.filter(F.col("source") == 1)
+    return valid_events(parsed).drop("source"), dead_letters(refused)
 
 
 def main_processing(inputs: Inputs, options: Options) -> Outputs:
-    events, dead = canonical_events(inputs, options)
+    """Batch: every message is parsed once, into a table that all branches read (columns and filters pushed down)."""
+    parsed = materialize(parsed_sources(inputs))
+    events = valid_events(parsed).drop("source")
+    refused = parsed if options.keep_all_dead_letters else parsed.filter(F.col("source") == 1)
     uf = user_findings(events, inputs.rules, options.retention, inputs.profiles)
     sf = source_ip_findings(events, options.banned_processes, options.session_gap,
-                            [banned_process_rule(options.banned_processes)])
-    return Outputs(inputs.messages, events, dead, uf, sf, parsed_sources(inputs))
+                            inputs.session_rules or [banned_process_rule(options.banned_processes)])
+    return Outputs(inputs.messages, events, dead_letters(refused), uf, sf, parsed)
 
 
-def start_queries(outputs: Outputs, options: Options, first_messages: DataFrame | None = None,
-                  trigger: dict | None = None) -> list:
-    """Persist all outputs of a streaming ``main_processing``; one query per branch (G2).
+def streaming_processing(inputs: Inputs, options: Options, parsed: DataFrame | None = None) -> Outputs:
+    """Stream form of ``main_processing``; ``parsed`` is the stream of parsed messages if they were written already."""
+    from eventwatch.streaming.sessions import session_findings_stream
+    from eventwatch.streaming.user_state import user_findings_stream
 
-    Events and dead letters share one ``foreachBatch`` over the parsed messages (each batch is parsed
-    once, persisted, and split; counters are observed on it); user findings go to the findings table and
-    topic; source-address findings go to the topic; the raw export (first source only) is optional.
-    Checkpoints live under ``options.checkpoint_dir``.  Returns the queries; with counters observed the
-    first query's progress carries ``observedMetrics['pipeline_counters']``.
-    """
-    from eventwatch.functions.parse import dead_letters as dead_of, valid_events
-    from eventwatch.operators.metrics import observe_messages
-    from eventwatch.config import checkpoint_dir
-    from eventwatch.functions import formats
-    from eventwatch.sinks import tables
+    parsed = parsed_sources(inputs) if parsed is None else parsed
+    events = valid_events(parsed).drop("source")
+    refused = parsed if options.keep_all_dead_letters else parsed.filter(F.col("source") == 1)
+    uf = user_findings_stream(events, inputs.rules, options.hold, options.retention, options.clock, profiles=inputs.profiles)
+    if options.late_panes:  # exact: on-time pane, then one pane per late element (new elements only)
+        from eventwatch.streaming.late_panes import pane_findings, session_panes_stream
+        sf = pane_findings(session_panes_stream(events, options.banned_processes, options.session_gap,
+                                                options.allowed_lateness)).drop("pane")
+    else:                   # default: one complete finding per session when the watermark passes it
+        sf = session_findings_stream(events, options.banned_processes, options.session_gap,
+                                     options.allowed_lateness, inputs.session_rules)
+    return Outputs(inputs.messages, events, dead_letters(refused), uf, sf, parsed)
+
+
+def _start(writer, trigger: dict | None):
+    return (writer.trigger(**trigger) if trigger else writer).start()
+
+
+def start_monitor(spark: SparkSession, inputs: Inputs, options: Options, trigger: dict | None = None) -> list:
+    """Start the whole monitor on streaming inputs; returns its queries, the first one is the parser.
 
-    spark = outputs.events.sparkSession
+    The parser is the only query that reads the sources: it writes all parsed messages as an exactly-once file log
+    (and observes the counters), from which the other queries read columns. With an ``availableNow`` trigger the
+    others start when the parser is done.
+    """
+    base = options.checkpoint_dir or checkpoint_dir(spark)
+    if not options.create_tables:
+        for name in (options.events_table, options.findings_table, options.invalid_messages_table):
+            tables.require_table(spark, f"{options.output_dir}/{name}")
+    else:
+        tables.create_tables(spark, options.output_dir, options.events_table, options.findings_table, options.invalid_messages_table)
+    parsed = parsed_sources(inputs)
+    log = f"{base}/parsed_log"
+    observed, _ = observe_messages(parsed)
+    queries = [_start(observed.writeStream.format("parquet").option("path", log).option("checkpointLocation", f"{base}/parse").queryName("parse"), trigger)]
+    if trigger and trigger.get("availableNow"):
+        queries[0].awaitTermination()
+    while queries[0].isActive and not path_exists(spark, f"{log}/_spark_metadata"):
+        time.sleep(0.2)
+    stream = spark.readStream.schema(parsed.schema).parquet(log)
+    outputs = streaming_processing(inputs, options, stream)
+    return queries + start_queries(outputs, options, trigger=trigger)
+
+
+def start_queries(outputs: Outputs, options: Options, trigger: dict | None = None) -> list:
+    """Persist all outputs of a streaming ``main_processing`` (G2), one query per branch.
+
+    Events, dead letters and the raw export share one ``foreachBatch`` over the parsed messages; user findings go to
+    the findings table and topic; source-address findings go to the topic. Rows that a table refuses go to its
+    rejects. Every micro-batch writes a slice named by its query's id and number.
+    """
+    spark = outputs.parsed.sparkSession
     base = options.checkpoint_dir or checkpoint_dir(spark)
     out = options.output_dir
-    queries = []
-
-    def write_messages(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        tables.write_events(valid_events(batch).drop("source"), f"{out}/{options.events_table}", batch_id)
+    must = not options.create_tables
+    dimension = None
+    if options.process_info_path:
+        dimension = Refreshing(lambda: process_dimension(spark.read.parquet(options.process_info_path)), PROCESS_REFRESH)
+
+    def in_slices(name: str, fn):
+        def run(batch: DataFrame, batch_id: int) -> None:
+            batch.persist()
+            try:
+                fn(batch, tables.slice_of(batch.sparkSession, f"{base}/{name}", batch_id))
+            finally:
+                batch.unpersist()
+        return run
+
+    def topic(values: DataFrame, kind: str, slice_id: str) -> None:
+        if options.findings_topic and options.topic_format == "kafka":
+            tables.write_topic(values, options.findings_topic, "kafka", options=options.topic_options)
+        elif options.findings_topic:
+            tables.write_topic(values, f"{options.findings_topic}/{kind}", slice_id=slice_id)
+
+    def write_messages(batch: DataFrame, slice_id: str) -> None:
+        events = valid_events(batch).drop("source")
+        if dimension is not None:
+            events = enrich_category(events, dimension.get())
+        tables.write_events(events, f"{out}/{options.events_table}", slice_id, must)
         dead = batch if options.keep_all_dead_letters else batch.filter(F.col("source") == 1)
-        tables.write_dead_letters(dead_of(dead), f"{out}/{options.invalid_messages_table}", batch_id)
-        batch.unpersist()
-
-    def write_user(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        tables.write_user_findings(batch, f"{out}/{options.findings_table}", batch_id)
-        if options.findings_topic:
-            tables.write_topic(formats.user_finding_json(batch), f"{options.findings_topic}/user", batch_id=batch_id)
-        batch.unpersist()
-
-    def write_source(batch: DataFrame, batch_id: int) -> None:
-        if options.findings_topic:
-            tables.write_topic(formats.source_finding_json(batch), f"{options.findings_topic}/source",
-                               batch_id=batch_id)
-
-    parsed = outputs.parsed if outputs.parsed is not None else outputs.events
-    observed, _ = observe_messages(parsed)
-    for name, df, fn in (("messages", observed, write_messages),
-                         ("user_findings", outputs.user_findings, write_user),
+        tables.write_dead_letters(dead_letters(dead), f"{out}/{options.invalid_messages_table}", slice_id, must)
+        if options.export_dir:
+            tables.export_raw(batch.filter(F.col("source") == 1), f"{options.export_dir}/data", slice_id=slice_id)
+
+    def write_user(batch: DataFrame, slice_id: str) -> None:
+        tables.write_user_findings(batch, f"{out}/{options.findings_table}", slice_id, must)
+        topic(formats.user_finding_json(batch), "user", slice_id)
+
+    def write_source(batch: DataFrame, slice_id: str) -> None:
+        topic(formats.source_finding_json(batch), "source", slice_id)
+
+    queries = []
+    for name, df, fn in (("messages", outputs.parsed, write_messages), ("user_findings", outputs.user_findings, write_user),
                          ("source_findings", outputs.source_ip_findings, write_source)):
-        w = df.writeStream.foreachBatch(fn).option("checkpointLocation", f"{base}/{name}").queryName(name)
-        queries.append((w.trigger(**trigger) if trigger else w).start())
-    if options.export_dir and first_messages is not None:
-        w = (formats.normalised_json(first_messages)
-             .select(*formats.export_partitions(F.col("publish_ts")), "value")
-             .writeStream.format("text").partitionBy("eventDate", "eventHour", "eventMinute")
-             .option("path", f"{options.export_dir}/data").option("checkpointLocation", f"{base}/export"))
-        queries.append((w.trigger(**trigger) if trigger else w).start())
+        w = df.writeStream.foreachBatch(in_slices(name, fn)).option("checkpointLocation", f"{base}/{name}").queryName(name)
+        queries.append(_start(w, trigger))
     return queries
 
 
-def streaming_processing(inputs: Inputs, options: Options) -> Outputs:
-    """Stream form of ``main_processing``: the user branch through ``transformWithStateInPandas``."""
-    from eventwatch.streaming.sessions import session_findings_stream
-    from eventwatch.streaming.user_state import user_findings_stream
+def start_ingest(spark: SparkSession, topic: str, options: Options, trigger: dict | None = None):
+    """Findings topic -> findings table (S9): source-address findings, written as they come."""
+    base = options.checkpoint_dir or checkpoint_dir(spark)
 
-    events, dead = canonical_events(inputs, options)
-    uf = user_findings_stream(events, inputs.rules, options.hold, options.retention, options.clock)
-    if options.late_panes:  # exact: on-time pane, then one pane per late element (new elements only)
-        from eventwatch.streaming.late_panes import pane_findings, session_panes_stream
-        sf = pane_findings(session_panes_stream(events, options.banned_processes, options.session_gap,
-                                                options.allowed_lateness)).drop("pane")
-    else:                   # default: one complete finding per session when the watermark passes it
-        sf = session_findings_stream(events, options.banned_processes, options.session_gap,
-                                     options.allowed_lateness)
-    return Outputs(inputs.messages, events, dead, uf, sf, parsed_sources(inputs))
+    def write(batch: DataFrame, batch_id: int) -> None:
+        tables.append_partitioned(tables.ingest_findings(batch), f"{options.output_dir}/{options.findings_table}", "request_date",
+                                  "request_ts", FINDINGS_REQUIRED, tables.slice_of(batch.sparkSession, f"{base}/ingest", batch_id))
+
+    if options.topic_format == "kafka":
+        values = (spark.readStream.format("kafka").options(subscribe=topic, **options.topic_options).load()
+                  .select(F.col("value").cast("string").alias("value")))
+    else:
+        values = spark.readStream.schema("value STRING").text(f"{topic}/source")
+    return _start(values.writeStream.foreachBatch(write).option("checkpointLocation", f"{base}/ingest").queryName("ingest"), trigger)

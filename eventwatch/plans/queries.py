@@ -12,18 +12,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventwatch.config import (REPLAY_BANNED, REPLAY_HOLD, REPLAY_RETENTION, REPLAY_SESSION_GAP, ensure_utc,
-                               materialize)
+from eventwatch.config import (REPLAY_BANNED, REPLAY_HOLD, REPLAY_RETENTION, REPLAY_SESSION_GAP, SOURCE_FINDING_TYPE,
+                               USER_FINDING_TYPE, Options, ensure_utc, materialize)
 from eventwatch.functions import formats
-from eventwatch.functions.parse import dead_letters, parse_messages, payload_text, payload_type, valid_events
+from eventwatch.functions.parse import CONVERTERS, dead_letters, parse_messages, payload_text, payload_type, valid_events
 from eventwatch.operators import lookup, metrics, side_input, threshold
 from eventwatch.operators.rules import (banned_process_rule, default_user_rules, new_destination_host_rule,
                                         process_name_rule)
 from eventwatch.operators.sessions import session_findings, sessions
 from eventwatch.operators.user_branch import (held_findings, host_last_access, new_host_flags, user_events,
                                               user_findings, with_profile)
+from eventwatch.plans.pipeline import Inputs, main_processing
+from eventwatch.schema import EVENTS_REQUIRED
+from eventwatch.sinks.tables import ingest_findings, rejected_report, split_required
 from eventwatch.sources.adapter import event_fields, load_table, messages_from_events, split_sources
-from eventwatch.schema import FINDING_JSON
+from eventwatch.sources.messages import read_messages
 
 THRESHOLDS = [1_000, 10_000, 100_000, 1_000_000]
 CRITICAL_PATTERN = "another"
@@ -55,7 +58,9 @@ def _finding_cols(df: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
 # --- sources -------------------------------------------------------------------------------------
 
 def q_src_messages(spark, sf):
-    m = messages_from_events(spark, sf)
+    """Messages landed as files and read back by the message reader."""
+    landed = materialize(messages_from_events(spark, sf).drop("event_id"))
+    m = read_messages(spark, landed.inputFiles()[0].rsplit("/", 1)[0], "parquet", streaming=False)
     return m.select("message_id", ntz("publish_ts"), payload_text(F.col("payload")).alias("payload_text"),
                     F.col("attributes").getItem("payloadType").alias("payload_type"))
 
@@ -79,7 +84,27 @@ def q_payload_dispatch(spark, sf):
     m = messages_from_events(spark, sf)
     t = payload_type(F.col("attributes"))
     return m.select("message_id", t.alias("payload_type"),
-                    F.when(t == "type A", "type A").otherwise("proxy-request").alias("converter"))
+                    F.when(t.isin(list(CONVERTERS)), t).otherwise("proxy-request").alias("converter"))
+
+
+def q_parse_edges(spark, sf):
+    """Payloads with text behind the object, repeated nested keys, a number beyond 64 bits, microsecond stamps."""
+    eid, text = F.col("event_id"), payload_text(F.col("payload"))
+    edited = (F.when(eid % 31 == 0, F.concat(text, F.lit(" x")))
+              .when(eid % 37 == 0, F.concat(F.substring(text, F.lit(1), F.length(text) - 1), F.lit(', "extra": {"a": 1, "a": 2}}')))
+              .when(eid % 41 == 0, F.regexp_replace(text, r'"bytes_sent": [0-9.]+', '"bytes_sent": 1e40'))
+              .when(eid % 43 == 0, F.regexp_replace(text, r'("request_timestamp": [0-9]+)', "$1000"))
+              .otherwise(text))
+    m = messages_from_events(spark, sf).withColumn("payload", F.encode(edited, "UTF-8"))
+    return parse_messages(m).select("message_id", "failure_reason", "bytes_sent", F.unix_millis("request_ts").alias("request_ms"))
+
+
+def q_rejected_report(spark, sf):
+    """Event rows that lack a required column, per two-minute window of their publish time."""
+    ev = _events(spark, sf).withColumn("dst_port", F.when(F.col("event_id") % 41 != 0, F.col("dst_port")))
+    _, rejected = split_required(formats.event_rows(ev, "publish_ts"), EVENTS_REQUIRED)
+    r = rejected_report(rejected, "publish_ts")
+    return r.select(ntz("window_start"), ntz("window_end"), "failed_rows")
 
 
 def q_canonical_events(spark, sf):
@@ -137,6 +162,15 @@ def q_new_host_expiry(spark, sf):
         "message_id", "user_id", "dst_ip", "newly_accessed_host")
 
 
+def q_new_host_repeats(spark, sf):
+    """New hosts where every 50th message comes twice and every 60th has no id."""
+    eid = F.col("event_id")
+    m = messages_from_events(spark, sf).withColumn("message_id", F.when(eid % 60 != 0, F.col("message_id")))
+    m = m.withColumn("copy", F.explode(F.sequence(F.lit(1), F.when(eid % 50 == 0, 2).otherwise(1))))
+    flags = new_host_flags(valid_events(parse_messages(m)).select(*FLAG_COLUMNS), REPLAY_RETENTION)
+    return flags.select("message_id", ntz("publish_ts"), "user_id", "dst_ip", "newly_accessed_host")
+
+
 def q_host_last_access(spark, sf):
     return host_last_access(_events(spark, sf)).select("user_id", "dst_ip", ntz("last_access_ts"), "access_count")
 
@@ -228,10 +262,15 @@ def q_source_finding_json(spark, sf):
 
 # --- whole pipeline ------------------------------------------------------------------------------
 
+REPLAY_OPTIONS = Options(banned_processes=REPLAY_BANNED, session_gap=REPLAY_SESSION_GAP, retention=REPLAY_RETENTION)
+
+
 def q_all_findings(spark, sf):
-    ev = _events_once(spark, sf)
-    u = formats.user_finding_rows(_user_findings_replay(spark, sf, ev))
-    s = formats.source_finding_rows(_source_findings(spark, sf, ev))
+    """The main processing on two sources: findings of both branches."""
+    first, second = split_sources(messages_from_events(spark, sf))
+    out = main_processing(Inputs(first, second), REPLAY_OPTIONS)
+    u = formats.user_finding_rows(out.user_findings)
+    s = formats.source_finding_rows(out.source_ip_findings)
     return u.unionByName(s).select(ntz("request_ts"), "type", "source_ip", "user_id", "level", "description")
 
 
@@ -240,10 +279,8 @@ def q_findings_ingest(spark, sf):
     ev = _events_once(spark, sf)
     topic = (formats.user_finding_json(_user_findings_replay(spark, sf, ev))
              .unionByName(formats.source_finding_json(_source_findings(spark, sf, ev))))
-    row = F.from_json("value", FINDING_JSON)
-    return (topic.select(row.alias("r")).select("r.*")
-            .select(ntz(F.to_timestamp("request_ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"), "request_ts"),
-                    "type", "source_ip", "user_id", "level", "description"))
+    rows = ingest_findings(topic, (USER_FINDING_TYPE, SOURCE_FINDING_TYPE))
+    return rows.select(ntz("request_ts"), "type", "source_ip", "user_id", "level", "description")
 
 
 def q_event_rows(spark, sf):
@@ -284,7 +321,7 @@ def q_latest_side_input(spark, sf):
 
 
 def q_pipeline_counters(spark, sf):
-    p = materialize(_parsed(spark, sf))
+    p = materialize(_parsed(spark, sf).select("failure_reason", "payload", "attributes", *SESSION_COLUMNS))
     counts = p.agg(*metrics.message_counters(p))
     suspicious = _source_findings(spark, sf, valid_events(p)).agg(F.count(F.lit(1)).alias("suspicious_activity"))
     return counts.select("*", suspicious.select("suspicious_activity").scalar().alias("suspicious_activity"))
@@ -295,6 +332,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "process_dim": q_process_dim,
     "parse_reasons": q_parse_reasons,
     "payload_dispatch": q_payload_dispatch,
+    "parse_edges": q_parse_edges,
+    "rejected_report": q_rejected_report,
+    "new_host_repeats": q_new_host_repeats,
     "canonical_events": q_canonical_events,
     "lenient_int": q_lenient_int,
     "valid_events": q_valid_events,

@@ -9,22 +9,6 @@ MESSAGE = T.StructType([
     T.StructField("publish_ts", T.TimestampType(), True),
 ])
 
-EVENT_COLUMNS = ["request_ts", "src_ip", "dst_ip", "dst_port", "process_name", "user_id",
-                 "bytes_sent", "bytes_received"]
-
-EVENT = T.StructType([
-    T.StructField("request_ts", T.TimestampType(), True),
-    T.StructField("src_ip", T.StringType(), True),
-    T.StructField("dst_ip", T.StringType(), True),
-    T.StructField("dst_port", T.IntegerType(), True),
-    T.StructField("process_name", T.StringType(), True),
-    T.StructField("user_id", T.StringType(), True),
-    T.StructField("bytes_sent", T.IntegerType(), True),
-    T.StructField("bytes_received", T.IntegerType(), True),
-    T.StructField("publish_ts", T.TimestampType(), True),
-    T.StructField("message_id", T.StringType(), True),
-])
-
 FINDING_JSON = T.StructType([
     T.StructField("type", T.StringType(), True),
     T.StructField("request_ts", T.StringType(), True),
@@ -61,15 +45,11 @@ FINDINGS_REQUIRED = ["request_ts", "type", "level", "description"]
 INVALID_MESSAGES_TABLE = T.StructType([
     T.StructField("published_ts", T.TimestampType(), False),
     T.StructField("failure_reason", T.StringType(), False),
-    T.StructField("message_id", T.StringType(), False),
+    T.StructField("message_id", T.StringType(), True),
     T.StructField("payload_string", T.StringType(), True),
     T.StructField("payload_bytes", T.BinaryType(), True),
     T.StructField("attributes", T.ArrayType(T.StructType([
         T.StructField("name", T.StringType(), False),
         T.StructField("value", T.StringType(), False)])), True),
 ])
-INVALID_REQUIRED = ["published_ts", "failure_reason", "message_id"]
-
-PROCESS_INFO = "user_id STRING, process_name STRING, category STRING, description STRING"
-USER_RULES = "rule_id STRING, kind STRING, level STRING, pattern STRING, enabled BOOLEAN"
-USER_PROFILE = "user_id STRING, status STRING"
+INVALID_REQUIRED = ["published_ts", "failure_reason"]   # a message may come without an id

@@ -1,86 +1,108 @@
 """Table, topic and export writers, idempotent per micro-batch.
 
-Each writer takes a static DataFrame (a micro-batch inside ``foreachBatch``, or a batch replay).
-Rows missing a required column go to a rejects table instead of failing the write; they are counted
-per fixed window like the monitored system's failed-insert report.
+Each writer takes a static DataFrame (a micro-batch inside ``foreachBatch``, or a batch replay). With a slice (see
+``slice_of``) a write replaces only that slice, so a retried micro-batch is not there twice, while a new query, with
+its new checkpoint, adds slices of its own and never overwrites. Rows that miss a required column go to the table's
+rejects (``<table>_rejected``) and are counted per fixed window like the monitored system's failed-insert report.
 """
 
 from __future__ import annotations
 
-import os
+import json
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventwatch.config import FAILED_INSERT_WINDOW
+from eventwatch.config import FAILED_INSERT_WINDOW, path_exists
 from eventwatch.functions import formats
-from eventwatch.schema import EVENTS_REQUIRED, FINDINGS_REQUIRED, INVALID_REQUIRED
+from eventwatch.schema import EVENTS_REQUIRED, EVENTS_TABLE, FINDINGS_REQUIRED, FINDINGS_TABLE, INVALID_MESSAGES_TABLE, INVALID_REQUIRED
 
 
 class TableMissing(RuntimeError):
     pass
 
 
-def _exists(path: str) -> bool:
-    return os.path.isdir(path.replace("file:", "")) if "://" not in path or path.startswith("file:") else True
+def create_tables(spark: SparkSession, output_dir: str, events: str = "events", findings: str = "findings",
+                  invalid: str = "invalid_messages") -> None:
+    """Make the (empty) tables that the monitor appends to; tables that are there stay."""
+    for name, schema in ((events, EVENTS_TABLE), (findings, FINDINGS_TABLE), (invalid, INVALID_MESSAGES_TABLE)):
+        if not path_exists(spark, f"{output_dir}/{name}"):
+            spark.createDataFrame([], schema).write.parquet(f"{output_dir}/{name}")
 
 
-def append_partitioned(df: DataFrame, path: str, date_col: str, ts_col: str, required: list[str],
-                       batch_id: int | None = None, must_exist: bool = False) -> DataFrame:
-    """Append rows to a parquet table partitioned by day of ``ts_col``; returns the rejected rows.
-
-    With a batch id, the write replaces only that batch's partition slice (``batch_id`` column), so a
-    retried micro-batch does not duplicate rows.
-    """
-    if must_exist and not _exists(path):
+def require_table(spark: SparkSession, path: str) -> None:
+    if not path_exists(spark, path):
         raise TableMissing(path)
+
+
+def slice_of(spark: SparkSession, checkpoint: str, batch_id: int) -> str:
+    """Name of a micro-batch: the streaming query's id, kept in its checkpoint, and the batch's number."""
+    meta = spark.read.text(f"{checkpoint}/metadata").first()
+    return f"{json.loads(meta[0])['id']}-{batch_id}"
+
+
+def split_required(rows: DataFrame, required: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows that have every required column, the others)."""
     ok = F.lit(True)
     for c in required:
         ok = ok & F.col(c).isNotNull()
-    staged = df.withColumn("__ok", ok).withColumn(date_col, F.to_date(ts_col))
-    good = staged.filter("__ok").drop("__ok")
-    if batch_id is not None:
-        good = good.withColumn("batch_id", F.lit(batch_id))
-        (good.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(date_col, "batch_id").parquet(path))
+    return rows.filter(ok), rows.filter(~ok)
+
+
+def _write(df: DataFrame, path: str, columns: list[str], slice_id: str | None, fmt: str) -> None:
+    if slice_id is None:
+        w = df.write.mode("append")
     else:
-        good.write.mode("append").partitionBy(date_col).parquet(path)
-    return staged.filter(~F.col("__ok")).drop("__ok")
+        df = df.withColumn("slice", F.lit(slice_id))
+        w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        columns = [*columns, "slice"]
+    (w.partitionBy(*columns) if columns else w).format(fmt).save(path)
+
+
+def append_partitioned(df: DataFrame, path: str, date_col: str, ts_col: str, required: list[str],
+                       slice_id: str | None = None, must_exist: bool = False) -> DataFrame:
+    """Append rows to a parquet table partitioned by day of ``ts_col``; the others go to its rejects and are returned."""
+    if must_exist:
+        require_table(df.sparkSession, path)
+    good, rejected = split_required(df, required)
+    _write(good.withColumn(date_col, F.to_date(ts_col)), path, [date_col], slice_id, "parquet")
+    _write(rejected.withColumn("rejected_ts", F.current_timestamp()), f"{path}_rejected", [], slice_id, "parquet")
+    return rejected
 
 
-def rejected_report(rejected: DataFrame, ts_col: str, window: str = FAILED_INSERT_WINDOW) -> DataFrame:
-    return rejected.groupBy(F.window(ts_col, window).alias("w")).agg(F.count(F.lit(1)).alias("failed_rows"))
+def rejected_report(rejected: DataFrame, ts_col: str = "rejected_ts", window: str = FAILED_INSERT_WINDOW) -> DataFrame:
+    """Rejected rows per window."""
+    return (rejected.groupBy(F.window(ts_col, window).alias("w")).agg(F.count(F.lit(1)).alias("failed_rows"))
+            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "failed_rows"))
 
 
-def write_events(events: DataFrame, path: str, batch_id: int | None = None) -> DataFrame:
-    return append_partitioned(formats.event_rows(events), path, "request_date", "request_ts", EVENTS_REQUIRED,
-                              batch_id)
+def write_events(events: DataFrame, path: str, slice_id: str | None = None, must_exist: bool = False) -> DataFrame:
+    rows = formats.event_rows(events)
+    if "category" in events.columns:
+        rows = formats.event_rows(events, "category")
+    return append_partitioned(rows, path, "request_date", "request_ts", EVENTS_REQUIRED, slice_id, must_exist)
 
 
-def write_dead_letters(dead: DataFrame, path: str, batch_id: int | None = None) -> DataFrame:
+def write_dead_letters(dead: DataFrame, path: str, slice_id: str | None = None, must_exist: bool = False) -> DataFrame:
     return append_partitioned(formats.dead_letter_rows(dead), path, "published_date", "published_ts",
-                              INVALID_REQUIRED, batch_id)
+                              INVALID_REQUIRED, slice_id, must_exist)
 
 
-def write_user_findings(findings: DataFrame, path: str, batch_id: int | None = None) -> DataFrame:
+def write_user_findings(findings: DataFrame, path: str, slice_id: str | None = None, must_exist: bool = False) -> DataFrame:
     return append_partitioned(formats.user_finding_rows(findings), path, "request_date", "request_ts",
-                              FINDINGS_REQUIRED, batch_id)
+                              FINDINGS_REQUIRED, slice_id, must_exist)
 
 
-def write_topic(json_values: DataFrame, target: str, fmt: str = "json", batch_id: int | None = None) -> None:
-    """Publish JSON strings (column ``value``): a directory of JSON-lines files, or a Kafka topic."""
+def write_topic(json_values: DataFrame, target: str, fmt: str = "json", slice_id: str | None = None,
+                options: dict | None = None) -> None:
+    """Publish JSON strings (column ``value``): a directory of JSON-lines files, or a Kafka topic (at least once)."""
     if fmt == "kafka":
-        json_values.write.format("kafka").option("topic", target).save()
-        return
-    if batch_id is None:
-        json_values.select("value").write.mode("append").text(target)
+        json_values.select("value").write.format("kafka").options(**(options or {})).option("topic", target).save()
         return
-    # One directory per micro-batch (batch_id=N), replaced on retry: JSON lines, exactly once per batch.
-    (json_values.select("value", F.lit(batch_id).alias("batch_id")).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").text(target))
+    _write(json_values.select("value"), target, [], slice_id, "text")
 
 
-def export_raw(messages: DataFrame, path: str, one_file_per_window: bool = False) -> None:
+def export_raw(messages: DataFrame, path: str, one_file_per_window: bool = False, slice_id: str | None = None) -> None:
     """Raw JSON export (first source only) under eventDate=/eventHour=/eventMinute=/.
 
     Default: range-partitioned on publish time, so a minute normally lands in one file and a very busy
@@ -92,8 +114,7 @@ def export_raw(messages: DataFrame, path: str, one_file_per_window: bool = False
     staged = n.select(*parts, "value", "publish_ts")
     staged = (staged.repartition("eventDate", "eventHour", "eventMinute") if one_file_per_window
               else staged.repartitionByRange("publish_ts"))
-    (staged.drop("publish_ts").write.mode("append")
-     .partitionBy("eventDate", "eventHour", "eventMinute").text(path))
+    _write(staged.drop("publish_ts"), path, ["eventDate", "eventHour", "eventMinute"], slice_id, "text")
 
 
 def ingest_findings(topic_values: DataFrame, types: tuple[str, ...] = ("source-ip-finding",)) -> DataFrame:

@@ -5,9 +5,12 @@ All produce the message envelope (payload, attributes, message_id, publish_ts),
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventwatch.config import ACCEPTED_FILE_PATTERN
 from eventwatch.schema import MESSAGE
 
 JSON_GLOB = "*.{json,JSON}"
@@ -33,25 +36,43 @@ def read_messages(spark: SparkSession, path: str, fmt: str = "parquet", streamin
 
 
 def read_json_lines(spark: SparkSession, paths: list[str], streaming: bool = False) -> DataFrame:
-    """File-list source: every line of every ``.json``/``.JSON`` file is one message.
+    """File-list source: every line of every ``.json``/``.JSON`` file of every path or glob is one message.
 
     Other extensions are refused by the glob filter.  The message id is the file path plus a hash of the
-    line; the publish time is the file's modification time.
+    line; the publish time is the file's modification time.  A stream reads each path as a source of its own.
     """
     reader = spark.readStream if streaming else spark.read
-    raw = reader.option("pathGlobFilter", JSON_GLOB).text(paths if not streaming else paths[0])
+    read = reader.option("pathGlobFilter", JSON_GLOB)
+    columns = ["value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_modification_time").alias("file_time")]
+    raw = (reduce(DataFrame.union, [read.text(p).select(*columns) for p in paths]) if streaming else read.text(paths).select(*columns))
     return raw.select(
         F.encode("value", "UTF-8").alias("payload"),
         F.lit(None).cast("map<string,string>").alias("attributes"),
-        F.concat_ws("#", F.col("_metadata.file_path"), F.sha2("value", 256)).alias("message_id"),
-        F.col("_metadata.file_modification_time").alias("publish_ts"))
+        F.concat_ws("#", "file_path", F.sha2("value", 256)).alias("message_id"),
+        F.col("file_time").alias("publish_ts"))
+
+
+def file_counters(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Counters of the extension filter: accepted_files, rejected_files."""
+    ok = F.col("accepted")
+    return accepted_files(spark, paths).agg(F.count(F.when(ok, 1)).alias("accepted_files"), F.count(F.when(~ok, 1)).alias("rejected_files"))
+
+
+def payload_messages(payloads: DataFrame, column: str = "payload", publish_col: str | None = None) -> DataFrame:
+    """A collection of raw JSON payloads (text or bytes) as messages: no attributes, no id; published now unless a
+    column says when."""
+    c = F.col(column)
+    body = c if dict(payloads.dtypes)[column] == "binary" else F.encode(c, "UTF-8")
+    return payloads.select(body.alias("payload"), F.lit(None).cast("map<string,string>").alias("attributes"),
+                           F.lit(None).cast("string").alias("message_id"),
+                           (F.col(publish_col) if publish_col else F.current_timestamp()).alias("publish_ts"))
 
 
 def accepted_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Listed files with their verdict (counters: accepted / rejected) — the extension filter as data."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(paths)
              .select(F.col("path")))
-    return files.withColumn("accepted", F.col("path").rlike(r"(^.*\.(json|JSON)$)"))
+    return files.withColumn("accepted", F.col("path").rlike(ACCEPTED_FILE_PATTERN))
 
 
 def csv_first_column(spark: SparkSession, path: str) -> DataFrame:
@@ -61,8 +82,12 @@ def csv_first_column(spark: SparkSession, path: str) -> DataFrame:
 
 
 def lines_to_messages(lines: DataFrame, publish_col: str | None = None) -> DataFrame:
-    """Replay text lines as messages (line → payload), e.g. to feed a landing directory or topic."""
+    """Replay text lines as messages (line → payload), e.g. to feed a landing directory or topic.
+
+    Ids are numbered by partition and line, so equal lines stay two messages.
+    """
     pub = F.col(publish_col) if publish_col else F.current_timestamp()
     return lines.select(F.encode("value", "UTF-8").alias("payload"),
                         F.lit(None).cast("map<string,string>").alias("attributes"),
-                        F.sha2("value", 256).alias("message_id"), pub.alias("publish_ts"))
+                        F.concat_ws("#", F.monotonically_increasing_id().cast("string"), F.sha2("value", 256)).alias("message_id"),
+                        pub.alias("publish_ts"))

@@ -30,68 +30,74 @@ PANES = ("source_ip STRING, session_start_ms LONG, session_end_ms LONG, pane STR
 
 
 class SessionPaneProcessor(StatefulProcessor):
+    """Per source address: sessions (start, end, fired, elements not fired yet) and the banned hits not fired yet."""
+
     def __init__(self, gap_ms: int, lateness_ms: int, banned: list[str]):
         self.gap, self.late, self.banned = gap_ms, lateness_ms, set(banned)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.sessions = handle.getListState("sessions", "start LONG, end LONG, fired BOOLEAN")
-        self.pending = handle.getListState("pending", "t LONG, message_id STRING, process_name STRING")
-
-    def _pane(self, key: str, s: tuple, kind: str, elems: list[tuple]) -> tuple:
-        names = [e[2] for e in sorted(elems, key=lambda e: (e[0], e[1])) if e[2] in self.banned]
-        return (key, s[0], s[1], kind, len(elems), BANNED_SEPARATOR.join(names) if names else None)
-
-    def _flush(self, key: str, now: int) -> list[tuple]:
-        """Fire sessions whose end the newest time has passed; late elements of fired sessions fire too."""
-        sessions = [tuple(s) for s in self.sessions.get()]
-        pending = [tuple(p) for p in self.pending.get()]
-        out, keep_p, keep_s = [], [], []
-        for s in sorted(sessions):
-            mine = [p for p in pending if s[0] <= p[0] < s[1]]
-            if now >= s[1] and mine:
-                out.append(self._pane(key, s, "late" if s[2] else "on_time", mine))
-                s = (s[0], s[1], True)
-            elif mine:
-                keep_p += mine
-            if now < s[1] + self.late:             # still within the allowed lateness: keep the window
-                keep_s.append(s)
-                if not s[2]:
-                    self.handle.registerTimer(s[1] - self.late)
-                self.handle.registerTimer(s[1])   # garbage collection at end + lateness
-        self.sessions.put(keep_s) if keep_s else self.sessions.clear()
-        self.pending.put(keep_p) if keep_p else self.pending.clear()
-        return out
+        self.sessions = handle.getListState("sessions", "start LONG, end LONG, fired BOOLEAN, n LONG")
+        self.hits = handle.getListState("hits", "t LONG, message_id STRING, process_name STRING")
+
+    @staticmethod
+    def _merged(sessions: list[tuple]) -> list[tuple]:
+        """Overlapping sessions become one; a single sweep in order of start."""
+        out: list[list] = []
+        for start, end, fired, n in sorted(sessions):
+            if out and start < out[-1][1]:
+                out[-1][1:] = [max(out[-1][1], end), out[-1][2] or fired, out[-1][3] + n]
+            else:
+                out.append([start, end, fired, n])
+        return [tuple(s) for s in out]
+
+    def _fire(self, key: str, sessions: list[tuple], hits: list[tuple], now: int) -> tuple[list[tuple], list[tuple], list[tuple]]:
+        """Panes of sessions whose end the newest time has passed, and what stays; sessions and hits are in order."""
+        out, keep_s, keep_h, at = [], [], [], 0
+        for start, end, fired, n in sessions:
+            mine = []
+            while at < len(hits) and hits[at][0] < end:
+                mine.append(hits[at])
+                at += 1
+            if now >= end and n:
+                names = [h[2] for h in mine]
+                out.append((key, start, end, "late" if fired else "on_time", n, BANNED_SEPARATOR.join(names) if names else None))
+                fired, n, mine = True, 0, []
+            keep_h += mine
+            if now < end + self.late:             # still within the allowed lateness: keep the window
+                keep_s.append((start, end, fired, n))
+                if not fired:
+                    self.handle.registerTimer(end - self.late)
+                self.handle.registerTimer(end)    # garbage collection at end + lateness
+        return out, keep_s, keep_h
+
+    def _store(self, sessions: list[tuple], hits: list[tuple]) -> None:
+        self.sessions.put(sessions) if sessions else self.sessions.clear()
+        self.hits.put(hits) if hits else self.hits.clear()
+
+    def _loaded(self) -> tuple[list[tuple], list[tuple]]:
+        return sorted(tuple(s) for s in self.sessions.get()), sorted((tuple(h) for h in self.hits.get()), key=lambda h: (h[0], h[1] or ""))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         src = key[0]
         now = timerValues.getCurrentWatermarkInMs() + self.late
-        out = self._flush(src, now)
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["t", "message_id"], kind="mergesort")
-        sessions = [tuple(s) for s in self.sessions.get()]
-        pending = [tuple(p) for p in self.pending.get()]
-        for r in pdf.itertuples(index=False):
-            t = int(r.t)
-            if t + self.gap + self.late <= now:     # its window is already past the allowed lateness
-                continue
-            lo, hi, fired = t, t + self.gap, False
-            rest = []
-            for s in sessions:
-                if s[0] < hi and lo < s[1]:
-                    lo, hi, fired = min(lo, s[0]), max(hi, s[1]), fired or s[2]
-                else:
-                    rest.append(s)
-            sessions = rest + [(lo, hi, fired)]
-            pending.append((t, r.message_id, r.process_name if isinstance(r.process_name, str) else None))
-        self.sessions.put(sessions) if sessions else self.sessions.clear()
-        self.pending.put(pending) if pending else self.pending.clear()
-        out += self._flush(src, now)
-        if out:
-            yield pd.DataFrame(out, columns=["source_ip", "session_start_ms", "session_end_ms", "pane",
-                                             "n_elements", "banned"])
+        out, sessions, hits = self._fire(src, *self._loaded(), now)
+        for pdf in rows:
+            pdf = pdf[pdf["t"] + self.gap + self.late > now]   # else the window is past the allowed lateness
+            n = pdf["t"].value_counts()
+            sessions = self._merged(sessions + [(int(t), int(t) + self.gap, False, int(c)) for t, c in n.items()])
+            bad = pdf[pdf["process_name"].isin(self.banned)]
+            hits += list(zip(bad["t"].astype(int).tolist(), bad["message_id"].tolist(), bad["process_name"].tolist()))
+        hits.sort(key=lambda h: (h[0], h[1] or ""))
+        more, sessions, hits = self._fire(src, sessions, hits, now)
+        self._store(sessions, hits)
+        if out + more:
+            yield pd.DataFrame(out + more, columns=["source_ip", "session_start_ms", "session_end_ms", "pane",
+                                                    "n_elements", "banned"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        out = self._flush(key[0], timerValues.getCurrentWatermarkInMs() + self.late)
+        out, sessions, hits = self._fire(key[0], *self._loaded(), timerValues.getCurrentWatermarkInMs() + self.late)
+        self._store(sessions, hits)
         if out:
             yield pd.DataFrame(out, columns=["source_ip", "session_start_ms", "session_end_ms", "pane",
                                              "n_elements", "banned"])

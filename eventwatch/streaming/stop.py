@@ -1,17 +1,27 @@
-"""Stop a streaming query after N input messages: cancel at once, or drain what is available first."""
+"""Stop a streaming query after N input messages: cancel at once, or drain first.
+
+Draining lets the query finish the data that was there when the instruction came, up to a time limit: on a live
+topic new messages never end, so waiting until nothing is left may never return.
+"""
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from eventwatch.operators.threshold import HowToStop, StopInstruction, crossing
 
 
 class StopAfter(StreamingQueryListener):
-    """Counts input rows of the watched query from progress events; fires once on crossing ``limit``."""
+    """Counts the watched query's messages from progress events; fires once on crossing ``limit``.
+
+    With ``counter`` (a metric observed as ``name`` on the query) that metric is counted instead of all input rows, so a
+    query over two sources can count the first one only.
+    """
 
-    def __init__(self, limit: int, how: HowToStop = HowToStop.cancel):
-        self.limit, self.how = limit, how
+    def __init__(self, limit: int, how: HowToStop = HowToStop.cancel, name: str | None = None, counter: str | None = None):
+        self.limit, self.how, self.name, self.counter = limit, how, name, counter
         self.total = 0
         self.instruction: StopInstruction | None = None
         self.query_id: str | None = None
@@ -27,6 +37,9 @@ class StopAfter(StreamingQueryListener):
         if self.query_id is not None and str(p.id) != self.query_id:
             return
         n = int(p.numInputRows)
+        if self.counter is not None:
+            seen = p.observedMetrics.get(self.name)
+            n = int(seen[self.counter]) if seen is not None else 0
         if self.instruction is None and crossing(self.total, n, self.limit):
             self.instruction = StopInstruction(self.how, f"read at least {self.limit} messages")
         self.total += n
@@ -38,11 +51,18 @@ class StopAfter(StreamingQueryListener):
         pass
 
 
-def enforce(query: StreamingQuery, listener: StopAfter) -> bool:
+def enforce(query: StreamingQuery, listener: StopAfter, drain_seconds: float = 600) -> bool:
     """Apply a pending stop instruction on the driver; True when the query was stopped."""
     if listener.instruction is None or not query.isActive:
         return False
     if listener.instruction.how is HowToStop.drain:
-        query.processAllAvailable()
+        drain(query, drain_seconds)
     query.stop()
     return True
+
+
+def drain(query: StreamingQuery, seconds: float) -> None:
+    """Wait until the query has processed what is available, ``seconds`` at most."""
+    waiter = threading.Thread(target=query.processAllAvailable, daemon=True)
+    waiter.start()
+    waiter.join(seconds)

@@ -1,26 +1,34 @@
 """Per-user stream branch with ``transformWithStateInPandas``.
 
-State per user: profile (value), remembered hosts host → last request ms (map), held findings (list),
-bag open time and next daily sweep (values).  Rows of a micro-batch are handled in (publish_ts,
-message_id) order.  ``clock='event'`` replays on publish time with watermark timers, and closes an
-overdue bag / runs an overdue sweep before each row, so any split of the input into batches gives
-the batch result; ``clock='processing'`` uses wall-clock timers like the monitored system.
+State per user: remembered hosts host -> last request ms (map), held findings (list), bag open time and next daily
+sweep (values). Rows of a micro-batch are handled in (publish_ts, message_id) order. Rules that are Column
+expressions are evaluated before the processor, once as for a new host and once as for a known one, so any such rule
+works and the processor only chooses. Per user and batch the processor reads the hosts it needs once, works on local
+values, calls each pandas rule once, and writes what changed once.
+
+``clock='event'`` replays on publish time with watermark timers, and closes an overdue bag / runs an overdue sweep
+before each row, so any split of the input into batches gives the batch result; ``clock='processing'`` uses
+wall-clock timers like the monitored system. Late events are never dropped: the watermark only drives timers, and the
+processor's input carries no event-time column to filter by. A late event joins the bag that is open when it comes.
 """
 
 from __future__ import annotations
 
+import json
 import sys
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from eventwatch.config import FINDING_HOLD, HOST_RETENTION
-from eventwatch.operators.rules import NEW_HOST_DESCRIPTION, PROCESS_DESCRIPTION, UserRule, default_user_rules
+from eventwatch.operators.rules import PandasUserRule, default_user_rules, finding_array
 from eventwatch.operators.sessions import interval_ms
+from eventwatch.operators.user_branch import with_profile
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -33,108 +41,129 @@ COLUMNS = ["request_ms", "user_id", "source_ip", "level", "rule_id", "descriptio
            "emit_ms"]
 
 
-def stream_rules(rules: list) -> list[tuple]:
-    out = []
-    for r in rules:
-        if r.kind not in ("new_host", "process_contains", "pandas"):
-            raise ValueError(f"rule {r.rule_id} has no stream form (kind {r.kind!r})")
-        out.append((r.rule_id, r.level, r.kind, r.fn if r.kind == "pandas" else r.pattern))
-    return out
+def _findings_json(rules: list) -> Column:
+    """Findings of the Column rules as JSON; null where there are none."""
+    found = finding_array(rules)
+    return F.when(F.size(found) > 0, F.to_json(found))
 
 
 class UserEventProcessor(StatefulProcessor):
-    def __init__(self, rules: list[tuple[str, str, str, str | None]], hold_ms: int, retention_ms: int,
-                 clock: str = "event"):
-        self.rules, self.hold_ms, self.retention_ms, self.clock = rules, hold_ms, retention_ms, clock
+    def __init__(self, pandas_rules: list[tuple], hold_ms: int, retention_ms: int, clock: str = "event"):
+        self.rules, self.hold_ms, self.retention_ms, self.clock = pandas_rules, hold_ms, retention_ms, clock
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.profile = handle.getValueState("profile", "status STRING")
         self.hosts = handle.getMapState("hosts", "host STRING", "last_ms LONG")
         self.held = handle.getListState("held", HELD)
         self.open = handle.getValueState("open", "open_ms LONG")
         self.sweep_at = handle.getValueState("sweep", "sweep_ms LONG")
 
-    # -- state helpers -------------------------------------------------------------------------
-    def _emit_bag(self, user: str, at_ms: int) -> list[tuple]:
-        out = [(r[0], user, r[1], r[2], r[3], r[4], r[5], r[6], at_ms) for r in self.held.get()]
-        self.held.clear()
-        self.open.clear()
+    def _begin(self) -> None:
+        self.cache, self.dirty = {}, set()
+        self.opened = self.was_open = self.open.get()[0] if self.open.exists() else None
+        self.sweep = self.was_sweep = self.sweep_at.get()[0] if self.sweep_at.exists() else None
+        self.new_held, self.emptied = [], False
+
+    def _last(self, host: str):
+        if host not in self.cache:
+            self.cache[host] = self.hosts.getValue((host,))[0] if self.hosts.containsKey((host,)) else None
+        return self.cache[host]
+
+    def _close_bag(self, user: str, at_ms: int) -> list[tuple]:
+        """The held findings leave."""
+        before = [] if self.emptied else [tuple(r) for r in self.held.get()]
+        out = [(r[0], user, *r[1:], at_ms) for r in [*before, *self.new_held]]
+        self.new_held, self.emptied, self.opened = [], True, None
         return out
 
-    def _sweep(self, now_ms: int) -> None:
+    def _run_sweep(self, now_ms: int) -> None:
+        """Forget hosts that were last seen a retention before this day or earlier."""
         day = now_ms - now_ms % DAY_MS
-        cutoff = day - self.retention_ms
-        for (host,), (last,) in list(self.hosts.iterator()):
-            if last <= cutoff:
+        for (host,), (last,) in self.hosts.iterator():
+            self.cache.setdefault(host, last)
+        for host, last in self.cache.items():
+            if last is not None and last <= day - self.retention_ms:
+                self.cache[host] = None
+                self.dirty.add(host)
+        self.sweep = day + DAY_MS
+
+    def _end(self) -> None:
+        """Write what changed."""
+        for host in self.dirty:
+            if self.cache[host] is not None:
+                self.hosts.updateValue((host,), (self.cache[host],))
+            elif self.hosts.containsKey((host,)):
                 self.hosts.removeKey((host,))
-        self.sweep_at.update((day + DAY_MS,))
-        self.handle.registerTimer(day + DAY_MS)
-
-    def _catch_up(self, user: str, now_ms: int) -> list[tuple]:
-        """Event clock: timers due at or before this row run first (bag close, daily sweep)."""
-        out = []
-        if self.open.exists() and now_ms >= self.open.get()[0] + self.hold_ms:
-            due = self.open.get()[0] + self.hold_ms
-            self.handle.deleteTimer(due)
-            out += self._emit_bag(user, due)
-        if self.sweep_at.exists() and now_ms >= self.sweep_at.get()[0]:
-            self.handle.deleteTimer(self.sweep_at.get()[0])
-            self._sweep(now_ms)
-        return out
+        if self.emptied:
+            self.held.clear()
+        if self.new_held:
+            self.held.appendList(self.new_held)
+        for now, was, state, plus in ((self.opened, self.was_open, self.open, self.hold_ms), (self.sweep, self.was_sweep, self.sweep_at, 0)):
+            if now != was:
+                if was is not None:
+                    self.handle.deleteTimer(was + plus)
+                if now is None:
+                    state.clear()
+                else:
+                    state.update((now,))
+                    self.handle.registerTimer(now + plus)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         user = key[0]
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["publish_ms", "message_id"], kind="mergesort")
-        if not self.profile.exists():
-            self.profile.update(("regular",))
+        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["publish_ms", "message_id"], kind="mergesort", ignore_index=True)
+        self._begin()
+        event = self.clock == "event"
+        wall = None if event else timerValues.getCurrentProcessingTimeInMs()
+        published, requested = pdf["publish_ms"].tolist(), pdf["request_ms"].tolist()
+        new = []
+        for host, now, req in zip(pdf["dst_ip"].tolist(), published, requested):  # remembered hosts
+            now = now if event else wall
+            if event and self.sweep is not None and now >= self.sweep:
+                self._run_sweep(now)
+            last = self._last(host)
+            new.append(last is None)
+            if last is None or last < req:
+                self.cache[host] = req
+                self.dirty.add(host)
+                if self.sweep is None:
+                    self.sweep = now - now % DAY_MS + DAY_MS
+        found = [json.loads(a if n else b) if isinstance(a if n else b, str) else []
+                 for n, a, b in zip(new, pdf["if_new"].tolist(), pdf["if_known"].tolist())]
+        if self.rules:
+            frame = pdf.assign(newly_accessed_host=new, user_id=user, request_ts=pd.to_datetime(pdf["request_ms"], unit="ms"),
+                               publish_ts=pd.to_datetime(pdf["publish_ms"], unit="ms"))
+            for rule_id, level, fn in self.rules:
+                hit, text = fn(frame)
+                hit = hit.fillna(False).astype(bool).to_numpy()
+                text = pd.Series(text).reset_index(drop=True) if not isinstance(text, str) else pd.Series([text] * len(pdf))
+                for i in np.flatnonzero(hit):
+                    found[i].append({"level": level, "rule_id": rule_id, "description": str(text.iloc[i])})
         out: list[tuple] = []
-        for r in pdf.itertuples(index=False):
-            now = int(r.publish_ms) if self.clock == "event" else timerValues.getCurrentProcessingTimeInMs()
-            if self.clock == "event":
-                out += self._catch_up(user, now)
-            req = int(r.request_ms)
-            last = self.hosts.getValue((r.dst_ip,)) if self.hosts.containsKey((r.dst_ip,)) else None
-            new_host = last is None
-            if new_host or last[0] < req:
-                self.hosts.updateValue((r.dst_ip,), (req,))
-                if not self.sweep_at.exists():
-                    nxt = now - now % DAY_MS + DAY_MS
-                    self.sweep_at.update((nxt,))
-                    self.handle.registerTimer(nxt)
-            for rule_id, level, kind, pattern in self.rules:
-                if kind == "new_host":
-                    hit, text = new_host, NEW_HOST_DESCRIPTION + str(r.dst_ip)
-                elif kind == "pandas":
-                    one = pd.DataFrame([r._asdict()]).assign(
-                        newly_accessed_host=new_host, request_ts=pd.to_datetime(req, unit="ms"),
-                        publish_ts=pd.to_datetime(int(r.publish_ms), unit="ms"))
-                    h, d = pattern(one)
-                    hit, text = bool(h.fillna(False).iloc[0]), str(pd.Series(d).iloc[0])
-                else:
-                    name = r.process_name if isinstance(r.process_name, str) else None
-                    hit, text = (name is not None and pattern in name), PROCESS_DESCRIPTION + str(name)
-                if not hit:
+        for i, (now, req, src, mid) in enumerate(zip(published, requested, pdf["src_ip"].tolist(), pdf["message_id"].tolist())):  # bags
+            pub, now = now, now if event else wall
+            if event and self.opened is not None and now >= self.opened + self.hold_ms:
+                out += self._close_bag(user, self.opened + self.hold_ms)
+            for f in found[i]:
+                row = (req, src, f["level"], f["rule_id"], f.get("description"), mid, pub)
+                if f["level"] == "critical":
+                    out.append((req, user, *row[1:], now))
                     continue
-                finding = (req, r.src_ip, level, rule_id, text, r.message_id, int(r.publish_ms))
-                if level == "critical":
-                    out.append((req, user, r.src_ip, level, rule_id, text, r.message_id, int(r.publish_ms), now))
-                    continue
-                if not self.open.exists():
-                    self.open.update((now,))
-                    self.handle.registerTimer(now + self.hold_ms)
-                self.held.appendValue(finding)
+                if self.opened is None:
+                    self.opened = now
+                self.new_held.append(row)
+        self._end()
         if out:
             yield pd.DataFrame(out, columns=COLUMNS)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        user = key[0]
         due = expiredTimerInfo.getExpiryTimeInMs()
+        self._begin()
         out: list[tuple] = []
-        if self.open.exists() and self.open.get()[0] + self.hold_ms == due:
-            out += self._emit_bag(user, due)
-        if self.sweep_at.exists() and self.sweep_at.get()[0] == due:
-            self._sweep(due)
+        if self.opened is not None and self.opened + self.hold_ms <= due:
+            out += self._close_bag(key[0], self.opened + self.hold_ms)
+        if self.sweep is not None and self.sweep <= due:
+            self._run_sweep(due)
+        self._end()
         if out:
             yield pd.DataFrame(out, columns=COLUMNS)
 
@@ -142,18 +171,26 @@ class UserEventProcessor(StatefulProcessor):
         pass
 
 
-def user_findings_stream(events: DataFrame, rules: list[UserRule] | None = None, hold: str = FINDING_HOLD,
-                         retention: str = HOST_RETENTION, clock: str = "event",
-                         watermark: str = "0 seconds") -> DataFrame:
-    """Held and critical user findings of a (streaming) event frame; ``emit_ts`` is when each leaves."""
-    processor = UserEventProcessor(stream_rules(rules or default_user_rules()), interval_ms(hold),
-                                   interval_ms(retention), clock)
+def user_findings_stream(events: DataFrame, rules: list | None = None, hold: str = FINDING_HOLD,
+                         retention: str = HOST_RETENTION, clock: str = "event", watermark: str = "0 seconds",
+                         profiles: DataFrame | None = None) -> DataFrame:
+    """Held and critical user findings of a (streaming) event frame; ``emit_ts`` is when each leaves.
+
+    ``profiles`` (user_id, status) gives rules the column ``profile_status``, 'regular' for users it lacks.
+    """
+    rules = default_user_rules() if rules is None else rules
+    columns = [r for r in rules if not isinstance(r, PandasUserRule)]
+    processor = UserEventProcessor([(r.rule_id, r.level, r.fn) for r in rules if isinstance(r, PandasUserRule)],
+                                   interval_ms(hold), interval_ms(retention), clock)
     ev = events.filter(F.col("user_id").isNotNull())
     if clock == "event":
         ev = ev.withWatermark("publish_ts", watermark)
-    inp = ev.select("user_id", F.col("src_ip"), "dst_ip", "dst_port", "process_name", "bytes_sent", "bytes_received",
-                    "message_id", "publish_ts", F.unix_millis("publish_ts").alias("publish_ms"),
-                    F.unix_millis("request_ts").alias("request_ms"))
+    ev = with_profile(ev, profiles)
+    for name, flag in (("if_new", True), ("if_known", False)):
+        ev = ev.withColumn("newly_accessed_host", F.lit(flag)).withColumn(name, _findings_json(columns))
+    inp = ev.select("user_id", "src_ip", "dst_ip", "dst_port", "process_name", "bytes_sent", "bytes_received", "profile_status",
+                    "message_id", F.unix_millis("publish_ts").alias("publish_ms"), F.unix_millis("request_ts").alias("request_ms"),
+                    "if_new", "if_known")
     out = inp.groupBy("user_id").transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=OUTPUT, outputMode="Append",
         timeMode="EventTime" if clock == "event" else "ProcessingTime")

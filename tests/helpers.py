@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from eventwatch.schema import MESSAGE
 
@@ -15,13 +16,10 @@ def ts(ms: int) -> dt.datetime:
 
 def payload(src="1.1.1.1", dst="2.2.2.2", port=80, sent=20, received=30, process="process1", user="user1",
             request_ms=0) -> str:
-    """Same layout as the monitored system's test message builder; user key omitted when None."""
-    text = (f'{{"bytes_sent": {sent}, "destination_ip": "{dst}", "destination_port": {port}, '
-            f'"process": "{process}",  "request_timestamp": {request_ms}, "bytes_received": {received}, '
-            f'"source_ip": "{src}"')
-    if user is not None:
-        text += f', "user": "{user}"'
-    return text + "}"
+    """A proxy message as JSON; the user key is left out when None."""
+    fields = {"source_ip": src, "destination_ip": dst, "destination_port": port, "process": process, "user": user,
+              "bytes_sent": sent, "bytes_received": received, "request_timestamp": request_ms}
+    return json.dumps({k: v for k, v in fields.items() if v is not None})
 
 
 def messages(spark, rows):

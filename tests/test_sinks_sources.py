@@ -15,7 +15,7 @@ def test_events_table_is_day_partitioned_and_batch_idempotent(spark, scratch):
                                                       (payload(request_ms=86_400_000), "b", 1)])))
     path = os.path.join(scratch, "events")
     for _ in range(2):  # the same micro-batch retried: no duplicates
-        rejected = tables.write_events(ev, path, batch_id=7)
+        rejected = tables.write_events(ev, path, slice_id="q-7")
     assert rejected.count() == 0
     back = spark.read.parquet(path)
     assert back.count() == 2 and {r.request_date.isoformat() for r in back.collect()} == {"1970-01-01", "1970-01-02"}

@@ -99,15 +99,15 @@ def test_stop_after_counts_progress():
 def test_streaming_pipeline_persists_all_outputs(spark, scratch):
     """G1 + G2 on a stream: events / dead letters / user findings tables, both topics, raw export."""
     from eventwatch.config import Options
-    from eventwatch.plans.pipeline import Inputs, start_queries, streaming_processing
+    from eventwatch.plans.pipeline import Inputs, start_monitor
 
     path = landing(spark, scratch, n_files=2)
     stream = read_messages(spark, path, "parquet", streaming=True, options={"maxFilesPerTrigger": 1})
     opts = Options(output_dir=os.path.join(scratch, "wh"), findings_topic=os.path.join(scratch, "topic"),
                    export_dir=os.path.join(scratch, "export"), banned_processes=("virus1",), session_gap="30 minutes",
                    retention="7 days", hold="6 hours", clock="event", checkpoint_dir=os.path.join(scratch, "ck"))
-    out = streaming_processing(Inputs(stream), opts)
-    qs = start_queries(out, opts, first_messages=stream, trigger={"availableNow": True})
+    opts.create_tables = True
+    qs = start_monitor(spark, Inputs(stream), opts, trigger={"availableNow": True})
     for q in qs:
         q.awaitTermination(300)
         assert q.exception() is None
@@ -233,7 +233,7 @@ def test_lookup_refresh_inside_foreach_batch(spark, scratch):
     seen = []
 
     def batch_fn(batch, batch_id):
-        seen.extend(r.category for r in enrich_category(batch, dim.get(), broadcast_checked=True).collect())
+        seen.extend(r.category for r in enrich_category(batch, dim.get()).collect())
 
     stream = read_messages(spark, landing_dir, "parquet", streaming=True, options={"maxFilesPerTrigger": 1})
     q1 = (valid_events(parse_messages(stream)).writeStream.foreachBatch(batch_fn)

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from eventwatch.functions.parse import parse_messages, valid_events
 from eventwatch.operators.rules import (default_user_rules, new_destination_host_rule, process_name_rule,
                                         rules_from_table)
@@ -104,28 +106,63 @@ def test_user_branch_is_skew_safe_plan(spark):
     assert plan.count("Window [") == 1 and "Aggregate" in plan
 
 
-def test_hold_doubling_path_equals_scan(spark):
-    """Islands over the row limit take the exact pointer-doubling path; it must equal the in-task scan."""
+def test_hold_bags_equal_a_plain_loop(spark):
     from eventwatch.plans.queries import _events
     from conftest import SF001
     f = user_findings(_events(spark, SF001), default_user_rules(), "7 days").cache()
-    cols = ["user_id", "rule_id", "message_id", "emit_ts"]
-    scan = held_findings(f, "6 hours").select(cols)
-    doubled = held_findings(f, "6 hours", max_island_rows=0).select(cols)
-    assert scan.count() == doubled.count() == f.count()
-    assert scan.exceptAll(doubled).count() == 0 and doubled.exceptAll(scan).count() == 0
-
-
-def test_hold_doubling_boundaries(spark):
+    hold, rows = 6 * 3_600_000, {}
+    for r in f.select("user_id", F.unix_millis("publish_ts").alias("t")).collect():
+        rows.setdefault(r.user_id, set()).add(r.t)
+    emit = {}
+    for user, times in rows.items():
+        opened = None
+        for t in sorted(times):
+            if opened is None or t >= opened + hold:
+                opened = t
+            emit[user, t] = opened + hold
+    got = held_findings(f, "6 hours").select("user_id", F.unix_millis("publish_ts").alias("t"), F.unix_millis("emit_ts").alias("e")).collect()
+    assert len(got) == f.count() > 0 and all(r.e == emit[r.user_id, r.t] for r in got)
+
+
+def test_hold_boundaries_across_arrow_batches(spark):
     hold = 120_000
     rows = [(payload(dst=f"h{i}", request_ms=t), f"m{i}", t) for i, t in
             enumerate([0, hold - 1, hold, hold + 5, 3 * hold, 3 * hold + 1, 4 * hold])]
-    f = held_findings(user_findings(events(spark, rows), default_user_rules()), "120 seconds", max_island_rows=0)
-    got = {r.message_id: int(r.emit_ts.timestamp() * 1000) for r in f.collect()}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        f = held_findings(user_findings(events(spark, rows), default_user_rules()), "120 seconds")
+        got = {r.message_id: int(r.emit_ts.timestamp() * 1000) for r in f.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert got == {"m0": hold, "m1": hold, "m2": 2 * hold, "m3": 2 * hold, "m4": 4 * hold, "m5": 4 * hold,
                    "m6": 5 * hold}
 
 
+def test_one_user_with_many_times_is_linear_and_lazy(spark):
+    """60,000 distinct ms of one user within few holds: seconds, and no job while the plan is built."""
+    import time
+    f = spark.range(60_000).select(
+        F.timestamp_millis(F.col("id") * 7).alias("publish_ts"), F.lit("u").alias("user_id"), F.lit("warning").alias("level"),
+        F.lit("r").alias("rule_id"), F.col("id").cast("string").alias("message_id"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("hold", "hold")
+    t = time.time()
+    held = held_findings(f, "120 seconds")
+    assert list(tracker.getJobIdsForGroup("hold")) == []
+    got = held.groupBy("emit_ts").count().collect()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(got) == 4 and sum(r["count"] for r in got) == 60_000 and time.time() - t < 60
+
+
+def test_repeated_messages_and_null_ids_have_one_new_host(spark):
+    rows = [(payload(dst="h"), "same", 5), (payload(dst="h"), "same", 5), (payload(dst="a"), None, 1), (payload(dst="b"), None, 1),
+            (payload(dst="h", request_ms=9), "late", 9)]
+    flags = new_host_flags(events(spark, rows)).collect()
+    assert len(flags) == 5 and sorted(r.dst_ip for r in flags if r.newly_accessed_host) == ["a", "b", "h"]
+    found = user_findings(events(spark, rows), [new_destination_host_rule()]).collect()
+    assert sorted(r.description for r in found) == [f"Newly accessed host: {h}" for h in "abh"]
+
+
 def test_pandas_rule_escape_hatch(spark):
     """a rule Column expressions cannot state, run in Arrow batches; same findings as its Column twin."""
     from eventwatch.operators.rules import PandasUserRule
