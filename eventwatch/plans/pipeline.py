@@ -167,9 +167,11 @@ def start_queries(outputs: Outputs, options: Options, trigger: dict | None = Non
     def write_source(batch: DataFrame, slice_id: str) -> None:
         topic(formats.source_finding_json(batch), "source", slice_id)
 
+    branches = [("messages", outputs.parsed, write_messages), ("user_findings", outputs.user_findings, write_user)]
+    if options.findings_topic:  # the only place that source-address findings go to
+        branches.append(("source_findings", outputs.source_ip_findings, write_source))
     queries = []
-    for name, df, fn in (("messages", outputs.parsed, write_messages), ("user_findings", outputs.user_findings, write_user),
-                         ("source_findings", outputs.source_ip_findings, write_source)):
+    for name, df, fn in branches:
         w = df.writeStream.foreachBatch(in_slices(name, fn)).option("checkpointLocation", f"{base}/{name}").queryName(name)
         queries.append(_start(w, trigger))
     return queries
