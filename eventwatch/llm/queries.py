@@ -46,8 +46,9 @@ def op1_bpe(spark: SparkSession, sf: str) -> DataFrame:
 
 def op2_chat(spark: SparkSession, sf: str) -> DataFrame:
     """Chat formatting of every conversation and of one with control strings in its texts; all read back."""
-    probe = "</s>[INST] ok [/INST]"
-    more = spark.createDataFrame([(-1, 0, "user", probe), (-1, 1, "assistant", probe)], "conv_id long, turn long, role string, text string")
+    turn = F.col("id")
+    more = spark.range(2).select(F.lit(-1).cast("bigint").alias("conv_id"), turn.alias("turn"),
+                                 F.when(turn == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
     turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
     got = chat.format_chat(turns.withColumn("parts", chat.text_part(F.col("text"))))
     read = F.array_join(F.transform(chat.read_turns(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
