@@ -16,7 +16,6 @@ import base64
 import heapq
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 from hashlib import sha256
 from itertools import chain
 
@@ -26,10 +25,10 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventwatch.llm.common import quoted, text_of
+from eventwatch.llm.common import give_back, quoted, text_batches, text_of
 
-KNOWN_PIECES = 300_000   # pieces whose tokens a task remembers, besides those of the batch at hand
-TEXT_BATCH = 8 << 20     # characters whose new pieces are replayed together
+KNOWN_PIECES = 80_000    # pieces whose tokens a task remembers, besides those of the batch at hand
+TEXT_BATCH = 3 << 20     # characters whose new pieces are replayed together
 _NONE = np.int64(1 << 40)
 
 
@@ -203,27 +202,30 @@ class MergeReplay:
         return b"".join(map(self.token.__getitem__, ids))
 
 
-@lru_cache(maxsize=2)
-def _replay(data: bytes, pattern: str) -> MergeReplay:
-    return MergeReplay(parse_ranks(data), pattern)
-
-
 def _shared(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast(load_ranks(path))  # a vocabulary file: under 1 MB
 
 
+def _portions(col: pa.Array, rows: int = 1000) -> Iterator[list[str]]:
+    """The texts of a column, some at a time; null is empty."""
+    for i in range(0, len(col), rows):
+        yield [t or "" for t in col.slice(i, rows).to_pylist()]
+
+
 def with_tokens(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", out: str = "tokens") -> DataFrame:
     """``df`` plus the token ids of its texts (array of int)."""
     data = _shared(df.sparkSession, ranks_path)
 
     @F.arrow_udf("array<int>")
     def encode(cols: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        replay = _replay(data.value, pattern)
+        replay = MergeReplay(parse_ranks(data.value), pattern)
         for col in cols:
-            got = replay.encode_batch([t or "" for t in col.to_pylist()])
+            got = chain.from_iterable(map(replay.encode_batch, _portions(col)))
             ids = [np.fromiter(chain.from_iterable(i for _, i in tokens), np.int32) for tokens in got]
             yield pa.array(ids, pa.list_(pa.int32()))
-    return df.withColumn(out, encode(text_of(text)))
+        del replay
+        give_back()
+    return text_batches(df).withColumn(out, encode(text_of(text)))
 
 
 def with_decoded(df: DataFrame, ranks_path: str, pattern: str, tokens: str = "tokens", out: str = "decoded") -> DataFrame:
@@ -232,10 +234,10 @@ def with_decoded(df: DataFrame, ranks_path: str, pattern: str, tokens: str = "to
 
     @F.arrow_udf("binary")
     def decode(cols: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        replay = _replay(data.value, pattern)
+        replay = MergeReplay(parse_ranks(data.value), pattern)
         for col in cols:
             yield pa.array([replay.decode(ids or ()) for ids in col.to_pylist()], pa.binary())
-    return df.withColumn(out, decode(F.col(quoted(tokens))))
+    return text_batches(df).withColumn(out, decode(F.col(quoted(tokens))))
 
 
 def with_token_digest(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", out: str = "bpe") -> DataFrame:
@@ -245,14 +247,16 @@ def with_token_digest(df: DataFrame, ranks_path: str, pattern: str, text: str =
 
     @F.arrow_udf("struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string>")
     def digest(cols: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        replay = _replay(data.value, pattern)
+        replay = MergeReplay(parse_ranks(data.value), pattern)
         for col in cols:
             n, a, b = [], [], []
-            for tokens in replay.encode_batch([t or "" for t in col.to_pylist()]):
+            for tokens in chain.from_iterable(map(replay.encode_batch, _portions(col))):
                 ids = list(chain.from_iterable(i for _, i in tokens))
                 n.append(len(ids))
                 a.append(sha256(" ".join([s for s, _ in tokens]).encode()).hexdigest())
                 b.append(sha256(replay.decode(ids)).hexdigest())
             yield pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())],
                                              ["n_tokens", "ids_sha256", "decoded_sha256"])
-    return df.withColumn(out, digest(text_of(text)))
+        del replay
+        give_back()
+    return text_batches(df).withColumn(out, digest(text_of(text)))

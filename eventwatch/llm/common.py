@@ -1,8 +1,12 @@
 """Small helpers shared by the operators of this subpackage."""
 
+import ctypes
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Control of word extraction on bytes: ASCII upper case goes to lower case, every byte that is not a
@@ -44,3 +48,37 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Deal rows out by key over the session's shuffle partitions."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(n, *keys)
+
+
+def give_back() -> None:
+    """At the end of a task: return freed memory to the system, as idle Python workers stay beside the next stage's."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+TEXTS = 2000        # rows of an Arrow batch that holds whole texts
+NARROW = 20_000     # rows of an Arrow batch of a few numbers each
+
+
+def text_batches(df: DataFrame) -> DataFrame:
+    """Python workers get whole texts in small batches: unless the session sets a number of rows of its own, it is
+    lowered from Spark's default, which suits short rows."""
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_ROWS) == "10000":
+        conf.set(BATCH_ROWS, str(TEXTS))
+    return df
+
+
+@contextmanager
+def narrow_batches(spark: SparkSession) -> Iterator[None]:
+    """Larger batches while jobs over narrow rows run."""
+    before = spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, str(NARROW))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_ROWS, before)

@@ -2,8 +2,8 @@
 
 The items of one shard (at most ``SHARD_WORDS`` words) become one automaton: its states are the distinct
 substrings (of words) of the items up to equal end positions. It is small by construction, so it is broadcast.
-A larger benchmark gives more shards; each streams the documents once and the findings are put together, so
-nothing is cut and no broadcast grows. Every document's words stream through the automaton, which keeps the
+A larger benchmark gives more shards; every text streams through each and the findings are put together, so
+nothing is cut and no single broadcast grows (a worker holds the shards: some 60 MB for each). The automaton keeps the
 longest suffix that occurs in any item; once that length reaches a window, its words are hit.
 
 A window is ``window`` consecutive item words; an item of fewer words, but not none, is one window as a whole.
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventwatch.llm.common import WORD_BYTES, free_name, quoted, utf8, words
+from eventwatch.llm.common import WORD_BYTES, free_name, give_back, quoted, text_batches, utf8, words
 
 WINDOW = 10
 SHARD_WORDS = 100_000
@@ -180,47 +180,40 @@ def _shards(items: DataFrame, id_col: str, text: str, window: int) -> Iterator[A
 _FOUND = "struct<n_words:bigint,runs:array<struct<start:bigint,end:bigint>>,items:array<bigint>>"
 
 
-def _scanner(shared):
-    @F.arrow_udf(_FOUND)
-    def scan(cols: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        automaton = shared.value
-        for col in cols:
-            got = [automaton.scan(t) for t in utf8(col)]
-            runs = [[{"start": a, "end": b} for a, b in r] for _, r, _ in got]
-            yield pa.StructArray.from_arrays(
-                [pa.array([n for n, _, _ in got], pa.int64()),
-                 pa.array(runs, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                 pa.array([sorted(i for i in s if i is not None) for _, _, s in got], pa.list_(pa.int64()))],
-                ["n_words", "runs", "items"])
-    return scan
+def _scan_all(shards, text: bytes) -> tuple[int, list[tuple[int, int]], list[int]]:
+    """Number of words, hit runs and items over all shards."""
+    n, runs, items = 0, [], set()
+    for shard in shards:
+        n, more, found = shard.value.scan(text)
+        runs += more
+        items |= found
+    if len(shards) > 1:
+        joined: list[tuple[int, int]] = []
+        for a, b in sorted(runs):
+            if joined and a <= joined[-1][1]:
+                joined[-1] = (joined[-1][0], max(joined[-1][1], b))
+            else:
+                joined.append((a, b))
+        runs = joined
+    return n, runs, sorted(i for i in items if i is not None)
 
 
 def with_hits(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
               out: str = "hits", window: int = WINDOW) -> DataFrame:
-    """``docs`` plus a struct: number of words, merged hit runs (in words, end exclusive), sorted distinct items.
+    """``docs`` plus a struct: number of words, merged hit runs (in words, end exclusive), sorted distinct items."""
+    sc = text_batches(docs).sparkSession.sparkContext
+    shards = [sc.broadcast(a) for a in _shards(items, item_id, item_text, window)]
+    run = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
-    With several shards each adds its findings and the lists are merged row by row, without a shuffle.
-    """
-    sc = docs.sparkSession.sparkContext
-    parts = [_scanner(sc.broadcast(a))(F.col(quoted(text))) for a in _shards(items, item_id, item_text, window)]
-    if len(parts) == 1:
-        return docs.withColumn(out, parts[0])
-    names = [free_name(docs, f"shard{i}") for i in range(len(parts))]
-    got = docs.withColumns(dict(zip(names, parts)))
-    runs = F.array_sort(F.flatten(F.array(*[F.col(n)["runs"] for n in names])))
-    merged = F.aggregate(runs, F.array().cast("array<struct<start:bigint,end:bigint>>"), _join_run)
-    ids = F.array_sort(F.array_distinct(F.flatten(F.array(*[F.col(n)["items"] for n in names]))))
-    return (got.withColumn(out, F.struct(F.col(names[0])["n_words"].alias("n_words"), merged.alias("runs"), ids.alias("items")))
-            .drop(*names))
-
-
-def _join_run(done, run):
-    """Append a run (sorted by start), or lengthen the last one if they touch."""
-    last = F.element_at(done, -1)
-    joined = F.struct(last["start"].alias("start"), F.greatest(last["end"], run["end"]).alias("end"))
-    return F.when((F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["end"] >= run["start"]),
-                  F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(joined))).otherwise(
-        F.concat(done, F.array(run)))
+    @F.arrow_udf(_FOUND)
+    def scan(cols: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for col in cols:
+            got = [_scan_all(shards, t) for t in utf8(col)]
+            runs = [[{"start": a, "end": b} for a, b in r] for _, r, _ in got]
+            yield pa.StructArray.from_arrays([pa.array([n for n, _, _ in got], pa.int64()), pa.array(runs, run),
+                                              pa.array([i for _, _, i in got], pa.list_(pa.int64()))], ["n_words", "runs", "items"])
+        give_back()
+    return docs.withColumn(out, scan(F.col(quoted(text))))
 
 
 def n_hit(hits: str = "hits"):
@@ -260,30 +253,32 @@ def remove_hits(docs: DataFrame, items: DataFrame, text: str = "text", n_chars:
     Spans are cut until none is left (a cut may bring two remains together). Documents of which more than
     ``max_coverage`` of the words are hit are dropped whole. ``n_chars`` is counted anew where it is a column.
     """
-    hits, clean = free_name(docs, "hits"), free_name(docs, "clean")
-    got = with_hits(docs, items, text, out=hits, window=window)
-    keep = got.where(n_hit(hits) <= F.lit(max_coverage) * F.col(hits)["n_words"])
-    autos = [docs.sparkSession.sparkContext.broadcast(a) for a in _shards(items, "item_id", "text", window)]
-
-    @F.arrow_udf("string")
-    def cleaned(texts: pa.Array, dirty: pa.Array) -> pa.Array:
-        out = []
-        for t, d in zip(utf8(texts), dirty.to_pylist()):
-            while d:
-                d = False
-                for a in autos:
-                    runs = a.value.scan(t)[1]
-                    if runs:
-                        t, d = cut(t, runs), True
-            out.append(t.decode())
-        return pa.array(out, pa.string())
-
-    dirty = F.size(F.col(hits)["runs"]) > 0
-    keep = keep.withColumn(clean, F.when(dirty, cleaned(F.col(quoted(text)), dirty)).otherwise(F.col(quoted(text))))
-    new = {text: F.col(clean)}
+    name = free_name(docs, "cleaned")
+    sc = text_batches(docs).sparkSession.sparkContext
+    shards = [sc.broadcast(a) for a in _shards(items, "item_id", "text", window)]
+
+    @F.arrow_udf("struct<keep:boolean,text:string>")
+    def cleaned(cols: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        """Whether a document stays, and its new text (null: as it was)."""
+        for col in cols:
+            keep, new = [], []
+            for t in utf8(col):
+                n, runs, _ = _scan_all(shards, t)
+                keep.append(sum(b - a for a, b in runs) <= max_coverage * n)
+                dirty = bool(runs) and keep[-1]
+                while runs and keep[-1]:
+                    t = cut(t, runs)
+                    runs = _scan_all(shards, t)[1]
+                new.append(t.decode() if dirty else None)
+            yield pa.StructArray.from_arrays([pa.array(keep, pa.bool_()), pa.array(new, pa.string())], ["keep", "text"])
+        give_back()
+
+    got = docs.withColumn(name, cleaned(F.col(quoted(text)))).where(F.col(name)["keep"])
+    clean = F.col(name)["text"]
+    new = {text: F.coalesce(clean, F.col(quoted(text)))}
     if n_chars and n_chars in docs.columns:
-        new[n_chars] = F.when(dirty, F.length(F.col(clean)).cast(docs.schema[n_chars].dataType)).otherwise(F.col(quoted(n_chars)))
-    return keep.select(*[new[c].alias(c) if c in new else F.col(quoted(c)) for c in docs.columns])
+        new[n_chars] = F.when(clean.isNotNull(), F.length(clean).cast(docs.schema[n_chars].dataType)).otherwise(F.col(quoted(n_chars)))
+    return got.select(*[new[c].alias(c) if c in new else F.col(quoted(c)) for c in docs.columns])
 
 
 def digest(items: str):

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventwatch.llm.common import quoted, text_of, utf8
+from eventwatch.llm.common import give_back, quoted, text_batches
 
 UND = "und"
 GRAM = 5                 # bytes of an n-gram
@@ -124,7 +124,7 @@ def _by_language(batch: pa.RecordBatch, most: int = 1 << 21) -> Iterator[tuple[s
 
 def fit(df: DataFrame, text: str = "text", lang: str = "lang", id_col: str = "doc_id") -> Filter:
     """Learn from the labelled rows of ``df``. Only one row a language, and the kept n-grams, reach the driver."""
-    rows = df.where(F.col(quoted(lang)).isNotNull() & F.col(quoted(text)).isNotNull()).select(
+    rows = text_batches(df).where(F.col(quoted(lang)).isNotNull() & F.col(quoted(text)).isNotNull()).select(
         F.col(quoted(lang)).cast("string").alias("lang"), F.col(quoted(text)).alias("text"),
         F.pmod(F.xxhash64(F.col(quoted(id_col)).cast("string")), F.lit(1 << 20)).alias("draw"))
     count = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
@@ -138,6 +138,7 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang", id_col: str = "do
             for name, parts in _by_language(batch):
                 g, n = np.unique(np.concatenate(parts), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array([name] * len(g)), pa.array(g.view(np.int64)), pa.array(n)], ["lang", "g", "n"])
+        give_back()
 
     found = sample.mapInArrow(counts, "lang string, g bigint, n bigint").groupBy("lang", "g").agg(F.sum("n").alias("n")).where("n >= 3")
     total = {r[0]: r[1] for r in found.groupBy("lang").agg(F.sum("n")).collect()}
@@ -165,7 +166,8 @@ def with_language(df: DataFrame, model: Filter, text: str = "text", out: str = "
             got = [shared.value.predict(t) for t in col.to_pylist()]
             yield pa.StructArray.from_arrays([pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64()),
                                               pa.array([g[2] for g in got], pa.float64())], ["lang", "score", "evidence"])
-    return df.withColumn(out, identify(F.col(quoted(text))))
+        give_back()
+    return text_batches(df).withColumn(out, identify(F.col(quoted(text))))
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventwatch.llm.common import quoted, utf8, words
+from eventwatch.llm.common import quoted, text_batches, utf8, words
 
 # Phrases whose places are counted, with their labels.
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
@@ -234,7 +234,7 @@ def with_licenses(df: DataFrame, text: str = "text", out: str = "licenses") -> D
                  pa.array([[dict(zip(("label", "rule", "start", "end", "score"), d)) for d in ds] for _, ds, _ in got], pa.list_(detection)),
                  pa.array([[{"label": x, "start": s} for x, s in bs] for _, _, bs in got], pa.list_(place))],
                 ["n_words", "detections", "base"])
-    return df.withColumn(out, licenses(F.col(quoted(text))))
+    return text_batches(df).withColumn(out, licenses(F.col(quoted(text))))
 
 
 def joined(labels: Column) -> Column:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventwatch.config import materialize
-from eventwatch.llm.common import free_name, quoted, utf8
+from eventwatch.llm.common import free_name, give_back, narrow_batches, quoted, text_batches, utf8
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -68,7 +68,8 @@ def with_fingerprint(df: DataFrame, text: str = "text", out: str = "fingerprint"
         for col in cols:
             got = np.fromiter((fingerprint(t, shingle) for t in utf8(col)), np.uint64, len(col))
             yield pa.array(got.view(np.int64))
-    return df.withColumn(out, simhash(F.col(quoted(text))))
+        give_back()
+    return text_batches(df).withColumn(out, simhash(F.col(quoted(text))))
 
 
 def _blocks(max_bits: int) -> list[int]:
@@ -153,6 +154,7 @@ def _linked(max_bits: int):
             rest.append(rows[:, cut:])
         if rest:
             yield out(work(np.concatenate(rest, axis=1)))
+        give_back()
     return links
 
 
@@ -204,7 +206,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", s
     narrow = materialize(with_fingerprint(df.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(text)).alias("t")), "t", "fp", shingle)
                          .select("id", "fp"))
     nodes = materialize(narrow.groupBy("fp").agg(F.min("id").alias("first")))
-    tree = components(links(nodes.select("fp"), max_bits))
+    with narrow_batches(df.sparkSession):
+        tree = components(links(nodes.select("fp"), max_bits))
     named = (nodes.join(tree.select(F.col("node").alias("fp"), "root"), "fp", "left")
              .select("fp", "first", F.coalesce("root", "fp").alias("root")))
     named = materialize(named)

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventwatch.config import materialize
-from eventwatch.llm.common import free_name, quoted, text_of, utf8
+from eventwatch.llm.common import free_name, give_back, quoted, text_batches, text_of, utf8
 
 WINDOW = 100
 GRAM = 32
@@ -125,6 +125,7 @@ def _section_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 yield pa.RecordBatch.from_arrays([pa.array(c[use]) for c in (key.view(np.int64), h.view(np.int64), i, x, n.astype(np.int16), copy)],
                                                  ["key", "h", "id", "x", "n", "copy"])
             at = end
+    give_back()
 
 
 def _copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,13 +256,14 @@ def _shards(shard_bytes: int):
                 size += len(r[3])
         if rows:
             yield out(rows, shared)
+        give_back()
     return shards
 
 
 def copied_spans(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(id, text) -> (id, start, end): byte spans that are copies of earlier ones. They may overlap."""
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.mapInArrow(_section_rows, "key bigint, h bigint, id bigint, x bigint, n smallint, copy boolean")
+    rows = text_batches(docs).mapInArrow(_section_rows, "key bigint, h bigint, id bigint, x bigint, n smallint, copy boolean")
     found = materialize(rows.repartition(n, "key").sortWithinPartitions("key", "h", "id", "x")
                         .mapInArrow(_copies, "key bigint, id bigint, x bigint, n smallint, edge boolean"))
     whole = found.where(~F.col("edge")).select("id", F.col("x").alias("start"), (F.col("x") + F.col("n") + (WINDOW - 1)).alias("end"))
@@ -333,7 +335,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         return pa.StructArray.from_arrays(columns[:4 + kept], ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"][:4 + kept])
 
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    return with_repeats(docs, id_col, text, name, shard_bytes).withColumn(out, rest(text_of(text), F.coalesce(F.col(name), none))).drop(name)
+    return with_repeats(text_batches(docs), id_col, text, name, shard_bytes).withColumn(out, rest(text_of(text), F.coalesce(F.col(name), none))).drop(name)
 
 
 def brute_force(docs: list[tuple[int, str | None]]) -> dict[int, tuple[int, int, int, str]]:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventwatch.llm.common import quoted, words
+from eventwatch.llm.common import give_back, quoted, text_batches, words
 
 SAMPLE = 8_000       # labelled rows to learn cues from, and documents to fit the classifier on, about
 CUES = 300           # mined cues that are kept
@@ -258,7 +258,7 @@ def fit_classifier(model: Model, rows: list[dict[int, int]], known: list[int | N
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
     """Train on the rows of ``docs`` (all are training rows) and their labels."""
-    rows = docs.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(text)).alias("text"))
+    rows = text_batches(docs).select(F.col(quoted(id_col)).alias("id"), F.col(quoted(text)).alias("text"))
     known = (labels.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(label)).cast("int").alias("toxic"))
              .where("id is not null and toxic in (0, 1)").where(~held_out("id")).groupBy("id").agg(F.max("toxic").alias("toxic")))
     n = {r[0]: r[1] for r in known.groupBy("toxic").count().collect()}
@@ -306,4 +306,5 @@ def with_score(df: DataFrame, model: Model, text: str = "text", out: str = "toxi
     def score(cols: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for col in cols:
             yield pa.array([shared.value.score(t) for t in col.to_pylist()], pa.float64())
-    return df.withColumn(out, score(F.col(quoted(text))))
+        give_back()
+    return text_batches(df).withColumn(out, score(F.col(quoted(text))))
