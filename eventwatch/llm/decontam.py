@@ -273,7 +273,8 @@ def remove_hits(docs: DataFrame, items: DataFrame, text: str = "text", n_chars:
             yield pa.StructArray.from_arrays([pa.array(keep, pa.bool_()), pa.array(new, pa.string())], ["keep", "text"])
         give_back()
 
-    got = docs.withColumn(name, cleaned(F.col(quoted(text)))).where(F.col(name)["keep"])
+    # declared nondeterministic so that the filter on it does not compute it a second time
+    got = docs.withColumn(name, cleaned.asNondeterministic()(F.col(quoted(text)))).where(F.col(name)["keep"])
     clean = F.col(name)["text"]
     new = {text: F.coalesce(clean, F.col(quoted(text)))}
     if n_chars and n_chars in docs.columns:

@@ -69,7 +69,8 @@ def with_fingerprint(df: DataFrame, text: str = "text", out: str = "fingerprint"
             got = np.fromiter((fingerprint(t, shingle) for t in utf8(col)), np.uint64, len(col))
             yield pa.array(got.view(np.int64))
         give_back()
-    return text_batches(df).withColumn(out, simhash(F.col(quoted(text))))
+    # declared nondeterministic so that a filter on it does not compute it a second time
+    return text_batches(df).withColumn(out, simhash.asNondeterministic()(F.col(quoted(text))))
 
 
 def _blocks(max_bits: int) -> list[int]:
