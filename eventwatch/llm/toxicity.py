@@ -5,7 +5,7 @@
    patterns.
 2. Voters: every hand-written list and pattern votes, and the mined cues are dealt out by a hash to ``LEXICONS``
    lexicons that vote each; a vote is 1 where the voter finds something.
-3. Label model: from the votes' second moments over the training documents (one small matrix a task) it estimates,
+3. Label model: from the votes' second moments over all training documents (one small matrix a task) it estimates,
    without using the labels again, each voter's accuracy by triplets of voters (the covariance of two voters that are
    independent given the label is the product of their accuracies) and the voters' correlations given the label (what
    is left of the covariance). The posterior is the linear discriminant with those means and that covariance.
@@ -280,8 +280,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
         model.weight = np.array([3.0 * (names[v] in LISTS or names[v] in PATTERNS) for v in model.voter])
         model.bias = float(np.log(prior / (1 - prior)))
         return model
+    fit_label_model(model, *_moments(rows, model))
     some = _drawn(rows, "id", SAMPLE, size)
-    fit_label_model(model, *_moments(some, model))
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -51,6 +51,20 @@ def test_label_model_finds_accuracies_and_correlations():
     assert ((m.posterior(v) > 0.5) == y).mean() > 0.97
 
 
+def test_label_model_sees_all_training_rows(spark, monkeypatch):
+    data = [(i, f"a text of its own {i}" + " nobody likes you" * (i % 500 == 1), "en", "s", 1, None, None) for i in range(4000)]
+    docs = frame(spark, data).where(~toxicity.held_out())
+    labels = spark.createDataFrame([(i, 1, int(i % 500 == 1)) for i in range(4000)], "doc_id long, quality int, toxic int")
+    seen, real = [], toxicity.fit_label_model
+    monkeypatch.setattr(toxicity, "SAMPLE", 40)
+    monkeypatch.setattr(toxicity, "fit_label_model", lambda model, n, one, both: (seen.append((n, one)), real(model, n, one, both)))
+    model = toxicity.fit(docs, labels)
+    rare = model.names.index("nobody")
+    (n, one), = seen
+    assert n == docs.count() > 2000 and one[rare] == docs.where("text like '%nobody%'").count() > 0
+    assert model.accuracy[rare] > 0 and model.vote_weight[rare] > 0
+
+
 def test_odd_rows_and_no_labels(spark):
     none = spark.createDataFrame([(1, None), (None, 1)], "doc_id long, toxic int")
     model = toxicity.fit(frame(spark), none)
