@@ -5,8 +5,8 @@ keyword, a priority and a confidence. A rule runs only where its keyword occurs.
 priority, then length, then place; one whose words lie inside the words of a detection already taken is suppressed,
 so "cc by nc 4 0" does not also report "cc by". The scan is a map over documents, without a shuffle.
 
-The rules come from a table of license families, a few ways to name a license, and a list of sentences of license
-texts. ``BASE`` holds the plain phrases that are counted wherever their words stand.
+The rules come from a table of license families, a few ways to name a license, a list of SPDX identifiers, and a list
+of sentences of license texts. A rule's keyword is a string that each of its matches contains. ``BASE`` holds the plain phrases that are counted wherever their words stand.
 
 Defined cases: null and empty texts have no words, no detections and score 0; overlapping places of a phrase all
 count; equal detections are reported once; ties go to the rule that comes first; repeated rows keep their rows.
@@ -28,8 +28,8 @@ BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by"
 
 #: Families: label, keyword, name as words (regular expression).
 FAMILIES = [
-    ("gpl", "general public license", r"(?:gnu )?general public license|gnu gpl"),
-    ("gpl", "gpl", r"gpl"),
+    ("gpl", "general public license", r"(?:gnu )?general public license"),
+    ("gpl", "gpl", r"(?:gnu )?gpl"),
     ("lgpl", "lesser general public", r"(?:gnu )?lesser general public license"),
     ("lgpl", "library general public", r"(?:gnu )?library general public license"),
     ("lgpl", "lgpl", r"(?:gnu )?lgpl"),
@@ -38,7 +38,7 @@ FAMILIES = [
     ("gfdl", "free documentation", r"(?:gnu )?free documentation license"),
     ("gfdl", "gfdl", r"gfdl"),
     ("apache", "apache", r"apache(?: software)? licen[cs]e"),
-    ("apache", "apache", r"apache 2(?: 0)?"),
+    ("apache", "apache", r"apache(?= 2)"),
     ("mit", "mit", r"mit(?: x11| expat)? licen[cs]e"),
     ("mit", "expat", r"expat licen[cs]e"),
     ("mit-0", "mit no attribution", r"mit no attribution(?: licen[cs]e)?"),
@@ -129,6 +129,44 @@ FORMS = [
     ("named", 40, 0.8, r"(?:{name})"),
 ]
 
+#: SPDX identifiers behind a tag, by label. Those that end in ``-*`` take a version, which goes into the label.
+SPDX = {
+    "gpl": "GPL-*", "lgpl": "LGPL-*", "lgpllr": "LGPLLR", "agpl": "AGPL-*", "gfdl": "GFDL-*", "apache": "Apache-*", "mpl": "MPL-*", "epl": "EPL-*",
+    "cddl": "CDDL-*", "cpl": "CPL-*", "ipl": "IPL-*", "cc0": "CC0-*", "cc-by": "CC-BY-*", "cc-by-sa": "CC-BY-SA-*", "cc-by-nd": "CC-BY-ND-*",
+    "cc-by-nc": "CC-BY-NC-*", "cc-by-nc-sa": "CC-BY-NC-SA-*", "cc-by-nc-nd": "CC-BY-NC-ND-*", "cc-pddc": "CC-PDDC", "eupl": "EUPL-*",
+    "ofl": "OFL-*", "osl": "OSL-*", "afl": "AFL-*", "qpl": "QPL-*", "ecl": "ECL-*", "upl": "UPL-*", "odbl": "ODbL-*", "odc-by": "ODC-By-*",
+    "pddl": "PDDL-*", "sspl": "SSPL-*", "busl": "BUSL-*", "elastic": "Elastic-*", "lppl": "LPPL-*", "nasa": "NASA-*", "zpl": "ZPL-*",
+    "cecill": "CECILL-* CECILL-B CECILL-C", "mulan": "MulanPSL-*", "artistic": "Artistic-* Artistic-1.0-Perl Artistic-1.0-cl8 ClArtistic",
+    "python": "Python-* CNRI-Python", "psf": "PSF-*", "php": "PHP-*", "apsl": "APSL-*", "rpl": "RPL-*", "cpal": "CPAL-*", "oldap": "OLDAP-*",
+    "spl": "SPL-*", "npl": "NPL-*", "ncgl-uk": "NCGL-UK-*", "ogl-uk": "OGL-UK-*", "blueoak": "BlueOak-*", "parity": "Parity-*", "polyform":
+    "PolyForm-Noncommercial-* PolyForm-Small-Business-*", "etalab": "etalab-*", "cdla-permissive": "CDLA-Permissive-*", "cdla-sharing":
+    "CDLA-Sharing-*", "cern-ohl": "CERN-OHL-*", "cern-ohl-p": "CERN-OHL-P-*", "cern-ohl-s": "CERN-OHL-S-*", "cern-ohl-w": "CERN-OHL-W-*",
+    "erlpl": "ErlPL-*", "efl": "EFL-*", "lpl": "LPL-*", "oset-pl": "OSET-PL-*", "ucl": "UCL-*", "tapr-ohl": "TAPR-OHL-*", "hippocratic":
+    "Hippocratic-*", "liliq": "LiLiQ-P-* LiLiQ-R-* LiLiQ-Rplus-*", "ngpl": "NGPL", "vsl": "VSL-*", "w3c": "W3C W3C-19980720 W3C-20150513",
+    "mit": "MIT MIT-Modern-Variant MIT-Wu MIT-open-group MIT-advertising MIT-CMU MIT-enna MIT-feh MIT-Festival MITNFA", "mit-0": "MIT-0",
+    "x11": "X11 X11-distribute-modifications-variant", "isc": "ISC ISC-Veillard", "zlib": "Zlib zlib-acknowledgement", "libpng":
+    "Libpng libpng-2.0 libpng-1.6.35", "bsl-1.0": "BSL-1.0", "0bsd": "0BSD", "bsd-1-clause": "BSD-1-Clause",
+    "bsd-2-clause": "BSD-2-Clause BSD-2-Clause-Patent BSD-2-Clause-Views BSD-2-Clause-FreeBSD BSD-2-Clause-NetBSD BSD-2-Clause-Darwin",
+    "bsd-3-clause": "BSD-3-Clause BSD-3-Clause-Clear BSD-3-Clause-LBNL BSD-3-Clause-Modification BSD-3-Clause-Attribution BSD-3-Clause-Sun "
+                    "BSD-3-Clause-Open-MPI BSD-3-Clause-No-Nuclear-License BSD-3-Clause-No-Military-License BSD-3-Clause-acpica",
+    "bsd-4-clause": "BSD-4-Clause BSD-4-Clause-UC BSD-4-Clause-Shortened", "bsd": "BSD-Protection BSD-Source-Code BSD-Attribution-HPND-disclaimer",
+    "unlicense": "Unlicense", "wtfpl": "WTFPL", "postgresql": "PostgreSQL", "openssl": "OpenSSL OpenSSL-standalone", "ssleay": "SSLeay-standalone",
+    "ncsa": "NCSA", "ms-pl": "MS-PL", "ms-rl": "MS-RL", "ms-lpl": "MS-LPL", "sleepycat": "Sleepycat", "vim": "Vim", "ruby": "Ruby", "json": "JSON",
+    "curl": "curl", "tcl": "TCL", "tcp-wrappers": "TCP-wrappers", "hpnd": "HPND HPND-sell-variant", "ntp": "NTP NTP-0", "icu": "ICU", "unicode":
+    "Unicode-3.0 Unicode-DFS-2015 Unicode-DFS-2016 Unicode-TOU", "beerware": "Beerware", "bzip2": "bzip2-1.0.5 bzip2-1.0.6", "ftl": "FTL",
+    "ijg": "IJG IJG-short", "imagemagick": "ImageMagick", "intel": "Intel Intel-ACPI", "info-zip": "Info-ZIP", "libtiff": "libtiff",
+    "fair": "Fair", "fsfap": "FSFAP", "fsful": "FSFUL FSFULLR", "naumen": "Naumen", "multics": "Multics", "motosoto": "Motosoto", "nokia": "Nokia",
+    "entessa": "Entessa", "eudatagrid": "EUDatagrid", "frameworx": "Frameworx-1.0", "miros": "MirOS", "xnet": "Xnet", "watcom": "Watcom-1.0",
+    "wxwindows": "wxWindows", "xfree86": "XFree86-1.1", "simpl": "SimPL-2.0", "sissl": "SISSL SISSL-1.2", "sgi-b": "SGI-B-1.0 SGI-B-1.1 SGI-B-2.0",
+    "saxpath": "Saxpath", "plexus": "Plexus", "sendmail": "Sendmail Sendmail-8.23", "snia": "SNIA", "smlnj": "SMLNJ StandardML-NJ",
+    "spencer": "Spencer-86 Spencer-94 Spencer-99", "afmparse": "Afmparse", "adsl": "ADSL", "aml": "AML", "ampas": "AMPAS", "antlr-pd": "ANTLR-PD",
+    "bittorrent": "BitTorrent-1.0 BitTorrent-1.1", "borceux": "Borceux", "caldera": "Caldera", "catosl": "CATOSL-1.1", "condor": "Condor-1.1",
+    "crossword": "Crossword", "cube": "Cube", "d-fsl": "D-FSL-1.0", "doc": "DOC", "dotseqn": "Dotseqn", "dsdp": "DSDP", "dvipdfm": "dvipdfm",
+    "egenix": "eGenix", "glide": "Glide", "gnuplot": "gnuplot", "haskellreport": "HaskellReport", "jasper": "JasPer-2.0", "latex2e": "Latex2e",
+    "leptonica": "Leptonica", "linux-openib": "Linux-OpenIB", "mpich2": "mpich2", "mtll": "MTLL", "nlpl": "NLPL", "noweb": "Noweb", "psutils":
+    "psutils", "rsa-md": "RSA-MD", "tmate": "TMate", "vostrom": "VOSTROM", "wsuipa": "Wsuipa", "xpp": "xpp", "xskat": "XSkat", "zed": "Zed",
+}
+
 #: Sentences of license texts: label, keyword, pattern.
 SENTENCES = [
     ("mit", "hereby granted free of charge", r"permission is hereby granted free of charge to any person obtaining a copy"),
@@ -148,9 +186,10 @@ SENTENCES = [
     ("public-domain", "public domain", r"(?:released into|dedicated to|placed in|in) the public domain"),
     ("proprietary", "all rights reserved", r"all rights reserved"),
     ("proprietary", "confidential", r"(?:proprietary and confidential|confidential and proprietary)"),
-    ("proprietary", "without permission", r"may not be (?:reproduced|copied|distributed|used) without (?:prior )?(?:written )?permission"),
+    ("proprietary", "may not be", r"may not be (?:reproduced|copied|distributed|used) without (?:prior )?(?:written )?permission"),
 ]
 
+_TAG = b"spdx license identifier"
 _VERSION = r"(?: licen[cs]e)?(?: v ?| version | ver )?(?: ?(?P<major>[0-9])(?: (?P<minor>[0-9]))?)?(?P<later> only| or(?: any)? later(?: version)?)?"
 _NEEDED = r"(?: v ?| version | ver | )(?P<major>[0-9])(?: (?P<minor>[0-9]))?(?P<later> only| or(?: any)? later(?: version)?)?"
 
@@ -165,6 +204,13 @@ class Rule:
     pattern: re.Pattern
 
 
+def _tag(label: str, name: str) -> Rule:
+    """The rule of an SPDX identifier."""
+    ws = " ".join(w.decode() for w in words(name.encode()))
+    pattern = rf" {_TAG.decode()} {ws}{_VERSION if name.endswith('-*') else ''}(?= )"
+    return Rule(f"spdx-{name.lower()}", label, _TAG, 100, 1.0, re.compile(pattern.encode()))
+
+
 @lru_cache(maxsize=1)
 def rules() -> tuple[Rule, ...]:
     """All rules, highest priority first."""
@@ -173,6 +219,8 @@ def rules() -> tuple[Rule, ...]:
         for i, (label, keyword, name) in enumerate(FAMILIES):
             text = around.replace("{name}", name if kind != "tag" else f"(?:{name})").replace("{version}", _VERSION).replace("{needed}", _NEEDED)
             out.append(Rule(f"{kind}-{label}-{i}", label, keyword.encode(), priority, score, re.compile(rf" {text}(?= )".encode())))
+    tags = [_tag(label, name) for label, names in SPDX.items() for name in names.split()]
+    out = tags + out  # before the long names behind a tag
     for i, (label, keyword, text) in enumerate(SENTENCES):
         out.append(Rule(f"sentence-{label}-{i}", label, keyword.encode(), 70, 0.9, re.compile(rf" {text}(?= )".encode())))
     return tuple(sorted(out, key=lambda r: -r.priority))

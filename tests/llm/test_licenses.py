@@ -27,6 +27,55 @@ def test_hundreds_of_rules_each_with_its_keyword():
     assert [r.priority for r in rules] == sorted((r.priority for r in rules), reverse=True)
 
 
+@pytest.mark.parametrize("tag, label", [
+    ("MIT", "mit"), ("ISC", "isc"), ("Zlib", "zlib"), ("Artistic-2.0", "artistic-2.0"), ("BSL-1.0", "bsl-1.0"), ("PostgreSQL", "postgresql"),
+    ("NCSA", "ncsa"), ("OpenSSL", "openssl"), ("MS-PL", "ms-pl"), ("OSL-3.0", "osl-3.0"), ("AFL-3.0", "afl-3.0"), ("SSPL-1.0", "sspl-1.0"),
+    ("BUSL-1.1", "busl-1.1"), ("W3C", "w3c"), ("JSON", "json"), ("curl", "curl"), ("Apache-2.0", "apache-2.0"), ("BSD-3-Clause", "bsd-3-clause"),
+    ("GPL-2.0-or-later", "gpl-2.0-or-later"), ("LGPL-2.1-only", "lgpl-2.1"), ("CC-BY-SA-4.0", "cc-by-sa-4.0"), ("CC0-1.0", "cc0-1.0")])
+def test_spdx_tags(tag, label):
+    found = licenses.scan(f"x SPDX-License-Identifier: {tag}\n\nimport os".encode())[1]
+    assert [(d[0], d[2], d[4]) for d in found] == [(label, 1, 1.0)]
+
+
+def examples(parsed):
+    """Texts of a pattern's branches: each alternative once, beside the first of all others."""
+    parts = []
+    for op, arg in parsed:
+        op = str(op)
+        if op == "LITERAL":
+            parts.append([chr(arg)])
+        elif op == "ANY":
+            parts.append(["x"])
+        elif op == "IN":
+            parts.append([c for k, v in arg for c in (["2"] if str(k) == "RANGE" else [chr(v)])])
+        elif op == "BRANCH":
+            parts.append([e for b in arg[1] for e in examples(b)])
+        elif op == "SUBPATTERN":
+            parts.append(examples(arg[3]))
+        elif op in ("MAX_REPEAT", "MIN_REPEAT"):
+            parts.append(["" if arg[0] == 0 else examples(arg[2])[0] * arg[0], *examples(arg[2])])
+        else:
+            assert op == "ASSERT"  # what has to follow
+            parts.append(examples(arg[1]))
+    first = [p[0] for p in parts]
+    return ["".join(first)] + ["".join([*first[:i], e, *first[i + 1:]]) for i, p in enumerate(parts) for e in p[1:]]
+
+
+def test_no_rule_is_dead_and_keywords_drop_no_match():
+    for rule in licenses.rules():
+        lines = [x.encode() for x in examples(re._parser.parse(rule.pattern.pattern.decode()))]
+        matched = [x for x in lines if rule.pattern.search(x)]
+        assert matched, rule.name
+        for x in matched:
+            assert rule.keyword in x, (rule.name, x)
+            assert licenses.scan(x)[1], (rule.name, x)
+
+
+@pytest.mark.parametrize("text, label", [("may not be copied without prior written permission", "proprietary"), ("Apache 2.0", "apache-2.0"), ("GNU GPL", "gpl")])
+def test_gated_and_shadowed_cases(text, label):
+    assert [(d[0], d[2]) for d in licenses.scan(text.encode())[1]] == [(label, 0)]
+
+
 def test_contained_detections_are_suppressed_and_none_overlap_inside():
     text = "Licensed under CC BY-SA 4.0. cc by cc by cc. Apache License, Version 2.0 or MIT license; all rights reserved " * 3
     n, found, base = licenses.scan(text.encode())
