@@ -5,8 +5,10 @@ aggregation: partial sketches merge, so a line that stands in a third of all doc
 task. Lines whose estimate is clearly over the threshold are boilerplate, clearly under it not; those within
 ``BAND`` of it get an exact distinct count of their sites. Boilerplate lines are then cut wherever they stand.
 
-A document of which boilerplate makes up more than ``MAX_COVERAGE`` is a copy that many sites carry rather than a
-page around which boilerplate was put; it is left whole, for near-duplicate removal to decide on.
+A document that is boilerplate and nothing else is a copy that many sites carry; ``remove_boilerplate`` (the pipeline)
+leaves it whole, for near-duplicate removal to decide on, and cuts the lines of every other. ``with_kept_lines`` (query
+op4) by default follows the query's SQL, which exempts every document of which boilerplate makes up more than
+``MAX_COVERAGE``.
 
 Defined cases: null texts have no lines and stay null; blank lines are kept and never count; a null site is no site;
 repeated lines of a document are all cut; copies, repeated rows, and equal or null ids are told apart by id and text;
@@ -46,8 +48,9 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
 
 
 def with_kept_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", site: str = "source", out: str = "lines",
-                    min_sites: int = MIN_SITES, max_coverage: float = MAX_COVERAGE) -> DataFrame:
-    """``docs`` plus a struct: n_lines (not blank), n_removed, kept (the text that is left; null stays null)."""
+                    min_sites: int = MIN_SITES, max_coverage: float | None = MAX_COVERAGE) -> DataFrame:
+    """``docs`` plus a struct: n_lines (not blank), n_removed, kept (the text that is left; null stays null). Without a
+    ``max_coverage`` only documents that are boilerplate and nothing else are left whole."""
     key = F.xxhash64(F.col(quoted(id_col)), F.col(quoted(text)))
     lines = materialize(
         docs.select(key.alias("key"), F.when(F.col(quoted(site)).isNotNull(), F.xxhash64(F.col(quoted(site)))).alias("site"),
@@ -63,7 +66,8 @@ def with_kept_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     every = split_lines(text)
     chars = lambda a: F.aggregate(a, F.lit(0).cast("bigint"), lambda s, x: s + F.length(F.trim(x)))
     cut = F.filter(every, is_bad)
-    act = F.col(flags).isNotNull() & (chars(cut) <= F.lit(max_coverage) * chars(every))
+    few = chars(cut) < chars(every) if max_coverage is None else chars(cut) <= F.lit(max_coverage) * chars(every)
+    act = F.col(flags).isNotNull() & few
     kept = F.when(act, F.array_join(F.filter(every, lambda x: ~is_bad(x)), "\n")).otherwise(F.col(quoted(text)))
     counted = F.size(F.filter(every, lambda x: F.trim(x) != "")).cast("bigint")
     return got.withColumn(out, F.struct(counted.alias("n_lines"), F.when(act, F.size(cut)).otherwise(0).cast("bigint").alias("n_removed"),
@@ -72,9 +76,10 @@ def with_kept_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
 def remove_boilerplate(docs: DataFrame, id_col: str = "doc_id", text: str = "text", site: str = "source",
                        n_chars: str | None = "n_chars", min_sites: int = MIN_SITES) -> DataFrame:
-    """``docs`` in the same columns, boilerplate lines cut; ``n_chars`` is counted anew where lines were cut."""
+    """``docs`` in the same columns, boilerplate lines cut from every document that holds anything else; ``n_chars`` is
+    counted anew where lines were cut."""
     name = free_name(docs, "lines")
-    got = with_kept_lines(docs, id_col, text, site, name, min_sites)
+    got = with_kept_lines(docs, id_col, text, site, name, min_sites, None)
     new = {text: F.col(name)["kept"]}
     if n_chars and n_chars in docs.columns:
         new[n_chars] = F.when(F.col(name)["n_removed"] > 0, F.length(F.col(name)["kept"]).cast(docs.schema[n_chars].dataType)).otherwise(

@@ -21,6 +21,15 @@ def test_boilerplate_goes_and_copies_stay(spark):
     assert got[300].text == "no site of its own, but a long enough text"
 
 
+def test_short_pages_under_much_boilerplate_are_cut(spark):
+    bars = f"{BAR}\nAll offers of the whole week at a glance"
+    data = [(i, f"{bars}\nown {i}", "en", f"s{i % 12}", 1, None, None) for i in range(60)]
+    data += [(100 + i, bars, "en", f"s{i % 12}", 1, None, None) for i in range(12)]
+    got = {r.doc_id: r for r in lines.remove_boilerplate(frame(spark, data)).collect()}
+    assert all(got[i].text == f"own {i}" and got[i].n_chars == len(f"own {i}") for i in range(60))
+    assert all(got[100 + i].text == bars for i in range(12)) and len(got) == 72
+
+
 def test_near_threshold_counts_are_exact(spark):
     data = [(f"line {n}", f"site {s}") for n in (8, 9, 10, 11, 12, 40) for s in range(n) for _ in range(3)]
     df = spark.createDataFrame(data, "l string, s string").select(F.xxhash64("l").alias("h"), F.xxhash64("s").alias("site"))
