@@ -179,7 +179,13 @@ def fit_on_training_rows(df: DataFrame, text: str = "text", lang: str = "lang",
     return fit(df.where(~held_out(id_col)), text, lang, id_col)
 
 
-def speaks(language: str = "language") -> Column:
-    """Texts that are in some language: not ``und``, and with evidence for the predicted one."""
+def unjudged(text: str = "text") -> Column:
+    """Texts that are shorter than an n-gram once words are set apart: there is nothing to look up."""
+    apart = F.regexp_replace(F.concat(F.lit(" "), F.lower(F.col(quoted(text))), F.lit(" ")), r"[\x00-\x60\x7B-\x7F]+", " ")
+    return F.octet_length(apart) < GRAM
+
+
+def speaks(language: str = "language", text: str = "text") -> Column:
+    """Texts that are in some language: not ``und``, and with evidence for the predicted one where they have an n-gram."""
     c = F.col(language)
-    return (c["lang"] != UND) & (c["evidence"] >= REJECT_EVIDENCE)
+    return (c["lang"] != UND) & ((c["evidence"] >= REJECT_EVIDENCE) | unjudged(text))

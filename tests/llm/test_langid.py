@@ -55,6 +55,17 @@ def test_und_ties_and_odd_rows(spark):
     assert langid.with_language(unlabelled, langid.fit(unlabelled)).first().language.lang == "und"
 
 
+def test_texts_without_an_ngram_are_kept_if_they_have_a_letter(spark):
+    model = langid.fit_on_training_rows(labelled(spark))
+    texts = ["Re.", "A.", "De.", "é", "-- x 1 --", "1 2", "", None, " \n", "xqz zqxq qzzx", "the quick brown fox"]
+    data = [(i, t, None, "s", 1, None, None) for i, t in enumerate(texts)]
+    got = langid.with_language(frame(spark, data), model).where(langid.speaks())
+    assert {r.doc_id for r in got.collect()} == {0, 1, 2, 3, 4, 10}
+    short = frame(spark, data).select("doc_id", langid.unjudged().alias("u")).where("u").collect()
+    assert {r.doc_id for r in short} == {i for i, t in enumerate(texts) if t is not None and len(langid._RUNS.sub(
+        b" ", b" " + t.lower().encode().translate(langid._PLAIN) + b" ")) < langid.GRAM}
+
+
 def test_query_on_held_out_documents(spark):
     sf = "/root/testdata/sf0.01"
     got = queries.op10_language(spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id").collect()
