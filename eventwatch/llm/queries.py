@@ -1,11 +1,11 @@
-"""The registered queries of the ten operators: thin projections of their results."""
+"""The registered queries of the operators: thin projections of their results."""
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventwatch.config import ensure_utc
-from eventwatch.llm import bpe, chat, decontam, langid, licenses, lines, omh, simhash, suffix, toxicity
+from eventwatch.llm import bpe, chat, decontam, langid, licenses, lines, merkle, omh, periodic, simhash, suffix, toxicity
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -103,6 +103,30 @@ def op10_language(spark: SparkSession, sf: str) -> DataFrame:
                       F.col("language.score").alias("score"))
 
 
+def op12_merkle(spark: SparkSession, sf: str) -> DataFrame:
+    """Merkle manifest of the documents, and what becomes of the root where a text loses its line ends."""
+    docs = table(spark, sf, "documents")
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    tampered = F.when(hit, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    got = merkle.manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"], changed={"text": tampered})
+    named = {"leaf": "leaf", "subroot": "subroot", "root": "root", "proof": "proof_sha256", "folded": "folded_root"}
+    return got.select(F.col("id").alias("doc_id"), *[merkle.hex_digest(F.col(c)).alias(n) for c, n in named.items()],
+                      (F.col("folded") == F.col("root")).alias("verified"))
+
+
+def op13_periodic(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs of repeated words of every document, some with a planted repetition, and the texts with runs collapsed."""
+    docs = periodic.with_probe(table(spark, sf, "documents").select("doc_id", "text"))
+    got = periodic.with_runs(docs.select("doc_id", "probe"), "probe")
+    runs = F.col("runs.runs")
+    return (got.withColumn("best", periodic.longest(runs))
+            .select("doc_id", F.size(runs).cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+                    F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+                    periodic.digest(runs).alias("runs_sha256"), F.sha2(F.col("runs.collapsed").cast("binary"), 256).alias("collapsed_sha256")))
+
+
 QUERIES = {"op1_bpe": op1_bpe, "op2_chat": op2_chat, "op3_order_minhash": op3_order_minhash, "op4_lines": op4_lines,
-           "op5_toxicity": op5_toxicity, "op6_decontamination": op6_decontamination, "op7_suffix_array": op7_suffix_array, "op8_licenses": op8_licenses, "op9_simhash": op9_simhash, "op10_language": op10_language}
-ORACLES: dict[str, str] = {"op2_chat": chat.ORACLE, "op4_lines": lines.ORACLE, "op6_decontamination": decontam.ORACLE}
+           "op5_toxicity": op5_toxicity, "op6_decontamination": op6_decontamination, "op7_suffix_array": op7_suffix_array, "op8_licenses": op8_licenses, "op9_simhash": op9_simhash, "op10_language": op10_language,
+           "op12_merkle": op12_merkle, "op13_periodic": op13_periodic}
+ORACLES: dict[str, str] = {"op2_chat": chat.ORACLE, "op4_lines": lines.ORACLE, "op6_decontamination": decontam.ORACLE,
+                           "op12_merkle": merkle.ORACLE}
