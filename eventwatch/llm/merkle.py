@@ -7,11 +7,13 @@ one), until one is left: the group's subroot. Subroots in order of the group (nu
 1. Places. Narrow rows (order, group, digests) are dealt out by range and numbered within their partition; one small row
    per partition and group, summed up in order, turns that into the place within the group. So a group of a third of all
    rows is never sorted or numbered by one task.
-2. Levels. Each level is one aggregation by (tree, run) and a table in the checkpoint folder. A stored row is one run: its
-   members' digests, and the link to the run that its own digest stands in (of the top tree, for a subroot).
-3. Climb. A recursive query starts with every leaf's own digest (the original's or a changed row's), joins the run that it
-   stands in, records the others as siblings and folds them with what came up, until a run has no link. A step shuffles
-   some 60 bytes a row; siblings are emitted once a step and put together by one aggregation at the end.
+2. Levels. ``SPAN`` levels at a time are one aggregation and a table in the checkpoint folder. A stored row is a page: the nodes
+   of ``ARITY ** SPAN`` neighbours and of the levels between them and their common node, with a link to the page and place that
+   this node has on the next level (in the top tree, for a subroot). Levels of few nodes, by an exact count, take one task.
+3. Climb. A recursive query starts with every leaf's own digest (the original's or a changed row's), joins the page that it
+   stands in, level by level records the other members of its run as siblings and folds them with what came up, and goes
+   on at the page's link until there is none. A step shuffles some 60 bytes a row; siblings are emitted once a step and
+   put together by one aggregation at the end.
 
 Defined cases: null order values come first; rows of equal order stand by their digests, so equal rows are interchangeable;
 null groups are a group; null and empty fields differ (``-`` and ``0:``); very long texts are only hashed, where they are read;
@@ -29,8 +31,11 @@ from eventwatch.config import materialize
 from eventwatch.llm.common import quoted
 
 ARITY = 3
+SPAN = 3            # levels of a page
+_WIDTH = ARITY ** SPAN
 _TOP = -1           # number of the tree over the subroots
-_LEVEL = 48         # a slot is level << 48 | run
+_LEVEL = 48         # a slot is step << 48 | page
+_FEW = 20_000       # nodes that one task aggregates
 ROW_LIMIT = "spark.sql.cteRecursionRowLimit"
 
 
@@ -49,10 +54,11 @@ def hex_digest(digest: Column) -> Column:
     return F.lower(F.hex(digest))
 
 
-def _fold(parts: list[Column]) -> Column:
-    """Digest of the hex texts of digests, null ones left out."""
-    none = F.lit(b"")
-    return F.unhex(F.sha2(F.encode(hex_digest(F.concat(*[F.coalesce(p, none) for p in parts])), "utf-8"), 256))
+def _above(nodes: Column) -> Column:
+    """The next level over neighbouring nodes."""
+    runs = F.sequence(F.lit(0), F.ceil(F.size(nodes) / ARITY).cast("int") - 1)
+    text = lambda r: F.array_join(F.transform(F.slice(nodes, r * ARITY + 1, ARITY), hex_digest), "")
+    return F.transform(runs, lambda r: F.unhex(F.sha2(F.encode(text(r), "utf-8"), 256)))
 
 
 def _placed(df: DataFrame, group: list[str], order: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -69,28 +75,35 @@ def _placed(df: DataFrame, group: list[str], order: list[str]) -> tuple[DataFram
     return rows, materialize(blocks.withColumn("before", before).withColumn("n", F.sum("c").over(all_)).drop("c"))
 
 
-def _levels(nodes: DataFrame, highest: int, up_tree: Column, up_slot: Column, up_place: Column) -> tuple[list[DataFrame], list[DataFrame]]:
-    """Nodes (tree, pos, digest, n of the tree) -> tables of runs, and of last nodes (tree, digest), level by level. The
-    last run of a tree links to what ``up_...`` say of its tree."""
-    runs, tops, level = [], [nodes.where("n = 1").select("tree", "digest")], 0
-    while highest > 1:
-        place = F.col("pos") % ARITY
-        parts = F.array_sort(F.collect_list(F.struct(place.alias("p"), "digest")))
-        run = F.floor(F.col("pos") / ARITY)
-        made = (nodes.where("n > 1").groupBy("tree", run.alias("run"), F.ceil(F.col("n") / ARITY).alias("n")).agg(parts.alias("parts"))
-                .select("tree", "run", "n", *[F.get("parts", F.lit(i))["digest"].alias(f"d{i}") for i in range(ARITY)]))
-        made = made.withColumn("digest", _fold([F.col(f"d{i}") for i in range(ARITY)]))
-        made = materialize(made)
-        last, run = F.col("n") == 1, F.col("run")
-        runs.append(made.select(
-            "tree", F.lit(level << _LEVEL).bitwiseOR(run).alias("slot"), *[f"d{i}" for i in range(ARITY)],
+def _levels(nodes: DataFrame, sizes: DataFrame, up_tree: Column, up_slot: Column, up_place: Column) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Nodes (tree, pos, digest, n of the tree) -> tables of pages, and of last nodes (tree, digest), step by step. The last
+    page of a tree links to what ``up_...`` say of its tree. ``sizes`` holds every tree's n."""
+    pages, tops, step = [], [nodes.where("n = 1").select("tree", "digest")], 0
+    page, last = F.col("page"), F.col("n") == 1
+    n = F.col("n").cast("decimal(38,0)")
+    while True:
+        left = F.ceil(n / F.lit(_WIDTH ** step))
+        count = sizes.select(left.alias("k")).where("k > 1").agg(F.sum("k")).first()[0]
+        if not count:
+            return pages, tops
+        height = sum([F.when(F.col("n") > ARITY ** i, 1).otherwise(0) for i in range(SPAN)], F.lit(0))
+        some = nodes.where("n > 1")
+        made = ((some.coalesce(1) if count <= _FEW else some)
+                .groupBy("tree", F.floor(F.col("pos") / _WIDTH).alias("page"), "n")
+                .agg(F.array_sort(F.collect_list(F.struct("pos", "digest"))).alias("parts"))
+                .select("tree", "page", F.ceil(F.col("n") / _WIDTH).alias("n"), height.alias("height"),
+                        F.transform("parts", lambda x: x["digest"]).alias("l0")))
+        for i in range(SPAN):  # above a tree's last node there is nothing
+            made = made.withColumn(f"l{i + 1}", F.when(F.col("height") > i, _above(F.col(f"l{i}"))).otherwise(F.col(f"l{i}")))
+        made = materialize(made.withColumn("digest", F.col(f"l{SPAN}")[0]))
+        pages.append(made.select(
+            "tree", F.lit(step << _LEVEL).bitwiseOR(page).alias("slot"), "height", F.array(*[f"l{i}" for i in range(SPAN)]).alias("nodes"),
             F.when(last, up_tree).otherwise(F.col("tree")).alias("up_tree"),
-            F.when(last, up_slot).otherwise(F.lit((level + 1) << _LEVEL).bitwiseOR(F.floor(run / ARITY))).alias("up_slot"),
-            F.when(last, up_place).otherwise((run % ARITY).cast("int")).alias("up_place")))
-        nodes = made.select("tree", F.col("run").alias("pos"), "digest", "n")
+            F.when(last, up_slot).otherwise(F.lit((step + 1) << _LEVEL).bitwiseOR(F.floor(page / _WIDTH))).alias("up_slot"),
+            F.when(last, up_place).otherwise((page % _WIDTH).cast("int")).alias("up_place")))
+        nodes = made.select("tree", F.col("page").alias("pos"), "digest", "n")
         tops.append(nodes.where("n = 1").select("tree", "digest"))
-        highest, level = -(-highest // ARITY), level + 1
-    return runs, tops
+        step += 1
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -112,17 +125,21 @@ def _no_row_limit(spark: SparkSession) -> Iterator[None]:
 
 
 def _climb_sql() -> str:
-    """The climb over the views leaves (seq, tree, slot, place, digest) and runs."""
-    mine = [f"IF(c.place = {i}, c.digest, COALESCE(r.d{i}, X''))" for i in range(ARITY)]
-    others = [f"IF(c.place = {i}, X'', COALESCE(r.d{i}, X''))" for i in range(ARITY)]
+    """The climb over the views leaves (seq, tree, slot, place, digest) and pages."""
+    own = f"CAST(FLOOR(c.place / POW({ARITY}, l)) AS INT)"
+    run = f"SLICE(p.nodes[l], {own} - {own} % {ARITY} + 1, {ARITY})"
+    mine = f"ARRAY_JOIN(TRANSFORM({run}, (x, i) -> LOWER(HEX(IF(i = {own} % {ARITY}, a.digest, x)))), '')"
+    others = f"ARRAY_JOIN(TRANSFORM({run}, (x, i) -> IF(i = {own} % {ARITY}, '', HEX(x))), '')"
     return f"""
         WITH RECURSIVE climb (seq, tree, slot, place, digest, step, siblings) AS (
             SELECT seq, tree, slot, place, digest, 0, X'' FROM {{leaves}}
             UNION ALL
-            SELECT c.seq, r.up_tree, r.up_slot, r.up_place,
-                   UNHEX(SHA2(ENCODE(LOWER(HEX(CONCAT({', '.join(mine)}))), 'utf-8'), 256)),
-                   c.step + 1, CONCAT({', '.join(others)})
-            FROM climb c JOIN {{runs}} r ON c.tree = r.tree AND c.slot = r.slot
+            SELECT seq, up_tree, up_slot, up_place, up.digest, step + 1, up.siblings FROM (
+                SELECT c.seq, p.up_tree, p.up_slot, p.up_place, c.step, AGGREGATE(
+                    SEQUENCE(0, p.height - 1), NAMED_STRUCT('digest', c.digest, 'siblings', X''),
+                    (a, l) -> NAMED_STRUCT('digest', UNHEX(SHA2(ENCODE({mine}, 'utf-8'), 256)),
+                                           'siblings', CONCAT(a.siblings, UNHEX({others})))) AS up
+                FROM climb c JOIN {{pages}} p ON c.tree = p.tree AND c.slot = p.slot)
         )
         SELECT seq, step, siblings, IF(tree IS NULL, digest, NULL) AS folded FROM climb"""
 
@@ -142,7 +159,8 @@ def manifest(df: DataFrame, columns: list[str], order_col: str = "doc_id", group
     span = spans.select("part", "first", "before", F.col("n").alias("trees"))
     groups = (groups.withColumn("part", F.shiftright("seq", 33)).join(span, "part")
               .select(F.col("grp").alias("g"), "n", "trees", (F.col("before") + F.col("seq") - F.col("first")).alias("tree")))
-    highest, trees = groups.agg(F.max("n"), F.max("trees")).first()
+    groups = materialize(groups)
+    trees = groups.agg(F.max("trees")).first()[0]
     where = (blocks.drop("n").join(groups, F.col("grp").eqNullSafe(F.col("g"))).drop("g")
              .select(F.col("part").alias("p"), F.col("grp").alias("g"), "first", "before", "tree", "n", "trees"))
     on = (F.shiftright("seq", 33) == F.col("p")) & F.col("grp").eqNullSafe(F.col("g"))
@@ -150,23 +168,23 @@ def manifest(df: DataFrame, columns: list[str], order_col: str = "doc_id", group
         "seq", "id", "grp", "leaf", "now", "tree", "n", "trees", (F.col("before") + F.col("seq") - F.col("first")).alias("pos")))
 
     many = F.lit((trees or 0) > 1)
-    up = (F.when(many, F.lit(_TOP).cast("bigint")), F.when(many, F.floor(F.col("tree") / ARITY)),
-          F.when(many, (F.col("tree") % ARITY).cast("int")))
-    runs, tops = _levels(placed.select("tree", "pos", F.col("leaf").alias("digest"), "n"), highest or 0, *up)
+    up = (F.when(many, F.lit(_TOP).cast("bigint")), F.when(many, F.floor(F.col("tree") / _WIDTH)),
+          F.when(many, (F.col("tree") % _WIDTH).cast("int")))
+    pages, tops = _levels(placed.select("tree", "pos", F.col("leaf").alias("digest"), "n"), groups, *up)
     subroots = materialize(_union(tops).select("tree", F.col("digest").alias("subroot")))
     over = subroots.select(F.lit(_TOP).cast("bigint").alias("tree"), F.col("tree").alias("pos"), F.col("subroot").alias("digest"),
                            F.lit(trees or 0).cast("bigint").alias("n"))
     end = [F.lit(None).cast(t) for t in ("bigint", "bigint", "int")]
-    top_runs, roots = _levels(over, trees or 0, *end)
+    top_pages, roots = _levels(over, groups.select(F.col("trees").alias("n")).limit(1), *end)
     root = next((bytes(r[1]) for r in _union(roots).collect()), None)  # one digest; none of an empty table
 
     one = F.col("n") == 1
     start = placed.select("seq", F.when(one, up[0]).otherwise(F.col("tree")).alias("tree"),
-                          F.when(one, up[1]).otherwise(F.floor(F.col("pos") / ARITY)).alias("slot"),
-                          F.when(one, up[2]).otherwise((F.col("pos") % ARITY).cast("int")).alias("place"), F.col("now").alias("digest"))
-    if runs or top_runs:
+                          F.when(one, up[1]).otherwise(F.floor(F.col("pos") / _WIDTH)).alias("slot"),
+                          F.when(one, up[2]).otherwise((F.col("pos") % _WIDTH).cast("int")).alias("place"), F.col("now").alias("digest"))
+    if pages or top_pages:
         with _no_row_limit(spark):
-            steps = materialize(spark.sql(_climb_sql(), leaves=start, runs=_union(runs + top_runs)))
+            steps = materialize(spark.sql(_climb_sql(), leaves=start, pages=_union(pages + top_pages)))
     else:
         steps = start.select("seq", F.lit(0).alias("step"), F.lit(b"").alias("siblings"), F.col("digest").alias("folded"))
     path = F.array_sort(F.collect_list(F.struct("step", "siblings")))
