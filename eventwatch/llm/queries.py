@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventwatch.config import ensure_utc
-from eventwatch.llm import bpe, chat, decontam, langid, licenses, lines, merkle, omh, periodic, simhash, suffix, toxicity
+from eventwatch.llm import bpe, chat, decontam, langid, licenses, lines, merkle, omh, partenum, periodic, simhash, suffix, toxicity
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -103,6 +103,11 @@ def op10_language(spark: SparkSession, sf: str) -> DataFrame:
                       F.col("language.score").alias("score"))
 
 
+def op11_partenum(spark: SparkSession, sf: str) -> DataFrame:
+    """Similarity join on four-word shingles: set size and component of every document."""
+    return partenum.similar_texts(table(spark, sf, "documents"))
+
+
 def op12_merkle(spark: SparkSession, sf: str) -> DataFrame:
     """Merkle manifest of the documents, and what becomes of the root where a text loses its line ends."""
     docs = table(spark, sf, "documents")
@@ -127,6 +132,6 @@ def op13_periodic(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {"op1_bpe": op1_bpe, "op2_chat": op2_chat, "op3_order_minhash": op3_order_minhash, "op4_lines": op4_lines,
            "op5_toxicity": op5_toxicity, "op6_decontamination": op6_decontamination, "op7_suffix_array": op7_suffix_array, "op8_licenses": op8_licenses, "op9_simhash": op9_simhash, "op10_language": op10_language,
-           "op12_merkle": op12_merkle, "op13_periodic": op13_periodic}
+           "op11_partenum": op11_partenum, "op12_merkle": op12_merkle, "op13_periodic": op13_periodic}
 ORACLES: dict[str, str] = {"op2_chat": chat.ORACLE, "op4_lines": lines.ORACLE, "op6_decontamination": decontam.ORACLE,
                            "op12_merkle": merkle.ORACLE}

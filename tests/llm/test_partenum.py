@@ -1,0 +1,100 @@
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from eventwatch.llm import partenum, queries
+from fixtures import empty, frame, prose, rows
+
+
+def result(df, **kw):
+    return {r.doc_id: (r.n_shingles, r.component_id) for r in partenum.similar_texts(df, **kw).collect()}
+
+
+def test_similar_sets_share_a_signature():
+    rnd, some = random.Random(3), 0
+    for _ in range(800):
+        n = rnd.choice([6, 7, 8, 12, 20, 30, 60, 150, 400])
+        s = {rnd.getrandbits(64) for _ in range(n)}
+        t = set(s)
+        for _ in range(rnd.randint(0, max(1, int(n * 0.17)))):
+            t.symmetric_difference_update([rnd.choice(sorted(t)) if rnd.random() < 0.5 and len(t) > 1 else rnd.getrandbits(64)])
+        both = len(s & t)
+        if s != t and 100 * both >= 85 * (len(s) + len(t) - both):
+            for seed in (0, 1000):
+                who, sig = partenum.signatures(np.array(sorted(s) + sorted(t), np.uint64), np.array([len(s), len(t)]), seed)
+                assert set(sig[who == 0].tolist()) & set(sig[who == 1].tolist()), n
+            some += 1
+    assert some > 300
+
+
+def test_sets_with_many_empty_cells_fall_back(monkeypatch):
+    """Without spare parts most sets go on to further hashes; no pair is lost."""
+    plan = partenum._plan
+    monkeypatch.setattr(partenum, "_plan", lambda *a: (lambda p: p and (p[0] - p[3], *p[1:3], 0))(plan(*a)))
+    test_similar_sets_share_a_signature()
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 100])
+def test_groups_across_batches(size):
+    rnd = random.Random(size)
+    data = sorted((rnd.randrange(12), rnd.randrange(8)) for _ in range(90))
+    batches = [pa.RecordBatch.from_arrays([pa.array([a for a, _ in data[i:i + size]]), pa.array([b for _, b in data[i:i + size]])], ["sig", "node"])
+               for i in range(0, len(data), size)]
+    got = sorted(tuple(r.values()) for b in partenum._groups(iter(batches)) for r in b.to_pylist())
+    nodes = {s: sorted({x for t, x in data if t == s}) for s, _ in data}
+    assert got == sorted((s, x, xs[0]) for s, xs in nodes.items() if len(xs) > 1 for x in xs)
+
+
+def near(rnd, text, share):
+    ws = text.split()
+    for i in rnd.sample(range(len(ws)), int(len(ws) * share)):
+        ws[i] = "x" + str(rnd.random())
+    return " ".join(ws)
+
+
+def clusters():
+    """Chains, a dense group of near copies, sets that share parts, and all short lengths."""
+    rnd = random.Random(5)
+    texts = [prose(rnd, rnd.randint(1, 80)) for _ in range(60)]
+    for _ in range(12):
+        base = prose(rnd, rnd.randint(20, 200))
+        texts += [near(rnd, base, rnd.choice([0, 0.01, 0.02, 0.04, 0.06])) for _ in range(8)]
+    base = prose(rnd, 120)
+    texts += [near(rnd, base, 0.02) for _ in range(80)]
+    step = prose(rnd, 100).split()
+    texts += [" ".join(step[i:i + 60]) for i in range(0, 40, 2)]   # each like the next, the ends unlike
+    common = prose(rnd, 30)
+    texts += [common + " " + prose(rnd, rnd.randint(3, 25)) for _ in range(60)]
+    texts += ["a b c d e f g h i j k"[:n] for n in range(22)] + [None, "", "\t"]
+    return dict(enumerate(texts))
+
+
+@pytest.mark.parametrize("per_member", [256, 0])
+def test_components_equal_brute_force(spark, monkeypatch, per_member):
+    """With 0 pairs a member, every group that is still open is split until nothing is."""
+    monkeypatch.setattr(partenum, "PER_MEMBER", per_member)
+    if not per_member:
+        monkeypatch.setattr(partenum, "DEPTH", 2)
+    texts = clusters()
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert result(df) == partenum.brute_force(texts)
+
+
+def test_odd_rows(spark):
+    df = frame(spark)
+    got = partenum.similar_texts(df, keep=df.columns, size_col="Text_", component_col="fingerprint")
+    assert got.columns == [*df.columns, "Text__", "fingerprint_"] and got.count() == len(rows())
+    want = partenum.brute_force({r[0]: r[1] for r in rows() if r[0] is not None})
+    assert {r["doc_id"]: (r["Text__"], r["fingerprint_"]) for r in got.where("doc_id is not null").collect()} == want
+    nulls = got.where("doc_id is null").collect()
+    assert sorted((r["Text__"], str(r["fingerprint_"])) for r in nulls) == sorted([(0, "None"), (want[9][0], str(want[9][1]))])
+    assert partenum.similar_texts(empty(spark)).count() == 0
+
+
+def test_query_equals_brute_force(spark):
+    sf = "/root/testdata/sf0.001"
+    texts = dict(map(tuple, spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in queries.op11_partenum(spark, sf).collect()}
+    assert got == partenum.brute_force(texts) and len({c for _, c in got.values()}) < len(got)
