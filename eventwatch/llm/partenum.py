@@ -12,10 +12,12 @@ Two texts link when the Jaccard similarity of their shingle sets is at least ``n
    would be shared by masses, so n1 has ``spare`` parts more: a set with up to so many parts with an empty choice still shares a
    signature with elements. The few sets with more of them also give signatures under a second hash, and so on.
 4. Candidates. Signatures are sorted into groups of equal ones as they stream by (one row is held). First every member is
-   verified against the group's smallest node only, which joins a group of near copies by one link a member. Groups
-   whose members are then of several components go on: where the pairs between different components are at most ``PER_MEMBER`` a
-   member, these are verified; larger groups (sets that share one very common shingle in a cell) are split by signatures under
-   further hashes, which their similar sets must share as well. Nothing is capped or sampled.
+   verified against the group's smallest node only, which joins a group of near copies by a few links a member. Groups whose
+   members are then of several components go on: a pair between components is a candidate if their sizes and their parity
+   bitmaps allow it. (A bitmap holds the parity of the elements that fall on each of ``BITS`` places; two sets differ in at least
+   as many elements as their bitmaps in bits.) So sets that share one common passage are told apart by a few machine words
+   a pair in the task, and emit nothing. Groups of more than ``BLOCK`` members are dealt out as pairs of blocks; nothing is
+   capped or sampled.
 5. Verification counts common hashes of the two sets, and components are found by ``simhash.components``.
 
 Links are exact but for equal 64-bit hashes of different shingles within a pair (about size^2 / 2^64) or of different sets.
@@ -43,8 +45,8 @@ from eventwatch.llm.simhash import components
 
 SHINGLE = 4
 SIMILAR = (85, 100)
-PER_MEMBER = 256    # pairs a member that a group may give without being split
-DEPTH = 10          # hashes under which a group is split, at most
+BITS = 512          # of a parity bitmap
+BLOCK = 8192        # members of a group that one task compares at a time
 PORTION = 1 << 20   # bytes of text handled together
 KNOWN = 100_000     # words whose hashes a portion remembers
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F))
@@ -197,17 +199,25 @@ def _nodes(shingle: int):
 
 
 def _set(shingle: int):
-    """Arrow column of texts -> array of hashes."""
+    """Arrow column of texts -> struct of hashes and parity bitmap."""
     def sets(cols: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for col in cols:
-            got, sizes = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
+            got, sizes, bits = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)], []
             for _, some in _portions(utf8(col)):
                 hashes, size = shingle_sets(some, shingle)
                 got.append(hashes)
                 sizes.append(size)
-            yield pa.ListArray.from_arrays(pa.array(np.cumsum(np.concatenate(sizes)), pa.int32()), pa.array(np.concatenate(got).view(np.int64)))
+                bits += bitmaps(hashes, size)
+            words = pa.ListArray.from_arrays(pa.array(np.cumsum(np.concatenate(sizes)), pa.int32()), pa.array(np.concatenate(got).view(np.int64)))
+            yield pa.StructArray.from_arrays([words, pa.array(bits, pa.binary())], ["words", "bits"])
         give_back()
-    return F.arrow_udf(sets, "array<bigint>")
+    return F.arrow_udf(sets, "struct<words:array<bigint>,bits:binary>").asNondeterministic()
+
+
+def bitmaps(hashes: np.ndarray, size: np.ndarray) -> list[bytes]:
+    place = np.repeat(np.arange(len(size)), size) * BITS + (_mix(hashes ^ _C) % np.uint64(BITS)).astype(np.int64)
+    odd = (np.bincount(place, minlength=len(size) * BITS) & 1).astype(np.uint8)
+    return [row.tobytes() for row in np.packbits(odd.reshape(len(size), BITS), axis=1)]
 
 
 def _signed_texts(shingle: int, similar: tuple[int, int]):
@@ -228,22 +238,6 @@ def _signed_texts(shingle: int, similar: tuple[int, int]):
     return rows
 
 
-def _signed_sets(seed: int, similar: tuple[int, int]):
-    """Batches of (sig, node, words) -> (sig, node), signatures split further under another hash."""
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
-                words = batch.column("words")
-                size = words.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-                hashes = words.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-                old = batch.column("sig").to_numpy(zero_copy_only=False).view(np.uint64)
-                node = batch.column("node").to_numpy(zero_copy_only=False)
-                who, sig = signatures(hashes, size, seed, similar)
-                yield pa.RecordBatch.from_arrays([pa.array(_mix(sig ^ _mix(old[who] * _A)).view(np.int64)), pa.array(node[who])], ["sig", "node"])
-    return rows
-
-
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (sig, node) in order -> members of groups of several nodes: (sig, node, least of the group)."""
     held = None  # of the last row: sig, node, the least of its group, whether the group has several
@@ -283,37 +277,74 @@ def _verified(pairs: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> Da
     return materialize(both.where(common * den >= (F.col("na") + F.col("nb") - common) * num).select("a", "b"))
 
 
+def _close(rows: dict[str, np.ndarray], num: int, den: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of one cell's rows that may be similar: of different components, and of different blocks where the cell has two."""
+    node, root, n, block, bits = (rows[c] for c in ("node", "root", "n", "block", "bits"))
+    apart = block[0] != block[-1] or (block != block[0]).any()
+    for i in range(len(node) - 1):
+        rest = slice(i + 1, None)
+        ok = (root[rest] != root[i]) & (np.minimum(n[rest], n[i]) * den >= np.maximum(n[rest], n[i]) * num)
+        if apart:
+            ok &= block[rest] != block[i]
+        at = np.flatnonzero(ok) + i + 1
+        if len(at):
+            differ = np.bitwise_count(bits[at] ^ bits[i]).sum(axis=1, dtype=np.int64)
+            at = at[differ * (den + num) <= (n[at] + n[i]) * (den - num)]
+        if len(at):
+            yield np.minimum(node[at], node[i]), np.maximum(node[at], node[i])
+
+
+def _candidates(similar: tuple[int, int]):
+    """Rows (sig, cell, block, node, root, n, bits) in order of (sig, cell) -> pairs (a, b). At most two blocks are held."""
+    def work(parts: list[dict[str, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        rows = {c: np.concatenate([p[c] for p in parts]) for c in parts[0]}
+        got = list(_close(rows, *similar))
+        if got:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*got)], ["a", "b"])
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict[str, np.ndarray]] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            all_ = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("sig", "cell", "block", "node", "root", "n")}
+            all_["bits"] = np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.uint64).reshape(batch.num_rows, -1)
+            key = all_["sig"], all_["cell"]
+            cut = np.flatnonzero((key[0][1:] != key[0][:-1]) | (key[1][1:] != key[1][:-1])) + 1
+            for a, b in zip([0, *cut.tolist()], [*cut.tolist(), batch.num_rows]):
+                part = {c: v[a:b] for c, v in all_.items()}
+                if held and (held[0]["sig"][0], held[0]["cell"][0]) != (part["sig"][0], part["cell"][0]):
+                    yield from work(held)
+                    held = []
+                held.append(part)
+        if held:
+            yield from work(held)
+        give_back()
+    return pairs
+
+
 def _links(docs: DataFrame, text: str, shingle: int, similar: tuple[int, int]) -> DataFrame:
     """(node, root) of the nodes that have links."""
     texts = docs.select(F.col(quoted(text)).cast("string").alias("t"))
     members = _members(text_batches(texts).mapInArrow(_signed_texts(shingle, similar), "sig bigint, node bigint"))
     named = text_batches(texts).withColumn("x", _nodes(shingle)("t")).select("t", "x.node", "x.n")
     wanted = named.join(members.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
-    sets = materialize(wanted.select("node", "n", _set(shingle)("t").alias("words")))
+    sets = materialize(wanted.withColumn("x", _set(shingle)("t")).select("node", "n", "x.words", "x.bits"))
     edges = _verified(members.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct(), sets, similar)
-    for depth in range(1, DEPTH + 2):
-        tree = materialize(components(edges).withColumnRenamed("root", "r"))
-        rooted = (members.join(tree, "node", "left").select("sig", "node", "least", F.coalesce("r", "node").alias("root")))
-        parts = rooted.groupBy("sig", "root").agg(F.count(F.lit(1)).alias("c"))
-        open_ = (parts.groupBy("sig").agg(F.count(F.lit(1)).alias("roots"), F.sum("c").alias("g"), F.sum(F.col("c").cast("double") ** 2).alias("q"))
-                 .where("roots > 1").select("sig", (F.col("g").cast("double") ** 2 - F.col("q") <= F.lit(2.0 * PER_MEMBER) * F.col("g")).alias("few")))
-        left = materialize(rooted.join(open_, "sig"))
-        if left.isEmpty():
-            return tree
-        few = left.where("few") if depth <= DEPTH else left
-        a, b = (few.select("sig", F.col("node").alias(x), F.col("root").alias("r" + x), "least") for x in "ab")
-        pairs = a.join(b.drop("least"), "sig").where("a < b and ra <> rb")
-        pairs = pairs.where("a <> least")          # these are verified
-        more = _verified(pairs.select("a", "b").distinct(), sets, similar)
-        edges = materialize(edges.union(more))
-        many = left.where("not few")
-        if depth > DEPTH or many.isEmpty():
-            return components(edges).withColumnRenamed("root", "r")
-        again = many.select("sig", "node").join(sets.select("node", "words"), "node").select("sig", "node", "words")
-        members = _members(again.mapInArrow(_signed_sets(1000 * depth, similar), "sig bigint, node bigint"))
-        star = members.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
-        edges = materialize(edges.union(_verified(star, sets, similar)))
-    return components(edges).withColumnRenamed("root", "r")
+    tree = components(edges)
+    # members of groups of several components; their least nodes are through
+    rooted = members.join(tree.select("node", "root"), "node", "left").select("sig", "node", "least", F.coalesce("root", "node").alias("root"))
+    low = F.min("root") != F.max("root")
+    open_ = rooted.groupBy("sig").agg(low.alias("open"), F.count(F.lit(1)).alias("g")).where("open and g > 2").drop("open")
+    left = rooted.where("node <> least").join(open_, "sig").join(sets.select("node", "n", "bits"), "node")
+    blocks = F.ceil(F.col("g") / BLOCK)
+    left = left.withColumn("block", F.pmod(F.xxhash64("node"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
+    cell = F.least("block", "other") * blocks + F.greatest("block", "other")
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = (left.select("sig", cell.alias("cell"), "block", "node", "root", "n", "bits")
+             .repartition(n, "sig", "cell").sortWithinPartitions("sig", "cell"))
+    more = _verified(dealt.mapInArrow(_candidates(similar), "a bigint, b bigint").distinct(), sets, similar)
+    return tree if more.isEmpty() else components(edges.union(more))
 
 
 def similar_texts(df: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE, similar: tuple[int, int] = SIMILAR,
@@ -326,7 +357,7 @@ def similar_texts(df: DataFrame, id_col: str = "doc_id", text: str = "text", shi
     narrow = materialize(text_batches(ids).withColumn("x", _nodes(shingle)("t")).drop("t").select("*", "x.node", "x.n").drop("x"))
     tree = _links(df, text, shingle, similar)
     nodes = narrow.where("n > 0").groupBy("node").agg(F.min("id").alias("first"))
-    named = materialize(nodes.join(tree, "node", "left").select("node", "first", F.coalesce("r", "node").alias("root")))
+    named = materialize(nodes.join(tree, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root")))
     least = named.groupBy("root").agg(F.min("first").alias("cid"))
     found = named.join(least, "root").select("node", "cid")
     return (narrow.join(found, "node", "left")

@@ -71,17 +71,25 @@ def clusters():
     return dict(enumerate(texts))
 
 
-@pytest.mark.parametrize("per_member", [256, 0])
-def test_components_equal_brute_force(spark, monkeypatch, per_member):
-    """With 0 pairs a member, every group that is still open is split until nothing is."""
-    monkeypatch.setattr(partenum, "PER_MEMBER", per_member)
-    if not per_member:
-        monkeypatch.setattr(partenum, "DEPTH", 2)
+@pytest.mark.parametrize("block", [8192, 3])
+def test_components_equal_brute_force(spark, monkeypatch, block):
+    """Small blocks deal every larger group out as pairs of blocks."""
+    monkeypatch.setattr(partenum, "BLOCK", block)
     texts = clusters()
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     assert result(df) == partenum.brute_force(texts)
 
 
+def test_bitmaps_never_differ_more_than_the_sets():
+    rnd = random.Random(9)
+    sets = [sorted({rnd.randrange(900) for _ in range(rnd.randrange(700))}) for _ in range(30)]
+    maps = partenum.bitmaps(np.array(sum(sets, []), np.uint64), np.array(list(map(len, sets))))
+    for a, x in zip(sets, maps):
+        for b, y in zip(sets, maps):
+            differ = int.from_bytes(x, "big") ^ int.from_bytes(y, "big")
+            assert differ.bit_count() <= len(set(a) ^ set(b))
+
+
 def test_odd_rows(spark):
     df = frame(spark)
     got = partenum.similar_texts(df, keep=df.columns, size_col="Text_", component_col="fingerprint")
