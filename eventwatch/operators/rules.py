@@ -106,15 +106,89 @@ def apply_user_rules(context: DataFrame, rules: list[UserRule]) -> DataFrame:
             .select("request_ts", "user_id", "source_ip", "f.level", "f.rule_id", "f.description", *passthrough))
 
 
+@dataclass(frozen=True)
+class Partial:
+    """An aggregate that can be taken in parts and merged: a session that grows, or a pane of it, needs no events again.
+
+    ``kind``: ``count`` (of rows, or of non-null values), ``sum``, ``min``, ``max`` or ``rows`` (the values in order). Values are
+    whole numbers, floating-point numbers, strings, or (for ``rows``) structs of these; nulls are left out.
+    """
+    kind: str
+    value: Callable[[], Column] | None = None
+
+    def per_row(self) -> Column:
+        return F.lit(1).cast("bigint") if self.value is None else self.value()
+
+    def over(self, wanted: Column | None = None) -> Column:
+        """The aggregate over the rows that are wanted (all if None)."""
+        v = self.per_row() if wanted is None else F.when(wanted, self.per_row())
+        return {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max, "rows": lambda c: F.array_sort(F.collect_list(c))}[self.kind](v)
+
+    def filled(self, column: Column) -> Column:
+        """What a session without wanted rows has, however it was computed."""
+        return F.coalesce(column, F.lit(0)) if self.kind == "count" else F.coalesce(column, F.array()) if self.kind == "rows" else column
+
+
+def count_rows() -> Partial:
+    return Partial("count")
+
+
+def sum_of(value: Callable[[], Column]) -> Partial:
+    return Partial("sum", value)
+
+
+def least_of(value: Callable[[], Column]) -> Partial:
+    return Partial("min", value)
+
+
+def greatest_of(value: Callable[[], Column]) -> Partial:
+    return Partial("max", value)
+
+
+def rows_of(value: Callable[[], Column]) -> Partial:
+    return Partial("rows", value)
+
+
 @dataclass(frozen=True)
 class SessionRule:
+    """Aggregates over the events of a session that the rule wants, a predicate on them and a description.
+
+    Aggregates that are a ``Partial`` work everywhere: batch, stream, late panes. Plain aggregate Columns work in batch, and
+    in the default stream where the rule wants all rows; elsewhere they are refused.
+    """
     rule_id: str
     level: str
-    aggregates: dict[str, Column]
+    aggregates: dict[str, Column | Partial]
     predicate: Callable[[], Column]
     description: Callable[[], Column]
     rows: Callable[[], Column] | None = None   # the events that the aggregates need; all if None
 
+    def wanted(self) -> Column | None:
+        """Null counts as unwanted."""
+        return None if self.rows is None else F.coalesce(self.rows(), F.lit(False))
+
+    def columns(self, filtered: bool) -> list[Column]:
+        """The aggregates, over events that are filtered already or else over all events of the session."""
+        out = []
+        for name, a in self.aggregates.items():
+            if isinstance(a, Partial):
+                a = a.over(None if filtered else self.wanted())
+            elif not filtered and self.rows is not None:
+                raise ValueError(f"session rule {self.rule_id}: {name} must be a Partial to be taken over some rows of a stream")
+            out.append(a.alias(name))
+        return out
+
+
+class RuleNameClash(ValueError):
+    pass
+
+
+def check_names(rules: Iterable[SessionRule]) -> None:
+    """Aggregates of all rules share one row: names must differ."""
+    names = [n for r in rules for n in r.aggregates]
+    if len(set(names)) < len(names):
+        raise RuleNameClash(f"session rules share names of aggregates: {sorted(n for n in set(names) if names.count(n) > 1)}")
+
 
 def banned_process_rule(banned: Iterable[str], level: str = "severe") -> SessionRule:
     """Severe finding listing every banned process of the session in time order, repeats kept."""
@@ -122,8 +196,7 @@ def banned_process_rule(banned: Iterable[str], level: str = "severe") -> Session
     hit = F.col("process_name").isin(names) if names else F.lit(False)
     return SessionRule(
         BANNED_RULE_ID, level,
-        aggregates={"banned_hits": F.array_sort(F.collect_list(
-            F.when(hit, F.struct("publish_ts", "message_id", "process_name"))))},
+        aggregates={"banned_hits": rows_of(lambda: F.struct(F.unix_micros("publish_ts").alias("t"), "message_id", "process_name"))},
         predicate=lambda: F.coalesce(F.size("banned_hits"), F.lit(0)) > 0,
         description=lambda: F.concat(F.lit(BANNED_DESCRIPTION), F.array_join(
             F.transform("banned_hits", lambda x: x["process_name"]), BANNED_SEPARATOR)),

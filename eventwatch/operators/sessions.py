@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventwatch.config import SESSION_GAP
-from eventwatch.operators.rules import SessionRule, banned_process_rule, session_finding_array
+from eventwatch.operators.rules import Partial, SessionRule, banned_process_rule, check_names, session_finding_array
 
 def interval_ms(spec: str) -> int:
     """'30 minutes' → 1800000.  Accepts the units used by the options."""
@@ -58,14 +58,16 @@ def sessions(events: DataFrame, gap: str = SESSION_GAP, rules: list[SessionRule]
     joined to their sessions; a session without such rows has a rule's aggregates over none.
     """
     gap_ms = interval_ms(gap)
+    check_names(rules or [])
     buckets = session_buckets(events, ["src_ip"], "publish_ts", gap_ms)
     found = buckets.groupBy("src_ip", "session_start_ms").agg(F.sum("__n").alias("event_count"), F.max("__last").alias("__last"))
     for r in rules or []:
-        wanted = events if r.rows is None else events.filter(r.rows())
+        wanted = events if r.rows is None else events.filter(r.wanted())
         wanted = wanted.withColumn("__b", bucket_of(F.unix_millis("publish_ts"), gap_ms))
         part = (wanted.join(buckets.select("src_ip", "__b", "session_start_ms"), ["src_ip", "__b"])
-                .groupBy("src_ip", "session_start_ms").agg(*[a.alias(n) for n, a in r.aggregates.items()]))
+                .groupBy("src_ip", "session_start_ms").agg(*r.columns(filtered=True)))
         found = found.join(part, ["src_ip", "session_start_ms"], "left")
+        found = found.withColumns({n: a.filled(F.col(n)) for n, a in r.aggregates.items() if isinstance(a, Partial)})
     return (found
             .withColumn("session_start", F.timestamp_millis("session_start_ms"))
             .withColumn("session_end", F.timestamp_millis(F.col("__last") + F.lit(gap_ms)))

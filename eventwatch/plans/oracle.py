@@ -305,6 +305,13 @@ prof AS (
     "session_banned": _w(SESSIONS, """SELECT src_ip, session_start, session_end, banned_count, banned_list
   FROM sess WHERE banned_count > 0"""),
     "source_ip_findings": _w(SESSIONS, "SELECT request_ts, source_ip, level, rule_id, description FROM sfind"),
+    "session_rule_rows": _w(SESSIONS, f"""SELECT request_ts, source_ip, level, rule_id, description FROM sfind
+  UNION ALL
+  SELECT epoch_ms(epoch_ms(max(publish_ts)) + {GAP_MS - 1}), src_ip, 'warning', 'heavy-uploads',
+         concat_ws(' ', count(*) FILTER (WHERE bytes_sent > 600), CAST(sum(bytes_sent) FILTER (WHERE bytes_sent > 600) AS BIGINT),
+                   max(dst_ip) FILTER (WHERE bytes_sent > 600),
+                   string_agg(coalesce(process_name, '?'), ',' ORDER BY publish_ts, message_id) FILTER (WHERE bytes_sent > 600))
+  FROM sid GROUP BY src_ip, sess HAVING count(*) FILTER (WHERE bytes_sent > 600) > 1"""),
     "source_finding_json": _w(SESSIONS, f"""SELECT json_object('type', 'source-ip-finding', 'request_ts', {ISO},
   'source_ip', source_ip, 'level', level, 'description', description)::VARCHAR AS value FROM sfind"""),
     "all_findings": _w("," + FINDINGS.lstrip(",") + SESSIONS, """SELECT request_ts, 'user-event-finding' AS type,

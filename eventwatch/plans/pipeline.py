@@ -82,8 +82,8 @@ def streaming_processing(inputs: Inputs, options: Options, parsed: DataFrame | N
     uf = user_findings_stream(events, inputs.rules, options.hold, options.retention, options.clock, profiles=inputs.profiles)
     if options.late_panes:  # exact: on-time pane, then one pane per late element (new elements only)
         from eventwatch.streaming.late_panes import pane_findings, session_panes_stream
-        sf = pane_findings(session_panes_stream(events, options.banned_processes, options.session_gap,
-                                                options.allowed_lateness)).drop("pane")
+        rules = inputs.session_rules or [banned_process_rule(options.banned_processes)]
+        sf = pane_findings(session_panes_stream(events, (), options.session_gap, options.allowed_lateness, rules), rules).drop("pane")
     else:                   # default: one complete finding per session when the watermark passes it
         sf = session_findings_stream(events, options.banned_processes, options.session_gap,
                                      options.allowed_lateness, inputs.session_rules)

@@ -17,9 +17,9 @@ from eventwatch.config import (REPLAY_BANNED, REPLAY_HOLD, REPLAY_RETENTION, REP
 from eventwatch.functions import formats
 from eventwatch.functions.parse import CONVERTERS, dead_letters, parse_messages, payload_text, payload_type, valid_events
 from eventwatch.operators import lookup, metrics, side_input, threshold
-from eventwatch.operators.rules import (banned_process_rule, default_user_rules, new_destination_host_rule,
-                                        process_name_rule)
-from eventwatch.operators.sessions import session_findings, sessions
+from eventwatch.operators.rules import (SessionRule, banned_process_rule, count_rows, default_user_rules, greatest_of,
+                                        new_destination_host_rule, process_name_rule, rows_of, sum_of)
+from eventwatch.operators.sessions import session_findings, sessions, source_ip_findings
 from eventwatch.operators.user_branch import (held_findings, host_last_access, new_host_flags, user_events,
                                               user_findings, with_profile)
 from eventwatch.plans.pipeline import Inputs, main_processing
@@ -256,6 +256,25 @@ def q_source_ip_findings(spark, sf):
     return _source_findings(spark, sf).select(ntz("request_ts"), "source_ip", "level", "rule_id", "description")
 
 
+def heavy_upload_rule() -> SessionRule:
+    """Sessions with two or more uploads of over 600 bytes: how many, their bytes, and the programs in order."""
+    return SessionRule(
+        "heavy-uploads", "warning",
+        {"uploads": count_rows(), "upload_bytes": sum_of(lambda: F.col("bytes_sent")), "last_host": greatest_of(lambda: F.col("dst_ip")),
+         "programs": rows_of(lambda: F.struct(F.unix_micros("publish_ts").alias("t"), "message_id", "process_name"))},
+        predicate=lambda: F.col("uploads") >= 2,
+        description=lambda: F.concat_ws(" ", F.col("uploads").cast("string"), F.col("upload_bytes").cast("string"), "last_host",
+                                        F.array_join(F.transform("programs", lambda p: F.coalesce(p["process_name"], F.lit("?"))), ",")),
+        rows=lambda: F.col("bytes_sent") > 600)
+
+
+def q_session_rule_rows(spark, sf):
+    """A rule over some rows of a session beside the built-in one, which sees others of the same session."""
+    rules = [banned_process_rule(REPLAY_BANNED), heavy_upload_rule()]
+    found = source_ip_findings(_events(spark, sf), REPLAY_BANNED, REPLAY_SESSION_GAP, rules)
+    return found.select(ntz("request_ts"), "source_ip", "level", "rule_id", "description")
+
+
 def q_source_finding_json(spark, sf):
     return formats.source_finding_json(_source_findings(spark, sf))
 
@@ -356,6 +375,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sessions": q_sessions,
     "session_banned": q_session_banned,
     "source_ip_findings": q_source_ip_findings,
+    "session_rule_rows": q_session_rule_rows,
     "source_finding_json": q_source_finding_json,
     "all_findings": q_all_findings,
     "findings_ingest": q_findings_ingest,

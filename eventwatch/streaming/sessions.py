@@ -11,17 +11,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventwatch.config import ALLOWED_LATENESS, SESSION_GAP
-from eventwatch.operators.rules import SessionRule, banned_process_rule, session_finding_array
+from eventwatch.operators.rules import SessionRule, banned_process_rule, check_names, session_finding_array
 from eventwatch.operators.sessions import interval_ms
 
 
 def session_findings_stream(events: DataFrame, banned: list[str] | tuple[str, ...], gap: str = SESSION_GAP,
                             lateness: str = ALLOWED_LATENESS, rules: list[SessionRule] | None = None) -> DataFrame:
     rules = rules if rules is not None else [banned_process_rule(banned)]
+    check_names(rules)
     gap_ms = interval_ms(gap) - 1
     aggs = [F.count(F.lit(1)).alias("event_count")]
-    for r in rules:
-        aggs += [a.alias(n) for n, a in r.aggregates.items()]
+    for r in rules:  # each aggregate over the rows that its rule wants; the session is over all rows
+        aggs += r.columns(filtered=False)
     s = (events.withWatermark("publish_ts", lateness)
          .groupBy("src_ip", F.session_window("publish_ts", f"{gap_ms} milliseconds").alias("session"))
          .agg(*aggs))
