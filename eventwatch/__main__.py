@@ -11,7 +11,6 @@ import time
 
 from eventwatch.config import Options, get_spark
 from eventwatch.operators.threshold import HowToStop
-from eventwatch.operators.rules import rules_from_table
 from eventwatch.plans.pipeline import Inputs, start_ingest, start_monitor
 from eventwatch.sources.messages import read_json_lines, read_messages
 from eventwatch.streaming.stop import StopAfter, drain, enforce
@@ -26,7 +25,7 @@ def parse_args(argv=None) -> tuple[Options, argparse.Namespace]:
     ap.add_argument("--output-dir", required=True)
     ap.add_argument("--create-tables", action="store_true", help="make absent tables instead of refusing to start")
     ap.add_argument("--process-info", help="process table (parquet), read again every two minutes")
-    ap.add_argument("--rules", help="rule table (parquet)")
+    ap.add_argument("--rules", help="rule table (parquet), read again every five minutes")
     ap.add_argument("--profiles", help="user profile table (parquet)")
     ap.add_argument("--ingest", action="store_true", help="only move source-address findings from the topic to the table")
     ap.add_argument("--findings-topic")
@@ -59,9 +58,8 @@ def inputs_of(spark, opts: Options) -> Inputs:
              else read_messages(spark, opts.source_path, opts.source_format, streaming=True, options=opts.topic_options))
     second = (read_messages(spark, opts.second_source_path, opts.source_format, streaming=True, options=opts.topic_options)
               if opts.second_source_path else None)
-    rules = rules_from_table(spark.read.parquet(opts.rules_path).collect()) if opts.rules_path else None
     profiles = spark.read.parquet(opts.profiles_path) if opts.profiles_path else None
-    return Inputs(first, second, rules, profiles)
+    return Inputs(first, second, None, profiles)  # a rule table is read by the monitor, again and again
 
 
 def main(argv=None) -> None:

@@ -19,6 +19,7 @@ ALLOWED_LATENESS = "1 hour"         # late panes for source-address sessions
 FINDING_HOLD = "120 seconds"        # non-critical user findings are held this long
 HOST_RETENTION = "30 days"          # hosts unseen this long are forgotten at the daily sweep
 PROCESS_REFRESH = "2 minutes"       # lookup table refresh period
+RULE_REFRESH = "5 minutes"          # rule table refresh period
 FAILED_INSERT_WINDOW = "2 minutes"  # rejected-row report window
 DEFAULT_PAYLOAD_TYPE = "Other"
 UNKNOWN_CATEGORY = "UNKNOWN"
@@ -49,7 +50,7 @@ class Options:
     invalid_messages_table: str = "invalid_messages"
     create_tables: bool = False               # else absent tables are refused
     process_info_path: str | None = None      # process table, read again every two minutes: events get a category
-    rules_path: str | None = None             # rule table, read at start
+    rules_path: str | None = None             # rule table, read again every five minutes
     profiles_path: str | None = None          # user profile table
     findings_topic: str | None = None         # directory or Kafka topic
     topic_format: str = "json"                # json | kafka

@@ -285,6 +285,12 @@ seen AS (
   FROM flags WHERE new_expiry"""),
     "user_findings": _w("," + FINDINGS, """SELECT request_ts, user_id, source_ip, level, rule_id, description, message_id
   FROM findings"""),
+    "rules_as_data": _w("," + FINDINGS, """SELECT request_ts, user_id, source_ip, level, rule_id, description, message_id
+  FROM findings
+  UNION ALL
+  SELECT v.request_ts, v.user_id, v.src_ip, 'critical', 'watch-' || p.pattern, 'Suspicious process: ' || v.process_name, v.message_id
+  FROM valid v JOIN (SELECT DISTINCT process_name AS pattern FROM valid WHERE process_name LIKE '%1') p ON contains(v.process_name, p.pattern)
+  WHERE v.user_id IS NOT NULL"""),
     "user_profile": _w(""",
 prof AS (
   SELECT user_id FROM valid WHERE user_id IS NOT NULL GROUP BY user_id

@@ -9,7 +9,7 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventwatch.config import PROCESS_REFRESH, Options, checkpoint_dir, materialize, path_exists
@@ -22,6 +22,7 @@ from eventwatch.operators.sessions import source_ip_findings
 from eventwatch.operators.user_branch import user_findings
 from eventwatch.schema import FINDINGS_REQUIRED
 from eventwatch.sinks import tables
+from eventwatch.streaming.live_rules import LiveRules
 from eventwatch.streaming.refresh import Refreshing
 
 
@@ -71,15 +72,17 @@ def main_processing(inputs: Inputs, options: Options) -> Outputs:
     return Outputs(inputs.messages, events, dead_letters(refused), uf, sf, parsed)
 
 
-def streaming_processing(inputs: Inputs, options: Options, parsed: DataFrame | None = None) -> Outputs:
-    """Stream form of ``main_processing``; ``parsed`` is the stream of parsed messages if they were written already."""
+def streaming_processing(inputs: Inputs, options: Options, parsed: DataFrame | None = None, live_rules: Column | None = None) -> Outputs:
+    """Stream form of ``main_processing``; ``parsed`` is the stream of parsed messages if they were written already,
+    ``live_rules`` the column of rules that may change while the stream runs."""
     from eventwatch.streaming.sessions import session_findings_stream
     from eventwatch.streaming.user_state import user_findings_stream
 
     parsed = parsed_sources(inputs) if parsed is None else parsed
     events = valid_events(parsed).drop("source")
     refused = parsed if options.keep_all_dead_letters else parsed.filter(F.col("source") == 1)
-    uf = user_findings_stream(events, inputs.rules, options.hold, options.retention, options.clock, profiles=inputs.profiles)
+    uf = user_findings_stream(events, inputs.rules, options.hold, options.retention, options.clock, profiles=inputs.profiles,
+                              live_rules=live_rules)
     if options.late_panes:  # exact: on-time pane, then one pane per late element (new elements only)
         from eventwatch.streaming.late_panes import pane_findings, session_panes_stream
         rules = inputs.session_rules or [banned_process_rule(options.banned_processes)]
@@ -116,8 +119,14 @@ def start_monitor(spark: SparkSession, inputs: Inputs, options: Options, trigger
     while queries[0].isActive and not path_exists(spark, f"{log}/_spark_metadata"):
         time.sleep(0.2)
     stream = spark.readStream.schema(parsed.schema).parquet(log)
-    outputs = streaming_processing(inputs, options, stream)
-    return queries + start_queries(outputs, options, trigger=trigger)
+    live, rules = None, []
+    if options.rules_path:
+        live = LiveRules(spark, options.rules_path, f"{base}/rules")
+        live.publish()
+        if not (trigger and trigger.get("availableNow")):
+            rules.append(live.start_refresh(checkpoint=f"{base}/rules_refresh"))
+    outputs = streaming_processing(inputs, options, stream, live.column() if live else None)
+    return queries + start_queries(outputs, options, trigger=trigger) + rules
 
 
 def start_queries(outputs: Outputs, options: Options, trigger: dict | None = None) -> list:

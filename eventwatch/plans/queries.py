@@ -20,6 +20,7 @@ from eventwatch.operators import lookup, metrics, side_input, threshold
 from eventwatch.operators.rules import (SessionRule, banned_process_rule, count_rows, default_user_rules, greatest_of,
                                         new_destination_host_rule, process_name_rule, rows_of, sum_of)
 from eventwatch.operators.sessions import session_findings, sessions, source_ip_findings
+from eventwatch.streaming.live_rules import apply_rule_data, rule_rows
 from eventwatch.operators.user_branch import (held_findings, host_last_access, new_host_flags, user_events,
                                               user_findings, with_profile)
 from eventwatch.plans.pipeline import Inputs, main_processing
@@ -187,6 +188,20 @@ def q_user_findings(spark, sf):
     return _finding_cols(user_findings(_events_once(spark, sf), default_user_rules(), REPLAY_RETENTION))
 
 
+def q_rules_as_data(spark, sf):
+    """Rules as rows paired with events: the two default ones, and one per program that the events name with a number 1."""
+    ev = _events_once(spark, sf)
+    more = ev.filter(F.col("process_name").endswith("1")).select(F.col("process_name").alias("pattern")).distinct()
+    table = (more.select(F.concat(F.lit("watch-"), "pattern").alias("rule_id"), F.lit("process_contains").alias("kind"),
+                         F.lit("critical").alias("level"), "pattern", F.lit(True).alias("enabled"))
+             .unionByName(spark.range(2).select(F.when(F.col("id") == 0, "new-destination-host").otherwise("process-name-rule").alias("rule_id"),
+                                                F.when(F.col("id") == 0, "new_host").otherwise("process_contains").alias("kind"),
+                                                F.when(F.col("id") == 0, "warning").otherwise("severe").alias("level"),
+                                                F.lit(None).cast("string").alias("pattern"), F.lit(True).alias("enabled"))))
+    rules = rule_rows(table).scalar()
+    return _finding_cols(apply_rule_data(new_host_flags(ev, REPLAY_RETENTION), rules))
+
+
 def q_user_profile(spark, sf):
     ev = materialize(_events(spark, sf).select("user_id", "process_name"))
     profiles = lookup.derive_user_profiles(ev)
@@ -367,6 +382,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rule_process_name": q_rule_process_name,
     "rule_new_host": q_rule_new_host,
     "user_findings": q_user_findings,
+    "rules_as_data": q_rules_as_data,
     "user_profile": q_user_profile,
     "held_findings": q_held_findings,
     "critical_route": q_critical_route,

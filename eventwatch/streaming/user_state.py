@@ -29,6 +29,7 @@ from eventwatch.config import FINDING_HOLD, HOST_RETENTION
 from eventwatch.operators.rules import PandasUserRule, default_user_rules, finding_array
 from eventwatch.operators.sessions import interval_ms
 from eventwatch.operators.user_branch import with_profile
+from eventwatch.streaming.live_rules import data_finding_array
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -41,9 +42,11 @@ COLUMNS = ["request_ms", "user_id", "source_ip", "level", "rule_id", "descriptio
            "emit_ms"]
 
 
-def _findings_json(rules: list) -> Column:
-    """Findings of the Column rules as JSON; null where there are none."""
+def _findings_json(rules: list, live_rules: Column | None) -> Column:
+    """Findings of the Column rules and of those given as data, as JSON; null where there are none."""
     found = finding_array(rules)
+    if live_rules is not None:
+        found = F.concat(found, F.coalesce(data_finding_array(live_rules), F.array())) if rules else data_finding_array(live_rules)
     return F.when(F.size(found) > 0, F.to_json(found))
 
 
@@ -173,12 +176,14 @@ class UserEventProcessor(StatefulProcessor):
 
 def user_findings_stream(events: DataFrame, rules: list | None = None, hold: str = FINDING_HOLD,
                          retention: str = HOST_RETENTION, clock: str = "event", watermark: str = "0 seconds",
-                         profiles: DataFrame | None = None) -> DataFrame:
+                         profiles: DataFrame | None = None, live_rules: Column | None = None) -> DataFrame:
     """Held and critical user findings of a (streaming) event frame; ``emit_ts`` is when each leaves.
 
+    ``live_rules`` is a column of rules given as data (``live_rules.LiveRules.column``), besides ``rules`` (by default none then).
     ``profiles`` (user_id, status) gives rules the column ``profile_status``, 'regular' for users it lacks.
     """
-    rules = default_user_rules() if rules is None else rules
+    if rules is None:
+        rules = default_user_rules() if live_rules is None else []
     columns = [r for r in rules if not isinstance(r, PandasUserRule)]
     processor = UserEventProcessor([(r.rule_id, r.level, r.fn) for r in rules if isinstance(r, PandasUserRule)],
                                    interval_ms(hold), interval_ms(retention), clock)
@@ -186,8 +191,11 @@ def user_findings_stream(events: DataFrame, rules: list | None = None, hold: str
     if clock == "event":
         ev = ev.withWatermark("publish_ts", watermark)
     ev = with_profile(ev, profiles)
+    if live_rules is not None:
+        ev = ev.withColumn("__rules", live_rules)
+    data = None if live_rules is None else F.col("__rules")
     for name, flag in (("if_new", True), ("if_known", False)):
-        ev = ev.withColumn("newly_accessed_host", F.lit(flag)).withColumn(name, _findings_json(columns))
+        ev = ev.withColumn("newly_accessed_host", F.lit(flag)).withColumn(name, _findings_json(columns, data))
     inp = ev.select("user_id", "src_ip", "dst_ip", "dst_port", "process_name", "bytes_sent", "bytes_received", "profile_status",
                     "message_id", F.unix_millis("publish_ts").alias("publish_ms"), F.unix_millis("request_ts").alias("request_ms"),
                     "if_new", "if_known")
