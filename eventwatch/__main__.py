@@ -10,10 +10,9 @@ import argparse
 import time
 
 from eventwatch.config import Options, get_spark
-from eventwatch.operators.threshold import HowToStop
-from eventwatch.plans.pipeline import Inputs, start_ingest, start_monitor
+from eventwatch.plans.pipeline import Inputs, counted_stop, start_ingest, start_monitor
 from eventwatch.sources.messages import read_json_lines, read_messages
-from eventwatch.streaming.stop import StopAfter, drain, enforce
+from eventwatch.streaming.stop import stop_all
 
 
 def parse_args(argv=None) -> tuple[Options, argparse.Namespace]:
@@ -44,7 +43,7 @@ def parse_args(argv=None) -> tuple[Options, argparse.Namespace]:
         ap.error("--source or --files is needed")
     opts = Options(source_path=a.source, second_source_path=a.second_source, source_format=a.format,
                    output_dir=a.output_dir, findings_topic=a.findings_topic, export_dir=a.export_dir,
-                   checkpoint_dir=a.checkpoint_dir, max_messages=a.max_messages,
+                   checkpoint_dir=a.checkpoint_dir, max_messages=a.max_messages, stop=a.stop,
                    banned_processes=tuple(x for x in a.banned.split(",") if x), clock=a.clock,
                    late_panes=a.late_panes, keep_all_dead_letters=a.keep_all_dead_letters, file_list=a.files,
                    create_tables=a.create_tables, process_info_path=a.process_info, rules_path=a.rules, profiles_path=a.profiles,
@@ -68,19 +67,11 @@ def main(argv=None) -> None:
     if a.ingest:
         start_ingest(spark, opts.findings_topic, opts).awaitTermination()
         return
-    listener = None
-    if opts.max_messages:
-        listener = StopAfter(opts.max_messages, HowToStop(a.stop), "pipeline_counters", "first_source")
-        spark.streams.addListener(listener)
     queries = start_monitor(spark, inputs_of(spark, opts), opts)
-    if listener is not None:
-        listener.watch(queries[0])
+    stop = counted_stop(spark, opts) if opts.max_messages else None
     while any(q.isActive for q in queries):
-        if listener is not None and enforce(queries[0], listener):
-            for q in queries[1:]:
-                if listener.instruction.how is HowToStop.drain:
-                    drain(q, 600)
-                q.stop()
+        if stop is not None and stop_all(queries, stop):
+            break
         time.sleep(1)
 
 

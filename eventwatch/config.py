@@ -57,6 +57,7 @@ class Options:
     topic_options: dict = field(default_factory=dict)
     export_dir: str | None = None             # raw JSON export, first source only
     max_messages: int | None = None           # stop after this many messages of the first source
+    stop: str = "cancel"                      # how: cancel | drain
     banned_processes: tuple[str, ...] = ()
     session_gap: str = SESSION_GAP
     allowed_lateness: str = ALLOWED_LATENESS
@@ -109,6 +110,25 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small file in its place as a whole: readers see the old content or the new."""
+    fs, to = _file_system(spark, path)
+    jvm = spark._jvm
+    to = fs.makeQualified(to)
+    new = jvm.org.apache.hadoop.fs.Path(to.getParent(), f"_{uuid.uuid4().hex}")
+    out = fs.create(new, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(to.toUri(), spark._jsc.hadoopConfiguration()).rename(new, to, overwrite)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The content of a small file; None where there is none."""
+    return spark.read.text(path, wholetext=True).first()[0] if path_exists(spark, path) else None
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once as a parquet table in the shared checkpoint folder and continue from it.
 

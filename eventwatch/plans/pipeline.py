@@ -19,11 +19,13 @@ from eventwatch.operators.lookup import enrich_category, process_dimension
 from eventwatch.operators.metrics import observe_messages
 from eventwatch.operators.rules import SessionRule, UserRule, banned_process_rule
 from eventwatch.operators.sessions import source_ip_findings
+from eventwatch.operators.threshold import HowToStop
 from eventwatch.operators.user_branch import user_findings
 from eventwatch.schema import FINDINGS_REQUIRED
 from eventwatch.sinks import tables
 from eventwatch.streaming.live_rules import LiveRules
 from eventwatch.streaming.refresh import Refreshing
+from eventwatch.streaming.stop import CountedStop
 
 
 @dataclass
@@ -119,14 +121,22 @@ def start_monitor(spark: SparkSession, inputs: Inputs, options: Options, trigger
     while queries[0].isActive and not path_exists(spark, f"{log}/_spark_metadata"):
         time.sleep(0.2)
     stream = spark.readStream.schema(parsed.schema).parquet(log)
-    live, rules = None, []
+    live, more = None, []
     if options.rules_path:
         live = LiveRules(spark, options.rules_path, f"{base}/rules")
         live.publish()
         if not (trigger and trigger.get("availableNow")):
-            rules.append(live.start_refresh(checkpoint=f"{base}/rules_refresh"))
+            more.append(live.start_refresh(checkpoint=f"{base}/rules_refresh"))
     outputs = streaming_processing(inputs, options, stream, live.column() if live else None)
-    return queries + start_queries(outputs, options, trigger=trigger) + rules
+    if options.max_messages:
+        more.append(counted_stop(spark, options).start(stream.filter(F.col("source") == 1), trigger))
+    return queries + start_queries(outputs, options, trigger=trigger) + more
+
+
+def counted_stop(spark: SparkSession, options: Options) -> CountedStop:
+    """The stop after ``max_messages`` messages of the first source, counted over restarts from one checkpoint folder."""
+    base = options.checkpoint_dir or checkpoint_dir(spark)
+    return CountedStop(spark, f"{base}/stop", options.max_messages, HowToStop(options.stop))
 
 
 def start_queries(outputs: Outputs, options: Options, trigger: dict | None = None) -> list:

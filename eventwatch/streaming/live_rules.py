@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from eventwatch.config import RULE_REFRESH, path_exists
+from eventwatch.config import RULE_REFRESH, path_exists, read_text, write_text
 from eventwatch.operators.rules import NEW_HOST_DESCRIPTION, PROCESS_DESCRIPTION, PROCESS_RULE_PATTERN, RULE_KINDS
 
 RULES = "array<struct<rule_id:string,kind:string,level:string,pattern:string>>"
@@ -56,26 +56,11 @@ class LiveRules:
     def publish(self) -> bool:
         """Write the table's rules if they have changed; whether they have. An unreadable table leaves the old rules in force."""
         rows = rule_rows(self.spark.read.parquet(self.table)).select(F.to_json("rules").alias("r")).first()[0]
-        if path_exists(self.spark, self.path) and self._content() == rows:
+        if read_text(self.spark, self.path) == rows:
             return False
-        self._replace(rows)
+        write_text(self.spark, self.path, rows)
         return True
 
-    def _content(self) -> str:
-        return self.spark.read.text(self.path, wholetext=True).first()[0]
-
-    def _replace(self, text: str) -> None:
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        new, to = (jvm.org.apache.hadoop.fs.Path(p) for p in (f"{self.folder}/_next.json", self.path))
-        files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(new.toUri() if new.toUri().getScheme() else new.getFileSystem(conf).getUri(), conf)
-        fs = new.getFileSystem(conf)
-        out = fs.create(new, True)
-        out.write(bytearray(text.encode()))
-        out.close()
-        overwrite = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-        overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-        files.rename(fs.makeQualified(new), fs.makeQualified(to), overwrite)
-
     def column(self) -> Column:
         """The rules in force, for use in a (streaming) plan."""
         if not path_exists(self.spark, self.path):

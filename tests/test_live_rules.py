@@ -5,7 +5,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from eventwatch.config import Options
+from eventwatch.config import Options, read_text
 from eventwatch.functions.parse import parse_messages, valid_events
 from eventwatch.plans.pipeline import Inputs, start_monitor
 from eventwatch.sources.messages import read_messages
@@ -74,9 +74,9 @@ def test_refresh_query_publishes_on_its_own(spark, scratch):
         for name in ("a", "b"):
             table(spark, rules, [(name, "new_host", "warning", None, True)])
             end = time.time() + 60
-            while time.time() < end and not (os.path.exists(live.path) and f'"{name}"' in live._content()):
+            while time.time() < end and f'"{name}"' not in (read_text(spark, live.path) or ""):
                 time.sleep(0.3)
-            assert f'"rule_id":"{name}"' in live._content()
+            assert f'"rule_id":"{name}"' in read_text(spark, live.path)
         assert q.isActive
     finally:
         q.stop()
