@@ -16,7 +16,8 @@ Two texts link when the Jaccard similarity of their shingle sets is at least ``n
    members are then of several components go on: a pair between components is a candidate if their sizes and their parity
    bitmaps allow it. (A bitmap holds the parity of the elements that fall on each of ``BITS`` places; two sets differ in at least
    as many elements as their bitmaps in bits.) So sets that share one common passage are told apart by a few machine words
-   a pair in the task, and emit nothing. Groups of more than ``BLOCK`` members are dealt out as pairs of blocks; nothing is
+   a pair in the task, and emit nothing. A group gives ``FIRST`` candidates between two components, which joins most that belong
+   together; where there were more, a second round gives all candidates between what is still apart. Groups of more than ``BLOCK`` members are dealt out as pairs of blocks; nothing is
    capped or sampled.
 5. Verification counts common hashes of the two sets, and components are found by ``simhash.components``.
 
@@ -47,6 +48,7 @@ SHINGLE = 4
 SIMILAR = (85, 100)
 BITS = 512          # of a parity bitmap
 BLOCK = 8192        # members of a group that one task compares at a time
+FIRST = 8           # candidates between two components that a group gives at first; all others follow if these were not similar
 PORTION = 1 << 20   # bytes of text handled together
 KNOWN = 100_000     # words whose hashes a portion remembers
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F))
@@ -67,27 +69,33 @@ class _Words(dict):
 
 
 def shingle_sets(texts: list[bytes], shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct shingle hashes of all texts, one text after the other, and their numbers."""
-    known, parts, size = _Words(), [], []
-    for t in texts:
+    """Distinct shingle hashes of all texts, one text after the other, and their numbers."""
+    known, parts, size, short = _Words(), [], [], {}
+    for i, t in enumerate(texts):
         ws = t.lower().split()  # bytes: A-Z only, and white space 0x09-0x0D and 0x20
+        if 0 < len(ws) < shingle:  # one shingle
+            short[i] = xxhash.xxh64_intdigest(b" ".join(ws), 12 + len(ws))
+            ws = []
         parts.append(np.fromiter(map(known.__getitem__, ws), np.uint64, len(ws)))
         size.append(len(ws))
-    words, size = np.concatenate([*parts, np.zeros(0, np.uint64)]), np.array(size, np.int64)
-    doc = np.repeat(np.arange(len(texts)), size)
-    left = np.repeat(np.cumsum(size), size) - np.arange(len(words))  # words of the text from here on
-    whole = np.repeat(size, size) < shingle                          # its only shingle starts at its first word
-    start = np.flatnonzero((left >= shingle) | (whole & (left == np.repeat(size, size))))
-    h = np.zeros(len(start), np.uint64)
-    for k in range(shingle):
-        inside = left[start] > k
-        h = np.where(inside, (h ^ words[np.minimum(start + k, len(words) - 1)]) * _A + np.uint64(k + 1), h) if len(words) else h
+    words, size = np.concatenate([*parts, np.zeros(shingle, np.uint64)]), np.array(size, np.int64)
+    m = len(words) - shingle
+    h = words[:m] * _A
+    for k in range(1, shingle):
+        h ^= words[k:k + m]
+        h *= _B
         h ^= h >> np.uint64(31)
-    h, d = _mix(h), doc[start]
-    order = np.lexsort((h, d))
-    h, d = h[order], d[order]
-    new = np.r_[True, (h[1:] != h[:-1]) | (d[1:] != d[:-1])][:len(h)]
-    return h[new], np.bincount(d[new], minlength=len(texts))
+    count = np.maximum(size - shingle + 1, 0)
+    end = np.cumsum(size)
+    sets = [np.sort(h[e - n:e - n + c]) if c else np.array([short[i]] if i in short else [], np.uint64)
+            for i, (e, n, c) in enumerate(zip(end.tolist(), size.tolist(), count.tolist()))]
+    count = np.fromiter(map(len, sets), np.int64, len(sets))
+    h = np.concatenate([*sets, np.zeros(0, np.uint64)])
+    new = np.r_[True, h[1:] != h[:-1]][:len(h)]
+    first = (np.cumsum(count) - count)[count > 0]
+    new[first] = True
+    d = np.repeat(np.arange(len(texts)), count)
+    return _mix(h[new]), np.bincount(d[new], minlength=len(texts))
 
 
 def node_of(hashes: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -277,10 +285,13 @@ def _verified(pairs: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> Da
     return materialize(both.where(common * den >= (F.col("na") + F.col("nb") - common) * num).select("a", "b"))
 
 
-def _close(rows: dict[str, np.ndarray], num: int, den: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of one cell's rows that may be similar: of different components, and of different blocks where the cell has two."""
+def _close(rows: dict[str, np.ndarray], num: int, den: int, first: int | None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs of one cell's rows that may be similar: of different components, and of different blocks where the cell has two.
+    Of two components the ``first`` ones (None: all), with whether there are more."""
     node, root, n, block, bits = (rows[c] for c in ("node", "root", "n", "block", "bits"))
-    apart = block[0] != block[-1] or (block != block[0]).any()
+    apart = (block != block[0]).any()
+    used: dict[tuple[int, int], int] = {}
+    cut = None  # a pair that is left for later
     for i in range(len(node) - 1):
         rest = slice(i + 1, None)
         ok = (root[rest] != root[i]) & (np.minimum(n[rest], n[i]) * den >= np.maximum(n[rest], n[i]) * num)
@@ -290,17 +301,34 @@ def _close(rows: dict[str, np.ndarray], num: int, den: int) -> Iterator[tuple[np
         if len(at):
             differ = np.bitwise_count(bits[at] ^ bits[i]).sum(axis=1, dtype=np.int64)
             at = at[differ * (den + num) <= (n[at] + n[i]) * (den - num)]
-        if len(at):
-            yield np.minimum(node[at], node[i]), np.maximum(node[at], node[i])
-
-
-def _candidates(similar: tuple[int, int]):
-    """Rows (sig, cell, block, node, root, n, bits) in order of (sig, cell) -> pairs (a, b). At most two blocks are held."""
+        if not len(at):
+            continue
+        if first is not None:
+            order = np.argsort(root[at], kind="stable")
+            at = at[order]
+            new = np.flatnonzero(np.r_[True, root[at[1:]] != root[at[:-1]]])
+            take = []
+            for a, b in zip(new.tolist(), [*new[1:].tolist(), len(at)]):
+                key = tuple(sorted((int(root[i]), int(root[at[a]]))))
+                left = max(0, first - used.get(key, 0))
+                used[key] = used.get(key, 0) + min(left, b - a)
+                take.append(np.arange(a, min(a + left, b)))
+                if b - a > left:
+                    cut = i, int(at[b - 1])
+            at = at[np.concatenate(take)]
+        yield np.minimum(node[at], node[i]), np.maximum(node[at], node[i]), np.zeros(len(at), bool)
+    if cut:
+        a, b = sorted(int(node[i]) for i in cut)
+        yield np.array([a]), np.array([b]), np.array([True])
+
+
+def _candidates(similar: tuple[int, int], first: int | None):
+    """Rows (sig, cell, block, node, root, n, bits) in order of (sig, cell) -> pairs (a, b, more). At most two blocks are held."""
     def work(parts: list[dict[str, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         rows = {c: np.concatenate([p[c] for p in parts]) for c in parts[0]}
-        got = list(_close(rows, *similar))
+        got = list(_close(rows, *similar, first))
         if got:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*got)], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*got)], ["a", "b", "more"])
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict[str, np.ndarray]] = []
@@ -331,20 +359,30 @@ def _links(docs: DataFrame, text: str, shingle: int, similar: tuple[int, int]) -
     wanted = named.join(members.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
     sets = materialize(wanted.withColumn("x", _set(shingle)("t")).select("node", "n", "x.words", "x.bits"))
     edges = _verified(members.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct(), sets, similar)
-    tree = components(edges)
-    # members of groups of several components; their least nodes are through
+    for first in (FIRST, None):
+        tree = components(edges)
+        pairs = materialize(_apart(members, tree, sets).mapInArrow(_candidates(similar, first), "a bigint, b bigint, more boolean"))
+        more = _verified(pairs.select("a", "b").distinct(), sets, similar)
+        if more.isEmpty() and pairs.where("more").isEmpty():
+            return tree
+        edges = edges.union(more)
+        if pairs.where("more").isEmpty():
+            break
+    return components(edges)
+
+
+def _apart(members: DataFrame, tree: DataFrame, sets: DataFrame) -> DataFrame:
+    """Members of groups of several components, dealt out by group and pair of blocks. The least nodes are through."""
     rooted = members.join(tree.select("node", "root"), "node", "left").select("sig", "node", "least", F.coalesce("root", "node").alias("root"))
-    low = F.min("root") != F.max("root")
-    open_ = rooted.groupBy("sig").agg(low.alias("open"), F.count(F.lit(1)).alias("g")).where("open and g > 2").drop("open")
+    open_ = (rooted.groupBy("sig").agg((F.min("root") != F.max("root")).alias("open"), F.count(F.lit(1)).alias("g"))
+             .where("open and g > 2").drop("open"))
     left = rooted.where("node <> least").join(open_, "sig").join(sets.select("node", "n", "bits"), "node")
     blocks = F.ceil(F.col("g") / BLOCK)
     left = left.withColumn("block", F.pmod(F.xxhash64("node"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
     cell = F.least("block", "other") * blocks + F.greatest("block", "other")
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = (left.select("sig", cell.alias("cell"), "block", "node", "root", "n", "bits")
-             .repartition(n, "sig", "cell").sortWithinPartitions("sig", "cell"))
-    more = _verified(dealt.mapInArrow(_candidates(similar), "a bigint, b bigint").distinct(), sets, similar)
-    return tree if more.isEmpty() else components(edges.union(more))
+    n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (left.select("sig", cell.alias("cell"), "block", "node", "root", "n", "bits")
+            .repartition(n, "sig", "cell").sortWithinPartitions("sig", "cell", "node"))
 
 
 def similar_texts(df: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE, similar: tuple[int, int] = SIMILAR,

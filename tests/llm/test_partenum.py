@@ -71,10 +71,11 @@ def clusters():
     return dict(enumerate(texts))
 
 
-@pytest.mark.parametrize("block", [8192, 3])
-def test_components_equal_brute_force(spark, monkeypatch, block):
-    """Small blocks deal every larger group out as pairs of blocks."""
+@pytest.mark.parametrize("block, first", [(8192, 8), (3, 1)])
+def test_components_equal_brute_force(spark, monkeypatch, block, first):
+    """Small blocks deal every larger group out as pairs of blocks; one candidate at first calls for the second round."""
     monkeypatch.setattr(partenum, "BLOCK", block)
+    monkeypatch.setattr(partenum, "FIRST", first)
     texts = clusters()
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     assert result(df) == partenum.brute_force(texts)
