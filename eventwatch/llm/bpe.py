@@ -4,8 +4,8 @@ The texts of a task are its corpus. Their distinct pieces (matches of the split
 linked list of byte tokens, with an inverted index from the rank of a token pair to the places of that pair. Merges
 are then replayed in rank order over all pieces together: each rank's places are merged at once and only the two
 neighbours of each place are looked at again, which may add places to the index. The result is the same as merging
-every piece alone, lowest rank and leftmost first. Pieces already known in a task are not replayed again (a bounded
-table). Encoding is a map over documents: no shuffle, and any lost task can run again. A replay over the distinct
+every piece alone, lowest rank and leftmost first. Pieces already known in a task are neither replayed nor decoded again (a
+table of bounded bytes). Encoding is a map over documents: no shuffle, and any lost task can run again. A replay over the distinct
 pieces of the whole table would need every text's pieces shuffled twice, more than the texts themselves.
 
 Defined cases: null and empty texts have no tokens; a piece that is a token as a whole is that token; texts of any
@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 
 from eventwatch.llm.common import give_back, quoted, text_batches, text_of
 
-KNOWN_PIECES = 80_000    # pieces whose tokens a task remembers, besides those of the batch at hand
-TEXT_BATCH = 3 << 20     # characters whose new pieces are replayed together
+KNOWN_BYTES = 5 << 20    # of pieces and their tokens that a task remembers, besides those of the batch at hand
+TEXT_BATCH = 8 << 20     # characters whose new pieces are replayed together
 _NONE = np.int64(1 << 40)
 
 
@@ -78,7 +78,8 @@ class MergeReplay:
         pairs.sort()
         self.pair = np.array([p for p, _ in pairs], np.int64)
         self.merged = np.array([r for _, r in pairs], np.int64)
-        self.known: dict[str, tuple[str, tuple[int, ...]]] = {}
+        self.known: dict[str, tuple[str, tuple[int, ...], bytes]] = {}  # ids as text, ids, bytes that the ids decode to
+        self.size = 0
 
     def _rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The rank of what each pair merges into, or _NONE."""
@@ -165,8 +166,8 @@ class MergeReplay:
         offset = np.arange(len(at)) - np.repeat(new, np.diff(np.r_[new, len(at)]))
         return at[offset % 2 == 0]
 
-    def learn(self, pieces: set[str]) -> dict[str, tuple[str, tuple[int, ...]]]:
-        """Tokens of new pieces: their ids as decimal text and as numbers."""
+    def learn(self, pieces: set[str]) -> dict[str, tuple[str, tuple[int, ...], bytes]]:
+        """Tokens of new pieces: their ids as decimal text and as numbers, and the bytes that the ids decode to."""
         raw = [p.encode() for p in pieces]
         whole = [self.ranks.get(b) for b in raw]
         some = self.replay([b for b, w in zip(raw, whole) if w is None])
@@ -174,10 +175,10 @@ class MergeReplay:
         out = {}
         for p, w in zip(pieces, whole):
             ids = (w,) if w is not None else next(rest)
-            out[p] = (" ".join(map(self.text.__getitem__, ids)), ids)
+            out[p] = (" ".join(map(self.text.__getitem__, ids)), ids, self.decode(ids))
         return out
 
-    def encode_batch(self, texts: list[str]) -> Iterator[list[tuple[str, tuple[int, ...]]]]:
+    def encode_batch(self, texts: list[str]) -> Iterator[list[tuple[str, tuple[int, ...], bytes]]]:
         """For every text, the tokens of its pieces in order."""
         at = 0
         while at < len(texts):
@@ -188,15 +189,17 @@ class MergeReplay:
             pieces = [self.split(t) for t in texts[at:end]]
             fresh = set(chain.from_iterable(pieces)).difference(self.known)
             if fresh:
-                if len(self.known) + len(fresh) > KNOWN_PIECES:  # forget all but what this batch needs
+                if self.size > KNOWN_BYTES:  # forget all but what this batch needs
                     self.known = {p: self.known[p] for p in set(chain.from_iterable(pieces)).difference(fresh)}
+                    self.size = sum(map(len, self.known))
                 self.known.update(self.learn(fresh))
+                self.size += sum(map(len, fresh)) + 16 * len(fresh)
             for ps in pieces:
                 yield list(map(self.known.__getitem__, ps))
             at = end
 
     def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(ids for tokens in self.encode_batch([text]) for _, ids in tokens))
+        return list(chain.from_iterable(ids for tokens in self.encode_batch([text]) for _, ids, _ in tokens))
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.token.__getitem__, ids))
@@ -206,7 +209,7 @@ def _shared(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast(load_ranks(path))  # a vocabulary file: under 1 MB
 
 
-def _portions(col: pa.Array, rows: int = 1000) -> Iterator[list[str]]:
+def _portions(col: pa.Array, rows: int = 2000) -> Iterator[list[str]]:
     """The texts of a column, some at a time; null is empty."""
     for i in range(0, len(col), rows):
         yield [t or "" for t in col.slice(i, rows).to_pylist()]
@@ -221,7 +224,7 @@ def with_tokens(df: DataFrame, ranks_path: str, pattern: str, text: str = "text"
         replay = MergeReplay(parse_ranks(data.value), pattern)
         for col in cols:
             got = chain.from_iterable(map(replay.encode_batch, _portions(col)))
-            ids = [np.fromiter(chain.from_iterable(i for _, i in tokens), np.int32) for tokens in got]
+            ids = [np.fromiter(chain.from_iterable(i for _, i, _ in tokens), np.int32) for tokens in got]
             yield pa.array(ids, pa.list_(pa.int32()))
         del replay
         give_back()
@@ -251,10 +254,10 @@ def with_token_digest(df: DataFrame, ranks_path: str, pattern: str, text: str =
         for col in cols:
             n, a, b = [], [], []
             for tokens in chain.from_iterable(map(replay.encode_batch, _portions(col))):
-                ids = list(chain.from_iterable(i for _, i in tokens))
-                n.append(len(ids))
-                a.append(sha256(" ".join([s for s, _ in tokens]).encode()).hexdigest())
-                b.append(sha256(replay.decode(ids)).hexdigest())
+                text_, ids, raw = zip(*tokens) if tokens else ((), (), ())
+                n.append(sum(map(len, ids)))
+                a.append(sha256(" ".join(text_).encode()).hexdigest())
+                b.append(sha256(b"".join(raw)).hexdigest())  # decoded piece by piece, as the ids are
             yield pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())],
                                              ["n_tokens", "ids_sha256", "decoded_sha256"])
         del replay
