@@ -61,7 +61,7 @@ def _above(nodes: Column) -> Column:
     return F.transform(runs, lambda r: F.unhex(F.sha2(F.encode(text(r), "utf-8"), 256)))
 
 
-def _placed(df: DataFrame, group: list[str], order: list[str]) -> tuple[DataFrame, DataFrame]:
+def placed(df: DataFrame, group: list[str], order: list[str]) -> tuple[DataFrame, DataFrame]:
     """A written table of ``df`` plus ``seq`` (a number of the row), and its blocks: (part, group, first, before, n), from which
     the place of a row within its group is ``before + seq - first`` where ``part`` is ``seq >> 33``."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -154,8 +154,8 @@ def manifest(df: DataFrame, columns: list[str], order_col: str = "doc_id", group
     other = [(changed or {}).get(c, F.col(quoted(c))) for c in columns]
     narrow = materialize(df.select(F.col(quoted(order_col)).alias("id"), F.col(quoted(group_col)).cast("string").alias("grp"),
                                    leaf(original).alias("leaf"), leaf(other).alias("now")))
-    rows, blocks = _placed(narrow, ["grp"], ["id", "leaf"])
-    groups, spans = _placed(blocks.groupBy("grp").agg(F.max("n").alias("n")), [], ["grp"])
+    rows, blocks = placed(narrow, ["grp"], ["id", "leaf"])
+    groups, spans = placed(blocks.groupBy("grp").agg(F.max("n").alias("n")), [], ["grp"])
     span = spans.select("part", "first", "before", F.col("n").alias("trees"))
     groups = (groups.withColumn("part", F.shiftright("seq", 33)).join(span, "part")
               .select(F.col("grp").alias("g"), "n", "trees", (F.col("before") + F.col("seq") - F.col("first")).alias("tree")))

@@ -23,8 +23,9 @@ every shard with every other is quadratic. So strings are dealt to shards by con
 Sections and windows are compared by 64-bit hashes together with the 64-bit hash of their anchor.
 
 Defined cases: null and empty texts have no bytes; texts under ``WINDOW`` bytes are never cut; a string that overlaps itself
-(a run of one byte) is cut from its second place on; rows that share an id are read as one document (equal rows
-keep equal places, so neither is earlier); null ids come first; an empty table gives an empty result.
+(a run of one byte) is cut from its second place on; rows that share an id (or a null one) but not a text are documents of
+their own, in order of a hash of their texts; equal rows are one document (neither is earlier); null ids come first; an
+empty table gives an empty result.
 """
 
 from collections.abc import Iterator
@@ -38,6 +39,7 @@ from pyspark.sql import functions as F
 
 from eventwatch.config import materialize
 from eventwatch.llm.common import free_name, give_back, quoted, text_batches, text_of, utf8
+from eventwatch.llm.merkle import placed
 
 WINDOW = 100
 GRAM = 32
@@ -279,16 +281,30 @@ def copied_spans(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     return whole.union(part).union(late)
 
 
-def _id(col: str):
-    return F.coalesce(F.col(quoted(col)).cast("bigint"), F.lit(_NULL_ID))
+def _keyed(docs: DataFrame, id_col: str, text: str, key: str) -> DataFrame:
+    """``docs`` plus a number that tells documents apart and keeps their order: the id, or, where ids repeat or more than one is
+    null, the rank of (id, hash of the text). Only then are narrow rows of all documents numbered, and joined back."""
+    ids = docs.select(F.col(quoted(id_col)).cast("bigint").alias("id"))
+    if ids.groupBy("id").count().where("count > 1").isEmpty():
+        return docs.withColumn(key, F.coalesce(F.col(quoted(id_col)).cast("bigint"), F.lit(_NULL_ID)))
+    # the hash of the text tells rows of one id apart; equal rows are one document
+    mark = lambda: F.xxhash64(text_of(text), F.length(text_of(text)))
+    rows, blocks = placed(docs.select(F.col(quoted(id_col)).cast("bigint").alias("id"), mark().alias("h")).distinct(), [], ["id", "h"])
+    ranks = (rows.withColumn("part", F.shiftright("seq", 33)).join(blocks.select("part", "first", "before"), "part")
+             .select(F.col("id").alias("i"), "h", (F.col("before") + F.col("seq") - F.col("first")).alias("r")))
+    i, h, r = (free_name(docs, f"repeat_{c}") for c in "ihr")
+    ranks = materialize(ranks).toDF(i, h, r)
+    same = F.col(quoted(id_col)).cast("bigint").eqNullSafe(ranks[i]) & (mark() == ranks[h])
+    return docs.join(ranks, same).withColumn(key, F.col(r)).drop(i, h, r)
 
 
 def with_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", out: str = "repeats", shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """``docs`` plus the byte spans (start, end) of its repeats: array of struct, null where there is none. Spans may overlap."""
-    spans = copied_spans(docs.select(_id(id_col).alias("id"), text_of(text).alias("text")), shard_bytes)
     key = free_name(docs, "repeat_id")
+    docs = _keyed(docs, id_col, text, key)
+    spans = copied_spans(docs.select(F.col(key).alias("id"), text_of(text).alias("text")), shard_bytes)
     lists = spans.groupBy(F.col("id").alias(key)).agg(F.collect_list(F.struct("start", "end")).alias(out))
-    return docs.withColumn(key, _id(id_col)).join(lists, key, "left").drop(key)
+    return docs.join(lists, key, "left").drop(key)
 
 
 def merge_spans(spans: list[tuple[int, int]], size: int) -> list[tuple[int, int]]:

@@ -74,6 +74,23 @@ def test_odd_rows(spark):
     assert suffix.without_repeats(empty(spark)).count() == 0
 
 
+def test_shared_and_null_ids(spark):
+    """Rows of one id are documents of their own: nothing unique goes, and of every repeated passage one place stays."""
+    rnd = random.Random(4)
+    letters = lambda n: "".join(rnd.choice("abcdefghijklmnop") for _ in range(n))
+    passage, other = letters(150), letters(200)
+    data = [(1, passage), (5, letters(40) + passage + letters(60)), (5, letters(300)), (5, letters(300)), (7, other), (7, other),
+            (None, letters(250)), (None, letters(30) + other), (None, letters(120)), (9, other + letters(10)), (None, None), (5, "")]
+    df = spark.createDataFrame(data, "doc_id long, text string").withColumn("repeat_i", F.lit(1))
+    got = suffix.without_repeats(df).select("doc_id", "text", "rest.n_removed", "rest.n_bytes").collect()
+    assert len(got) == len(data)
+    cut = {(r.doc_id, r.text): r.n_removed for r in got}
+    assert cut == {(i, t): 150 if i == 5 and passage in (t or "") else 200 if other in (t or "") and i is not None else 0 for i, t in data}
+    # order: null ids, then ids; of one id, any order that is the same everywhere
+    plain = suffix.brute_force([(k, t) for k, (_, t) in enumerate(sorted(set(data), key=lambda r: (r[0] is not None, r[0] or 0)))])
+    assert sum(r[1] for r in plain.values()) == sum({(r.doc_id, r.text): r.n_removed for r in got}.values())
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.001"
     docs = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
