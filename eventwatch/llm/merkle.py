@@ -164,13 +164,13 @@ def manifest(df: DataFrame, columns: list[str], order_col: str = "doc_id", group
     where = (blocks.drop("n").join(groups, F.col("grp").eqNullSafe(F.col("g"))).drop("g")
              .select(F.col("part").alias("p"), F.col("grp").alias("g"), "first", "before", "tree", "n", "trees"))
     on = (F.shiftright("seq", 33) == F.col("p")) & F.col("grp").eqNullSafe(F.col("g"))
-    placed = materialize(rows.join(where, on).select(
+    located = materialize(rows.join(where, on).select(
         "seq", "id", "grp", "leaf", "now", "tree", "n", "trees", (F.col("before") + F.col("seq") - F.col("first")).alias("pos")))
 
     many = F.lit((trees or 0) > 1)
     up = (F.when(many, F.lit(_TOP).cast("bigint")), F.when(many, F.floor(F.col("tree") / _WIDTH)),
           F.when(many, (F.col("tree") % _WIDTH).cast("int")))
-    pages, tops = _levels(placed.select("tree", "pos", F.col("leaf").alias("digest"), "n"), groups, *up)
+    pages, tops = _levels(located.select("tree", "pos", F.col("leaf").alias("digest"), "n"), groups, *up)
     subroots = materialize(_union(tops).select("tree", F.col("digest").alias("subroot")))
     over = subroots.select(F.lit(_TOP).cast("bigint").alias("tree"), F.col("tree").alias("pos"), F.col("subroot").alias("digest"),
                            F.lit(trees or 0).cast("bigint").alias("n"))
@@ -179,7 +179,7 @@ def manifest(df: DataFrame, columns: list[str], order_col: str = "doc_id", group
     root = next((bytes(r[1]) for r in _union(roots).collect()), None)  # one digest; none of an empty table
 
     one = F.col("n") == 1
-    start = placed.select("seq", F.when(one, up[0]).otherwise(F.col("tree")).alias("tree"),
+    start = located.select("seq", F.when(one, up[0]).otherwise(F.col("tree")).alias("tree"),
                           F.when(one, up[1]).otherwise(F.floor(F.col("pos") / _WIDTH)).alias("slot"),
                           F.when(one, up[2]).otherwise((F.col("pos") % _WIDTH).cast("int")).alias("place"), F.col("now").alias("digest"))
     if pages or top_pages:
@@ -190,7 +190,7 @@ def manifest(df: DataFrame, columns: list[str], order_col: str = "doc_id", group
     path = F.array_sort(F.collect_list(F.struct("step", "siblings")))
     climbed = (steps.groupBy("seq").agg(path.alias("path"), F.max("folded").alias("folded"))
                .select("seq", "folded", F.array_join(F.transform("path", lambda s: hex_digest(s["siblings"])), "").alias("text")))
-    return (placed.join(climbed, "seq").join(subroots, "tree")
+    return (located.join(climbed, "seq").join(subroots, "tree")
             .select("id", "grp", "leaf", "subroot", F.lit(root).cast("binary").alias("root"),
                     F.unhex(F.sha2(F.encode("text", "utf-8"), 256)).alias("proof"), "folded"))
 
