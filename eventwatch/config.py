@@ -55,7 +55,9 @@ class Options:
     findings_topic: str | None = None         # directory or Kafka topic
     topic_format: str = "json"                # json | kafka
     topic_options: dict = field(default_factory=dict)
-    export_dir: str | None = None             # raw JSON export, first source only
+    export_dir: str | None = None             # raw JSON export, first source only: a file a minute
+    export_lateness: str = "0 seconds"        # how long a minute stays open after its end (publish time)
+    export_shards: int = 1                    # files a minute
     max_messages: int | None = None           # stop after this many messages of the first source
     stop: str = "cancel"                      # how: cancel | drain
     banned_processes: tuple[str, ...] = ()

@@ -23,6 +23,7 @@ from eventwatch.operators.threshold import HowToStop
 from eventwatch.operators.user_branch import user_findings
 from eventwatch.schema import FINDINGS_REQUIRED
 from eventwatch.sinks import tables
+from eventwatch.streaming.export import MinuteExport
 from eventwatch.streaming.live_rules import LiveRules
 from eventwatch.streaming.refresh import Refreshing
 from eventwatch.streaming.stop import CountedStop
@@ -142,9 +143,9 @@ def counted_stop(spark: SparkSession, options: Options) -> CountedStop:
 def start_queries(outputs: Outputs, options: Options, trigger: dict | None = None) -> list:
     """Persist all outputs of a streaming ``main_processing`` (G2), one query per branch.
 
-    Events, dead letters and the raw export share one ``foreachBatch`` over the parsed messages; user findings go to
-    the findings table and topic; source-address findings go to the topic. Rows that a table refuses go to its
-    rejects. Every micro-batch writes a slice named by its query's id and number.
+    Events and dead letters share one ``foreachBatch`` over the parsed messages; user findings go to the findings table
+    and topic; source-address findings go to the topic; the raw export has a query of its own, which closes minutes.
+    Rows that a table refuses go to its rejects. Every micro-batch writes a slice named by its query's id and number.
     """
     spark = outputs.parsed.sparkSession
     base = options.checkpoint_dir or checkpoint_dir(spark)
@@ -176,8 +177,6 @@ def start_queries(outputs: Outputs, options: Options, trigger: dict | None = Non
         tables.write_events(events, f"{out}/{options.events_table}", slice_id, must)
         dead = batch if options.keep_all_dead_letters else batch.filter(F.col("source") == 1)
         tables.write_dead_letters(dead_letters(dead), f"{out}/{options.invalid_messages_table}", slice_id, must)
-        if options.export_dir:
-            tables.export_raw(batch.filter(F.col("source") == 1), f"{options.export_dir}/data", slice_id=slice_id)
 
     def write_user(batch: DataFrame, slice_id: str) -> None:
         tables.write_user_findings(batch, f"{out}/{options.findings_table}", slice_id, must)
@@ -193,6 +192,9 @@ def start_queries(outputs: Outputs, options: Options, trigger: dict | None = Non
     for name, df, fn in branches:
         w = df.writeStream.foreachBatch(in_slices(name, fn)).option("checkpointLocation", f"{base}/{name}").queryName(name)
         queries.append(_start(w, trigger))
+    if options.export_dir:
+        export = MinuteExport(options.export_dir, f"{base}/export", options.export_lateness, options.export_shards)
+        queries.append(export.start(outputs.parsed.filter(F.col("source") == 1), trigger))
     return queries
 
 
