@@ -193,7 +193,8 @@ def start_queries(outputs: Outputs, options: Options, trigger: dict | None = Non
         w = df.writeStream.foreachBatch(in_slices(name, fn)).option("checkpointLocation", f"{base}/{name}").queryName(name)
         queries.append(_start(w, trigger))
     if options.export_dir:
-        export = MinuteExport(options.export_dir, f"{base}/export", options.export_lateness, options.export_shards)
+        finite = bool(trigger and trigger.get("availableNow"))
+        export = MinuteExport(options.export_dir, f"{base}/export", options.export_lateness, options.export_shards, close_all=finite)
         queries.append(export.start(outputs.parsed.filter(F.col("source") == 1), trigger))
     return queries
 

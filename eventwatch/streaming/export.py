@@ -7,7 +7,8 @@ minute and the closing batch: a repeated batch writes the same names again. A ba
 batch, when the files they went to are committed for certain.
 
 A row that comes behind the watermark is not dropped: its minute gets one further file. A message without a publish time
-goes to the partition that Spark names for null. The rows of a minute pass through one task as a stream (``shards`` tasks
+goes to the partition that Spark names for null. With ``close_all`` every micro-batch is a whole input (an ``availableNow``
+run over the parsed log, which is one batch): it closes all its minutes, as the end of the input does. The rows of a minute pass through one task as a stream (``shards`` tasks
 and files for very busy minutes).
 """
 
@@ -41,7 +42,9 @@ def minute_folder(minute: int | None) -> str:
 class MinuteExport:
     """Writes micro-batches of raw messages (payload, publish_ts) to ``path``; ``folder`` is kept with the checkpoints."""
 
-    def __init__(self, path: str, folder: str, lateness: str = "0 seconds", shards: int = 1):
+    def __init__(self, path: str, folder: str, lateness: str = "0 seconds", shards: int = 1,
+                 close_all: bool = False):
+        self.close_all = close_all
         self.path, self.folder = path.rstrip("/"), folder.rstrip("/")
         self.lateness_ms, self.shards = interval_ms(lateness), shards
         self.staging, self.checkpoint = f"{self.folder}/staging", f"{self.folder}/checkpoint"
@@ -81,7 +84,7 @@ class MinuteExport:
         (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("minute", "batch").parquet(self.staging))
         newest = batch.agg(F.max(F.unix_millis("publish_ts"))).first()[0]
         seen = max((x for x in (self._mark(spark, batch_id - 1)["seen"], newest) if x is not None), default=None)
-        closed = [m for m in self._staged(spark) if m is None or (seen is not None and (m + 1) * MINUTE_MS + self.lateness_ms <= seen)]
+        closed = [m for m in self._staged(spark) if self.close_all or m is None or (seen is not None and (m + 1) * MINUTE_MS + self.lateness_ms <= seen)]
         if closed:
             self._publish(spark, closed, slice_of(spark, self.checkpoint, batch_id), batch_id)
         write_text(spark, f"{self.folder}/marks/{batch_id}.json", json.dumps({"seen": seen, "closed": closed}))
