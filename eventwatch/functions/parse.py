@@ -25,6 +25,8 @@ INT_FIELDS = {"bytes_sent": "bytesSent", "bytes_received": "bytesReceived", "des
 MAX_EPOCH_MS = (2 ** 63 - 1) // 1000   # timestamps are 64-bit microseconds: about 290,000 years either way
 _INT32 = 2 ** 32
 _INT31 = 2 ** 31
+_CHUNK = 10 ** 9
+_NUMBER = r"^(-?)([0-9]+)(?:\.([0-9]+))?(?:[eE]([+-]?[0-9]+))?$"   # sign, whole digits, fraction, exponent
 
 
 def payload_text(payload: Column) -> Column:
@@ -52,14 +54,35 @@ def _is_number(t: Column) -> Column:
     return t.startswith("DECIMAL") | t.isin("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT")
 
 
-def _truncate(d: Column) -> Column:
-    """Toward zero, as integer value extraction does (a cast to scale 0 would round)."""
-    return F.when(d >= 0, F.floor(d)).otherwise(F.ceil(d))
+def _mod32(digits: Column) -> Column:
+    """A string of decimal digits of any length, modulo 2^32. As 2^32 divides 10^32, the last 32 digits decide."""
+    return F.pmod(F.right(digits, F.lit(32)).try_cast("decimal(38,0)"), F.lit(_INT32).cast("decimal(38,0)")).cast("long")
 
 
-def _wrap32(t: Column) -> Column:
-    """Keep the low 32 bits, two's complement."""
-    return (F.pmod(t + F.lit(_INT31), F.lit(_INT32)) - F.lit(_INT31)).cast("int")
+def exact_low32(number: Column) -> Column:
+    """Low 32 bits, two's complement, of a JSON number's text truncated toward zero; exact for any length and exponent."""
+    whole, part = F.regexp_extract(number, _NUMBER, 2), F.regexp_extract(number, _NUMBER, 3)
+    power = F.regexp_extract(number, _NUMBER, 4)
+    # An exponent of more than nine digits moves the point out of any text's reach.
+    shift = (F.when(power == "", F.lit(0)).when(F.length(F.regexp_replace(power, "^[+-]?0*", "")) <= 9, power.try_cast("int"))
+             .when(power.startswith("-"), F.lit(-_CHUNK)).otherwise(F.lit(_CHUNK)))
+    kept = F.length(whole).cast("long") + shift
+    digits = F.concat(whole, part)
+    cut = F.when(kept > 0, F.substring(digits, F.lit(1), F.least(kept, F.length(digits).cast("long")).cast("int"))).otherwise(F.lit("0"))
+    zeros = F.greatest(kept - F.length(digits), F.lit(0))
+    # 2^32 divides 10^32: from there on nothing is left of the low bits.
+    low = F.when(zeros < 32, _mod32(F.concat(cut, F.repeat(F.lit("0"), zeros.cast("int"))))).otherwise(F.lit(0).cast("long"))
+    return _low32(F.when(F.regexp_extract(number, _NUMBER, 1) == "-", -low).otherwise(low))
+
+
+def numbers_as_strings(text: Column) -> Column:
+    """A JSON text with every number in quotes, so that its own characters can be read. The marks used on the way are
+    control characters, which a valid text does not hold."""
+    slash, quote, mark = "\x03", "\x04", "\x01"
+    plain = F.replace(F.replace(text, F.lit("\\\\"), F.lit(slash)), F.lit('\\"'), F.lit(quote))   # strings end at the next quote
+    marked = F.regexp_replace(plain, r'("[^"]*+")|(-?[0-9][0-9.eE+-]*)', f"$1{mark}$2{mark}")     # a string, or a number
+    quoted = F.replace(F.replace(marked, F.lit(mark + mark), F.lit("")), F.lit(mark), F.lit('"'))
+    return F.replace(F.replace(quoted, F.lit(quote), F.lit('\\"')), F.lit(slash), F.lit("\\\\"))
 
 
 FieldRef = dict  # field name → {"t": JSON type, "s": text form, "b": 64-bit integer form, "v": field Variant}
@@ -80,9 +103,11 @@ def extract_fields(df: DataFrame, text: str, fields: dict[str, str]) -> tuple[Da
 
     One streaming JSON pass (``from_json``) yields a small Variant per field; then each field's JSON
     type, and only the form that type needs: text for strings, a 64-bit integer (truncated toward zero)
-    for numbers.  The per-field Variants stay in ``__doc`` for the rare wider-than-64-bit number.
+    for numbers.  ``digits`` reads an integer field's own characters, for the rare number that a 64-bit integer
+    or a double does not hold exactly.
     """
     schema = "struct<" + ", ".join(f"`{f}`: variant" for f in fields) + ">"
+    exact = F.from_json(numbers_as_strings(F.col(text)), "struct<" + ", ".join(f"`{f}`: string" for f, k in fields.items() if k == "int") + ">")
     doc = bind(df, F.from_json(F.col(text), schema).alias("__doc"))
     typed = bind(doc, *[F.schema_of_variant(F.col("__doc").getField(f)).alias(f"__t_{f}") for f in fields])
     cols, refs = [], {}
@@ -91,7 +116,7 @@ def extract_fields(df: DataFrame, text: str, fields: dict[str, str]) -> tuple[Da
         cols.append(F.when(t == "STRING", F.variant_get(fv, "$", "string")).alias(f"__s_{f}"))
         if kind in ("int", "number"):
             cols.append(F.when(_is_number(t), F.try_variant_get(fv, "$", "bigint")).alias(f"__b_{f}"))
-        refs[f] = {"t": t, "s": F.col(f"__s_{f}"), "v": fv,
+        refs[f] = {"t": t, "s": F.col(f"__s_{f}"), "digits": exact.getField(f) if kind == "int" else None,
                    "b": F.col(f"__b_{f}") if kind != "string" else F.lit(None)}
     return bind(typed, *cols), refs
 
@@ -105,12 +130,10 @@ def _low32(b: Column) -> Column:
 def lenient_int(r: dict[str, Column], field: str) -> tuple[Column, Column]:
     """(value INT, error text) of a field that may be a number, a digit string or absent."""
     t, s, b = r["t"], r["s"], r["b"]
-    # Only read for numbers beyond 64 bits. Beyond 38 digits only an approximation is known; its low 32 bits are 0.
-    wide = F.coalesce(F.try_variant_get(r["v"], "$", "decimal(38,6)"), F.try_variant_get(r["v"], "$", "decimal(38,0)"), F.lit(0))
     parsed = F.when(s.rlike(r"^[+-]?[0-9]+$"), s.try_cast("int"))
     value = (F.when(t == "STRING", parsed)
-             .when(_is_number(t) & b.isNotNull(), _low32(b))
-             .when(_is_number(t), _wrap32(_truncate(wide))))
+             .when(_is_number(t) & b.isNotNull() & (t != "DOUBLE"), _low32(b))
+             .when(_is_number(t), exact_low32(r["digits"])))   # beyond 64 bits, or not known exactly
     error = (F.when(~_present(t), F.lit(f"Null {INT_FIELDS[field]}"))
              .when((t == "STRING") & parsed.isNull(), F.concat(F.lit('For input string: "'), s, F.lit('"')))
              .when((t != "STRING") & ~_is_number(t),

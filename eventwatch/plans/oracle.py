@@ -241,9 +241,15 @@ pinfo AS (
   CASE WHEN coalesce(payload_type, 'Other') = 'type A' THEN 'type A' ELSE 'proxy-request' END AS converter FROM msgs"""),
     "parse_edges": _w("", """SELECT message_id, CASE WHEN bad THEN 'Failed to parse: malformed JSON' ELSE failure_reason END AS failure_reason,
   CASE WHEN NOT bad AND failure_reason IS NULL THEN CASE WHEN event_id % 41 = 0 THEN 0 ELSE v_sent END END AS bytes_sent,
+  CASE WHEN NOT bad AND failure_reason IS NULL THEN
+    CASE WHEN event_id % 41 <> 0 AND event_id % 47 = 0 THEN  -- minus the number, low 32 bits, two's complement
+      CAST((4294967296 + 2147483648 - list_reduce(list_prepend(CAST(0 AS HUGEINT), list_transform(string_split(long_digits, ''), lambda d: CAST(d AS HUGEINT))),
+        lambda a, d: (a * 10 + d) % 4294967296)) % 4294967296 - 2147483648 AS INTEGER)
+    ELSE v_recv END END AS bytes_received,
   CASE WHEN NOT bad AND failure_reason IS NULL THEN CAST(s_ts AS BIGINT)
-    * CASE WHEN event_id % 43 = 0 AND event_id % 41 <> 0 THEN 1000 ELSE 1 END END AS request_ms
-  FROM (SELECT *, event_id % 31 = 0 OR event_id % 37 = 0 AS bad FROM parsed)"""),
+    * CASE WHEN event_id % 43 = 0 AND event_id % 41 <> 0 AND event_id % 47 <> 0 THEN 1000 ELSE 1 END END AS request_ms
+  FROM (SELECT *, event_id % 31 = 0 OR event_id % 37 = 0 AS bad,
+    '7' || repeat(lpad(CAST(event_id AS VARCHAR), 19, '3'), 2) || repeat('9', CAST(event_id % 22 AS INTEGER)) AS long_digits FROM parsed)"""),
     "rejected_report": _w("", """SELECT time_bucket(INTERVAL 2 MINUTE, publish_ts) AS window_start,
   time_bucket(INTERVAL 2 MINUTE, publish_ts) + INTERVAL 2 MINUTE AS window_end, count(*) AS failed_rows
   FROM valid WHERE event_id % 41 = 0 GROUP BY 1, 2"""),

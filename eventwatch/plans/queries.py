@@ -89,15 +89,19 @@ def q_payload_dispatch(spark, sf):
 
 
 def q_parse_edges(spark, sf):
-    """Payloads with text behind the object, repeated nested keys, a number beyond 64 bits, microsecond stamps."""
+    """Payloads with text behind the object, repeated nested keys, numbers beyond 64 bits and 38 digits, microsecond stamps."""
     eid, text = F.col("event_id"), payload_text(F.col("payload"))
+    # 39 to 60 digits: a whole number and one with a fraction, made from the event's number.
+    digits = F.concat(F.lit("7"), F.repeat(F.lpad(eid.cast("string"), 19, "3"), F.lit(2)), F.repeat(F.lit("9"), (eid % 22).cast("int")))
+    fraction = F.when(eid % 2 == 0, F.lit(".75")).otherwise(F.lit(""))
     edited = (F.when(eid % 31 == 0, F.concat(text, F.lit(" x")))
               .when(eid % 37 == 0, F.concat(F.substring(text, F.lit(1), F.length(text) - 1), F.lit(', "extra": {"a": 1, "a": 2}}')))
               .when(eid % 41 == 0, F.regexp_replace(text, r'"bytes_sent": [0-9.]+', '"bytes_sent": 1e40'))
+              .when(eid % 47 == 0, F.regexp_replace(text, F.lit(r'"bytes_received": "?[0-9.]+"?'), F.concat(F.lit('"bytes_received": -'), digits, fraction)))
               .when(eid % 43 == 0, F.regexp_replace(text, r'("request_timestamp": [0-9]+)', "$1000"))
               .otherwise(text))
     m = messages_from_events(spark, sf).withColumn("payload", F.encode(edited, "UTF-8"))
-    return parse_messages(m).select("message_id", "failure_reason", "bytes_sent", F.unix_millis("request_ts").alias("request_ms"))
+    return parse_messages(m).select("message_id", "failure_reason", "bytes_sent", "bytes_received", F.unix_millis("request_ts").alias("request_ms"))
 
 
 def q_rejected_report(spark, sf):

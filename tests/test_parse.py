@@ -96,3 +96,25 @@ def test_parse_is_one_pass_without_shuffle(spark):
     p = parse_messages(messages(spark, [(payload(), "m", 0)]))
     plan = p._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "PythonUDF" not in plan and "BatchEvalPython" not in plan
+
+
+def test_low_bits_of_numbers_of_any_length(spark):
+    from decimal import Decimal, localcontext
+    import random
+    rng = random.Random(5)
+    numbers = ["".join(rng.choice("123456789") for _ in range(n)) for n in (19, 20, 38, 39, 45, 60, 400)]
+    numbers += ["-" + n for n in numbers] + [n + ".9999" for n in numbers] + ["-" + n[:20] + "." + n[20:] for n in numbers if n[0] != "-" and len(n) > 21]
+    numbers += ["1e40", "123456789012345678e3", "1.23456789012345678901234567890123456789e39", "-98765432109876543210987e-3",
+                "4503599627370497.9999e0", "7e31", "7e32", "1e-5", "0e99999999999", "5e99999999999", "5e-99999999999", "99999999999999999999.5E+1", "0.0000001e9"]
+    rows = [(payload().replace('"destination_port": 80', f'"destination_port": {n}'), n, 0) for n in numbers]
+    got = {r.message_id: r.dst_port for r in parse_messages(messages(spark, rows)).collect()}
+    hidden = payload(user='\\" "destination_port": 7, \\\\').replace('"destination_port": 80', '"x": {"destination_port": 1.5}, "destination_port": 98765432109876543210.5')
+    assert parse_messages(messages(spark, [(hidden, "h", 0)])).first().dst_port == (98765432109876543210 + 2 ** 31) % 2 ** 32 - 2 ** 31
+    for n in numbers:
+        if "99999999999" in n.lower().partition("e")[2]:
+            want = 0
+        else:
+            with localcontext() as c:
+                c.prec = 1000
+                want = (int(Decimal(n)) + 2 ** 31) % 2 ** 32 - 2 ** 31
+        assert got[n] == want, n
