@@ -48,6 +48,9 @@ class Options:
     events_table: str = "events"
     findings_table: str = "findings"
     invalid_messages_table: str = "invalid_messages"
+    report_table: str = "failed_inserts"      # rows that tables refused, per window
+    report_window: str = FAILED_INSERT_WINDOW
+    report_delay: str = "30 seconds"
     create_tables: bool = False               # else absent tables are refused
     process_info_path: str | None = None      # process table, read again every two minutes: events get a category
     rules_path: str | None = None             # rule table, read again every five minutes

@@ -19,3 +19,14 @@ def observe_messages(parsed: DataFrame, name: str = "pipeline_counters") -> tupl
         return parsed.observe(name, *message_counters(parsed), *more), name
     obs = Observation(name)
     return parsed.observe(obs, *message_counters(parsed)), obs
+
+
+def observe_files(files: DataFrame, name: str = "file_counters") -> DataFrame:
+    """Accepted and rejected files, observed on a stream of ``accepted_files``."""
+    ok = F.col("accepted")
+    return files.observe(name, F.count(F.when(ok, 1)).alias("accepted_files"), F.count(F.when(~ok, 1)).alias("rejected_files"))
+
+
+def observe_suspicious(findings: DataFrame, name: str = "suspicious_activity") -> DataFrame:
+    """Findings on source addresses, observed on their stream."""
+    return findings.observe(name, F.count(F.lit(1)).alias("suspicious_activity"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventwatch.operators.sessions import interval_ms
+from eventwatch.sources.ticks import ticks
 
 
 def window_sum(df: DataFrame, ts: str, value: str, duration: str = "1 second") -> DataFrame:
@@ -28,19 +28,16 @@ def with_latest(main: DataFrame, side: DataFrame, value: Column, ts: str, name:
 def side_input_stream(spark, side_rate: str = "5 seconds", main_rows_per_second: int = 1):
     """Streaming form of the latest-side-input pattern.
 
-    Main: ``rate`` ticks summed per 1 s window (windows without ticks give no row).  Side: ticks every
+    Main: ticks (numbered) summed per 1 s window (windows without ticks give no row).  Side: ticks every
     ``side_rate`` producing a map {Key_A: HH:mm:ss of the tick}; each micro-batch pairs its sums with
     the newest side value (a TTL-free re-read of a small side frame inside ``foreachBatch``).
     Returns (main streaming frame, side streaming frame); wire them with ``pair_with_latest``.
     """
-    main = (spark.readStream.format("rate").option("rowsPerSecond", main_rows_per_second).load()
-            .withWatermark("timestamp", "0 seconds")
-            .groupBy(F.window("timestamp", "1 second").alias("w")).agg(F.sum("value").alias("sum_value"))
+    main = (ticks(spark, f"{1000 / main_rows_per_second} milliseconds").withWatermark("timestamp", "0 seconds")
+            .groupBy(F.window("timestamp", "1 second").alias("w")).agg(F.sum("tick").alias("sum_value"))
             .select(F.col("w.start").alias("window_start"), "sum_value"))
-    period_s = max(1, interval_ms(side_rate) // 1000)   # the rate source ticks once a second
-    side = (spark.readStream.format("rate").option("rowsPerSecond", 1).load()
-            .filter((F.col("value") % F.lit(period_s)) == 0)
-            .select("timestamp", F.create_map(F.lit("Key_A"), F.date_format("timestamp", "HH:mm:ss")).alias("side")))
+    side = ticks(spark, side_rate).select(
+        "timestamp", F.create_map(F.lit("Key_A"), F.date_format("timestamp", "HH:mm:ss")).alias("side"))
     return main, side
 
 

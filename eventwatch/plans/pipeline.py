@@ -16,16 +16,18 @@ from eventwatch.config import PROCESS_REFRESH, Options, checkpoint_dir, material
 from eventwatch.functions import formats
 from eventwatch.functions.parse import dead_letters, parse_messages, valid_events
 from eventwatch.operators.lookup import enrich_category, process_dimension
-from eventwatch.operators.metrics import observe_messages
+from eventwatch.operators.metrics import observe_files, observe_messages, observe_suspicious
 from eventwatch.operators.rules import SessionRule, UserRule, banned_process_rule
 from eventwatch.operators.sessions import source_ip_findings
 from eventwatch.operators.threshold import HowToStop
 from eventwatch.operators.user_branch import user_findings
 from eventwatch.schema import FINDINGS_REQUIRED
 from eventwatch.sinks import tables
+from eventwatch.sources.messages import accepted_files
 from eventwatch.streaming.export import MinuteExport
 from eventwatch.streaming.live_rules import LiveRules
 from eventwatch.streaming.refresh import Refreshing
+from eventwatch.streaming.reject_report import start_report
 from eventwatch.streaming.stop import CountedStop
 
 
@@ -129,6 +131,14 @@ def start_monitor(spark: SparkSession, inputs: Inputs, options: Options, trigger
         if not (trigger and trigger.get("availableNow")):
             more.append(live.start_refresh(checkpoint=f"{base}/rules_refresh"))
     outputs = streaming_processing(inputs, options, stream, live.column() if live else None)
+    if options.file_list:
+        files = observe_files(accepted_files(spark, options.file_list, streaming=True))
+        more.append(_start(files.writeStream.format("noop").option("checkpointLocation", f"{base}/files").queryName("files"), trigger))
+    if not (trigger and trigger.get("availableNow")):   # a finite run has its rejects in the tables
+        out = options.output_dir
+        watched = {t: f"{out}/{t}" for t in (options.events_table, options.findings_table, options.invalid_messages_table)}
+        more.append(start_report(spark, watched, f"{out}/{options.report_table}", f"{base}/reject_report", options.report_window,
+                                 options.report_delay, trigger))
     if options.max_messages:
         more.append(counted_stop(spark, options).start(stream.filter(F.col("source") == 1), trigger))
     return queries + start_queries(outputs, options, trigger=trigger) + more
@@ -166,7 +176,7 @@ def start_queries(outputs: Outputs, options: Options, trigger: dict | None = Non
 
     def topic(values: DataFrame, kind: str, slice_id: str) -> None:
         if options.findings_topic and options.topic_format == "kafka":
-            tables.write_topic(values, options.findings_topic, "kafka", options=options.topic_options)
+            tables.write_topic(values, options.findings_topic, "kafka", slice_id, options.topic_options)
         elif options.findings_topic:
             tables.write_topic(values, f"{options.findings_topic}/{kind}", slice_id=slice_id)
 
@@ -187,7 +197,7 @@ def start_queries(outputs: Outputs, options: Options, trigger: dict | None = Non
 
     branches = [("messages", outputs.parsed, write_messages), ("user_findings", outputs.user_findings, write_user)]
     if options.findings_topic:  # the only place that source-address findings go to
-        branches.append(("source_findings", outputs.source_ip_findings, write_source))
+        branches.append(("source_findings", observe_suspicious(outputs.source_ip_findings), write_source))
     queries = []
     for name, df, fn in branches:
         w = df.writeStream.foreachBatch(in_slices(name, fn)).option("checkpointLocation", f"{base}/{name}").queryName(name)
@@ -208,8 +218,8 @@ def start_ingest(spark: SparkSession, topic: str, options: Options, trigger: dic
                                   "request_ts", FINDINGS_REQUIRED, tables.slice_of(batch.sparkSession, f"{base}/ingest", batch_id))
 
     if options.topic_format == "kafka":
-        values = (spark.readStream.format("kafka").options(subscribe=topic, **options.topic_options).load()
-                  .select(F.col("value").cast("string").alias("value")))
-    else:
-        values = spark.readStream.schema("value STRING").text(f"{topic}/source")
+        records = spark.readStream.format("kafka").options(subscribe=topic, **options.topic_options).load()
+        values = tables.each_key_once(records.select(F.col("key").cast("string"), F.col("value").cast("string")))
+    else:  # a slice's files come once; its folder, that may not be there yet, is no column
+        values = spark.readStream.schema("value STRING").option("recursiveFileLookup", "true").text(f"{topic}/source")
     return _start(values.writeStream.foreachBatch(write).option("checkpointLocation", f"{base}/ingest").queryName("ingest"), trigger)

@@ -59,6 +59,13 @@ def _write(df: DataFrame, path: str, columns: list[str], slice_id: str | None, f
     (w.partitionBy(*columns) if columns else w).format(fmt).save(path)
 
 
+def _write_once(df: DataFrame, path: str, slice_id: str | None, fmt: str) -> None:
+    """Like ``_write``, for readers that follow the folder: a slice comes into its place as a whole and a retry leaves it
+    there, so a reader never meets its rows a second time in new files."""
+    if slice_id is None or not path_exists(df.sparkSession, f"{path}/slice={slice_id}"):
+        _write(df, path, [], slice_id, fmt)
+
+
 def append_partitioned(df: DataFrame, path: str, date_col: str, ts_col: str, required: list[str],
                        slice_id: str | None = None, must_exist: bool = False) -> DataFrame:
     """Append rows to a parquet table partitioned by day of ``ts_col``; the others go to its rejects and are returned."""
@@ -66,7 +73,7 @@ def append_partitioned(df: DataFrame, path: str, date_col: str, ts_col: str, req
         require_table(df.sparkSession, path)
     good, rejected = split_required(df, required)
     _write(good.withColumn(date_col, F.to_date(ts_col)), path, [date_col], slice_id, "parquet")
-    _write(rejected.withColumn("rejected_ts", F.current_timestamp()), f"{path}_rejected", [], slice_id, "parquet")
+    _write_once(rejected.withColumn("rejected_ts", F.current_timestamp()), f"{path}_rejected", slice_id, "parquet")
     return rejected
 
 
@@ -95,11 +102,31 @@ def write_user_findings(findings: DataFrame, path: str, slice_id: str | None = N
 
 def write_topic(json_values: DataFrame, target: str, fmt: str = "json", slice_id: str | None = None,
                 options: dict | None = None) -> None:
-    """Publish JSON strings (column ``value``): a directory of JSON-lines files, or a Kafka topic (at least once)."""
+    """Publish JSON strings (column ``value``): a directory of JSON-lines files, where a repeated slice is written once, or a
+    Kafka topic, whose records carry keys that are the same in a repeated slice (see ``keyed``, ``each_key_once``)."""
     if fmt == "kafka":
-        json_values.select("value").write.format("kafka").options(**(options or {})).option("topic", target).save()
+        records = keyed(json_values, slice_id) if slice_id else json_values.select("value")
+        records.write.format("kafka").options(**(options or {})).option("topic", target).save()
         return
-    _write(json_values.select("value"), target, [], slice_id, "text")
+    _write_once(json_values.select("value"), target, slice_id, "text")
+
+
+def keyed(json_values: DataFrame, slice_id: str) -> DataFrame:
+    """(key, value): the slice, the text's hash and the number of the text among equal ones. Whatever order and tasks a
+    repeated slice has, its keys are the same."""
+    texts = json_values.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    return (texts.select("value", F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("k"))
+            .select(F.concat_ws("#", F.lit(slice_id), F.sha2("value", 256), F.col("k").cast("string")).alias("key"), "value"))
+
+
+def each_key_once(records: DataFrame, within: str = "1 day") -> DataFrame:
+    """Stream of (key, value) without the records of a repeated slice that come within ``within`` of the first ones.
+
+    The time is the arrival here, which never is late; records without a key are all kept.
+    """
+    own = F.coalesce(F.col("key").cast("string"), F.uuid())
+    arrived = records.withColumns({"key": own, "arrived": F.current_timestamp()}).withWatermark("arrived", within)
+    return arrived.dropDuplicatesWithinWatermark(["key"]).select("value")
 
 
 def export_raw(messages: DataFrame, path: str, one_file_per_window: bool = False, slice_id: str | None = None) -> None:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from eventwatch.config import ACCEPTED_FILE_PATTERN
 from eventwatch.schema import MESSAGE
 
+FILE = "path STRING, modificationTime TIMESTAMP, length LONG, content BINARY"   # as Spark lists files
 JSON_GLOB = "*.{json,JSON}"
 
 
@@ -68,10 +69,12 @@ def payload_messages(payloads: DataFrame, column: str = "payload", publish_col:
                            (F.col(publish_col) if publish_col else F.current_timestamp()).alias("publish_ts"))
 
 
-def accepted_files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Listed files with their verdict (counters: accepted / rejected) — the extension filter as data."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(paths)
-             .select(F.col("path")))
+def accepted_files(spark: SparkSession, paths: list[str], streaming: bool = False) -> DataFrame:
+    """Listed files with their verdict (counters: accepted / rejected) — the extension filter as data. Only names are
+    read. A stream gives every new file of every path once."""
+    def listing(reader, at):
+        return reader.schema(FILE).format("binaryFile").option("recursiveFileLookup", "false").load(at).select(F.col("path"))
+    files = (reduce(DataFrame.union, [listing(spark.readStream, p) for p in paths]) if streaming else listing(spark.read, paths))
     return files.withColumn("accepted", F.col("path").rlike(ACCEPTED_FILE_PATTERN))
 
 
