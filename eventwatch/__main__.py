@@ -9,9 +9,10 @@ from __future__ import annotations
 import argparse
 import time
 
-from eventwatch.config import Options, get_spark
+from eventwatch.config import Options, checkpoint_dir, get_spark
 from eventwatch.plans.pipeline import Inputs, counted_stop, start_ingest, start_monitor
 from eventwatch.sources.messages import read_json_lines, read_messages
+from eventwatch.streaming.replay import LineReplay
 from eventwatch.streaming.stop import stop_all
 
 
@@ -27,6 +28,8 @@ def parse_args(argv=None) -> tuple[Options, argparse.Namespace]:
     ap.add_argument("--rules", help="rule table (parquet), read again every five minutes")
     ap.add_argument("--profiles", help="user profile table (parquet)")
     ap.add_argument("--ingest", action="store_true", help="only move source-address findings from the topic to the table")
+    ap.add_argument("--replay", nargs="+", help="only publish the lines of these text files to the landing directory --source")
+    ap.add_argument("--rate", type=int, default=100, help="lines a second of --replay")
     ap.add_argument("--findings-topic")
     ap.add_argument("--topic-format", default="json", choices=["json", "kafka"])
     ap.add_argument("--kafka-servers")
@@ -64,6 +67,10 @@ def inputs_of(spark, opts: Options) -> Inputs:
 def main(argv=None) -> None:
     opts, a = parse_args(argv)
     spark = get_spark("eventwatch")
+    if a.replay:
+        folder = f"{opts.checkpoint_dir or checkpoint_dir(spark)}/replay"
+        print(f"published {LineReplay(spark, a.replay, opts.source_path, folder, a.rate).run()} lines")
+        return
     if a.ingest:
         start_ingest(spark, opts.findings_topic, opts).awaitTermination()
         return
