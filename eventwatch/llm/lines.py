@@ -5,14 +5,13 @@ aggregation: partial sketches merge, so a line that stands in a third of all doc
 task. Lines whose estimate is clearly over the threshold are boilerplate, clearly under it not; those within
 ``BAND`` of it get an exact distinct count of their sites. Boilerplate lines are then cut wherever they stand.
 
-A document that is boilerplate and nothing else is a copy that many sites carry; ``remove_boilerplate`` (the pipeline)
-leaves it whole, for near-duplicate removal to decide on, and cuts the lines of every other. ``with_kept_lines`` (query
-op4) by default follows the query's SQL, which exempts every document of which boilerplate makes up more than
-``MAX_COVERAGE``.
+A document that is boilerplate and nothing else is a copy that many sites carry: it stays whole, for near-duplicate
+removal to decide on. Every other document loses its boilerplate lines, however little is left.
 
 Defined cases: null texts have no lines and stay null; blank lines are kept and never count; a null site is no site;
 repeated lines of a document are all cut; copies, repeated rows, and equal or null ids are told apart by id and text;
-empty tables give empty results.
+empty tables give empty results; the lines of a very long text are shuffled as hashes, its flags are as many as its distinct
+boilerplate lines; a column that has the name of ``out`` stays, the new one takes the next free name (``free_name``).
 """
 
 from pyspark.sql import Column, DataFrame
@@ -24,7 +23,6 @@ from eventwatch.llm.common import free_name, quoted, text_of
 MIN_SITES = 10
 LG_K = 12            # 4096 registers: a relative standard error of 1.6 %
 BAND = 0.1           # six standard errors
-MAX_COVERAGE = 0.5
 
 
 def split_lines(text: str) -> Column:
@@ -48,9 +46,8 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
 
 
 def with_kept_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", site: str = "source", out: str = "lines",
-                    min_sites: int = MIN_SITES, max_coverage: float | None = MAX_COVERAGE) -> DataFrame:
-    """``docs`` plus a struct: n_lines (not blank), n_removed, kept (the text that is left; null stays null). Without a
-    ``max_coverage`` only documents that are boilerplate and nothing else are left whole."""
+                    min_sites: int = MIN_SITES) -> DataFrame:
+    """``docs`` plus a struct: n_lines (not blank), n_removed, kept (the text that is left; null stays null)."""
     key = F.xxhash64(F.col(quoted(id_col)), F.col(quoted(text)))
     lines = materialize(
         docs.select(key.alias("key"), F.when(F.col(quoted(site)).isNotNull(), F.xxhash64(F.col(quoted(site)))).alias("site"),
@@ -66,11 +63,10 @@ def with_kept_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     every = split_lines(text)
     chars = lambda a: F.aggregate(a, F.lit(0).cast("bigint"), lambda s, x: s + F.length(F.trim(x)))
     cut = F.filter(every, is_bad)
-    few = chars(cut) < chars(every) if max_coverage is None else chars(cut) <= F.lit(max_coverage) * chars(every)
-    act = F.col(flags).isNotNull() & few
+    act = F.col(flags).isNotNull() & (chars(cut) < chars(every))
     kept = F.when(act, F.array_join(F.filter(every, lambda x: ~is_bad(x)), "\n")).otherwise(F.col(quoted(text)))
     counted = F.size(F.filter(every, lambda x: F.trim(x) != "")).cast("bigint")
-    return got.withColumn(out, F.struct(counted.alias("n_lines"), F.when(act, F.size(cut)).otherwise(0).cast("bigint").alias("n_removed"),
+    return got.withColumn(free_name(docs, out), F.struct(counted.alias("n_lines"), F.when(act, F.size(cut)).otherwise(0).cast("bigint").alias("n_removed"),
                                         kept.alias("kept"))).drop(k, flags)
 
 
@@ -79,7 +75,7 @@ def remove_boilerplate(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
     """``docs`` in the same columns, boilerplate lines cut from every document that holds anything else; ``n_chars`` is
     counted anew where lines were cut."""
     name = free_name(docs, "lines")
-    got = with_kept_lines(docs, id_col, text, site, name, min_sites, None)
+    got = with_kept_lines(docs, id_col, text, site, name, min_sites)
     new = {text: F.col(name)["kept"]}
     if n_chars and n_chars in docs.columns:
         new[n_chars] = F.when(F.col(name)["n_removed"] > 0, F.length(F.col(name)["kept"]).cast(docs.schema[n_chars].dataType)).otherwise(
@@ -96,7 +92,7 @@ bad AS (SELECT trim(line, ' ') AS t FROM l WHERE trim(line, ' ') <> '' GROUP BY
         HAVING count(DISTINCT source) >= {MIN_SITES}),
 m AS (SELECT l.*, bad.t IS NOT NULL AS b FROM l LEFT JOIN bad ON trim(l.line, ' ') = bad.t),
 c AS (SELECT r, count(*) FILTER (trim(line, ' ') <> '') AS n_lines, count(*) FILTER (b) AS n_bad,
-             coalesce(sum(length(trim(line, ' '))) FILTER (b), 0) <= {MAX_COVERAGE} * sum(length(trim(line, ' '))) AS act,
+             coalesce(sum(length(trim(line, ' '))) FILTER (b), 0) < sum(length(trim(line, ' '))) AS act,
              coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT b), '') AS kept FROM m GROUP BY r)
 SELECT doc_id, CAST(n_lines AS BIGINT) AS n_lines, CAST(CASE WHEN act THEN n_bad ELSE 0 END AS BIGINT) AS n_removed,
        sha256(CASE WHEN act AND n_bad > 0 THEN kept ELSE coalesce(text, '') END) AS kept_sha256

@@ -1,6 +1,7 @@
+import duckdb
 from pyspark.sql import functions as F
 
-from eventwatch.llm import lines
+from eventwatch.llm import lines, queries
 from conftest_sql import oracle_rows
 from fixtures import empty, frame, rows
 
@@ -44,6 +45,24 @@ def test_odd_rows(spark):
     assert lines.remove_boilerplate(frame(spark)).columns == frame(spark).columns
 
 
+def test_a_clashing_column_stays(spark):
+    df = frame(spark, [(1, "a\nb", "en", "s", 1, "x", "y")]).withColumnRenamed("Text_", "Lines")
+    got = lines.with_kept_lines(df)
+    assert got.columns == [*df.columns, "lines_"] and got.first()["Lines"] == "x" and got.first()["lines_"].n_lines == 2
+
+
+def test_query_and_sql_on_pages_of_mostly_boilerplate(spark, tmp_path):
+    """Short pages lose their bars, however little is left; pages of bars alone stay whole."""
+    bars = f"{BAR}\n  All offers of the whole week at a glance "
+    data = [(i, f"{bars}\n\nown {i}", f"s{i % 12}") for i in range(30)]
+    data += [(100 + i, bars, f"s{i}") for i in range(12)] + [(200, None, None), (201, "", "s"), (202, f"{BAR}\nx", None), (None, f"{bars}\ny", "s")]
+    spark.createDataFrame(data, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in queries.op4_lines(spark, str(tmp_path)).collect()}
+    want = duckdb.connect().sql(lines.ORACLE.replace("FROM documents", f"FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")).fetchall()
+    assert {i: (r.n_lines, r.n_removed, r.kept_sha256) for i, r in got.items()} == {w[0]: w[1:] for w in want} and len(want) == len(data)
+    assert [got[0].n_removed, got[100].n_removed, got[202].n_removed, got[None].n_removed] == [2, 0, 1, 2]
+
+
 def test_query_equals_sql(spark):
     got, want = oracle_rows(spark, "op4_lines")
     assert got == want and len(got) == 200
