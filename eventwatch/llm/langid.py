@@ -7,10 +7,12 @@ the filter holds a bitmask of languages, so a lookup (the AND of two slots) retu
 n-gram at once. A text's n-grams are looked up together; the popcount of each language's bit, corrected for the
 language's false-positive rate, decides.
 
-Defined cases: a null text, or one without a letter, is ``und`` with score 0 and evidence 0; a text with a letter but
+Defined cases: a null text, or one without a letter (a character of Unicode category L; digits, number forms and
+fractions are none), is ``und`` with score 0 and evidence 0; a text with a letter but
 without any known n-gram gets the language with most training texts, score 0; ties go to the first language in
 alphabetical order; texts shorter than an n-gram are padded with spaces; null labels are not learned; with no
-labelled text at all every text is ``und``. Repeated rows keep their rows.
+labelled text at all every text is ``und``. Repeated rows keep their rows; very long texts are looked up in pieces; an empty
+table gives an empty result; a column that has the name of ``out`` stays, the new one takes the next free name (``free_name``).
 """
 
 import re
@@ -22,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventwatch.llm.common import give_back, quoted, text_batches
+from eventwatch.llm.common import free_name, give_back, quoted, text_batches
 
 UND = "und"
 GRAM = 5                 # bytes of an n-gram
@@ -33,7 +35,6 @@ SLOTS = 1 << 19          # slots of the filter
 REJECT_EVIDENCE = 0.05   # see ``speaks``
 
 _MULTIPLIERS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
-_LETTER = re.compile(r"[^\W\d_]")
 #: ASCII bytes that are not letters become a space; the text is lower-cased before.
 _PLAIN = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _RUNS = re.compile(rb"  +")
@@ -89,7 +90,7 @@ class Filter:
 
     def predict(self, text: str | None) -> tuple[str, float, float]:
         """Language, score (share of the winner's evidence), evidence (the winner's corrected share of n-grams)."""
-        if not text or not self.languages or not _LETTER.search(text):
+        if not text or not self.languages or not any(map(str.isalpha, text)):
             return UND, 0.0, 0.0
         x = self.share(text)
         best = int(np.argmax(x))
@@ -167,7 +168,7 @@ def with_language(df: DataFrame, model: Filter, text: str = "text", out: str = "
             yield pa.StructArray.from_arrays([pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64()),
                                               pa.array([g[2] for g in got], pa.float64())], ["lang", "score", "evidence"])
         give_back()
-    return text_batches(df).withColumn(out, identify(F.col(quoted(text))))
+    return text_batches(df).withColumn(free_name(df, out), identify(F.col(quoted(text))))
 
 
 def held_out(id_col: str = "doc_id") -> Column:

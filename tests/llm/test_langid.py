@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -42,7 +44,7 @@ def test_held_out_labels_and_other_columns_do_not_matter(spark):
 
 def test_und_ties_and_odd_rows(spark):
     model = langid.fit_on_training_rows(labelled(spark))
-    for text in (None, "", "123 !? 4", "\n"):
+    for text in (None, "", "123 !? 4", "\n", "²", "½ ¼", "①", "Ⅷ", "٣ _ ๓"):
         assert model.predict(text) == ("und", 0.0, 0.0)
     assert model.predict("漢字")[0] in model.languages and model.predict("漢字")[1:] == (0.0, 0.0)
     long = TEXTS["de"] * 30_000
@@ -66,6 +68,30 @@ def test_texts_without_an_ngram_are_kept_if_they_have_a_letter(spark):
         b" ", b" " + t.lower().encode().translate(langid._PLAIN) + b" ")) < langid.GRAM}
 
 
+def test_a_clashing_column_stays(spark):
+    df = labelled(spark).withColumnRenamed("Text_", "Language")
+    got = langid.with_language(df, langid.fit_on_training_rows(df))
+    assert got.columns == [*df.columns, "language_"] and got.where("language_.lang = lang").count() == got.count()
+
+
+def test_scores_equal_a_plain_count_of_ngrams(spark):
+    """Share of n-grams that each language holds, looked up one at a time in the given filter; the hashes in plain Python."""
+    model = langid.fit_on_training_rows(labelled(spark))
+    shift = 64 - langid.SLOTS.bit_length() + 1
+    for text in [*TEXTS.values(), "the fuchs saute über the house", "Été", "x", "a" * 30, "½ the", "dog 123 HUND"]:
+        line = re.sub(rb"[^a-z\x80-\xff]+", b" ", f" {text.lower()} ".encode()).ljust(langid.GRAM)
+        grams = [int.from_bytes(line[i:i + langid.GRAM], "big") for i in range(len(line) - langid.GRAM + 1)]
+        slots = [[(g * int(m) & (2**64 - 1)) >> shift for m in langid._MULTIPLIERS] for g in grams]
+        share = []
+        for i, fp in enumerate(model.false_positive):
+            held = sum(all(model.slots[s, i // 8] >> i % 8 & 1 for s in both) for both in slots)
+            share.append(min(1.0, max(0.0, (held / len(grams) - fp) / (1 - fp))))
+        best = share.index(max(share))
+        want = (model.languages[best], share[best] / sum(share), share[best]) if share[best] else (model.fallback, 0.0, 0.0)
+        got = model.predict(text)
+        assert got[0] == want[0] and np.allclose(got[1:], want[1:], rtol=1e-12)
+
+
 def test_query_on_held_out_documents(spark):
     sf = "/root/testdata/sf0.01"
     got = queries.op10_language(spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id").collect()
