@@ -9,19 +9,23 @@ The rules come from a table of license families, a few ways to name a license, a
 of sentences of license texts. A rule's keyword is a string that each of its matches contains. ``BASE`` holds the plain phrases that are counted wherever their words stand.
 
 Defined cases: null and empty texts have no words, no detections and score 0; overlapping places of a phrase all
-count; equal detections are reported once; ties go to the rule that comes first; repeated rows keep their rows.
+count; equal detections are reported once; ties go to the rule that comes first; repeated rows keep their rows; a very long
+text takes time in proportion to its length and detections; an empty table gives an empty result; a column that has the
+name of ``out`` stays, the new one takes the next free name (``free_name``).
 """
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventwatch.llm.common import quoted, text_batches, utf8, words
+from eventwatch.llm.common import free_name, quoted, text_batches, utf8, words
 
 # Phrases whose places are counted, with their labels.
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
@@ -235,6 +239,25 @@ def _label(rule: Rule, m: re.Match) -> str:
     return label + "-or-later" * bool(g.get("later") and b"later" in g["later"])
 
 
+class Cover:
+    """Intervals taken so far, only those that lie in no other: sorted by start, they are sorted by end too."""
+
+    def __init__(self) -> None:
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+
+    def add(self, a: int, b: int) -> bool:
+        """Take an interval unless it lies inside one that was taken before."""
+        at = bisect_right(self.starts, a)
+        if at and self.ends[at - 1] >= b:
+            return False
+        first = bisect_left(self.starts, a)
+        last = bisect_right(self.ends, b)   # those from first to last lie inside the new one
+        self.starts[first:max(first, last)] = [a]
+        self.ends[first:max(first, last)] = [b]
+        return True
+
+
 def scan(text: bytes) -> tuple[int, list[tuple[str, str, int, int, float]], list[tuple[str, int]]]:
     """Number of words; detections kept (label, rule, start word, end word, score); base phrases (label, start word)."""
     ws = words(text)
@@ -251,10 +274,12 @@ def scan(text: bytes) -> tuple[int, list[tuple[str, str, int, int, float]], list
                 raw.append((order, m.start(), m.end(), rule, _label(rule, m)))
                 at = m.start() + 1
     kept: list[tuple[int, int, Rule, str]] = []
+    cover = Cover()
     for _, a, b, rule, label in sorted(raw, key=lambda r: (-r[3].priority, r[1] - r[2], r[1], r[0])):
-        if not any(x <= a and b <= y for x, y, _, _ in kept):
+        if cover.add(a, b):
             kept.append((a, b, rule, label))
-    word = lambda pos: line.count(b" ", 0, pos)
+    spaces = np.flatnonzero(np.frombuffer(line, np.uint8) == 32)
+    word = lambda pos: int(np.searchsorted(spaces, pos))
     found = sorted((label, rule.name, word(a), word(b), rule.score) for a, b, rule, label in kept)
     base = []
     for phrase, label in BASE.items():
@@ -282,7 +307,7 @@ def with_licenses(df: DataFrame, text: str = "text", out: str = "licenses") -> D
                  pa.array([[dict(zip(("label", "rule", "start", "end", "score"), d)) for d in ds] for _, ds, _ in got], pa.list_(detection)),
                  pa.array([[{"label": x, "start": s} for x, s in bs] for _, _, bs in got], pa.list_(place))],
                 ["n_words", "detections", "base"])
-    return text_batches(df).withColumn(out, licenses(F.col(quoted(text))))
+    return text_batches(df).withColumn(free_name(df, out), licenses(F.col(quoted(text))))
 
 
 def joined(labels: Column) -> Column:

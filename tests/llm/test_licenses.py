@@ -1,4 +1,6 @@
+import random
 import re
+import time
 
 import pytest
 
@@ -84,6 +86,61 @@ def test_contained_detections_are_suppressed_and_none_overlap_inside():
     assert all(0 <= a < b <= n and 0 <= s <= 1 for _, _, a, b, s in found)
 
 
+def plain_scan(text):
+    """Detections by every rule at every place, without keywords, and suppression by comparing all pairs."""
+    ws = words(text)
+    line = b" " + b" ".join(ws) + b" "
+    raw = [(order, at, m.end(), rule, licenses._label(rule, m)) for order, rule in enumerate(licenses.rules())
+           for at in range(len(line)) if (m := rule.pattern.match(line, at))]
+    kept = []
+    for _, a, b, rule, label in sorted(raw, key=lambda r: (-r[3].priority, r[1] - r[2], r[1], r[0])):
+        if not any(x <= a and b <= y for x, y, _, _ in kept):
+            kept.append((a, b, rule, label))
+    return sorted((label, rule.name, line.count(b" ", 0, a), line.count(b" ", 0, b), rule.score) for a, b, rule, label in kept)
+
+
+PARTS = ["licensed under the", "gnu general public license", "version 2", "or any later version", "cc by nc sa 4 0", "cc by", "apache license",
+         "version 2 0", "mit license", "all rights reserved", "spdx license identifier mit", "bsd 3 clause", "lesser general public license", "and", "x"]
+
+
+def test_detections_and_labels_equal_a_plain_scan(spark):
+    sf = "/root/testdata/sf0.001"
+    rnd = random.Random(5)
+    texts = [" ".join(rnd.choices(PARTS, k=rnd.randint(1, 25))) for _ in range(25)]
+    texts += [r.text[:3000] for r in spark.read.parquet(f"{sf}/documents.parquet").where("text rlike '(?i)licen[sc]e|copyright|cc by'").collect()[:15]]
+    assert any(len(licenses.scan(t.encode())[1]) > 5 for t in texts)
+    for t in texts:
+        assert licenses.scan(t.encode())[1] == plain_scan(t.encode())
+
+
+def test_cover_equals_all_pairs():
+    rnd = random.Random(1)
+    for _ in range(300):
+        cover, taken = licenses.Cover(), []
+        for _ in range(40):
+            a = rnd.randint(0, 20)
+            b = a + rnd.randint(1, 8)
+            free = not any(x <= a and b <= y for x, y in taken)
+            assert cover.add(a, b) == free
+            if free:
+                taken.append((a, b))
+
+
+def test_long_text_of_license_phrases_in_linear_time():
+    def seconds(n):
+        text = " ".join(PARTS * n).encode()
+        start = time.process_time()
+        assert len(licenses.scan(text)[1]) >= 5 * n
+        return time.process_time() - start
+    seconds(10)
+    assert seconds(4000) < 14 * max(seconds(500), 0.05)   # eight times the text; quadratic would be 64 times
+
+
+def test_a_clashing_column_stays(spark):
+    df = frame(spark).withColumnRenamed("Text_", "Licenses")
+    assert licenses.with_licenses(df).columns == [*df.columns, "licenses_"]
+
+
 def brute(text):
     ws = words((text or "").encode())
     places = [(label, i) for p, label in licenses.BASE.items() for i in range(len(ws)) if ws[i:i + len(p.split())] == p.encode().split()]
