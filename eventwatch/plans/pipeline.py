@@ -6,13 +6,12 @@ streaming frames (the stream form of the per-user branch is ``streaming.user_sta
 
 from __future__ import annotations
 
-import time
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventwatch.config import PROCESS_REFRESH, Options, checkpoint_dir, materialize, path_exists
+from eventwatch.config import PROCESS_REFRESH, Options, checkpoint_dir, materialize
 from eventwatch.functions import formats
 from eventwatch.functions.parse import dead_letters, parse_messages, valid_events
 from eventwatch.operators.lookup import enrich_category, process_dimension
@@ -26,6 +25,7 @@ from eventwatch.sinks import tables
 from eventwatch.sources.messages import accepted_files
 from eventwatch.streaming.export import MinuteExport
 from eventwatch.streaming.live_rules import LiveRules
+from eventwatch.streaming.parsed_log import ParsedLog
 from eventwatch.streaming.refresh import Refreshing
 from eventwatch.streaming.reject_report import start_report
 from eventwatch.streaming.stop import CountedStop
@@ -105,9 +105,9 @@ def _start(writer, trigger: dict | None):
 def start_monitor(spark: SparkSession, inputs: Inputs, options: Options, trigger: dict | None = None) -> list:
     """Start the whole monitor on streaming inputs; returns its queries, the first one is the parser.
 
-    The parser is the only query that reads the sources: it writes all parsed messages as an exactly-once file log
-    (and observes the counters), from which the other queries read columns. With an ``availableNow`` trigger the
-    others start when the parser is done.
+    The parser is the only query that reads the sources: it writes every parsed message once into a log (and observes the
+    counters), from which the other queries read columns, and trims the log behind the slowest of them. With an
+    ``availableNow`` trigger the others start when the parser is done.
     """
     base = options.checkpoint_dir or checkpoint_dir(spark)
     if not options.create_tables:
@@ -116,14 +116,12 @@ def start_monitor(spark: SparkSession, inputs: Inputs, options: Options, trigger
     else:
         tables.create_tables(spark, options.output_dir, options.events_table, options.findings_table, options.invalid_messages_table)
     parsed = parsed_sources(inputs)
-    log = f"{base}/parsed_log"
+    log = ParsedLog(spark, f"{base}/parsed_log", f"{base}/parse")
     observed, _ = observe_messages(parsed)
-    queries = [_start(observed.writeStream.format("parquet").option("path", log).option("checkpointLocation", f"{base}/parse").queryName("parse"), trigger)]
+    queries = [log.write(observed, "parse", trigger)]
     if trigger and trigger.get("availableNow"):
         queries[0].awaitTermination()
-    while queries[0].isActive and not path_exists(spark, f"{log}/_spark_metadata"):
-        time.sleep(0.2)
-    stream = spark.readStream.schema(parsed.schema).parquet(log)
+    stream = log.read(parsed.schema)
     live, more = None, []
     if options.rules_path:
         live = LiveRules(spark, options.rules_path, f"{base}/rules")
@@ -139,9 +137,11 @@ def start_monitor(spark: SparkSession, inputs: Inputs, options: Options, trigger
         watched = {t: f"{out}/{t}" for t in (options.events_table, options.findings_table, options.invalid_messages_table)}
         more.append(start_report(spark, watched, f"{out}/{options.report_table}", f"{base}/reject_report", options.report_window,
                                  options.report_delay, trigger))
+    readers = start_queries(outputs, options, trigger=trigger)
     if options.max_messages:
-        more.append(counted_stop(spark, options).start(stream.filter(F.col("source") == 1), trigger))
-    return queries + start_queries(outputs, options, trigger=trigger) + more
+        readers.append(counted_stop(spark, options).start(stream.filter(F.col("source") == 1), trigger))
+    log.follow(readers)
+    return queries + readers + more
 
 
 def counted_stop(spark: SparkSession, options: Options) -> CountedStop:
