@@ -1,30 +1,35 @@
 """Benchmark decontamination with a generalised suffix automaton over the words of the test items.
 
 The items of one shard (at most ``SHARD_WORDS`` words) become one automaton: its states are the distinct
-substrings (of words) of the items up to equal end positions. It is small by construction, so it is broadcast.
-A larger benchmark gives more shards; every text streams through each and the findings are put together, so
-nothing is cut and no single broadcast grows (a worker holds the shards: some 60 MB for each). The automaton keeps the
-longest suffix that occurs in any item; once that length reaches a window, its words are hit.
+substrings (of words) of the items up to equal end positions. Tasks build the automata, in a table. The texts stream
+through a group of shards at a time (``GROUP_WORDS`` words: the bound of what is broadcast and of what a worker holds, some
+60 MB a shard). A larger benchmark takes more passes over the texts; findings are put together, so nothing is cut. The
+automaton keeps the longest suffix that occurs in any item; once that length reaches a window, its words are hit.
 
 A window is ``window`` consecutive item words; an item of fewer words, but not none, is one window as a whole.
 
 Defined cases: null texts have no words and no hits; items without words have no windows; items with equal text
 all count; equal documents get equal results; repeated rows keep their rows; empty tables give empty results.
-Very long texts stream in pieces, the automaton's state carried over.
+Very long texts stream in pieces, the automaton's state carried over; items longer than a shard are cut into pieces that overlap
+by a window less a word. A column that has the name of ``out`` stays, the new one takes the next free name (``free_name``).
 """
 
 import hashlib
-from collections.abc import Iterator
+import pickle
+from collections.abc import Callable, Iterator
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventwatch.config import materialize
 from eventwatch.llm.common import WORD_BYTES, free_name, give_back, quoted, text_batches, utf8, words
 
 WINDOW = 10
 SHARD_WORDS = 100_000
+GROUP_WORDS = 400_000
 PIECE = 1 << 20
 MAX_COVERAGE = 0.5
 
@@ -164,56 +169,150 @@ def pieces(text: bytes) -> Iterator[list[bytes]]:
         at = end
 
 
-def _shards(items: DataFrame, id_col: str, text: str, window: int) -> Iterator[Automaton]:
-    """Automata over the items, at most SHARD_WORDS words each (more only for a single longer item)."""
-    part, size = [], 0
-    for row in items.select(F.col(quoted(id_col)), F.col(quoted(text))).toLocalIterator():
-        ws = words((row[1] or "").encode())
-        if part and size + len(ws) > SHARD_WORDS:
-            yield Automaton(part, window)
-            part, size = [], 0
-        part.append((row[0], ws))
-        size += len(ws)
-    yield Automaton(part, window)
+class Shard:
+    """A pickled automaton, unpickled by the worker that scans with it."""
+
+    def __init__(self, data: bytes):
+        self.data, self._automaton = data, None
+
+    def __getstate__(self):
+        return {"data": self.data, "_automaton": None}
+
+    @property
+    def value(self) -> Automaton:
+        if self._automaton is None:
+            self._automaton, self.data = pickle.loads(self.data), b""
+        return self._automaton
+
+
+def _item_pieces(ws: list[bytes], window: int, most: int) -> Iterator[list[bytes]]:
+    """An item's words in pieces of at most ``most`` that have all its windows."""
+    if len(ws) <= most:
+        yield ws
+        return
+    for at in range(0, len(ws) - window + 1, most - window + 1):
+        yield ws[at:at + most]
+
+
+def _automata(items: DataFrame, id_col: str, text: str, window: int, shard_words: int) -> DataFrame:
+    """(shard, n_words, data): pickled automata over the items, at most ``shard_words`` words each, built by tasks. A repeated
+    row adds nothing."""
+    rows = text_batches(items).select(F.col(quoted(id_col)).alias("id"), F.col(quoted(text)).alias("text")).distinct()
+    size = items.agg(F.sum(F.octet_length(F.col(quoted(text))))).first()[0] or 0
+    most = max(shard_words, 2 * window)
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held = [], 0
+
+        def out():
+            data = pickle.dumps(Automaton(part, window), pickle.HIGHEST_PROTOCOL)
+            return pa.RecordBatch.from_arrays([pa.array([held], pa.int64()), pa.array([data], pa.binary())], ["n_words", "data"])
+
+        for batch in batches:
+            for item, t in zip(batch.column("id").to_pylist(), utf8(batch.column("text"))):
+                for ws in _item_pieces(words(t), window, most):
+                    if part and held + len(ws) > most:
+                        yield out()
+                        part, held = [], 0
+                    part.append((item, ws))
+                    held += len(ws)
+        if held:
+            yield out()
+        give_back()
+
+    tasks = 1 + size // (8 * most)   # a task makes about one automaton; it starts another where that is full
+    return materialize(rows.coalesce(tasks).mapInArrow(build, "n_words bigint, data binary").withColumn("shard", F.monotonically_increasing_id()))
+
+
+def _groups(items: DataFrame, id_col: str, text: str, window: int, shard_words: int, group_words: int) -> list[Callable[[], list[Shard]]]:
+    """Groups of shards, at least one; each is read when it is called for."""
+    made = _automata(items, id_col, text, window, shard_words)
+    groups: list[list[int]] = []
+    held = 0
+    for shard, n in made.select("shard", "n_words").orderBy("shard").collect():  # one row a shard
+        if not groups or held + n > group_words:
+            groups.append([])
+            held = 0
+        groups[-1].append(shard)
+        held += n
+
+    def read(ids: list[int]) -> list[Shard]:
+        return [Shard(bytes(r[0])) for r in made.where(F.col("shard").isin(ids)).select("data").collect()]
+    if not groups:
+        return [lambda: [Shard(pickle.dumps(Automaton([], window)))]]
+    return [partial(read, ids) for ids in groups]
 
 
 _FOUND = "struct<n_words:bigint,runs:array<struct<start:bigint,end:bigint>>,items:array<bigint>>"
 
 
-def _scan_all(shards, text: bytes) -> tuple[int, list[tuple[int, int]], list[int]]:
+def _joined(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Runs in order, those that touch as one."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(runs):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], b))
+        else:
+            out.append((a, b))
+    return out
+
+
+def _scan_all(shards: list[Shard], text: bytes) -> tuple[int, list[tuple[int, int]], list[int]]:
     """Number of words, hit runs and items over all shards."""
     n, runs, items = 0, [], set()
     for shard in shards:
         n, more, found = shard.value.scan(text)
         runs += more
         items |= found
-    if len(shards) > 1:
-        joined: list[tuple[int, int]] = []
-        for a, b in sorted(runs):
-            if joined and a <= joined[-1][1]:
-                joined[-1] = (joined[-1][0], max(joined[-1][1], b))
-            else:
-                joined.append((a, b))
-        runs = joined
-    return n, runs, sorted(i for i in items if i is not None)
+    return n, _joined(runs) if len(shards) > 1 else runs, sorted(i for i in items if i is not None)
 
 
 def with_hits(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
-              out: str = "hits", window: int = WINDOW) -> DataFrame:
+              out: str = "hits", window: int = WINDOW, shard_words: int = SHARD_WORDS, group_words: int = GROUP_WORDS) -> DataFrame:
     """``docs`` plus a struct: number of words, merged hit runs (in words, end exclusive), sorted distinct items."""
-    sc = text_batches(docs).sparkSession.sparkContext
-    shards = [sc.broadcast(a) for a in _shards(items, item_id, item_text, window)]
+    return _with_hits(docs, _groups(items, item_id, item_text, window, shard_words, group_words), text, free_name(docs, out))
+
+
+def _with_hits(docs: DataFrame, groups: list[Callable[[], list[Shard]]], text: str, out: str) -> DataFrame:
+    """Every group is a pass over the texts; between passes stands a table, so that no worker holds two groups."""
+    got = docs
+    for k, group in enumerate(groups):
+        if k:
+            got = materialize(got)
+            before = free_name(got, "before")
+            got = got.withColumnRenamed(out, before)
+            got = got.withColumn(out, _scan(got, group(), True)(F.col(quoted(text)), F.col(quoted(before)))).drop(before)
+        else:
+            got = got.withColumn(out, _scan(got, group(), False)(F.col(quoted(text))))
+    return got
+
+
+def _scan(docs: DataFrame, group: list[Shard], more: bool):
+    """The column function for one group: of the text, and (``more``) of what the groups before found."""
+    shards = text_batches(docs).sparkSession.sparkContext.broadcast(group)
     run = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
+    def found(got: list[tuple[int, list, list]]) -> pa.Array:
+        runs = [[{"start": a, "end": b} for a, b in r] for _, r, _ in got]
+        return pa.StructArray.from_arrays([pa.array([n for n, _, _ in got], pa.int64()), pa.array(runs, run),
+                                           pa.array([i for _, _, i in got], pa.list_(pa.int64()))], ["n_words", "runs", "items"])
+
+    def put_together(now, was):
+        n, runs, items = now
+        return n, _joined([*runs, *((r["start"], r["end"]) for r in was["runs"])]), sorted({*items, *was["items"]})
+
     @F.arrow_udf(_FOUND)
     def scan(cols: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for col in cols:
-            got = [_scan_all(shards, t) for t in utf8(col)]
-            runs = [[{"start": a, "end": b} for a, b in r] for _, r, _ in got]
-            yield pa.StructArray.from_arrays([pa.array([n for n, _, _ in got], pa.int64()), pa.array(runs, run),
-                                              pa.array([i for _, _, i in got], pa.list_(pa.int64()))], ["n_words", "runs", "items"])
+            yield found([_scan_all(shards.value, t) for t in utf8(col)])
+        give_back()
+
+    @F.arrow_udf(_FOUND)
+    def scan_on(cols: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for col, before in cols:
+            yield found([put_together(_scan_all(shards.value, t), was) for t, was in zip(utf8(col), before.to_pylist())])
         give_back()
-    return docs.withColumn(out, scan(F.col(quoted(text))))
+    return scan_on if more else scan
 
 
 def n_hit(hits: str = "hits"):
@@ -247,15 +346,18 @@ def _skip(plain: bytes, pos: int) -> int:
 
 
 def remove_hits(docs: DataFrame, items: DataFrame, text: str = "text", n_chars: str | None = "n_chars",
-                max_coverage: float = MAX_COVERAGE, window: int = WINDOW) -> DataFrame:
+                max_coverage: float = MAX_COVERAGE, window: int = WINDOW, shard_words: int = SHARD_WORDS,
+                group_words: int = GROUP_WORDS) -> DataFrame:
     """Documents without the passages that occur in the items, in the columns of ``docs``.
 
     Spans are cut until none is left (a cut may bring two remains together). Documents of which more than
     ``max_coverage`` of the words are hit are dropped whole. ``n_chars`` is counted anew where it is a column.
     """
+    groups = _groups(items, "item_id", "text", window, shard_words, group_words)
+    if len(groups) > 1:
+        return _remove_in_passes(docs, groups, text, n_chars, max_coverage)
     name = free_name(docs, "cleaned")
-    sc = text_batches(docs).sparkSession.sparkContext
-    shards = [sc.broadcast(a) for a in _shards(items, "item_id", "text", window)]
+    shards = text_batches(docs).sparkSession.sparkContext.broadcast(groups[0]())
 
     @F.arrow_udf("struct<keep:boolean,text:string>")
     def cleaned(cols: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -263,23 +365,50 @@ def remove_hits(docs: DataFrame, items: DataFrame, text: str = "text", n_chars:
         for col in cols:
             keep, new = [], []
             for t in utf8(col):
-                n, runs, _ = _scan_all(shards, t)
+                n, runs, _ = _scan_all(shards.value, t)
                 keep.append(sum(b - a for a, b in runs) <= max_coverage * n)
                 dirty = bool(runs) and keep[-1]
                 while runs and keep[-1]:
                     t = cut(t, runs)
-                    runs = _scan_all(shards, t)[1]
+                    runs = _scan_all(shards.value, t)[1]
                 new.append(t.decode() if dirty else None)
             yield pa.StructArray.from_arrays([pa.array(keep, pa.bool_()), pa.array(new, pa.string())], ["keep", "text"])
         give_back()
 
     # declared nondeterministic so that the filter on it does not compute it a second time
     got = docs.withColumn(name, cleaned.asNondeterministic()(F.col(quoted(text)))).where(F.col(name)["keep"])
-    clean = F.col(name)["text"]
+    return _renewed(got, docs.columns, F.col(name)["text"], text, n_chars)
+
+
+def _renewed(got: DataFrame, columns: list[str], clean, text: str, n_chars: str | None) -> DataFrame:
+    """``columns`` of ``got`` with the new text where there is one."""
     new = {text: F.coalesce(clean, F.col(quoted(text)))}
-    if n_chars and n_chars in docs.columns:
-        new[n_chars] = F.when(clean.isNotNull(), F.length(clean).cast(docs.schema[n_chars].dataType)).otherwise(F.col(quoted(n_chars)))
-    return got.select(*[new[c].alias(c) if c in new else F.col(quoted(c)) for c in docs.columns])
+    if n_chars and n_chars in columns:
+        new[n_chars] = F.when(clean.isNotNull(), F.length(clean).cast(got.schema[n_chars].dataType)).otherwise(F.col(quoted(n_chars)))
+    return got.select(*[new[c].alias(c) if c in new else F.col(quoted(c)) for c in columns])
+
+
+def _remove_in_passes(docs: DataFrame, groups: list, text: str, n_chars: str | None, max_coverage: float) -> DataFrame:
+    """``remove_hits`` for a benchmark of several groups: documents that were cut are scanned again, by all groups, until
+    none has a hit."""
+    hits, name = free_name(docs, "hits"), free_name(docs, "cleaned")
+
+    @F.arrow_udf("string")
+    def without(cols: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for col, found in cols:
+            yield pa.array([cut(t, [(r["start"], r["end"]) for r in x["runs"]]).decode() for t, x in zip(utf8(col), found.to_pylist())], pa.string())
+        give_back()
+
+    found = materialize(_with_hits(docs, groups, text, hits))
+    found = found.where(n_hit(hits) <= F.lit(max_coverage) * F.col(hits)["n_words"])
+    done = []
+    while True:
+        done.append(found.where(F.size(F.col(hits)["runs"]) == 0).select(*map(quoted, docs.columns)))
+        dirty = found.where(F.size(F.col(hits)["runs"]) > 0)
+        if dirty.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+        cleaned = dirty.withColumn(name, without(F.col(quoted(text)), F.col(hits)))
+        found = materialize(_with_hits(materialize(_renewed(cleaned, docs.columns, F.col(name), text, n_chars)), groups, text, hits))
 
 
 def digest(items: str):

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from eventwatch.llm import decontam, queries
@@ -36,15 +37,39 @@ def test_pieces_carry_the_state(monkeypatch):
     assert [auto.scan((d or "").encode()) for d in docs] == want
 
 
-def test_shards_give_the_same(spark, monkeypatch):
+@pytest.mark.parametrize("group_words", [10**6, 60])   # one pass; many
+def test_shards_and_passes_give_the_same(spark, group_words):
     items, docs = cases()
-    df = spark.createDataFrame([(i, d) for i, d in enumerate(docs)], "doc_id long, text string")
-    bench = spark.createDataFrame(items, ITEMS)
-    one = [(r[0], r[1]) for r in decontam.with_hits(df, bench).select("doc_id", "hits").collect()]
-    monkeypatch.setattr(decontam, "SHARD_WORDS", 25)
-    many = [(r[0], r[1]) for r in decontam.with_hits(df, bench).select("doc_id", "hits").collect()]
-    assert [(i, h.n_words, h["items"]) for i, h in one] == [(i, h.n_words, h["items"]) for i, h in many]
-    assert [sum(r.end - r.start for r in h.runs) for _, h in one] == [sum(r.end - r.start for r in h.runs) for _, h in many]
+    df = spark.createDataFrame([(i, d, "x") for i, d in enumerate(docs)], "doc_id long, text string, `Hits` string")
+    bench = spark.createDataFrame([*items, *items[5:8]], ITEMS)          # some rows twice
+    made = decontam._automata(bench, "item_id", "text", 10, 25)
+    assert made.count() > 4 and made.agg(F.max("n_words")).first()[0] <= 25      # items of 30 and 40 words stand in pieces
+    many = decontam.with_hits(df, bench, shard_words=25, group_words=group_words)
+    assert many.columns == ["doc_id", "text", "Hits", "hits_"]
+    got = {r.doc_id: r["hits_"] for r in many.collect()}
+    assert len(got) == len(docs)
+    for i, d in enumerate(docs):
+        n, hit, found = decontam.brute_force(d, items)
+        runs = [(r.start, r.end) for r in got[i]["runs"]]
+        assert (got[i]["n_words"], sum(b - a for a, b in runs), got[i]["items"]) == (n, hit, found), d
+        assert all(b < c for (_, b), (c, _) in zip(runs, runs[1:]))
+
+
+def test_removal_in_passes_gives_the_same(spark):
+    """Also where a cut brings remains together that another group's item matches."""
+    rnd = random.Random(4)
+    items = [(i, " ".join(f"w{rnd.randint(0, 400)}" for _ in range(30))) for i in range(12)]
+    docs = []
+    for i in range(40):
+        own = [f"own{rnd.randint(0, 999)}" for _ in range(120)]
+        inner, outer = (items[rnd.randrange(12)][1].split() for _ in range(2))
+        at = rnd.randint(0, 100)
+        docs.append((i, " ".join(own if i % 4 == 0 else [*own[:at], *outer[:7], *inner, *outer[7:14], *own[at:]]), "en", "s", 1, "x", "y"))
+    docs += [(50, items[0][1], "en", "s", 1, "x", "y"), (51, None, "en", "s", None, "x", "y"), (52, "", "en", "s", 0, "x", "y")]
+    df, bench = frame(spark, docs), spark.createDataFrame(items, ITEMS)
+    one = sorted(map(str, decontam.remove_hits(df, bench).collect()))
+    many = sorted(map(str, decontam.remove_hits(df, bench, shard_words=70, group_words=140).collect()))
+    assert one == many and len(one) == 42 and not any("doc_id=50" in r for r in one)
 
 
 def test_removal_leaves_nothing_and_keeps_clean_documents(spark):
