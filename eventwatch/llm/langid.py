@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventwatch.config import materialize
 from eventwatch.llm.common import free_name, give_back, quoted, text_batches
 
 UND = "und"
@@ -124,7 +125,7 @@ def _by_language(batch: pa.RecordBatch, most: int = 1 << 21) -> Iterator[tuple[s
 
 
 def fit(df: DataFrame, text: str = "text", lang: str = "lang", id_col: str = "doc_id") -> Filter:
-    """Learn from the labelled rows of ``df``. Only one row a language, and the kept n-grams, reach the driver."""
+    """Learn from the labelled rows of ``df``: one scan counts them and one reads the sample, for any number of languages. Only one row a language, and the kept n-grams, reach the driver."""
     rows = text_batches(df).where(F.col(quoted(lang)).isNotNull() & F.col(quoted(text)).isNotNull()).select(
         F.col(quoted(lang)).cast("string").alias("lang"), F.col(quoted(text)).alias("text"),
         F.pmod(F.xxhash64(F.col(quoted(id_col)).cast("string")), F.lit(1 << 20)).alias("draw"))
@@ -141,15 +142,15 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang", id_col: str = "do
                 yield pa.RecordBatch.from_arrays([pa.array([name] * len(g)), pa.array(g.view(np.int64)), pa.array(n)], ["lang", "g", "n"])
         give_back()
 
-    found = sample.mapInArrow(counts, "lang string, g bigint, n bigint").groupBy("lang", "g").agg(F.sum("n").alias("n")).where("n >= 3")
+    found = materialize(sample.mapInArrow(counts, "lang string, g bigint, n bigint").groupBy("lang", "g").agg(F.sum("n").alias("n")).where("n >= 3"))
     total = {r[0]: r[1] for r in found.groupBy("lang").agg(F.sum("n")).collect()}
     if not total:
         return Filter.build({}, UND)
     rate = F.create_map(*[F.lit(x) for k, n in total.items() for x in (k, 1.0 / n)])
     by_gram = (found.withColumn("rate", F.col("n") * rate[F.col("lang")])
                .groupBy("g").agg(F.max("rate").alias("most"), F.collect_list(F.struct("lang", "n", "rate")).alias("uses")))
-    fair = (by_gram.select("g", "most", F.explode("uses").alias("u")).where(F.col("u.rate") >= RATE * F.col("most"))
-            .select("g", F.col("u.lang").alias("lang"), F.col("u.n").alias("n")))
+    fair = materialize(by_gram.select("g", "most", F.explode("uses").alias("u")).where(F.col("u.rate") >= RATE * F.col("most"))
+                       .select("g", F.col("u.lang").alias("lang"), F.col("u.n").alias("n")))
     kept = {}
     for name in sorted(total):  # a few languages: each a distributed top-k
         top = fair.where(F.col("lang") == name).orderBy(F.desc("n"), "g").limit(GRAMS).select("g").toArrow()
