@@ -35,6 +35,12 @@ def test_events_are_read_and_parsed_once(spark):
     assert files and all("eventwatch-tables" in f for f in files)
 
 
+def test_session_rules_read_events_parsed_once(spark):
+    """The bucket rows and every rule read one parsed table, whatever the number of rules."""
+    files = E.queries()["session_rule_rows"](spark, SF001).inputFiles()
+    assert files and all("eventwatch-tables" in f for f in files)
+
+
 def test_sessions_shuffle_reduced_rows(spark):
     """Counts and bounds of sessions: one exchange of pre-aggregated (address, bucket) rows, no sort of events."""
     plan = E.queries()["sessions"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
