@@ -26,6 +26,7 @@ MAX_EPOCH_MS = (2 ** 63 - 1) // 1000   # timestamps are 64-bit microseconds: abo
 _INT32 = 2 ** 32
 _INT31 = 2 ** 31
 _CHUNK = 10 ** 9
+JSON_SPACE = " \t\r\n"
 _NUMBER = r"^(-?)([0-9]+)(?:\.([0-9]+))?(?:[eE]([+-]?[0-9]+))?$"   # sign, whole digits, fraction, exponent
 
 
@@ -39,11 +40,11 @@ def wrapped(text: Column) -> Column:
     return F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
 
 
-def only_document(array: Column, text: Column) -> Column:
-    """The document that ``wrapped`` parsed, null if the text is not exactly one. Repeated keys, nested ones too, make
-    a text malformed. A text that closes the array itself does not parse as a member of an object."""
+def only_document(array: Column, text: Column, kind: str = "variant") -> Column:
+    """The document that ``wrapped`` parsed as ``kind``, null if the text is not exactly one or not of that kind. Repeated keys,
+    nested ones too, make a text malformed. A text that closes the array itself does not parse as a member of an object."""
     closes = text.contains("]") & F.try_parse_json(F.concat(F.lit('{"a":'), text, F.lit("}"))).isNull()
-    return F.when(F.try_variant_get(array, "$[1]", "variant").isNull() & ~closes, F.try_variant_get(array, "$[0]", "variant"))
+    return F.when(F.try_variant_get(array, "$[1]", "variant").isNull() & ~closes, F.try_variant_get(array, "$[0]", kind))
 
 
 def _present(t: Column) -> Column:
@@ -85,7 +86,7 @@ def numbers_as_strings(text: Column) -> Column:
     return F.replace(F.replace(quoted, F.lit(quote), F.lit('\\"')), F.lit(slash), F.lit("\\\\"))
 
 
-FieldRef = dict  # field name → {"t": JSON type, "s": text form, "b": 64-bit integer form, "v": field Variant}
+FieldRef = dict  # field name → {"t": JSON type, "s": text form, "n": whether a number, "b": 64-bit integer form, "digits": own characters}
 
 
 def bind(df: DataFrame, *cols: Column) -> DataFrame:
@@ -101,22 +102,25 @@ def bind(df: DataFrame, *cols: Column) -> DataFrame:
 def extract_fields(df: DataFrame, text: str, fields: dict[str, str]) -> tuple[DataFrame, dict[str, dict[str, Column]]]:
     """Read the top-level ``fields`` of a JSON text once.  ``fields``: name → 'string', 'int' or 'number'.
 
-    One streaming JSON pass (``from_json``) yields a small Variant per field; then each field's JSON
+    The text's parsed form, ``{text}_array`` (``wrapped``), is cut into a small Variant per field; then each field's JSON
     type, and only the form that type needs: text for strings, a 64-bit integer (truncated toward zero)
     for numbers.  ``digits`` reads an integer field's own characters, for the rare number that a 64-bit integer
     or a double does not hold exactly.
     """
     schema = "struct<" + ", ".join(f"`{f}`: variant" for f in fields) + ">"
+    if f"{text}_array" not in df.columns:
+        df = bind(df, wrapped(F.col(text)).alias(f"{text}_array"))
     exact = F.from_json(numbers_as_strings(F.col(text)), "struct<" + ", ".join(f"`{f}`: string" for f, k in fields.items() if k == "int") + ">")
-    doc = bind(df, F.from_json(F.col(text), schema).alias("__doc"))
+    doc = bind(df, only_document(F.col(f"{text}_array"), F.col(text), schema).alias("__doc")).drop(f"{text}_array")
     typed = bind(doc, *[F.schema_of_variant(F.col("__doc").getField(f)).alias(f"__t_{f}") for f in fields])
     cols, refs = [], {}
     for f, kind in fields.items():
         t, fv = F.col(f"__t_{f}"), F.col("__doc").getField(f)
         cols.append(F.when(t == "STRING", F.variant_get(fv, "$", "string")).alias(f"__s_{f}"))
         if kind in ("int", "number"):
-            cols.append(F.when(_is_number(t), F.try_variant_get(fv, "$", "bigint")).alias(f"__b_{f}"))
+            cols += [_is_number(t).alias(f"__n_{f}"), F.when(_is_number(t), F.try_variant_get(fv, "$", "bigint")).alias(f"__b_{f}")]
         refs[f] = {"t": t, "s": F.col(f"__s_{f}"), "digits": exact.getField(f) if kind == "int" else None,
+                   "n": F.col(f"__n_{f}") if kind != "string" else None,
                    "b": F.col(f"__b_{f}") if kind != "string" else F.lit(None)}
     return bind(typed, *cols), refs
 
@@ -129,14 +133,14 @@ def _low32(b: Column) -> Column:
 
 def lenient_int(r: dict[str, Column], field: str) -> tuple[Column, Column]:
     """(value INT, error text) of a field that may be a number, a digit string or absent."""
-    t, s, b = r["t"], r["s"], r["b"]
+    t, s, n, b = r["t"], r["s"], r["n"], r["b"]
     parsed = F.when(s.rlike(r"^[+-]?[0-9]+$"), s.try_cast("int"))
     value = (F.when(t == "STRING", parsed)
-             .when(_is_number(t) & b.isNotNull() & (t != "DOUBLE"), _low32(b))
-             .when(_is_number(t), exact_low32(r["digits"])))   # beyond 64 bits, or not known exactly
+             .when(n & b.isNotNull() & (t != "DOUBLE"), _low32(b))
+             .when(n, exact_low32(r["digits"])))   # beyond 64 bits, or not known exactly
     error = (F.when(~_present(t), F.lit(f"Null {INT_FIELDS[field]}"))
              .when((t == "STRING") & parsed.isNull(), F.concat(F.lit('For input string: "'), s, F.lit('"')))
-             .when((t != "STRING") & ~_is_number(t),
+             .when((t != "STRING") & ~n,
                    F.concat(F.lit("Unable to convert "), F.regexp_extract(t, r"^[A-Z]+", 0), F.lit(" to Integer"))))
     return value, error
 
@@ -157,11 +161,11 @@ def required_string(r: dict[str, Column], field: str) -> tuple[Column, Column]:
 
 
 def epoch_millis(r: dict[str, Column], field: str) -> tuple[Column, Column]:
-    t, ms = r["t"], r["b"]
+    t, n, ms = r["t"], r["n"], r["b"]
     in_range = F.coalesce(ms.between(-MAX_EPOCH_MS, MAX_EPOCH_MS), F.lit(False))
-    value = F.when(_is_number(t) & in_range, F.timestamp_millis(ms))
+    value = F.when(n & in_range, F.timestamp_millis(ms))
     error = (F.when(~_present(t), F.lit(NULL_TIMESTAMP))
-             .when(~_is_number(t), F.lit(f"{field} is not a number"))
+             .when(~n, F.lit(f"{field} is not a number"))
              .when(~in_range, F.lit(f"{field} out of range")))
     return value, error
 
@@ -184,7 +188,7 @@ def proxy_request(df: DataFrame, text: str, out: str = "__") -> DataFrame:
     values = {"request_ts": ts, "src_ip": src, "dst_ip": dst, "dst_port": port, "process_name": process,
               "user_id": user, "bytes_sent": sent, "bytes_received": received}
     error = F.coalesce(e_process, e_dst, e_src, e_sent, e_received, e_port, e_user, e_ts)
-    drop = [c for c in staged.columns if c.startswith(("__t_", "__s_", "__b_"))] + ["__doc"]
+    drop = [c for c in staged.columns if c.startswith(("__t_", "__s_", "__n_", "__b_"))] + ["__doc"]
     return staged.select("*", *[c.alias(f"{out}ev_{k}") for k, c in values.items()],
                          error.alias(f"{out}err")).drop(*drop)
 
@@ -217,9 +221,10 @@ def parse_messages(messages: DataFrame, converters: dict | None = None,
     conv = CONVERTERS if converters is None else converters
     v = "__text"
     staged = bind(messages, payload_text(F.col("payload")).alias(v), payload_type(F.col("attributes")).alias("__ptype"))
-    staged = bind(staged, wrapped(F.col(v)).alias("__array"))
-    staged = staged.select("*", only_document(F.col("__array"), F.col(v)).isNotNull().alias("__json"),
-                           F.json_object_keys(F.col(v)).isNotNull().alias("__obj")).drop("__array")
+    staged = bind(staged, wrapped(F.col(v)).alias(f"{v}_array"))
+    # A document is an object iff its text begins as one.
+    staged = staged.select("*", only_document(F.col(f"{v}_array"), F.col(v)).isNotNull().alias("__json"),
+                           F.ltrim(F.col(v), F.lit(JSON_SPACE)).startswith("{").alias("__obj"))
     converted = (default or proxy_request)(staged, v, "__")
     err = F.col("__err")
     ev = {c: F.col(f"__ev_{c}") for c in EVENT_FIELDS}

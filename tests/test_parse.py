@@ -118,3 +118,16 @@ def test_low_bits_of_numbers_of_any_length(spark):
                 c.prec = 1000
                 want = (int(Decimal(n)) + 2 ** 31) % 2 ** 32 - 2 ** 31
         assert got[n] == want, n
+
+
+def test_text_is_read_once(spark):
+    """Documents, objects and fields come from one parsed form of the text; key case and white space count as before."""
+    rows = [(" \t\r\n" + payload() + " \n", "space", 0), (payload().replace('"user"', '"USER"'), "case", 0), (" [{}] ", "array", 0),
+            ('"{}"', "string", 0), (" ", "blank", 0), ("{}]", "closed", 0), ("{} {}", "two", 0), ("{}, {}", "list", 0)]
+    p = parse_messages(messages(spark, rows))
+    got = {r.message_id: (r.failure_reason, r.user_id) for r in p.collect()}
+    assert got["space"] == (None, "user1") and got["case"] == (None, None)
+    assert {k: got[k][0] for k in ("array", "string")} == dict.fromkeys(("array", "string"), "Invalid payload: not an object")
+    assert all(got[k][0].startswith("Failed to parse: ") for k in ("blank", "closed", "two", "list"))
+    plan = p._jdf.queryExecution().optimizedPlan().toString()
+    assert "json_object_keys" not in plan.lower() and "jsonobjectkeys" not in plan.lower() and "from_json(StructField(process" not in plan

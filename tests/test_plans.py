@@ -50,3 +50,11 @@ def test_sessions_shuffle_reduced_rows(spark):
 def test_projection_prunes_scan_columns(spark):
     plan = E.queries()["payload_dispatch"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<event_id:bigint>" in plan
+
+
+def test_both_sources_share_one_parser(spark):
+    """The sources are put together before they are parsed."""
+    from eventwatch.sources.adapter import messages_from_events, split_sources
+    first, second = split_sources(messages_from_events(spark, SF001))
+    plan = pipeline.parsed_sources(pipeline.Inputs(first, second))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("[failure_reason#") == 1 and plan.count("Union") == 1
